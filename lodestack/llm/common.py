@@ -45,3 +45,8 @@ def fold(key: str | Column, n: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def labelled(labels: DataFrame, label: str, held_fold: int, folds: int) -> DataFrame:
+    """(doc_id, label) of the rows to learn from: a label is known and the fold is not held out."""
+    return labels.select("doc_id", label).where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_fold))

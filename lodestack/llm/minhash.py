@@ -38,62 +38,58 @@ def _probes() -> list[list[int]]:
     return [random.Random(f"bin {b}").sample(range(1, BINS + 1), BINS) for b in range(BINS)]
 
 
-def _longs(values: list[int]) -> Column:
-    return F.lit(values).cast("array<bigint>")
+def _numbers(values: list[int], kind: str = "bigint") -> Column:
+    """An array literal, handed over as one string and folded to a constant by the optimizer."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
 def shingle_hashes(df: DataFrame, text: str, out: str, words: int = SHINGLE_WORDS) -> DataFrame:
     """Adds ``out``: 64-bit hashes of the word shingles of ``text``, repeats included."""
-    return df.withColumn(f"{out}__w", F.array_remove(F.split(F.lower(F.col(text)), r"\s+"), "")).withColumn(
-        out,
-        F.when(F.size(f"{out}__w") == 0, F.array().cast("array<bigint>")).otherwise(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(f"{out}__w") - (words - 1))),
-                lambda i: F.xxhash64(F.slice(F.col(f"{out}__w"), i, words)),
-            )
-        ),
-    ).drop(f"{out}__w")
+    h = f"{out}__h"
+    df = df.withColumn(h, F.transform(F.split(F.lower(F.col(text)), r"\s+"), lambda w: F.when(w != "", F.xxhash64(w))))
+    word = lambda i: F.get(F.col(h), i)
+    head = F.when(word(F.lit(0)).isNull(), 1).otherwise(0)  # white space at an end leaves an empty word there
+    last = F.size(h) - F.when(F.element_at(h, -1).isNull(), 1).otherwise(0)
+    # Past the end of a short text get() gives null, which xxhash64 skips.
+    grams = F.transform(F.sequence(head, F.greatest(head, last - words)), lambda i: F.xxhash64(*[word(i + k) for k in range(words)]))
+    return df.withColumn(out, F.when(last - head <= 0, F.array().cast("array<bigint>")).otherwise(grams)).drop(h)
 
 
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: array<tinyint> of the low-order bits (less 128) of all bins, empty for a text without words."""
-    marks, early = _longs(_sentinels()), list(zip(*(p[:EARLY_PROBES] for p in _probes()), strict=True))
-    every = F.lit([x for p in _probes() for x in p])
-    s, b, e = f"{out}__s", f"{out}__b", f"{out}__e"
+    """Adds ``out``: array<int> of the low-order bits of all bins, empty for a text without words."""
+    marks, probes = _numbers(_sentinels()), _probes()
+    early = [_numbers([p[t] for p in probes], "int") for t in range(EARLY_PROBES)]
+    every = _numbers([_sentinels()[x - 1] for p in probes for x in p])
+    s, b, f = f"{out}__s", f"{out}__b", f"{out}__f"
     df = shingle_hashes(df, text, s)
     # A sentinel in every bin: after sorting, the first value of each bin is its least hash or its sentinel.
-    df = df.withColumn(s, F.sort_array(F.concat(F.array_distinct(s), marks)))
-    first = lambda x, i: (i == 0) | (F.shiftright(x, _SHIFT) != F.shiftright(F.get(F.col(s), i - 1), _SHIFT))
-    df = df.withColumn(b, F.filter(s, first)).drop(s)
-    df = df.withColumn(e, F.transform(F.zip_with(b, marks, lambda x, m: F.when(x != m, x.bitwiseAND((1 << LOW_BITS) - 1))), lambda x: (x - 128).cast("tinyint"))).drop(b)
-    filled = F.filter(F.sequence(F.lit(1), F.lit(BINS)), lambda j: F.get(F.col(e), j - 1).isNotNull())
-    df = df.withColumn(f"{e}f", F.when(F.exists(e, lambda x: x.isNull()), filled))
-    look = lambda where: F.get(F.col(e), where - 1)
-    dense = F.transform(
-        e,
-        lambda x, i: F.coalesce(
-            x,
-            *[look(F.get(F.lit(list(p)), i)) for p in early],
-            look(F.element_at(F.array_intersect(F.slice(every, i * BINS + 1, F.lit(BINS)), F.col(f"{e}f")), 1)),
-        ),
-    )
-    return df.withColumn(out, F.when(F.size(f"{e}f") == 0, F.array().cast("array<tinyint>")).when(F.col(f"{e}f").isNull(), F.col(e)).otherwise(dense)).drop(e, f"{e}f")
+    df = df.withColumn(s, F.sort_array(F.concat(marks, s)))
+    df = df.withColumn(b, F.filter(s, lambda x, i: F.shiftright(x.bitwiseXOR(F.coalesce(F.get(F.col(s), i - 1), F.bitwise_not(x))), _SHIFT) != 0)).drop(s)
+    df = df.withColumn(f, F.array_except(marks, F.col(b)))  # sentinels of the filled bins
+    low = lambda x: x.bitwiseAND((1 << LOW_BITS) - 1).cast("int")
+
+    def of(position: Column) -> Column:
+        return F.when(F.get(F.col(b), position) != F.get(marks, position), F.get(F.col(b), position))
+    def fill(x: Column, i: Column) -> Column:
+        last = F.element_at(F.array_intersect(F.slice(every, i * BINS + 1, F.lit(BINS)), F.col(f)), 1)
+        return low(F.coalesce(F.when(x != F.get(marks, i), x), *[of(F.get(p, i) - 1) for p in early], F.get(F.col(b), (F.shiftright(last, _SHIFT) + BINS // 2).cast("int"))))
+
+    none = F.array().cast("array<int>")
+    return df.withColumn(out, F.when(F.size(f) == 0, none).when(F.size(f) == BINS, F.transform(b, low)).otherwise(F.transform(b, fill))).drop(b, f)
 
 
 def packed(sketch: str) -> Column:
     """The sketch as lower-case hexadecimal digits."""
-    digits = F.array_join(F.transform(sketch, lambda x: F.substring(F.hex(x.cast("int") + 384), 2, 2)), "")
+    digits = F.array_join(F.transform(sketch, lambda x: F.substring(F.hex(x + 256), 2, 2)), "")
     return F.lower(F.when(F.size(sketch) == 0, F.lit("0" * (BINS * LOW_BITS // 4))).otherwise(digits))
 
 
 def likeness(a: str, b: str) -> Column:
     """Estimated Jaccard similarity of the shingle sets behind two sketches, between 0 and 1."""
-    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda z: z)) / F.lit(float(BINS))
+    same = F.size(F.filter(a, lambda x, i: x == F.get(F.col(b), i))) / F.lit(float(BINS))
     chance = 2.0**-LOW_BITS
     est = F.greatest(F.lit(0.0), (same - chance) / (1 - chance))
-    return (
-        F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(est)
-    )
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(est)
 
 
 def with_next(df: DataFrame, key: str, carry: dict[str, str]) -> DataFrame:
@@ -109,7 +105,7 @@ def with_next(df: DataFrame, key: str, carry: dict[str, str]) -> DataFrame:
     shares = [i / coarse for i in range(coarse + 1)]
     bounds = df.agg(F.percentile_approx(key, shares, 10_000).alias("q")).first()["q"] or [0, 0]
     bounds[-1] += 1
-    inner, lows, spans = _longs(bounds[1:-1]), _longs(bounds[:-1]), _longs([max(1, y - x) for x, y in zip(bounds, bounds[1:], strict=False)])
+    inner, lows, spans = _numbers(bounds[1:-1]), _numbers(bounds[:-1]), _numbers([max(1, y - x) for x, y in zip(bounds, bounds[1:], strict=False)])
     at = F.size(F.filter(inner, lambda q: q <= F.col(key)))
     df = df.withColumn("__c", at)
     part = F.floor((F.col(key) - F.get(lows, F.col("__c"))) * F.lit(fine) / F.get(spans, F.col("__c")))
