@@ -2,20 +2,67 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
-from .common import table
+from . import decontaminate, langid, minhash, piece_fst, quality, secret_ledger, simhash, toxicity
+from .common import fold, labelled, settle, shared_root, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_fst.encoded(table(spark, sf_dir, "documents"), piece_fst.read_model())
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL").where(fold("doc_id", 3) != 1)
+    filters = langid.learn(quality.bounded(known, "doc_id", langid.TRAIN_DOCS))
+    return langid.identify(docs.select("doc_id", "text"), filters).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, quality.Discriminant]:
+    """The documents' statistics, and the discriminant fitted on those with a known label outside fold 0 of 5."""
+    stats = settle(quality.with_statistics(docs.select("doc_id", "text")).select("doc_id", "stats"), "statistics")
+    known = quality.bounded(labelled(labels, "quality", 0, 5), "doc_id", quality.TRAIN_ROWS)
+    return stats, quality.fit(stats.join(known, "doc_id"), "quality")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats, model = quality_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held = (fold("doc_id", 5) == 0).alias("held_out")
+    return quality.scored(stats, model).select("doc_id", held, "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = f"{shared_root(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    return secret_ledger.digest_report(secret_ledger.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), ledger))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op7_fingerprints": op7_fingerprints}
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.learn(docs, labelled(table(spark, sf_dir, "labels"), "toxic", 1, 3))
+    held = (fold("doc_id", 3) == 1).alias("held_out")
+    return toxicity.scored(docs, scorer).select("doc_id", held, "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_pieces, op3_language, op4_quality, op5_secrets, op7_fingerprints, op8_near_duplicates, op10_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}
