@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, minhash, piece_fst, quality, secret_ledger, simhash, toxicity
+from . import decontaminate, html_text, langid, minhash, piece_fst, quality, secret_ledger, simhash, toxicity, warc_archive
 from .common import fold, labelled, settle, shared_root, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.digest_report(secret_ledger.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), ledger))
 
 
+def op6_rendered_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages")).select("page_id", "text")
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archive.round_trip(table(spark, sf_dir, "pages"), f"{shared_root(spark)}/warc-{uuid.uuid4().hex}")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scorer = toxicity.learn(docs, labelled(table(spark, sf_dir, "labels"), "toxic", 1, 3))
@@ -63,6 +71,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, scorer).select("doc_id", held, "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_pieces, op3_language, op4_quality, op5_secrets, op7_fingerprints, op8_near_duplicates, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_pieces, op3_language, op4_quality, op5_secrets, op6_rendered_text, op7_fingerprints, op8_near_duplicates, op9_warc, op10_toxicity)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_warc": """
+WITH p AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+FROM m
+""",
+}

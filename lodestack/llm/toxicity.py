@@ -32,6 +32,7 @@ from .quality import bounded
 TRAIN_ROWS = 40_000
 STEM_LENGTHS = (4, 5, 6)
 LEXICON_MOST = 5_000
+DOUBT = 2.0
 WINDOW = 4
 ACCEPT = 0.7
 _WORD = re.compile(r"\w+")
@@ -212,7 +213,7 @@ def _marks(pos: int, neg: int, rate: float, tests: int) -> bool:
     share = min(max(pos / n, 1e-9), 1 - 1e-9)
     if share <= 0.5 or share <= rate:
         return False
-    return n * (share * math.log(share / rate) + (1 - share) * math.log((1 - share) / (1 - rate))) >= math.log(tests) + 3
+    return n * (share * math.log(share / rate) + (1 - share) * math.log((1 - share) / (1 - rate))) >= math.log(tests) + DOUBT
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
@@ -227,9 +228,10 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
         return Scorer(float(bool(pos_n)), {}, set(), {})
     rate = pos_n / (pos_n + neg_n)
     counts = settle(count_terms(train), "toxicity-terms")
-    tests = counts.count()
-    # A term that passes lies in at least ln(tests) / ln(1 / rate) toxic documents; the best LEXICON_MOST are kept.
-    least = max(2, math.floor(math.log(tests) / math.log(1 / rate)))
+    # Only terms frequent enough to pass count as tests: the least frequency that can pass grows with their number.
+    seen_in = {r["n"]: r["terms"] for r in counts.groupBy(F.least(F.col("pos") + F.col("neg"), F.lit(99)).alias("n")).agg(F.count("*").alias("terms")).collect()}
+    least = next((k for k in range(2, 99) if k * math.log(1 / rate) >= math.log(max(1, sum(v for n, v in seen_in.items() if n >= k))) + DOUBT), 99)
+    tests = max(1, sum(v for n, v in seen_in.items() if n >= least))
     top = counts.where((F.col("pos") >= least) & (F.col("pos") > F.col("neg"))).orderBy(F.desc("pos"), "neg", "kind", "term").limit(4 * LEXICON_MOST).collect()
     passed = [r for r in top if _marks(r["pos"], r["neg"], rate, tests)]
     full = {r["term"]: (r["pos"], r["neg"]) for r in passed if r["kind"] == "w" and len(r["term"]) > 2}
