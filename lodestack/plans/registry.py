@@ -1,6 +1,46 @@
-"""All registered queries and the SQL that states the same result."""
+"""All registered queries and the SQL that states the same result.
+
+``statement`` registers a query written in SQL. Tables are named in braces; where the two dialects differ the text
+holds ``[[ours||theirs]]``. ``query`` registers a DataFrame function together with its SQL.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+_CHOICE = re.compile(r"\[\[(.*?)\|\|(.*?)\]\]", re.S)
+_TABLE = re.compile(r"\{(" + "|".join(TABLES) + r")\}")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def statement(name: str, text: str) -> None:
+    ours = _CHOICE.sub(lambda m: m[1], text)
+    names = sorted(set(_TABLE.findall(ours)))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.sql(ours, **{n: table(spark, sf_dir, n) for n in names})
+
+    QUERIES[name] = run
+    ORACLE_SQL[name] = _TABLE.sub(r"\1", _CHOICE.sub(lambda m: m[2], text))
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
