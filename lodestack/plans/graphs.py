@@ -1 +1,71 @@
-"""Queries of this family."""
+"""Topic hierarchies, dependency graphs and chains: region, nation, customer and supplier form the topics."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import graph
+from .registry import query, statement, table
+
+_S = "[[STRING||VARCHAR]]"
+_EDGE = f"""edge(child, parent) AS (
+  SELECT concat('n', CAST(n_nationkey AS {_S})), concat('r', CAST(n_regionkey AS {_S})) FROM {{nation}}
+  UNION ALL SELECT concat('c', CAST(c_custkey AS {_S})), concat('n', CAST(c_nationkey AS {_S})) FROM {{customer}}
+  UNION ALL SELECT concat('c', CAST(c_custkey AS {_S})), concat('m', c_mktsegment) FROM {{customer}}
+  UNION ALL SELECT concat('s', CAST(s_suppkey AS {_S})), concat('n', CAST(s_nationkey AS {_S})) FROM {{supplier}})"""
+
+statement("topic_closure_counts", f"""WITH RECURSIVE {_EDGE}, up(node, topic) AS (
+  SELECT DISTINCT child, parent FROM edge WHERE child LIKE 'c%' OR child LIKE 's%'
+  UNION ALL SELECT up.node, edge.parent FROM up JOIN edge ON edge.child = up.topic)
+SELECT topic, count(DISTINCT node) AS sources, count(DISTINCT CASE WHEN node LIKE 's%' THEN node END) AS readers, count(DISTINCT node) = count(DISTINCT CASE WHEN node LIKE 's%' THEN node END) AS reader_only FROM up GROUP BY topic""")
+
+statement("entrance_reachability", f"""WITH RECURSIVE {_EDGE}, down(node) AS (
+  SELECT CAST('r0' AS {_S}) UNION ALL SELECT edge.child FROM down JOIN edge ON edge.parent = down.node)
+SELECT c_nationkey AS nation, count(DISTINCT c_custkey) AS customers, count(DISTINCT CASE WHEN d.node IS NOT NULL THEN c_custkey END) AS reached, count(DISTINCT CASE WHEN d.node IS NULL AND o_orderkey IS NOT NULL THEN c_custkey END) AS unreached_with_orders
+FROM {{customer}} LEFT JOIN (SELECT DISTINCT node FROM down) d ON d.node = concat('c', CAST(c_custkey AS {_S})) LEFT JOIN {{orders}} ON o_custkey = c_custkey GROUP BY 1""")
+
+statement("topological_levels", """WITH RECURSIVE dep(id, need) AS (SELECT n_nationkey, CAST(floor(n_nationkey / 2) AS INT) FROM {nation} WHERE n_nationkey > 0 UNION ALL SELECT n_nationkey, n_nationkey - 3 FROM {nation} WHERE n_nationkey >= 3),
+walk(id, level) AS (SELECT n_nationkey, 0 FROM {nation} WHERE n_nationkey = 0 UNION ALL SELECT dep.id, walk.level + 1 FROM walk JOIN dep ON dep.need = walk.id)
+SELECT id, CAST(max(level) AS INT) AS level FROM walk GROUP BY id""")
+
+statement("canonical_chain", """WITH RECURSIVE h AS (SELECT doc_id, lang, [[sha2(text, 256)||sha256(text)]] AS hash FROM {documents}),
+link AS (SELECT doc_id, lag(doc_id) OVER (PARTITION BY hash ORDER BY doc_id) AS target, lang FROM h),
+walk(doc_id, node, steps, legacy) AS (SELECT doc_id, doc_id, 0, lang = 'de' FROM link
+  UNION ALL SELECT w.doc_id, l.target, w.steps + 1, w.legacy OR l.lang = 'de' FROM walk w JOIN link l ON l.doc_id = w.node WHERE l.target IS NOT NULL AND w.steps < 64)
+SELECT doc_id, min(node) AS canonical, CAST(max(steps) AS BIGINT) AS steps, [[bool_or||bool_or]](legacy) AS legacy FROM walk GROUP BY doc_id""")
+
+statement("breadcrumbs", "SELECT s_suppkey, concat_ws(' > ', r_name, n_name, s_name) AS trail FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey JOIN {region} ON r_regionkey = n_regionkey")
+
+statement("section_tree_walk", f"""WITH RECURSIVE node(id, parent, title) AS (
+  SELECT concat('r', CAST(r_regionkey AS {_S})), CAST(NULL AS {_S}), r_name FROM {{region}}
+  UNION ALL SELECT concat('n', CAST(n_nationkey AS {_S})), concat('r', CAST(n_regionkey AS {_S})), n_name FROM {{nation}}
+  UNION ALL SELECT concat('s', CAST(s_suppkey AS {_S})), concat('n', CAST(s_nationkey AS {_S})), s_name FROM {{supplier}}),
+walk(id, depth, path) AS (SELECT id, 0, title FROM node WHERE parent IS NULL UNION ALL SELECT node.id, walk.depth + 1, concat(walk.path, '/', node.title) FROM walk JOIN node ON node.parent = walk.id)
+SELECT id, CAST(depth AS INT) AS depth, path, CAST(row_number() OVER (ORDER BY path, id) AS BIGINT) AS position FROM walk""")
+
+statement("ready_tasks", """WITH task AS (SELECT o_orderkey AS id, o_orderstatus = 'F' AS done FROM {orders} WHERE o_orderkey < 4000),
+dep AS (SELECT a.id, b.id AS need FROM task a JOIN task b ON b.id = a.id - 1 UNION ALL SELECT a.id, b.id FROM task a JOIN task b ON b.id = a.id - 7)
+SELECT t.id, count(d.need) AS needs, count(CASE WHEN n.done THEN 1 END) AS met, NOT t.done AND count(d.need) = count(CASE WHEN n.done THEN 1 END) AS ready
+FROM task t LEFT JOIN dep d ON d.id = t.id LEFT JOIN task n ON n.id = d.need GROUP BY t.id, t.done""")
+
+statement("nested_set_descendants", """WITH leaf AS (SELECT c_custkey, n_nationkey, n_regionkey, row_number() OVER (ORDER BY n_regionkey, n_nationkey, c_custkey) AS pos FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey),
+tree AS (SELECT n_regionkey, min(pos) * 2 - 1 AS lft, max(pos) * 2 + 2 AS rght FROM leaf GROUP BY 1)
+SELECT t.n_regionkey, count(c_custkey) AS found, CAST([[(max(rght) - max(lft) - 1) div 2||(max(rght) - max(lft) - 1) // 2]] AS BIGINT) AS expected FROM tree t JOIN leaf l ON l.pos * 2 > t.lft AND l.pos * 2 + 1 < t.rght GROUP BY 1""")
+
+_PRUNE = """WITH RECURSIVE member AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey < 6000),
+item AS (SELECT id, p_size > 3 AS available FROM member JOIN part ON p_partkey = l_partkey),
+need AS (SELECT id, id - 1 AS need FROM member WHERE l_linenumber > 1),
+bad(id) AS (SELECT id FROM item WHERE NOT available UNION SELECT id FROM need WHERE need NOT IN (SELECT id FROM item) UNION SELECT need.id FROM bad JOIN need ON need.need = bad.id)
+SELECT id FROM item WHERE id NOT IN (SELECT id FROM bad)"""
+
+
+@query(_PRUNE)
+def dependency_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    member = table(spark, sf_dir, "lineitem").where("l_orderkey < 6000").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_linenumber", "l_partkey")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") > 3).alias("available"))
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    return graph.prune(member.join(part, "l_partkey").select("id", "available"), member.where("l_linenumber > 1").select("id", (F.col("id") - 1).alias("need"))).select("id")

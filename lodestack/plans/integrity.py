@@ -1 +1,66 @@
-"""Queries of this family."""
+"""Validation as queries: violations, reconciliations, digests, diffs and scalar checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as text_functions
+from .registry import query, statement, table
+
+_S = "[[STRING||VARCHAR]]"
+_H = "[[sha2(text, 256)||sha256(text)]]"
+_MATCH = lambda x, p: f"[[rlike({x}, '{p}')||regexp_matches({x}, '{p}')]]"
+
+statement("integrity_full_outer", f"""WITH expected AS (SELECT doc_id, {_H} AS h FROM {{documents}} WHERE doc_id % 10 <> 0), actual AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'damaged' ELSE {_H} END AS h FROM {{documents}} WHERE doc_id % 11 <> 0)
+SELECT CASE WHEN a.doc_id IS NULL THEN 'MISSING' WHEN e.doc_id IS NULL THEN 'UNKNOWN' WHEN e.h <> a.h THEN 'FAILED' ELSE 'OK' END AS status, count(*) AS n, min(coalesce(e.doc_id, a.doc_id)) AS sample FROM expected e FULL OUTER JOIN actual a ON e.doc_id = a.doc_id GROUP BY 1""")
+statement("reconcile_manifests", """SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS declared, coalesce(CAST(round(found) AS BIGINT), 0) AS found, n FROM {orders} LEFT JOIN (SELECT l_orderkey, sum(l_extendedprice * 100) AS found, count(*) AS n FROM {lineitem} GROUP BY 1) ON l_orderkey = o_orderkey WHERE found IS NULL OR abs(o_totalprice * 100 - found) >= 100""")
+statement("probe_left_join", """WITH probe AS (SELECT l_partkey, max(l_quantity) AS probed FROM {lineitem} WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT p_partkey, coalesce(CAST(probed AS BIGINT), p_size) AS size_bytes, CASE WHEN probed IS NULL THEN 'pending' WHEN CAST(probed AS BIGINT) = p_size THEN 'same' ELSE 'override' END AS status FROM {part} LEFT JOIN probe ON l_partkey = p_partkey""")
+statement("freeze_probe", """WITH f AS (SELECT p_partkey, p_size, s_suppkey, s_nationkey FROM {part} JOIN (SELECT l_partkey, min(l_suppkey) AS k FROM {lineitem} GROUP BY 1) ON l_partkey = p_partkey JOIN {supplier} ON s_suppkey = k)
+SELECT s_nationkey, count(*) AS sheets, CAST(sum(p_size) AS BIGINT) AS bytes, CAST(sum(CASE WHEN p_size > 45 THEN 1 ELSE 0 END) AS BIGINT) AS blockers FROM f GROUP BY 1""")
+statement("snapshot_diff", f"""WITH before AS (SELECT doc_id, {_H} AS h FROM {{documents}} WHERE doc_id % 9 <> 1), later AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'new' ELSE {_H} END AS h FROM {{documents}} WHERE doc_id % 8 <> 2)
+SELECT coalesce(b.doc_id, a.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'added' WHEN a.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change FROM before b FULL OUTER JOIN later a ON a.doc_id = b.doc_id WHERE b.h IS NULL OR a.h IS NULL OR a.h <> b.h""")
+statement("fingerprints", f"SELECT p_partkey, [[sha2||sha256]](concat_ws('|', p_name, p_brand, p_type, CAST(p_size AS {_S}))[[, 256||]]) AS fingerprint, left([[sha2||sha256]](p_name[[, 256||]]), 20) AS short_id FROM {{part}}")
+statement("scale_normalize", f"SELECT p_partkey, concat('1:', CAST(p_size * 1000 AS {_S})) AS scale, CAST(replace(regexp_extract(concat('1:', CAST(p_size AS {_S}), ',000'), '1:([0-9,]+)', 1), ',', '') AS BIGINT) AS parsed, concat(lower(p_brand), ':', CAST(p_size AS {_S})) AS location_key FROM {{part}}")
+statement("digest_parse", f"""WITH line AS (SELECT doc_id, concat({_H}, '  docs/', CAST(doc_id AS {_S}), '.txt') AS line FROM {{documents}})
+SELECT doc_id, regexp_extract(line, '^([0-9a-f]*)  ', 1) AS digest, regexp_extract(line, '  (.*)$', 1) AS path, CAST(length(regexp_extract(line, '^([0-9a-f]*)  ', 1)) AS BIGINT) = 64 AS valid FROM line""")
+statement("stale_edition_guard", f"""WITH map AS (SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN 'old' ELSE {_H} END AS source_sha FROM {{documents}})
+SELECT d.doc_id, source_sha = {_H} AS current, CASE WHEN source_sha = {_H} THEN 'kept' ELSE 'stale' END AS status FROM {{documents}} d JOIN map m ON m.doc_id = d.doc_id""")
+statement("package_members", """WITH m AS (SELECT l_orderkey, l_linenumber, l_returnflag = 'R' AS absent FROM {lineitem}), pkg AS (SELECT l_orderkey FROM m WHERE l_linenumber = 1 AND NOT absent)
+SELECT m.l_orderkey, m.l_linenumber, CASE WHEN m.l_linenumber = 1 THEN 0 ELSE 1 END AS depth FROM m JOIN pkg ON pkg.l_orderkey = m.l_orderkey""")
+statement("package_completeness", """SELECT o_orderkey, count(l_linenumber) AS members, coalesce(max(l_linenumber), 0) AS highest, count(l_linenumber) = coalesce(max(l_linenumber), 0) AND count(DISTINCT l_linenumber) = count(l_linenumber) AND count(l_linenumber) > 0 AS complete FROM {orders} LEFT JOIN {lineitem} ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+statement("merge_insert_only", f"""WITH target AS (SELECT doc_id AS id, {_H} AS h FROM {{documents}}), incoming AS (SELECT item_id AS id, {_H} AS h FROM {{benchmark}} UNION ALL SELECT item_id + 100000, {_H} FROM {{benchmark}} UNION ALL SELECT doc_id, {_H} FROM {{documents}} WHERE doc_id BETWEEN 100 AND 120)
+SELECT i.id, CASE WHEN t.id IS NULL THEN 'insert' WHEN t.h = i.h THEN 'no-op' ELSE 'conflict' END AS action FROM incoming i LEFT JOIN target t ON t.id = i.id""")
+statement("receipt_match", f"""WITH receipt AS (SELECT doc_id, CAST(n_chars AS BIGINT) AS size_bytes, lang FROM {{documents}} WHERE doc_id % 3 > 0), source AS (SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN NULL ELSE d.n_chars END AS size_bytes, d.lang FROM {{documents}} d LEFT JOIN {{labels}} l ON l.doc_id = d.doc_id)
+SELECT CASE WHEN r.doc_id IS NULL THEN 'missing' WHEN s.size_bytes IS NOT DISTINCT FROM r.size_bytes AND s.lang IS NOT DISTINCT FROM r.lang THEN 'reused' ELSE 'rechecked' END AS status, count(*) AS n FROM source s LEFT JOIN receipt r ON r.doc_id = s.doc_id GROUP BY 1""")
+statement("scalar_validation", f"""SELECT o_orderkey, {_MATCH('o_orderpriority', '^[1-5]-[A-Z ]+$')} AS priority_ok, o_totalprice > 0 AND o_totalprice < 1e12 AS finite, [[date_format(o_orderdate, 'yyyy-MM-dd')||strftime(o_orderdate, '%Y-%m-%d')]] AS iso_date, replace(replace(replace(o_orderpriority, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM {{orders}}""")
+statement("constraint_suite", """WITH v AS (
+SELECT 'orders' AS entity, o_orderkey AS id, 'unknown customer' AS rule FROM {orders} WHERE NOT EXISTS (SELECT 1 FROM {customer} WHERE c_custkey = o_custkey)
+UNION ALL SELECT 'orders', o_orderkey, 'no lines' FROM {orders} WHERE NOT EXISTS (SELECT 1 FROM {lineitem} WHERE l_orderkey = o_orderkey)
+UNION ALL SELECT 'lineitem', l_orderkey, 'unknown part' FROM {lineitem} WHERE NOT EXISTS (SELECT 1 FROM {part} WHERE p_partkey = l_partkey)
+UNION ALL SELECT 'lineitem', l_orderkey, 'discount out of range' FROM {lineitem} WHERE l_discount < 0 OR l_discount > 0.09
+UNION ALL SELECT 'lineitem', l_orderkey, 'shipped before order' FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey WHERE l_shipdate < o_orderdate
+UNION ALL SELECT 'part', p_partkey, 'repeated name' FROM (SELECT min(p_partkey) AS p_partkey FROM {part} GROUP BY lower(p_name) HAVING count(*) > 1)
+UNION ALL SELECT 'customer', c_custkey, 'negative balance' FROM {customer} WHERE c_acctbal < 0)
+SELECT entity, rule, count(*) AS n, count(DISTINCT id) AS ids, min(id) AS sample FROM v GROUP BY entity, rule""")
+statement("array_ops", "SELECT vec_id, CAST([[size(embedding)||len(embedding)]] AS BIGINT) AS dims, round(CAST([[aggregate(embedding, 0D, (a, x) -> a + CAST(x AS DOUBLE) * x)||list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))]] AS DOUBLE), 4) AS norm2, CAST([[array_position(embedding, array_max(embedding))||list_position(embedding, list_max(embedding))]] AS BIGINT) AS top FROM {embeddings}")
+_BOX = """a AS (SELECT p_partkey AS id, p_size AS x0, p_size + 3 AS x1, p_partkey % 40 AS y0, p_partkey % 40 + 2 AS y1 FROM {part}), b AS (SELECT s_suppkey AS id, s_suppkey % 50 AS x0, s_suppkey % 50 + 5 AS x1, s_nationkey AS y0, s_nationkey + 4 AS y1 FROM {supplier})"""
+# Boxes meet in cells of ten by ten; a pair is taken in the cell of its first common corner only.
+statement("spatial_box_join", f"""WITH {_BOX}, ca AS (SELECT *, [[explode(sequence(CAST(floor(x0 / 10) AS BIGINT), CAST(floor(x1 / 10) AS BIGINT)))||unnest(generate_series(CAST(floor(x0 / 10) AS BIGINT), CAST(floor(x1 / 10) AS BIGINT)))]] AS cell FROM a), cb AS (SELECT *, [[explode(sequence(CAST(floor(x0 / 10) AS BIGINT), CAST(floor(x1 / 10) AS BIGINT)))||unnest(generate_series(CAST(floor(x0 / 10) AS BIGINT), CAST(floor(x1 / 10) AS BIGINT)))]] AS cell FROM b)
+SELECT cb.id AS region_id, count(*) AS sheets, CAST(sum((least(ca.x1, cb.x1) - greatest(ca.x0, cb.x0)) * (least(ca.y1, cb.y1) - greatest(ca.y0, cb.y0))) AS BIGINT) AS area
+FROM cb JOIN ca ON ca.cell = cb.cell AND ca.x0 < cb.x1 AND ca.x1 > cb.x0 AND ca.y0 < cb.y1 AND ca.y1 > cb.y0 WHERE ca.cell = CAST(floor(greatest(ca.x0, cb.x0) / 10) AS BIGINT) GROUP BY cb.id""")
+statement("coverage_holes", """WITH region AS (SELECT r_regionkey AS id, r_regionkey * 10 AS x0, r_regionkey * 10 + 20 AS x1, 0 AS y0, 25 AS y1 FROM {region}), sheet AS (SELECT s_suppkey AS sid, s_suppkey % 60 AS x0, s_suppkey % 60 + 4 AS x1, s_nationkey AS y0, s_nationkey + 3 AS y1 FROM {supplier}),
+cell AS (SELECT id, x, y FROM (SELECT id, y0, y1, [[explode(sequence(x0, x1 - 1))||unnest(generate_series(x0, x1 - 1))]] AS x FROM region) CROSS JOIN (SELECT [[explode(sequence(0, 24))||unnest(generate_series(0, 24))]] AS y)),
+seen AS (SELECT DISTINCT xs.x, ys.y FROM (SELECT sid, [[explode(sequence(x0, x1 - 1))||unnest(generate_series(x0, x1 - 1))]] AS x FROM sheet) xs JOIN (SELECT sid, [[explode(sequence(y0, y1 - 1))||unnest(generate_series(y0, y1 - 1))]] AS y FROM sheet) ys ON xs.sid = ys.sid)
+SELECT id, count(*) AS wanted, count(s.x) AS covered, count(*) - count(s.x) AS holes FROM cell c LEFT JOIN seen s ON s.x = c.x AND s.y = c.y GROUP BY id""")
+
+
+@query()
+def unicode_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text_functions.compatible("text").alias("normal_form"))
+
+
+@query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n, md5(text) AS md5, sha1(text) AS sha1 FROM documents")
+def content_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.char_length("text").cast("long").alias("n"), F.md5("text").alias("md5"), F.sha1("text").alias("sha1"))

@@ -1 +1,35 @@
-"""Queries of this family."""
+"""Web pages: links, structure, paths and URL rules, in patterns that both engines read alike."""
+
+from __future__ import annotations
+
+from .registry import statement
+
+_S = "[[STRING||VARCHAR]]"
+_ALL = lambda col, pattern, group: f"[[regexp_extract_all({col}, '{pattern}', {group})||regexp_extract_all({col}, '{pattern}', {group})]]"
+_EACH = lambda col, pattern, group: f"[[explode(regexp_extract_all({col}, '{pattern}', {group}))||unnest(regexp_extract_all({col}, '{pattern}', {group}))]]"
+_LEN = lambda x: f"CAST([[size({x})||len({x})]] AS BIGINT)"
+_COUNT = lambda tag: f"CAST([[size(split(lower(html), '<{tag}[ >]')) - 1||len(regexp_split_to_array(lower(html), '<{tag}[ >]')) - 1]] AS BIGINT) AS n_{tag}"
+_HOST = "regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)"
+_PATH = "regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
+_HREF = "<a href=\"([^\"]*)\""
+
+statement("page_link_inventory", f"SELECT page_id, href, count(*) AS n FROM (SELECT page_id, {_EACH('html', _HREF, 1)} AS href FROM {{pages}}) GROUP BY page_id, href")
+statement("page_structure", f"SELECT page_id, {', '.join(_COUNT(t) for t in ('img', 'table', 'p', 'h1', 'h2', 'li', 'a'))}, CAST(length(html) AS BIGINT) AS n_chars, CAST(length(html) - length(replace(html, '&', '')) AS BIGINT) AS entities FROM {{pages}}")
+statement("link_integrity", f"""WITH link AS (SELECT page_id, {_EACH('html', _HREF, 1)} AS href FROM {{pages}}), known AS (SELECT DISTINCT {_PATH} AS path FROM {{pages}})
+SELECT href, count(*) AS uses, count(DISTINCT page_id) AS on_pages, max(CASE WHEN k.path IS NULL THEN 1 ELSE 0 END) = 1 AS dangling FROM link LEFT JOIN known k ON k.path = href GROUP BY href""")
+statement("url_policy", f"""SELECT page_id, {_HOST} AS host, url LIKE 'https://%' AS secure, NOT contains({_HOST}, '@') AND length({_HOST}) > 0 AND NOT contains(url, '..') AS safe, contains(url, '#') AS has_fragment FROM {{pages}}""")
+statement("path_conflicts", f"""WITH p AS (SELECT page_id, lower({_PATH}) AS path FROM {{pages}}), parent AS (SELECT DISTINCT [[regexp_replace(path, '/[^/]*$', '')||regexp_replace(path, '/[^/]*$', '')]] AS prefix FROM p)
+SELECT path, count(*) AS n, max(CASE WHEN prefix IS NULL THEN 0 ELSE 1 END) = 1 AS is_directory_too FROM p LEFT JOIN parent ON prefix = path GROUP BY path HAVING count(*) > 1 OR max(CASE WHEN prefix IS NULL THEN 0 ELSE 1 END) = 1""")
+statement("relative_links", f"""WITH link AS (SELECT page_id, {_EACH('html', _HREF, 1)} AS href FROM {{pages}})
+SELECT page_id, href, CASE WHEN href LIKE 'http%' THEN 'external' WHEN href LIKE '/%' THEN 'absolute' WHEN href = '' THEN 'empty' ELSE 'relative' END AS kind, count(*) AS n FROM link GROUP BY 1, 2, 3""")
+statement("href_builder", f"SELECT page_id, concat('files', replace(replace({_PATH}, '%', '%25'), ' ', '%20'), '#page=', CAST(page_id AS {_S})) AS href FROM {{pages}}")
+statement("derived_path_join", f"""WITH p AS (SELECT page_id, concat('static/', [[element_at(split({_PATH}, '/'), -1)||list_extract(string_split({_PATH}, '/'), -1)]]) AS path FROM {{pages}})
+SELECT a.page_id, min(b.page_id) AS partner FROM p a JOIN p b ON a.path = b.path AND b.page_id > a.page_id GROUP BY a.page_id""")
+statement("span_replace", "SELECT page_id, [[sha2(replace(html, '<h1>', '<h2>'), 256)||sha256(replace(html, '<h1>', '<h2>'))]] AS repaired FROM {pages} WHERE (length(html) - length(replace(html, '<h1>', ''))) = 4")
+statement("resolve_cascade", f"""WITH link AS (SELECT page_id, {_EACH('html', _HREF, 1)} AS href FROM {{pages}}), known AS (SELECT DISTINCT {_PATH} AS path FROM {{pages}}),
+r AS (SELECT page_id, href, coalesce(k1.path, k2.path) AS target, k1.path IS NOT NULL AS direct FROM link LEFT JOIN known k1 ON k1.path = href LEFT JOIN known k2 ON k2.path = concat(href, '/index.html'))
+SELECT CASE WHEN direct THEN 'member' WHEN target IS NOT NULL THEN 'index' WHEN href LIKE 'http%' THEN 'remote' ELSE 'issue' END AS status, count(*) AS n, count(DISTINCT href) AS targets FROM r GROUP BY 1""")
+statement("page_stats", """SELECT source, count(*) AS pages, CAST(sum(CASE WHEN n_chars >= 80 THEN 1 ELSE 0 END) AS BIGINT) AS text_pages, CAST(sum(CASE WHEN n_chars >= 80 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) < 0.8 AS flagged, max(CASE WHEN trim(text) = '' THEN 1 ELSE 0 END) = 1 AS any_blank FROM {documents} GROUP BY source""")
+statement("heading_outline_twin", f"""WITH h AS (SELECT page_id, [[posexplode(regexp_extract_all(html, '<(h[1-6])>', 1)) AS (pos, tag)||unnest(range(len(regexp_extract_all(html, '<(h[1-6])>', 1)))) AS pos, unnest(regexp_extract_all(html, '<(h[1-6])>', 1)) AS tag]] FROM {{pages}}),
+l AS (SELECT page_id, CAST(pos AS BIGINT) AS pos, CAST(substring(tag, 2, 1) AS INT) AS level FROM h)
+SELECT a.page_id, a.pos, a.level, max(b.pos) AS parent FROM l a LEFT JOIN l b ON b.page_id = a.page_id AND b.pos < a.pos AND b.level < a.level GROUP BY a.page_id, a.pos, a.level""")

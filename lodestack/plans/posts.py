@@ -1 +1,32 @@
-"""Queries of this family."""
+"""Question-and-answer posts: user turns are questions, assistant turns answers."""
+
+from __future__ import annotations
+
+from .registry import statement
+
+statement("qa_top2_answers", """WITH q AS (SELECT conv_id, turn FROM {conversations} WHERE role = 'user'),
+a AS (SELECT conv_id, turn, CAST(length(text) % 17 AS BIGINT) - 3 AS score FROM {conversations} WHERE role = 'assistant'),
+p AS (SELECT q.conv_id, q.turn AS question, a.turn AS answer, a.score, a.turn = q.turn + 1 AND a.score >= 0 AS accepted FROM q JOIN a ON a.conv_id = q.conv_id AND a.turn > q.turn),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, question, accepted ORDER BY score DESC, answer) AS n FROM p WHERE accepted OR score > 0)
+SELECT conv_id, question, answer, score, accepted FROM r WHERE (accepted AND n = 1) OR (NOT accepted AND n <= 2)""")
+
+statement("qa_classify", """WITH t AS (SELECT conv_id, turn, lower(left(text, 2048)) AS title, length(text) AS n FROM {conversations} WHERE role = 'user'),
+f AS (SELECT *, contains(title, ' of ') AS durable, contains(title, ' with ') AS denied, contains(title, ' by ') AS old FROM t)
+SELECT conv_id, turn, CASE WHEN n < 20 OR denied THEN 'none' WHEN durable AND old THEN 'review' WHEN old THEN 'legacy' WHEN durable THEN 'durable' ELSE 'none' END AS bucket,
+CASE WHEN n < 20 THEN 'unanswered' WHEN denied THEN 'explicit exclusion' WHEN old THEN 'old-version wording' WHEN durable THEN 'durable topic' ELSE 'outside the selection' END AS reason FROM f""")
+
+_WORDS = "[[size(filter(split(trim(text), ' '), x -> x <> ''))||len(list_filter(string_split(trim(text), ' '), lambda x: x <> ''))]]"
+statement("substantive_turns", f"""SELECT conv_id, turn FROM {{conversations}} WHERE NOT [[rlike(lower(trim(text)), '^(thanks|thank you)[.! ]*$')||regexp_matches(lower(trim(text)), '^(thanks|thank you)[.! ]*$')]]
+AND ((length(trim(text)) >= 40 AND {_WORDS} >= 6) OR ([[rlike(lower(text), '(^| )(not|only|since|instead)( |$)')||regexp_matches(lower(text), '(^| )(not|only|since|instead)( |$)')]] AND length(trim(text)) >= 12 AND {_WORDS} >= 3))""")
+
+statement("qa_semi_joins", """WITH canon AS (SELECT doc_id AS id FROM {labels} WHERE quality = 1),
+post AS (SELECT conv_id, turn, conv_id AS id, CASE WHEN role = 'assistant' THEN conv_id END AS parent, role FROM {conversations}),
+kept AS (SELECT conv_id, turn, role FROM post WHERE id IN (SELECT id FROM canon) UNION SELECT conv_id, turn, role FROM post WHERE parent IN (SELECT id FROM canon))
+SELECT k.conv_id, k.turn, coalesce(d.source, CASE WHEN k.role = 'user' THEN 'user' END, 'author unknown') AS author FROM kept k LEFT JOIN {documents} d ON d.doc_id = k.conv_id""")
+
+statement("rule_gaps", """WITH hit AS (
+SELECT doc_id AS id, 'no label' AS gap FROM {documents} WHERE doc_id NOT IN (SELECT doc_id FROM {labels})
+UNION ALL SELECT doc_id, 'short' FROM {documents} WHERE n_chars < 100
+UNION ALL SELECT doc_id, 'blocked' FROM {labels} WHERE toxic = 1
+UNION ALL SELECT conv_id, 'unanswered' FROM {conversations} GROUP BY conv_id HAVING sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) = 0)
+SELECT gap, count(*) AS n, count(DISTINCT id) AS ids, min(id) AS first_id FROM hit GROUP BY gap""")

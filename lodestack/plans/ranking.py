@@ -1 +1,61 @@
-"""Queries of this family."""
+"""Ranking, windows, duplicates and samples."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import ranking as op
+from .registry import query, statement, table
+
+_S = "[[STRING||VARCHAR]]"
+_H = "[[sha2(text, 256)||sha256(text)]]"
+_NORM = r"[[regexp_replace(lower(text), r'[^a-z0-9]+', ' ')||regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')]]"
+
+statement("exact_duplicates", f"SELECT {_H} AS hash, count(*) AS copies, min(doc_id) AS first_id, max(n_chars) AS unique_bytes, CAST(sum(n_chars) AS BIGINT) AS bytes FROM {{documents}} GROUP BY 1 HAVING count(*) > 1")
+statement("normalized_duplicates", f"SELECT [[sha2(k, 256)||sha256(k)]] AS key, count(*) AS copies, min(doc_id) AS first_id FROM (SELECT doc_id, trim({_NORM}) AS k FROM {{documents}}) GROUP BY 1 HAVING count(*) > 1")
+statement("contamination_join", "SELECT d.doc_id, b.item_id FROM (SELECT doc_id, lower(text) AS t FROM {documents}) d JOIN (SELECT item_id, lower(text) AS t FROM {benchmark}) b ON contains(d.t, b.t)")
+statement("latest_edition", "SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM {orders}) WHERE n = 1")
+
+
+@query("""WITH t AS (SELECT doc_id, lang, sha256(text) AS work, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS turn FROM documents),
+f AS (SELECT *, row_number() OVER (PARTITION BY work ORDER BY turn, lang) AS n FROM t)
+SELECT doc_id, lang, turn FROM f WHERE n = 1 ORDER BY turn, lang LIMIT 100 OFFSET 20""")
+def round_robin_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", F.sha2("text", 256).alias("work"))
+    return op.interleave(docs, "lang", "work", [F.desc("n_chars"), F.asc("doc_id")], 100, 20).select("doc_id", "lang", F.col("turn").cast("long").alias("turn"))
+
+
+@query("""WITH p AS (SELECT p_partkey, p_brand, CAST(floor((row_number() OVER (PARTITION BY p_brand ORDER BY p_name, p_partkey) - 1) / 50) AS BIGINT) AS page FROM part), m AS (SELECT *, max(page) OVER (PARTITION BY p_brand) AS last FROM p)
+SELECT p_partkey, p_brand, page, CASE WHEN page > 0 THEN page - 1 END AS previous_page, CASE WHEN page < last THEN page + 1 END AS next_page FROM m""")
+def page_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.chunks(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name"), ["p_brand"], [F.asc("p_name"), F.asc("p_partkey")], 50).drop("p_name")
+
+
+@query("SELECT vec_id, label, sha256(concat('seed-1', CAST(vec_id AS VARCHAR))) AS draw FROM embeddings ORDER BY draw LIMIT 50")
+def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.hash_sample(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id", "seed-1", 50)
+
+
+statement("candidate_topn_buckets", """SELECT doc_id, bucket, CAST(n AS BIGINT) AS pos FROM (SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'review' ELSE 'candidates' END AS bucket,
+row_number() OVER (PARTITION BY CASE WHEN l.doc_id IS NULL THEN 'review' ELSE 'candidates' END ORDER BY n_chars DESC, d.doc_id) AS n FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id) WHERE n <= 25""")
+statement("storage_rollup", "SELECT r_name, n_name, count(*) AS n, round(sum(s_acctbal), 2) AS bytes, GROUPING(n_name) AS leaf_total FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey JOIN {region} ON r_regionkey = n_regionkey GROUP BY ROLLUP(r_name, n_name)".replace("GROUPING(n_name)", "CAST(GROUPING(n_name) AS INT)"))
+statement("best_rendition", "SELECT l_partkey, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 1 ELSE 2 END, l_extendedprice, l_orderkey, l_linenumber) AS n FROM {lineitem}) WHERE n = 1")
+statement("first_declared", "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM {events}) WHERE n = 1")
+statement("topic_union", "SELECT l_suppkey, [[array_join(sort_array(collect_set(p_brand)), ',')||array_to_string(list_sort(list_distinct(list(p_brand))), ',')]] AS brands, count(DISTINCT p_type) AS types FROM {lineitem} JOIN {part} ON p_partkey = l_partkey GROUP BY 1")
+statement("feature_score", """SELECT doc_id, CAST(score AS BIGINT) AS score, CAST(row_number() OVER (PARTITION BY source ORDER BY score DESC, n_chars, doc_id) AS BIGINT) AS pos FROM (
+SELECT doc_id, source, n_chars, CASE WHEN contains(text, '. ') THEN 3 ELSE 0 END + CASE WHEN lang = 'en' THEN 2 ELSE 0 END + CASE WHEN n_chars > 2000 THEN 5 ELSE 0 END AS score FROM {documents})""")
+statement("work_aliases", f"SELECT doc_id, owner, doc_id <> owner AS alias, copies FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS owner, count(*) OVER (PARTITION BY h) AS copies FROM (SELECT doc_id, {_H} AS h FROM {{documents}})) WHERE copies > 1")
+statement("inline_overflow", "SELECT s_nationkey, s_suppkey, CAST(n AS BIGINT) AS pos, n <= 3 AS inline, CAST(CASE WHEN n < 4 THEN 0 ELSE [[(n - 4) div 3||(n - 4) // 3]] END AS BIGINT) AS page FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS n FROM {supplier})")
+statement("sequence_gaps", "WITH b AS (SELECT max(doc_id) AS most FROM {labels}), s AS (SELECT [[explode(sequence(0, most))||unnest(generate_series(0, most))]] AS id FROM b) SELECT id, 'missing' AS kind FROM s WHERE NOT EXISTS (SELECT 1 FROM {labels} WHERE doc_id = id) UNION ALL SELECT doc_id, 'repeated' FROM {labels} GROUP BY doc_id HAVING count(*) > 1")
+statement("finest_fit", """WITH scale AS (SELECT p_brand, p_size AS scale, CAST(sum(p_retailprice * 100) AS BIGINT) AS bytes, count(*) AS sheets FROM {part} GROUP BY 1, 2)
+SELECT p_brand, min(CASE WHEN bytes <= 200000 AND sheets >= 1 THEN scale END) AS finest, count(*) AS attempts, CAST(sum(CASE WHEN bytes > 200000 THEN 1 ELSE 0 END) AS BIGINT) AS blockers FROM scale GROUP BY 1""")
+statement("context_groups", """WITH prefix AS (SELECT DISTINCT [[substring_index(url, '/', 3)||array_to_string(list_slice(string_split(url, '/'), 1, 3), '/')]] AS p FROM {pages} WHERE page_id % 5 = 0)
+SELECT page_id, min(p) AS grp FROM {pages} JOIN prefix ON starts_with(url, p) GROUP BY page_id""".replace("starts_with(url, p)", "[[startswith||starts_with]](url, p)"))
+statement("encounter_probability", "SELECT source, count(*) AS n, round(1 - power(1 - CAST(sum(CASE WHEN n_chars > 4000 THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 10), 6) AS p10, CAST(ceil(ln(0.05) / ln(1 - least(0.999, greatest(0.001, CAST(sum(CASE WHEN n_chars > 4000 THEN 1 ELSE 0 END) AS DOUBLE) / count(*))))) AS BIGINT) AS sample_size FROM {documents} GROUP BY source")
+statement("cube_extension", "SELECT o_orderstatus, o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM {orders} GROUP BY CUBE(o_orderstatus, o_orderpriority)")
+
+
+@query()
+def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey").alias("parts"))
