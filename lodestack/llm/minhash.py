@@ -103,7 +103,7 @@ def with_next(df: DataFrame, key: str, carry: dict[str, str]) -> DataFrame:
     coarse = min(256, n)
     fine = -(-n // coarse)
     shares = [i / coarse for i in range(coarse + 1)]
-    bounds = df.agg(F.percentile_approx(key, shares, 10_000).alias("q")).first()["q"] or [0, 0]
+    bounds = df.agg(F.percentile_approx(key, shares, 10_000).alias("q")).first()["q"] or [0, 0, 0]
     bounds[-1] += 1
     inner, lows, spans = _numbers(bounds[1:-1]), _numbers(bounds[:-1]), _numbers([max(1, y - x) for x, y in zip(bounds, bounds[1:], strict=False)])
     at = F.size(F.filter(inner, lambda q: q <= F.col(key)))
