@@ -51,7 +51,9 @@ def copy_key(text: str | None) -> int:
 
 
 def allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    """Edits within which a word still counts as the term. At two edits too many of a corpus's other words are as
+    near to some term, and the automaton's states become too many to remember."""
+    return 0 if len(term) < 5 else 1
 
 
 class Automaton:
@@ -171,7 +173,7 @@ class Scorer:
         """(term, probability, context) of every hit in a text."""
         words = words_of(text)
         kinds = set(words)
-        self.look_up(kinds - self.seen.keys())
+        self.look_up(kinds.difference(self.seen))
         if kinds.isdisjoint(self.bad):
             return
         low = text.lower()
