@@ -86,7 +86,7 @@ class Canon:
     def symbols(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash of each symbol, whether it is a placeholder, and its number among the remembered values."""
         raw = text.split() if text else []
-        new = list(set(raw) - self.at.keys())
+        new = list(set(raw).difference(self.at))
         if new:
             if len(self.at) > _CACHE_MOST:
                 new = list(set(raw))

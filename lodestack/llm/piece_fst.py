@@ -161,7 +161,7 @@ class Transducer:
         if len(memory) > _CACHE_MOST:
             memory.clear()
         long = {}
-        for c in set(cuts) - memory.keys():
+        for c in set(cuts).difference(memory):
             (memory if len(c) <= _CUT_MOST else long)[c] = self._encode_cut(c)
         if long:
             return np.frombuffer(b"".join([memory[c] if c in memory else long[c] for c in cuts]), np.int32)
