@@ -84,22 +84,29 @@ class Transducer:
         inside = re.escape("".join(sorted(letters - {"▁"})))
         self.cut = re.compile(f"▁+[{inside}]*|[{inside}]+|[^▁{inside}]")
         self.letters = letters
+        self.rank = {p: self.score[i] for p, i in self.ids.items()}
+        self.singles = {p for p in self.ids if len(p) == 1}
+        self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.memory: dict[str, bytes] = {}
         self.pairs: dict[tuple[str | None, str], bool] = {}
         self.ends = {p[k:]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
 
     def merged(self, text: str) -> list[str]:
         """Merges of a BPE model on a short text: the best-scored adjacent pair first, the leftmost of equals."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                j = self.ids.get(parts[i] + parts[i + 1])
-                if j is not None and (best is None or self.score[j] > best):
-                    best, at = self.score[j], i
-            if at < 0:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, rank, none = list(text), self.rank.get, -float("inf")
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks:
+            best = max(ranks)
+            if best == none:
+                break
+            i = ranks.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], none)
+        return parts
 
     def _finite(self, u: str | None, v: str) -> bool:
         """Whether the arc from u to v has a finite weight; u is None at the start."""
@@ -139,12 +146,27 @@ class Transducer:
 
     def _encode_cut(self, cut: str) -> bytes:
         if cut[0] not in self.letters:
-            ids = [self.byte[b] for b in cut.encode("utf-8", "replace")]
-        elif all(c in self.ids for c in cut):
-            ids = self._path(cut)
-        else:
-            ids = self._with_fallback(cut)
-        return np.array(ids, np.int32).tobytes()
+            return np.array([self.byte[b] for b in cut.encode("utf-8", "replace")], np.int32).tobytes()
+        inside, memory, start, done = self.inside, self.memory, 0, []
+        for k in range(1, len(cut)):
+            if cut[k - 1 : k + 1] not in inside:  # in no piece side by side: no path crosses here
+                part = cut[start:k]
+                found = memory.get(part)
+                if found is None:
+                    found = self._encode_part(part)
+                    if k - start <= _CUT_MOST:
+                        memory[part] = found
+                done.append(found)
+                start = k
+        done.append(self._encode_part(cut[start:]))
+        return b"".join(done)
+
+    def _encode_part(self, part: str) -> bytes:
+        found = self.memory.get(part)
+        if found is None:
+            ids = self._path(part) if self.singles.issuperset(part) else self._with_fallback(part)
+            found = np.array(ids, np.int32).tobytes()
+        return found
 
     def _with_fallback(self, cut: str) -> list[int]:
         """A cut with letters that are no piece by themselves: where no path reads them they fall back to bytes."""
