@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import importable
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
@@ -35,14 +35,6 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it (a cluster gets it by --py-files)."""
-    here = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH", "")]))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

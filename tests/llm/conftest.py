@@ -1,12 +1,5 @@
 import pytest
 
-from lodestack.llm.common import importable
-
-
-@pytest.fixture(scope="session", autouse=True)
-def package_on_workers(spark):
-    importable(spark)
-
 
 @pytest.fixture
 def docs(spark):
