@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .registry import statement
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions import markup
+from .registry import query, statement, table
 
 _S = "[[STRING||VARCHAR]]"
 _ALL = lambda col, pattern, group: f"[[regexp_extract_all({col}, '{pattern}', {group})||regexp_extract_all({col}, '{pattern}', {group})]]"
@@ -33,3 +36,8 @@ statement("page_stats", """SELECT source, count(*) AS pages, CAST(sum(CASE WHEN
 statement("heading_outline_twin", f"""WITH h AS (SELECT page_id, [[posexplode(regexp_extract_all(html, '<(h[1-6])>', 1)) AS (pos, tag)||unnest(range(len(regexp_extract_all(html, '<(h[1-6])>', 1)))) AS pos, unnest(regexp_extract_all(html, '<(h[1-6])>', 1)) AS tag]] FROM {{pages}}),
 l AS (SELECT page_id, CAST(pos AS BIGINT) AS pos, CAST(substring(tag, 2, 1) AS INT) AS level FROM h)
 SELECT a.page_id, a.pos, a.level, max(b.pos) AS parent FROM l a LEFT JOIN l b ON b.page_id = a.page_id AND b.pos < a.pos AND b.level < a.level GROUP BY a.page_id, a.pos, a.level""")
+
+
+@query()
+def heading_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.outline(table(spark, sf_dir, "pages"), "page_id", "html")

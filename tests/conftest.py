@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from lodestack.session import importable  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -22,6 +24,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    importable(session)
     yield session
     session.stop()
 
