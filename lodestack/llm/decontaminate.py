@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle, small_side
+
 WINDOW = 8
 SHORTEST = 5
 COVERAGE = 0.4
@@ -188,4 +190,5 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consist
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that leak no benchmark item."""
-    return docs.join(leaks(docs, items).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    found = settle(leaks(docs, items).select("doc_id").distinct(), "leaks")
+    return docs.join(small_side(found), "doc_id", "left_anti").select(*docs.columns)

@@ -19,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_side
+
 #: Kinds of secrets in the order in which spans at one start are listed.
 BASE_KINDS = ("assign", "access", "hex")
 MORE_KINDS = ("pem", "jwt", "vendor", "basic")
@@ -94,7 +96,7 @@ def scan(versions: DataFrame, ledger_path: str, text: str = "text", rule_version
     fresh.mapInPandas(_scan, f"blob string, spans {SPAN}").withColumn("rule_version", F.lit(rule_version)).write.partitionBy("rule_version").mode("append").parquet(ledger_path)
     hits = spark.read.schema(f"blob string, spans {SPAN}, rule_version string").parquet(ledger_path).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans")
     kept = [c for c in versions.columns if c not in (text, "blob", "spans")]
-    return named.select(*kept, "blob").join(hits, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPAN)))
+    return named.select(*kept, "blob").join(small_side(hits), "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPAN)))
 
 
 def digest_report(found: DataFrame, key: str = "doc_id") -> DataFrame:
