@@ -34,7 +34,7 @@ SHORTEST = 5
 COVERAGE = 0.4
 CONSISTENCY = 0.6
 FILTER_BITS = 22
-_CACHE_MOST = 500_000
+_CACHE_MOST = 300_000
 
 #: Signs of units.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb oz ml cl l s sec min h hr hrs day days week weeks month months year years hz khz mhz ghz w kw v a j kj cal kcal k c f pa bar mph kmh bit byte kb mb gb tb % € $ £ usd eur gbp dollars euros cents percent degrees meters metres kilometers kilometres miles hours minutes seconds".split())
@@ -59,7 +59,7 @@ class Canon:
     def __init__(self):
         self.at: dict[str, int] = {}
         self.value: list[str] = []
-        self.hash, self.kind, self.stop = np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, bool)
+        self.hash, self.kind, self.stop = np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, bool)
 
     def _learn(self, new: list[str]) -> None:
         if len(self.at) > _CACHE_MOST:
@@ -81,9 +81,11 @@ class Canon:
             hashes.append(_hash(low))
             kinds.append(kind)
             stops.append(raw[-1] in ".!?:" or raw.rstrip("\"')”»")[-1:] in (".", "!", "?"))
-        self.hash = np.concatenate([self.hash, np.array(hashes, np.uint64)])
-        self.kind = np.concatenate([self.kind, np.array(kinds, np.int8)])
-        self.stop = np.concatenate([self.stop, np.array(stops, bool)])
+        n = len(self.value)
+        if n > len(self.hash):  # room grows by doubling
+            room = 2 * n
+            self.hash, self.kind, self.stop = (np.concatenate([x, np.zeros(room - len(x), x.dtype)]) for x in (self.hash, self.kind, self.stop))
+        self.hash[n - len(new) : n], self.kind[n - len(new) : n], self.stop[n - len(new) : n] = np.array(hashes, np.uint64), kinds, stops
 
     def symbols(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash of each symbol, whether it is a placeholder, and its number among the remembered values."""
