@@ -30,7 +30,9 @@ from .quality import bounded
 
 #: Labelled rows to fit on at most, taken by hash of the key; all where there are fewer.
 TRAIN_ROWS = 40_000
-STEM_LENGTHS = (4, 5, 6)
+STEM_LENGTHS = (4, 5, 6, 7, 8)
+STEM_ODDS = 6
+CROWDED = 3
 LEXICON_MOST = 5_000
 DOUBT = 2.0
 WINDOW = 4
@@ -237,7 +239,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
     top = counts.where((F.col("pos") >= least) & (F.col("pos") > F.col("neg"))).orderBy(F.desc("pos"), "neg", "kind", "term").limit(4 * LEXICON_MOST).collect()
     passed = [r for r in top if _marks(r["pos"], r["neg"], rate, tests)]
     full = {r["term"]: (r["pos"], r["neg"]) for r in passed if r["kind"] == "w" and len(r["term"]) > 2}
-    prefix = {r["term"]: (r["pos"], r["neg"]) for r in passed if r["kind"] == "p" and r["pos"] >= 20 * r["neg"]}
+    prefix = {r["term"]: (r["pos"], r["neg"]) for r in passed if r["kind"] == "p" and r["pos"] >= STEM_ODDS * r["neg"]}
     stems: dict[str, tuple[int, int]] = {}
     for p in sorted(prefix, key=len):
         best = max((n for w, (n, _) in full.items() if w.startswith(p)), default=0)
@@ -252,18 +254,21 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(t, e, int(p), int(n)) for w, p, n in zip(pdf["term"], pdf["pos"], pdf["neg"], strict=True) for t, e in automaton.match(w).items()]
-            yield pd.DataFrame(rows, columns=["term", "edits", "pos", "neg"])
+            rows = [(t, e, int(p), int(n), int(n > p)) for w, p, n in zip(pdf["term"], pdf["pos"], pdf["neg"], strict=True) for t, e in automaton.match(w).items()]
+            yield pd.DataFrame(rows, columns=["term", "edits", "pos", "neg", "clean"])
 
-    state = counts.where("kind = 'w'").mapInPandas(near, "term string, edits int, pos long, neg long")
-    by_edit = {(r["term"], r["edits"]): (r["pos"], r["neg"]) for r in state.groupBy("term", "edits").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()}
+    # For each term and distance: documents of each label, and how many different words are rather clean ones.
+    state = counts.where("kind = 'w'").mapInPandas(near, "term string, edits int, pos long, neg long, clean long")
+    by_edit = {(r["term"], r["edits"]): (r["pos"], r["neg"], r["clean"]) for r in state.groupBy("term", "edits").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "clean")]).collect()}
     hits = {}
     for t in terms:
         for e in range(allowed(t) + 1):
-            p, n = by_edit.get((t, e), (0, 0)) if e or t in stems_kept else terms[t]
-            prior = 0.9 if not e else 0.8 if t not in stems_kept else rate
-            share = (p + 2 * prior) / (p + n + 2)
-            if share > max(0.3, 2 * rate):
+            p, n, clean = by_edit.get((t, e), (0, 0, 0)) if e else (*terms[t], 0)
+            # Where clean words stand close to a term, a word one edit away is likelier another clean word.
+            if e and (clean >= CROWDED or p < 9 * n or t in stems_kept):
+                continue
+            share = (p + 2 * (0.8 if e else 0.9)) / (p + n + 2)
+            if share > (ACCEPT if e else max(0.3, 2 * rate)):
                 hits[t, e] = min(share, 0.995)
     first = Scorer(0.0, hits, stems_kept, {})
 
