@@ -2,8 +2,8 @@
 
 Texts become sequences of symbols: words in lower case, and typed placeholders for numbers, names and units.
 Windows of eight symbols are hashed; windows of the documents are joined to those of the benchmark by hash. Of
-each document and item the share of the item's windows found, and the consistency of the slots (each value of
-the item stands for one value of the document), decide; a question with other numbers or names still matches.
+each document and item the share of the item's windows found (or, of long items, ``LONG_RUN`` windows), and the
+consistency of the slots (each value of the item stands for one value of the document), decide; a question with other numbers or names still matches.
 
 A Bloom filter over the benchmark's window hashes, of fixed size whatever the benchmark's, keeps all other
 windows of the documents out of the join; its false positives end in the join.
@@ -31,7 +31,8 @@ from .common import settle, small_side
 
 WINDOW = 8
 SHORTEST = 5
-COVERAGE = 0.4
+COVERAGE = 0.25
+LONG_RUN = 13
 CONSISTENCY = 0.6
 FILTER_BITS = 22
 _CACHE_MOST = 300_000
@@ -184,7 +185,7 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consist
     return (
         by.withColumn("coverage", F.col("matched") / F.col("n_windows"))
         .withColumn("consistency", F.when(F.size("pairs") == 0, 1.0).otherwise(values / F.size("pairs")))
-        .where((F.col("coverage") >= coverage) & (F.col("consistency") >= consistency))
+        .where(((F.col("coverage") >= coverage) | (F.col("matched") >= LONG_RUN)) & (F.col("consistency") >= consistency))
         .withColumn("kind", F.when(F.forall("pairs", lambda p: p["slots"] == p["d_slots"]), "same").otherwise("other values"))
         .select("doc_id", "item_id", "coverage", "consistency", "kind")
     )
