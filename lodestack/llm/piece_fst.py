@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -72,17 +73,18 @@ class Transducer:
         if normal.get(4, 1):
             raise ValueError("models that drop blanks cannot decode to the input")
         self.pieces = [p for p, _, _ in pieces]
-        self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind in (_NORMAL, _USER)}
+        # Inside, the normaliser's ▁ stays a blank: such strings are short in memory.
+        self.ids = {p.replace("▁", " "): i for i, (p, _, kind) in enumerate(pieces) if kind in (_NORMAL, _USER)}
         self.score = [s for _, s, _ in pieces]
         self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
         letters = {c for p in self.ids for c in p}
-        if any("▁" in p.lstrip("▁") for p in self.ids):
+        if any(" " in p.lstrip(" ") for p in self.ids):
             raise ValueError("a piece holds a blank after a character")
         self.out = [p.replace("▁", " ").encode() for p in self.pieces]
         for b, i in self.byte.items():
             self.out[i] = bytes([b])
-        inside = re.escape("".join(sorted(letters - {"▁"})))
-        self.cut = re.compile(f"▁+[{inside}]*|[{inside}]+|[^▁{inside}]")
+        alone = "" if "\n" in letters else "\n"
+        self.cut = re.compile(f" +[^ {alone}]*|[^ {alone}]+" + ("|\n" if alone else ""))
         self.letters = letters
         self.rank = {p: self.score[i] for p, i in self.ids.items()}
         self.singles = {p for p in self.ids if len(p) == 1}
@@ -110,11 +112,9 @@ class Transducer:
 
     def _finite(self, u: str | None, v: str) -> bool:
         """Whether the arc from u to v has a finite weight; u is None at the start."""
-        ok = self.pairs.get((u, v))
-        if ok is None:
-            if len(self.pairs) > _CACHE_MOST:
-                self.pairs.clear()
-            ok = self.pairs[u, v] = self.merged((u or "") + v) == ([u, v] if u else [v])
+        if len(self.pairs) > _CACHE_MOST:
+            self.pairs.clear()
+        ok = self.pairs[u, v] = self.merged((u or "") + v) == ([u, v] if u else [v])
         return ok
 
     def _path(self, text: str) -> list[int]:
@@ -135,9 +135,11 @@ class Transducer:
                     w = weight[j] - self.score[at]
                     if w < weight[i]:
                         weight[i], last[i] = w, piece
-                elif (j == 0 or last[j] is not None) and (pairs.get((last[j], piece)) or self._finite(last[j], piece)):
-                    last[i] = piece
-                    break
+                elif j == 0 or last[j] is not None:
+                    ok = pairs.get((last[j], piece))
+                    if ok or (ok is None and self._finite(last[j], piece)):
+                        last[i] = piece
+                        break
         out, i = [], n
         while i:
             out.append(ends[last[i]])
@@ -145,29 +147,29 @@ class Transducer:
         return out[::-1]
 
     def _encode_cut(self, cut: str) -> bytes:
-        if cut[0] not in self.letters:
-            return np.array([self.byte[b] for b in cut.encode("utf-8", "replace")], np.int32).tobytes()
-        inside, memory, start, done = self.inside, self.memory, 0, []
+        inside, start, done = self.inside, 0, []
         for k in range(1, len(cut)):
             if cut[k - 1 : k + 1] not in inside:  # in no piece side by side: no path crosses here
-                part = cut[start:k]
-                found = memory.get(part)
-                if found is None:
-                    found = self._encode_part(part)
-                    if k - start <= _CUT_MOST:
-                        memory[part] = found
-                done.append(found)
+                done.append(self._encode_part(cut[start:k]))
                 start = k
-        done.append(self._encode_part(cut[start:]))
+        done.append(self._encode_part(cut[start:]) if start else self._ids(cut))
         return b"".join(done)
 
     def _encode_part(self, part: str) -> bytes:
         found = self.memory.get(part)
         if found is None:
-            ids = self._path(part) if self.singles.issuperset(part) else self._with_fallback(part)
-            found = np.array(ids, np.int32).tobytes()
+            found = self._ids(part)
+            if len(part) <= _CUT_MOST:
+                self.memory[part] = found
         return found
 
+    def _ids(self, part: str) -> bytes:
+        if part[0] not in self.letters:
+            ids = [self.byte[b] for b in part.encode("utf-8", "replace")]
+        else:
+            ids = self._path(part) if self.singles.issuperset(part) else self._with_fallback(part)
+        return array("i", ids).tobytes()
+
     def _with_fallback(self, cut: str) -> list[int]:
         """A cut with letters that are no piece by themselves: where no path reads them they fall back to bytes."""
         out: list[int] = []
@@ -178,7 +180,7 @@ class Transducer:
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
-        cuts = self.cut.findall(("▁" if self.prefix else "") + text.replace(" ", "▁"))
+        cuts = self.cut.findall((" " if self.prefix else "") + text.replace("▁", " "))
         memory = self.memory
         if len(memory) > _CACHE_MOST:
             memory.clear()
