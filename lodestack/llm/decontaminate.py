@@ -35,7 +35,7 @@ COVERAGE = 0.25
 LONG_RUN = 13
 CONSISTENCY = 0.6
 FILTER_BITS = 22
-_CACHE_MOST = 300_000
+_CACHE_MOST = 150_000
 
 #: Signs of units.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb oz ml cl l s sec min h hr hrs day days week weeks month months year years hz khz mhz ghz w kw v a j kj cal kcal k c f pa bar mph kmh bit byte kb mb gb tb % € $ £ usd eur gbp dollars euros cents percent degrees meters metres kilometers kilometres miles hours minutes seconds".split())

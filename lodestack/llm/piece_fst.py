@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_CACHE_MOST = 400_000
+_CACHE_MOST = 120_000
 _CUT_MOST = 48
 #: Kinds of pieces in the model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -90,6 +90,7 @@ class Transducer:
         self.singles = {p for p in self.ids if len(p) == 1}
         self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.memory: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # what was remembered until the memory was last full
         self.pairs: dict[tuple[str | None, str], bool] = {}
         self.ends = {p[k:]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
 
@@ -156,7 +157,7 @@ class Transducer:
         return b"".join(done)
 
     def _encode_part(self, part: str) -> bytes:
-        found = self.memory.get(part)
+        found = self.memory.get(part) or self.before.get(part)
         if found is None:
             found = self._ids(part)
             if len(part) <= _CUT_MOST:
@@ -181,12 +182,12 @@ class Transducer:
         if not text:
             return np.empty(0, np.int32)
         cuts = self.cut.findall((" " if self.prefix else "") + text.replace("▁", " "))
-        memory = self.memory
-        if len(memory) > _CACHE_MOST:
-            memory.clear()
-        long = {}
+        if len(self.memory) > _CACHE_MOST:
+            self.before, self.memory = self.memory, {}
+        memory, long = self.memory, {}
         for c in set(cuts).difference(memory):
-            (memory if len(c) <= _CUT_MOST else long)[c] = self._encode_cut(c)
+            found = self.before.get(c)
+            (memory if len(c) <= _CUT_MOST else long)[c] = self._encode_cut(c) if found is None else found
         if long:
             return np.frombuffer(b"".join([memory[c] if c in memory else long[c] for c in cuts]), np.int32)
         return np.frombuffer(b"".join(map(memory.__getitem__, cuts)), np.int32)

@@ -39,7 +39,7 @@ WINDOW = 4
 ACCEPT = 0.7
 _WORD = re.compile(r"\w+")
 _QUOTES = "\"'“”„«»‘’"
-_CACHE_MOST = 400_000
+_CACHE_MOST = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
