@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_CACHE_MOST = 120_000
+_CACHE_MOST = 200_000
+_PAIRS_MOST = 150_000
 _CUT_MOST = 48
 #: Kinds of pieces in the model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -113,7 +114,7 @@ class Transducer:
 
     def _finite(self, u: str | None, v: str) -> bool:
         """Whether the arc from u to v has a finite weight; u is None at the start."""
-        if len(self.pairs) > _CACHE_MOST:
+        if len(self.pairs) > _PAIRS_MOST:
             self.pairs.clear()
         ok = self.pairs[u, v] = self.merged((u or "") + v) == ([u, v] if u else [v])
         return ok
