@@ -27,3 +27,23 @@ def daily_counts(spark: SparkSession, path: str) -> DataFrame:
     run = tumbling(stream_of(spark, path)).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.table(name).select(F.unix_timestamp("window.start").alias("day_start"), "event_type", "n")
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 days") -> DataFrame:
+    """Sessions of each user of a stream: events without a pause of ``gap``."""
+    timed = events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
+    return timed.groupBy(F.session_window("at", gap), "user_id").agg(F.count("*").alias("n"))
+
+
+def once(events: DataFrame, key: str = "event_id", late: str = "2 days") -> DataFrame:
+    """The stream without repeated keys within the watermark, for sources that deliver at least once."""
+    return events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late).dropDuplicatesWithinWatermark([key])
+
+
+def append_batches(stream: DataFrame, folder: str, checkpoint: str):
+    """Writes each micro-batch to its own subfolder, so a batch that is replayed replaces itself."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
