@@ -35,8 +35,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows that a Python worker gets at once: whole texts may be long, so fewer than Spark's own default.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepared(spark: SparkSession) -> None:
+    """Lets workers import this package, and bounds the rows of a batch unless the session has set a bound itself."""
     importable(spark)
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

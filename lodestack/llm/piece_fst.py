@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_CACHE_MOST = 200_000
-_PAIRS_MOST = 150_000
+_CACHE_MOST = 80_000
+_PAIRS_MOST = 80_000
 _CUT_MOST = 48
 #: Kinds of pieces in the model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
