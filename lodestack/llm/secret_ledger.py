@@ -24,13 +24,18 @@ from .common import small_side
 #: Kinds of secrets in the order in which spans at one start are listed.
 BASE_KINDS = ("assign", "access", "hex")
 MORE_KINDS = ("pem", "jwt", "vendor", "basic")
-RULE_VERSION = "2024-1"
+RULE_VERSION = "2024-2"
 
 #: Patterns.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]|-(?!----END))*(?:-----END [A-Z ]*PRIVATE KEY-----)?")
+#: A key reaches its END line; without one, only the header lines and base64 runs that follow at once belong to it.
+_PEM = re.compile(
+    r"""-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----(?:BEGIN|END)\b))*-----END [A-Z ]*PRIVATE KEY-----|"""
+    r"""(?:\s+(?:Proc-Type|DEK-Info|Comment|X-[A-Za-z-]+):[^\n]*)*"""
+    r"""(?:(?:(?:\s|\\[nr]|["'+>|,])*(?=[A-Za-z0-9+/]*(?:[0-9+/]|[a-z][A-Z]))[A-Za-z0-9+/]{16,}={0,2})+(?:(?:\s|\\[nr])+(?:[A-Za-z0-9+/]+={1,2}|[A-Za-z0-9+/]+\Z))?)?)"""
+)
 _JWT = re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.A)
 _VENDOR = re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})", re.A)
 _BASIC = re.compile(r"\b[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@", re.A)
