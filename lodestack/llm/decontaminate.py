@@ -3,7 +3,10 @@
 Texts become sequences of symbols: words in lower case, and typed placeholders for numbers, names and units.
 Windows of eight symbols are hashed; windows of the documents are joined to those of the benchmark by hash. Of
 each document and item the share of the item's windows found (or, of long items, ``LONG_RUN`` windows), and the
-consistency of the slots (each value of the item stands for one value of the document), decide; a question with other numbers or names still matches.
+consistency of the slots decide; a question with other numbers or names still matches. Both are judged over the whole
+document, where each value of the item stands for one value of the document, and for each occurrence, where each slot
+of the item has one value; the best one counts. Windows of one occurrence have the same distance, up to ``DRIFT``,
+between their places in the document and in the item. Windows with fewer words than half match by their values.
 
 A Bloom filter over the benchmark's window hashes, of fixed size whatever the benchmark's, keeps all other
 windows of the documents out of the join; its false positives end in the join.
@@ -11,9 +14,9 @@ windows of the documents out of the join; its false positives end in the join.
 Symbols end at white space; punctuation at their ends is dropped. A name is a capitalised word that does not
 open a sentence; a unit is a unit's sign after a number.
 
-Defined results: null and empty texts match nothing; items of fewer than five symbols, and windows in which
-fewer than half the symbols are words, are not matched; items shorter than a window match by one window of their
-own length; repeated rows count as one document; equal items are each reported.
+Defined results: null and empty texts match nothing; items of fewer than five symbols are not matched; items shorter
+than a window match by one window of their own length; repeated rows count as one document; documents without a key
+are told apart by their texts; equal items are each reported.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ SHORTEST = 5
 COVERAGE = 0.25
 LONG_RUN = 13
 CONSISTENCY = 0.6
+DRIFT = 4
 FILTER_BITS = 22
 _CACHE_MOST = 150_000
 
@@ -51,6 +55,7 @@ def _hash(x: str) -> int:
 
 
 _PLACE = {_TITLE: np.uint64(_hash("<name>")), _NUM: np.uint64(_hash("<number>")), _UNIT: np.uint64(_hash("<unit>"))}
+_EXACT = np.uint64(_hash("<exact>"))
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, WINDOW + 1)], np.uint64)
 
 
@@ -109,8 +114,9 @@ class Canon:
             h = np.where(kind == k, v, h)
         return h, kind != _WORD, at
 
-    def windows(self, text: str | None, lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each length: positions and hashes of the windows to match; and the slots' numbers of the text."""
+    def windows(self, text: str | None, lengths: list[int], literal: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, int]]:
+        """For each length: positions and hashes of the windows, the slots' numbers of the text, and how many come first
+        that are templates; the others, left out unless ``literal``, are hashed with their values."""
         h, slot, at = self.symbols(text)
         words = np.r_[0, np.cumsum(~slot)]
         for n in lengths:
@@ -119,11 +125,17 @@ class Canon:
                 mix = np.zeros(m, np.uint64)
                 for k in range(n):
                     mix += h[k : k + m] * _MULTIPLIERS[k]
+                wordy = 2 * (words[n:] - words[:-n]) >= n
+                ok = np.flatnonzero(wordy)
+                few = np.flatnonzero(~wordy) if literal else ok[:0]
+                own, exact = self.hash[at], np.full(len(few), _EXACT)
+                for k in range(n if len(few) else 0):
+                    exact += own[few + k] * _MULTIPLIERS[k]
+                mix = np.concatenate([mix[ok], exact])
                 mix ^= mix >> np.uint64(29)
                 mix *= np.uint64(0xBF58476D1CE4E5B9)
                 mix ^= mix >> np.uint64(32)
-                ok = np.flatnonzero(2 * (words[n:] - words[:-n]) >= n)
-                yield n, ok, mix[ok], np.where(slot, at, -1)
+                yield n, np.concatenate([ok, few]), mix, np.where(slot, at, -1), len(ok)
 
 
 def _slots(canon: Canon, at: np.ndarray, start: int, n: int) -> list[str]:
@@ -131,7 +143,8 @@ def _slots(canon: Canon, at: np.ndarray, start: int, n: int) -> list[str]:
 
 
 def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, length, pos, h, slots, n_windows) of the benchmark; each item has windows of one length."""
+    """(item_id, length, pos, h, template, places, slots, n_templates, n_windows) of the benchmark; each item has
+    windows of one length. ``places`` are the slots' positions in the item."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canon = Canon()
@@ -139,29 +152,34 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") ->
             rows = []
             for item, t in zip(pdf[key], pdf[text], strict=True):
                 n = min(WINDOW, len(canon.symbols(t)[0]))
-                for length, ok, h, at in canon.windows(t, [n]) if n >= SHORTEST else ():
-                    rows += [(item, length, int(p), int(x), _slots(canon, at, p, length), len(ok)) for p, x in zip(ok, h.view(np.int64), strict=True)]
-            yield pd.DataFrame(rows, columns=["item_id", "length", "pos", "h", "slots", "n_windows"])
+                for length, pos, h, at, m in canon.windows(t, [n]) if n >= SHORTEST else ():
+                    for j, (p, x) in enumerate(zip(pos, h.view(np.int64), strict=True)):
+                        places = [int(p) + i for i in np.flatnonzero(at[p : p + length] >= 0)] if j < m else []
+                        slots = _slots(canon, at, p, length) if j < m else []
+                        rows.append((item, length, int(p), int(x), j < m, places, slots, m, len(pos)))
+            yield pd.DataFrame(rows, columns=["item_id", "length", "pos", "h", "template", "places", "slots", "n_templates", "n_windows"])
 
-    return items.select(key, text).mapInPandas(cut, "item_id long, length int, pos int, h long, slots array<string>, n_windows int")
+    return items.select(key, text).mapInPandas(cut, "item_id long, length int, pos int, h long, template boolean, places array<int>, slots array<string>, n_templates int, n_windows int")
 
 
-def document_windows(docs: DataFrame, seen: np.ndarray, lengths: list[int], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, d_slots) of the windows that pass the packed Bloom filter ``seen``."""
+def document_windows(docs: DataFrame, seen: np.ndarray, lengths: list[int], literal: bool = True, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_hash, h, d_pos, d_slots) of the windows that pass the packed Bloom filter ``seen``."""
     packed = np.packbits(seen)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canon, bits = Canon(), np.unpackbits(packed).astype(bool)
         for pdf in batches:
             rows = []
-            for doc, t in zip(pdf[key], pdf[text], strict=True):
-                for length, ok, h, at in canon.windows(t, lengths):
+            for doc, own, t in zip(pdf[key].astype("Int64").astype(object), pdf["text_hash"], pdf[text], strict=True):
+                doc = None if doc is pd.NA else doc
+                for length, pos, h, at, m in canon.windows(t, lengths, literal):
                     one, two = _bloom(h)
                     for j in np.flatnonzero(bits[one] & bits[two]):
-                        rows.append((doc, int(h.view(np.int64)[j]), _slots(canon, at, ok[j], length)))
-            yield pd.DataFrame(rows, columns=["doc_id", "h", "d_slots"])
+                        rows.append((doc, own, int(h.view(np.int64)[j]), int(pos[j]), _slots(canon, at, pos[j], length) if j < m else []))
+            found = pd.DataFrame(rows, columns=["doc_id", "text_hash", "h", "d_pos", "d_slots"])
+            yield found.astype({"doc_id": "Int64"})
 
-    return docs.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull()).mapInPandas(cut, "doc_id long, h long, d_slots array<string>")
+    return docs.select(F.col(key).cast("long").alias(key), F.xxhash64(text).alias("text_hash"), text).where(F.col(text).isNotNull()).mapInPandas(cut, "doc_id long, text_hash long, h long, d_pos int, d_slots array<string>")
 
 
 def _bloom(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,29 +187,49 @@ def _bloom(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h >> np.uint64(64 - FILTER_BITS), h & np.uint64((1 << FILTER_BITS) - 1)
 
 
-def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
-    """One row for each document and item that it leaks: doc_id, item_id, coverage, consistency, kind."""
+def _keyed_leaks(docs: DataFrame, items: DataFrame, coverage: float, consistency: float) -> DataFrame:
+    """The rows of ``leaks`` with text_hash, which is null where there is a doc_id."""
     own = item_windows(items).cache()
     high, low = (F.shiftrightunsigned("h", 64 - FILTER_BITS), F.col("h").bitwiseAND((1 << FILTER_BITS) - 1))
     seen = np.zeros(1 << FILTER_BITS, bool)
     marks = own.select(F.explode(F.array(high, low)).alias("p")).distinct().toPandas()["p"]  # 2 ** FILTER_BITS at most
     seen[marks.to_numpy(np.int64)] = True
     lengths = sorted(r["length"] for r in own.select("length").distinct().collect())
-    found = document_windows(docs, seen, lengths).join(own, "h")
-    # Per document, item and window of the item one row is enough; values are compared over all its places.
-    pair = F.transform(F.arrays_zip("slots", "d_slots"), lambda z: z)
-    by = found.groupBy("doc_id", "item_id", "n_windows").agg(F.count_distinct("pos").alias("matched"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"))
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["slots"])))
+    literal = bool(own.where("NOT template").head(1))
+    found = document_windows(docs, seen, lengths, literal).join(own, "h")
+    # A window counts for the whole document, for its exact distance and, in items so long that no two occurrences
+    # come together, for two overlapping ranges of distances: a shift of up to DRIFT symbols stays in one of them.
+    off, none = F.col("d_pos") - F.col("pos"), F.lit(None).cast("int")
+    ranges = [F.when(F.col("length") == WINDOW, F.floor((off + shift) / (2 * DRIFT)).cast("int")) for shift in (0, DRIFT)]
+    places = [F.struct(F.lit(way).alias("way"), at.alias("at")) for way, at in enumerate((none, off, *ranges))]
+    found = found.withColumn("place", F.explode(F.array(*places))).where("place.way = 0 OR place.at IS NOT NULL")
+    # Per place and window of the item one row is enough.
+    pair = F.arrays_zip("places", "slots", "d_slots")
+    by = found.groupBy("doc_id", "text_hash", "item_id", "place", "n_templates", "n_windows").agg(
+        F.count_distinct("pos").alias("matched"), F.count_distinct(F.when(F.col("template"), F.col("pos"))).alias("templates"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs")
+    )
+    distinct = lambda *names: F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(*[p[n].alias(n) for n in names]))))
+    slot = lambda name: distinct(name) / distinct(name, "d_slots")
+    share = F.greatest(F.col("matched") / F.col("n_windows"), F.when(F.col("n_templates") > 0, F.col("templates") / F.col("n_templates")))
     return (
-        by.withColumn("coverage", F.col("matched") / F.col("n_windows"))
-        .withColumn("consistency", F.when(F.size("pairs") == 0, 1.0).otherwise(values / F.size("pairs")))
+        by.withColumn("coverage", share)
+        .withColumn("consistency", F.when(F.size("pairs") == 0, 1.0).when(F.col("place.way") == 0, slot("slots")).otherwise(slot("places")))
         .where(((F.col("coverage") >= coverage) | (F.col("matched") >= LONG_RUN)) & (F.col("consistency") >= consistency))
-        .withColumn("kind", F.when(F.forall("pairs", lambda p: p["slots"] == p["d_slots"]), "same").otherwise("other values"))
-        .select("doc_id", "item_id", "coverage", "consistency", "kind")
+        .withColumn("same", F.forall("pairs", lambda p: p["slots"] == p["d_slots"]))
+        .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("text_hash"), "item_id")
+        .agg(F.max("coverage").alias("coverage"), F.max("consistency").alias("consistency"), F.max("same").alias("same"))
+        .withColumn("kind", F.when(F.col("same"), "same").otherwise("other values"))
     )
 
 
+def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
+    """One row for each document and item that it leaks: doc_id, item_id, coverage, consistency, kind."""
+    return _keyed_leaks(docs, items, coverage, consistency).select("doc_id", "item_id", "coverage", "consistency", "kind")
+
+
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that leak no benchmark item."""
-    found = settle(leaks(docs, items).select("doc_id").distinct(), "leaks")
-    return docs.join(small_side(found), "doc_id", "left_anti").select(*docs.columns)
+    found = settle(_keyed_leaks(docs, items, COVERAGE, CONSISTENCY).select("doc_id", "text_hash").distinct(), "leaks")
+    keyed = docs.where("doc_id IS NOT NULL").join(small_side(found.where("doc_id IS NOT NULL").select("doc_id")), "doc_id", "left_anti")
+    bare = docs.where("doc_id IS NULL").withColumn("__h", F.xxhash64("text")).join(small_side(found.where("doc_id IS NULL").select(F.col("text_hash").alias("__h"))), "__h", "left_anti")
+    return keyed.select(*docs.columns).unionByName(bare.select(*docs.columns))

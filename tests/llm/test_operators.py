@@ -299,6 +299,30 @@ def test_decontamination_finds_every_verbatim_item(spark, sf_dir):
     assert want <= got and len(got) < 2 * len(want)
 
 
+def test_decontamination_judges_each_occurrence(spark, docs):
+    rng = random.Random(14)
+    change = lambda k: ITEM.replace("Paris", f"Town{'abcdefgh'[k]}").replace("at 9", f"at {50 + k}").replace("40", str(60 + k)).replace("12", str(70 + k)).replace("Smith", f"Jones{'abcdefgh'[k]}")
+    twice = "She buys 5 red apples and 5 green pears and then gives 5 ripe plums to her friend before going home."
+    table = "Values 3 14 15 92 65 35 89 79 32 38 46 26 43 38 32 79 50 28 84 19"
+    rows = [
+        (1, ITEM + " " + change(1)),
+        (2, change(2) + " " + words(rng, 40) + " " + ITEM + " " + change(3)),
+        (3, " ".join(change(k) for k in range(6))),
+        (4, words(rng, 30) + " " + twice.replace("5 red", "7 red").replace("5 green", "8 green").replace("5 ripe", "9 ripe")),
+        (5, words(rng, 30) + " " + table + " " + words(rng, 30)),
+        (6, words(rng, 30) + " " + re.sub(r"\d+", lambda m: str(int(m[0]) + 1), table)),
+        (7, words(rng, 300)),
+        (8, (ITEM + " " + change(1)).replace("and the", "and so the")),
+        (None, words(rng, 9) + " " + ITEM),
+        (None, words(rng, 90)),
+    ]
+    items = spark.createDataFrame([(10, ITEM), (11, twice), (12, table)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.leaks(docs(rows), items).collect()}
+    assert got == {(1, 10): "same", (2, 10): "same", (3, 10): "other values", (4, 11): "other values", (5, 12): "same", (8, 10): "same", (None, 10): "same"}
+    kept = [(r["doc_id"], r["text"]) for r in decontaminate.clean(docs(rows), items).collect()]
+    assert sorted(kept, key=str) == sorted((r for r in rows if r[0] in (6, 7) or r == rows[-1]), key=str)
+
+
 @pytest.fixture(scope="module")
 def fst():
     return piece_fst.Transducer(piece_fst.read_model())
