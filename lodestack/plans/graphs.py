@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import graph
@@ -35,6 +35,20 @@ walk(doc_id, node, steps, legacy) AS (SELECT doc_id, doc_id, 0, lang = 'de' FROM
   UNION ALL SELECT w.doc_id, l.target, w.steps + 1, w.legacy OR l.lang = 'de' FROM walk w JOIN link l ON l.doc_id = w.node WHERE l.target IS NOT NULL AND w.steps < 64)
 SELECT doc_id, min(node) AS canonical, CAST(max(steps) AS BIGINT) AS steps, [[bool_or||bool_or]](legacy) AS legacy FROM walk GROUP BY doc_id""")
 
+
+@query()
+def canonical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL above stays for comparison; its walk ends after 64 steps, this one at the chain's end.
+
+    Each copy is chained to the one before it, so its way to the end passes all copies before it.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("hash"))
+    before = Window.partitionBy("hash").orderBy(F.asc_nulls_last("doc_id")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    way = docs.select("doc_id", F.min("doc_id").over(before).alias("canonical"), (F.count("*").over(before) - 1).alias("steps"), F.max(F.col("lang") == "de").over(before).alias("german"), "lang")
+    legacy = F.when(F.col("german"), True).when(F.col("lang").isNotNull(), False)
+    return way.groupBy("doc_id").agg(F.min("canonical").alias("canonical"), F.max("steps").alias("steps"), F.max(legacy).alias("legacy"))
+
+
 statement("breadcrumbs", "SELECT s_suppkey, concat_ws(' > ', r_name, n_name, s_name) AS trail FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey JOIN {region} ON r_regionkey = n_regionkey")
 
 statement("section_tree_walk", f"""WITH RECURSIVE node(id, parent, title) AS (

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from lodestack.functions import text
 from lodestack.operators import geo, graph, integrity, ranking, search, selection
+from lodestack.plans import registry
 from lodestack.sources import readers, writers
 
 
@@ -158,3 +159,10 @@ def test_writers(spark, tmp_path):
     pages = writers.bounded_pages(spark.range(10).selectExpr("id", "'k' AS k", "repeat('x', 10) AS body"), "k", [F.asc("id")], "body", 4, 1000)
     assert [r["count"] for r in pages.groupBy("page").count().orderBy("page").collect()] == [4, 4, 2]
     assert writers.listing_pages(df.withColumn("k", F.lit(1)), "k", "t", "t").first()["html"].count("<li>") == 2
+
+
+def test_canonical_chain_has_no_last_step(spark, tmp_path):
+    rows = [(3 * i, "copy", "de" if i == 1 else "en") for i in range(300)] + [(1, "other", "de"), (2, "other", None), (4, None, "en"), (5, "own", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["canonical"], r["steps"], r["legacy"]) for r in registry.QUERIES["canonical_chain"](spark, str(tmp_path)).collect()}
+    assert got == {3 * i: (0, i, i > 0) for i in range(300)} | {1: (1, 0, True), 2: (1, 1, True), 4: (4, 0, False), 5: (5, 0, None)}
