@@ -323,24 +323,77 @@ def test_decontamination_judges_each_occurrence(spark, docs):
     assert sorted(kept, key=str) == sorted((r for r in rows if r[0] in (6, 7) or r == rows[-1]), key=str)
 
 
-@pytest.fixture(scope="module")
-def fst():
-    return piece_fst.Transducer(piece_fst.read_model())
+BPE = piece_fst.read_model()
+UNIGRAM = BPE + b"\x12\x02\x18\x01"  # the same pieces and scores, weighed as a unigram model
+LETTERS = "   abcdefghiélñ漢字\n\t.,!?123<>=-_#{}()\"'İß😀ÿ▁\u0e01\u0e33\u064a\u200d\ufeff"
 
 
-def test_pieces_equal_the_library(fst):
+def test_pieces_equal_the_library():
     sentencepiece = pytest.importorskip("sentencepiece")
-    library = sentencepiece.SentencePieceProcessor(model_file=piece_fst.MODEL)
+    library, fst = sentencepiece.SentencePieceProcessor(model_proto=BPE), piece_fst.Transducer(BPE)
     rng = random.Random(11)
-    letters = "   abcdefghiélñ漢字\n\t.,!?123<>=-_#{}()\"'İß😀ÿ"
-    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
-    texts += [" " * n + "the end" for n in range(40)] + ["x" * 500, "The quick brown fox. " * 200]
-    for t in texts:
-        ids = fst.encode(t)
+    names = [p for p in fst.names if p]
+    texts = ["".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    texts += ["".join(rng.choice(names) for _ in range(rng.randint(1, 6))) for _ in range(1500)]
+    texts += [" " * n + "the end" for n in range(40)] + ["x" * 500, "The quick brown fox. " * 200, "aé漢" * 300, "".join(rng.choice("etaoin") for _ in range(3000))]
+    for t, ids in zip(texts, fst.encode_all(texts), strict=True):
+        assert ids.tolist() == library.encode(t), t
+        assert fst.decode(ids) == t.replace("▁", " ")
+        assert fst.encode(t).tolist() == ids.tolist()
+
+
+def test_unigram_paths_weigh_no_more_than_the_best_of_the_library():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    library, fst = sentencepiece.SentencePieceProcessor(model_proto=UNIGRAM), piece_fst.Transducer(UNIGRAM)
+    rng = random.Random(16)
+    names = [p for p in fst.names if len(p) > 1 and " " not in p[1:]]
+    texts = [" ".join("".join(rng.choice(names).strip() for _ in range(rng.randint(1, 3))) for _ in range(3)) for _ in range(400)]
+    weigh = lambda ids: sum(library.get_score(i) for i in ids)
+    for t, ids in zip(texts, fst.encode_all(texts), strict=True):
+        assert weigh(ids.tolist()) == weigh(library.nbest_encode_as_ids(t, 2)[0]), t
+        assert fst.decode(ids) == t
+    long = "".join(rng.choice("etaoin") for _ in range(400))
+    assert fst.decode(fst.encode(long)) == long and fst.decode(fst.encode("a😀▁")) == "a😀 "
+
+
+def test_letters_that_are_no_piece_take_the_path_of_least_weight():
+    """Pieces of which some letters are no piece by themselves: those fall back to bytes only outside such pieces."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model = b"".join(without_letters(BPE, "eé漢t"))
+    library, fst = sentencepiece.SentencePieceProcessor(model_proto=model), piece_fst.Transducer(model)
+    rng = random.Random(15)
+    texts = ["".join(rng.choice("e t é漢 the tea hé") for _ in range(rng.randint(1, 30))) for _ in range(1500)]
+    for t, ids in zip(texts, fst.encode_all(texts), strict=True):
         assert ids.tolist() == library.encode(t), t
         assert fst.decode(ids) == t
 
 
+def without_letters(model, letters):
+    """The model's fields, the one-letter pieces named changed to letters of private use."""
+    i = 0
+    while i < len(model):
+        head, size, shift, k = model[i], 0, 0, i + 1
+        while True:
+            size |= (model[k] & 127) << shift
+            k, shift = k + 1, shift + 7
+            if model[k - 1] < 128:
+                break
+        value = model[k : k + size]
+        n = value[1] if head == 0x0A else 0
+        if head == 0x0A and value[2 : 2 + n].decode() in letters:
+            mark = chr(0xE000 + ord(value[2 : 2 + n].decode()) % 999).encode()
+            value = bytes([0x0A, len(mark)]) + mark + value[2 + n :]
+            yield bytes([head, len(value)]) + value
+        else:
+            yield model[i : k + size]
+        i = k + size
+
+
+def test_a_model_that_cannot_decode_is_refused():
+    with pytest.raises(ValueError):
+        piece_fst.Transducer(BPE + b"\x1a\x02\x20\x01")  # drops blanks
+
+
 def test_pieces_on_rows(docs):
     rows = piece_fst.encoded(docs(edge_rows()), piece_fst.read_model()).collect()
     got = {r["doc_id"]: r for r in rows}
