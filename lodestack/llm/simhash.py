@@ -9,9 +9,14 @@ free bit flipped, at most 17 a half. A pair within the threshold therefore meets
 compared anchor by anchor and only a spanning forest of the links found is kept, so a dense group never emits
 all of its pairs. Components come from alternating large-star and small-star rounds on the edge table.
 
+``similar`` finds texts whose word shingles are alike, where near copies lie further apart than three bits. Its
+candidates are found in the same way, over eight blocks of 32 bits of a longer SimHash of the distinct words, one
+bit a block allowed; each candidate link is then checked against the exact similarity of the shingle sets.
+
 Defined results: null texts are empty; texts without words have fingerprint zero and link like any other; equal
 texts share a fingerprint and a component; repeated rows stay repeated; rows with a null key get the least key
-of their component.
+of their component. In ``similar`` texts with equal shingle sets, empty ones too, are always linked; so are rows with
+equal texts, whatever their key.
 """
 
 from __future__ import annotations
@@ -21,17 +26,29 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, settle
+from .common import partitions, settle, small_side
 
 THRESHOLD = 3
 SHINGLE_WORDS = 3
 SEED = 42
 SMALL = 48
 _CHUNK = 1 << 16
+#: Near copies: words a shingle and least similarity; bits of the wide fingerprint, and in how many of the 128 compared
+#: bits candidates may differ; nearest nodes looked at in large anchors; links a text that are checked at once.
+SIMILAR_WORDS = 5
+SIMILAR = 0.8
+WIDE = 256
+RADIUS = 32
+NEAREST = 4
+ALL_AT_ONCE = 8
+_BLOCK = 1024
+_WORDS_MOST = 150_000
+_FP = [f"f{i}" for i in range(WIDE // 64)]
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -71,12 +88,13 @@ def _hamming() -> tuple[np.ndarray, np.ndarray]:
     return near, second
 
 
-def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all anchors near each fingerprint, and the positions of the fingerprints they belong to."""
+def anchors(fps: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all anchors near each fingerprint's halves, blocks ``first`` and the one after it, and the positions of
+    the fingerprints they belong to."""
     near, second = _hamming()
     u, at, keys, who = fps.view(np.uint64), np.arange(len(fps)), [], []
-    for half in (0, 1):
-        v = (u >> np.uint64(32 * half) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    for half in (first, first + 1):
+        v = (u >> np.uint64(32 * (half - first)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         a, b, c = v & 0x7FFF, v >> 15 & 0x7FFF, v >> 30
         key = lambda a, b, c, half=half: half << 32 | c << 30 | b << 15 | a
         home = [key(near[a], near[b], c ^ flip) for flip in (0, 1, 2)]
@@ -199,5 +217,178 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return own.join(known.join(best, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
 
 
+class Words:
+    """Bits and hashes of words, remembered; all work on a text is then done on arrays."""
+
+    def __init__(self):
+        self.at: dict[bytes, int] = {}
+        self.bits, self.hash = np.zeros((0, WIDE // 8), np.uint8), np.zeros(0, np.uint64)
+
+    def look_up(self, words: list[bytes]) -> np.ndarray:
+        if len(self.at) > _WORDS_MOST:
+            self.__init__()
+        new = list(set(words).difference(self.at))
+        if new:
+            n = len(self.at)
+            if n + len(new) > len(self.hash):  # room grows by doubling
+                room = 2 * (n + len(new))
+                self.bits = np.concatenate([self.bits, np.zeros((room - len(self.bits), WIDE // 8), np.uint8)])
+                self.hash = np.concatenate([self.hash, np.zeros(room - len(self.hash), np.uint64)])
+            own = b"".join(xxhash.xxh3_128_digest(w, seed) for w in new for seed in range(WIDE // 128))
+            self.bits[n : n + len(new)] = np.frombuffer(own, np.uint8).reshape(len(new), -1)
+            self.hash[n : n + len(new)] = [xxhash.xxh64_intdigest(w, SEED) for w in new]
+            self.at.update(zip(new, range(n, n + len(new)), strict=True))
+        return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+
+    def measure(self, text: str | None, words: int) -> tuple[bytes, list[int], np.ndarray]:
+        """Of a text: a digest of its shingle set, the words of its wide SimHash, and its distinct shingles' hashes."""
+        parts = (text or "").encode("utf-8", "replace").lower().split()
+        at = self.look_up(parts)
+        ones, distinct = np.zeros(WIDE, np.int64), np.unique(at)
+        for i in range(0, len(distinct), _CHUNK):
+            ones += np.unpackbits(self.bits[distinct[i : i + _CHUNK]], axis=1).sum(axis=0, dtype=np.int64)
+        fp = np.packbits(2 * ones > len(distinct)).view(np.int64).tolist()
+        h, k = self.hash[at], min(words, len(at))
+        mix = np.zeros(len(h) - k + 1 if k else 0, np.uint64)
+        for j in range(k):
+            mix += h[j : j + len(mix)] * np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
+        mix ^= mix >> np.uint64(29)
+        mix *= np.uint64(0xBF58476D1CE4E5B9)
+        shingles = np.unique(mix ^ mix >> np.uint64(32))
+        return xxhash.xxh3_128_digest(shingles.tobytes()), fp, shingles.view(np.int64)
+
+
+def measured(docs: DataFrame, key: str, text: str, words: int, sets: bool = False) -> DataFrame:
+    """(key, cls, f0 to f3), or (key, cls, shingles) with ``sets``: ``cls`` is equal for equal sets of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                found = [known.measure(t, words) for t in part.column(1).to_pylist()]
+                if sets:
+                    ends = pa.array(np.r_[0, np.cumsum([len(x) for *_, x in found])].astype(np.int32))
+                    own = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x for *_, x in found])))]
+                else:
+                    own = [pa.array(f) for f in np.array([f for _, f, _ in found], np.int64).reshape(-1, WIDE // 64).T]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c for c, *_ in found], pa.binary()), *own], names=["key", "cls", *(["shingles"] if sets else _FP)])
+
+    kind = dict(docs.dtypes)[key]
+    rest = "shingles array<long>" if sets else ", ".join(f"{f} long" for f in _FP)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, cls binary, {rest}")
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(u, v, far), u < v: pairs of (node, f0 to f3) that meet at an anchor, with the bits in which half of their wide
+    fingerprints differ, at most ``RADIUS``.
+
+    Up to ``SMALL`` nodes of one anchor are all compared; at anchors with more, in blocks of ``_BLOCK`` nodes that
+    neighbour each other in an order of their own for each block of bits, each node is linked to its ``NEAREST`` ones.
+    """
+
+    def replicate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in range(0, len(pdf), 4096):
+                part = pdf.iloc[i : i + 4096]
+                node, fps = part["node"].to_numpy(np.int64), [part[f].to_numpy(np.int64).copy() for f in _FP]
+                for n, fp in enumerate(fps):
+                    key, who = anchors(fp, 2 * n)
+                    turn = fps[(n + 1) % len(fps)].view(np.uint64)[who], fps[(n + 2) % len(fps)].view(np.uint64)[who]
+                    yield pd.DataFrame({"anchor": key, "node": node[who], "a": turn[0].view(np.int64), "b": turn[1].view(np.int64)})
+
+    def pairs(anchor: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        a, b = a.view(np.uint64), b.view(np.uint64)
+        far = lambda i, j: np.bitwise_count(a[i] ^ a[j]).astype(np.int64) + np.bitwise_count(b[i] ^ b[j])
+        starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+        sizes = np.diff(np.r_[starts, len(anchor)])
+        run, found = np.repeat(np.arange(len(starts)), sizes), []
+        few = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL), sizes))
+        for step in range(1, SMALL):
+            i = few[:-step][run[few[:-step]] == run[few[step:]]] if step < len(few) else few[:0]
+            if not len(i):
+                break
+            found.append((i, i + step))
+        for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+            for t in range(s, s + n, _BLOCK):
+                t = max(s, min(t, s + n - _BLOCK))  # the last block is as large as the others
+                here = np.arange(t, min(t + _BLOCK, s + n))
+                apart = far(here[:, None], here[None, :])
+                np.fill_diagonal(apart, WIDE)
+                near = np.argpartition(apart, NEAREST - 1, axis=1)[:, :NEAREST]
+                found.append((np.repeat(here, NEAREST), here[near].ravel()))
+        i, j = (np.concatenate([p[k] for p in found] or [np.empty(0, np.int64)]) for k in (0, 1))
+        d = far(i, j)
+        i, j, d = i[d <= RADIUS], j[d <= RADIUS], d[d <= RADIUS]
+        return pd.DataFrame({"u": np.minimum(node[i], node[j]), "v": np.maximum(node[i], node[j]), "far": d}).drop_duplicates()
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            held.append(pdf)
+            rows = sum(map(len, held))
+            if rows < _CHUNK or held[0]["anchor"].iloc[0] == pdf["anchor"].iloc[-1] and rows < 4 * _CHUNK:
+                continue
+            whole = pd.concat(held)
+            keys = whole["anchor"].to_numpy()
+            # The last anchor may go on in the next batch; one of very many rows is cut into parts, each compared by itself.
+            cut = int(np.searchsorted(keys, keys[-1])) or len(whole)
+            yield pairs(*(whole[c].to_numpy(np.int64)[:cut] for c in ("anchor", "node", "a", "b")))
+            held = [whole.iloc[cut:]]
+        whole = pd.concat(held) if held else pd.DataFrame()
+        if len(whole):
+            yield pairs(*(whole[c].to_numpy(np.int64) for c in ("anchor", "node", "a", "b")))
+
+    at = nodes.select("node", *_FP).mapInPandas(replicate, "anchor long, node long, a long, b long")
+    at = at.repartition(partitions(nodes.sparkSession), "anchor").sortWithinPartitions("anchor", "a")
+    return at.mapInPandas(compare, "u long, v long, far long").groupBy("u", "v").agg(F.min("far").alias("far"))
+
+
+def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, least: float = SIMILAR) -> DataFrame:
+    """(key, cls, component) for every row with a key: components of texts linked at a similarity of ``least`` of their shingle
+    sets, named by a number; rows of equal shingle sets share ``cls``.
+
+    Candidate links are checked in rounds: while they are many, the nearest of each text only; links inside a component
+    found so far need no check any more. So a dense group of near copies is settled by few of its pairs. What is
+    left, once it is little, is checked at once.
+    """
+    docs = docs.where(F.col(key).isNotNull())
+    own = settle(measured(docs, key, text, words), "shingle-classes")
+    # Numbered in a written table, so numbers stay what they are.
+    nodes = own.groupBy("cls").agg(*[F.min(f).alias(f) for f in _FP], F.min("key").alias("least")).withColumn("node", F.monotonically_increasing_id())
+    nodes = settle(nodes, "shingle-nodes")
+    edges = settle(candidates(nodes), "candidates")
+    ends = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
+    ends = settle(nodes.join(ends, "node").select("node", "cls", "least"), "candidate-nodes")
+    # One row of each class that has a candidate; texts move only where the classes are too many to broadcast.
+    some = docs.join(small_side(ends.select(F.col("least").alias(key)).distinct()), key, "left_semi")
+    sets = measured(some, key, text, words, sets=True).join(ends.select("cls", "node"), "cls").groupBy("node").agg(F.first("shingles").alias("s"))
+    sets = settle(sets, "candidate-sets")
+    involved, links, roots = sets.count(), None, None
+    while True:
+        n = edges.count()
+        if not n:
+            break
+        trial = edges
+        if n > ALL_AT_ONCE * involved:
+            both = edges.select("u", "v", "far").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "far"))
+            nearest = both.groupBy("u").agg(F.min(F.struct("far", "v")).alias("m")).select("u", F.col("m.v").alias("v"))
+            trial = settle(nearest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "nearest")
+        pair = trial.join(sets.select(F.col("node").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
+        common = F.size(F.array_intersect("a", "b"))
+        good = settle(pair.where(common >= F.lit(least) * (F.size("a") + F.size("b") - common)).select("u", "v"), "links")
+        links = good if links is None else links.union(good)
+        roots = settle(components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "roots")
+        if n <= ALL_AT_ONCE * involved:
+            break
+        left = edges.join(trial, ["u", "v"], "left_anti")
+        for end in ("u", "v"):
+            left = left.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+        edges = settle(left.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v", "far"), "candidates")
+    named = nodes.select("cls", "node")
+    named = named.withColumn("component", F.col("node")) if roots is None else named.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    return own.select("key", "cls").join(named.select("cls", "component"), "cls").select(F.col("key").alias(key), "cls", "component")
+
+
 def hexadecimal(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -83,6 +83,53 @@ def test_links_and_components_match_brute_force(spark):
     assert [fps[w] for w in want] == [got.get(f, f) for f in fps]
 
 
+def test_similar_texts_match_brute_force(spark, docs):
+    """Scattered and dense groups: edits of one text, texts with an added passage, and unlike texts."""
+    rng = random.Random(17)
+    texts = [words(rng, n) for n in range(3, 120, 4)]
+    for base in [words(rng, 200) for _ in range(6)]:
+        for k in range(12):
+            w = base.split()
+            for _ in range(k % 5):
+                w[rng.randrange(200)] = rng.choice(WORDS)
+            texts.append(" ".join(w + words(rng, 4 * k).split()))
+    hot = words(rng, 150).split()
+    for _ in range(160):
+        w = list(hot)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(150)] = rng.choice(WORDS)
+        texts.append(" ".join(w))
+    texts = list(dict.fromkeys(texts))
+    sets = [shingles(t) for t in texts]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8]
+    want = components(len(texts), linked)
+    rows = [*enumerate(texts), (900, texts[0].upper()), (901, None), (902, " \n"), (903, texts[5]), (903, texts[5]), (None, texts[5])]
+    found = simhash.similar(docs(rows)).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r["doc_id"], r["component"])
+    assert len(found) == len(rows) - 1 and got[900] == got[0] and got[901] == got[902] and got[903] == got[5]
+    same = [got[i] == got[j] for i, j in linked]
+    assert sum(same) >= 0.97 * len(same)
+    for i in range(len(texts)):  # no link but true ones
+        for j in range(i):
+            assert got[i] != got[j] or want[i] == want[j]
+    assert simhash.similar(docs([])).count() == 0
+
+
+def test_many_links_are_checked_nearest_first(docs, monkeypatch):
+    monkeypatch.setattr(simhash, "ALL_AT_ONCE", 0.5)
+    rng = random.Random(18)
+    base, rows = words(rng, 120).split(), []
+    for k in range(40):
+        w = list(base)
+        w[rng.randrange(120)] = "new" + str(k)
+        rows.append((k, " ".join(w)))
+    rows.append((99, words(rng, 120)))
+    got = {r["doc_id"]: r["component"] for r in simhash.similar(docs(rows)).collect()}
+    assert len({got[k] for k in range(40)}) == 1 and got[99] != got[0]
+
+
 def test_near_duplicates_on_edge_rows(docs):
     rows = simhash.near_duplicates(docs(edge_rows())).collect()
     assert len(rows) == 10

@@ -3,10 +3,10 @@ import re
 import pytest
 
 import corpus_pipeline
-from lodestack.llm import piece_fst, queries, secret_ledger, simhash
+from lodestack.llm import piece_fst, queries, secret_ledger
 from lodestack.llm.common import table
 
-from .test_operators import components
+from .test_operators import components, jaccard, shingles
 
 
 
@@ -46,8 +46,8 @@ def test_stages_match_brute_force(spark, sf_dir):
     assert sum(right) / len(right) > 0.9
 
     ids = sorted(kept)
-    prints = [simhash.fingerprint(kept[i]) & (2**64 - 1) for i in ids]
-    root = components(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3])
+    grams = [shingles(kept[i]) for i in ids]
+    root = components(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if jaccard(grams[i], grams[j]) >= 0.8])
     want = {ids[i] for i in range(len(ids)) if root[i] == i}
     distinct = stages["SimHash near-dedup"](spark, graded, sf_dir)
     assert {r["doc_id"] for r in distinct.collect()} == want
