@@ -15,6 +15,11 @@ def _compatible(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFKC", t).lower().split()))
 
 
+@F.pandas_udf(T.StringType())
+def _nfkc(s: pd.Series) -> pd.Series:
+    return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+
 @F.pandas_udf(T.StringType())
 def _folded(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else " ".join(t.split()).casefold())
@@ -66,3 +71,14 @@ def first_letter(text: str | Column) -> Column:
 def ordered_coverage(source: str | Column, rendered: str | Column) -> Column:
     """Share of the source's characters that the rendered text holds in their order."""
     return _covered(source, rendered)
+
+
+def nfkc(text: Column) -> Column:
+    """Unicode's compatible composed form (NFKC) of a text."""
+    return _nfkc(text)
+
+
+def maybe_incompatible(text: Column) -> Column:
+    """Whether a text has a character outside ASCII, accented Latin letters, dashes and quotes: only such texts can have
+    another compatible form."""
+    return text.rlike("[^\\x00-\\x7F\u00C0-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u2013\u2014\u2018-\u201F]")

@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 
 def closure(edges: DataFrame) -> DataFrame:
     """All (src, dst) with a path of one edge or more."""
+    checkpoint_root(edges.sparkSession)
     pairs = edges.select("src", "dst").distinct().checkpoint()
     n = pairs.count()
     while True:
@@ -38,9 +41,24 @@ def prune(items: DataFrame, needs: DataFrame) -> DataFrame:
 
     ``needs`` has (id, need). Equal to dropping to a fix point, since dropping is monotone.
     """
+    checkpoint_root(items.sparkSession)
     bad = items.where("NOT available").select("id")
     missing = needs.join(items.select(F.col("id").alias("need")), "need", "left_anti").select("id")
-    seeds = bad.union(missing).distinct()
-    reach = closure(needs.select(F.col("need").alias("src"), F.col("id").alias("dst")))
-    fallen = reach.join(seeds.withColumnRenamed("id", "src"), "src", "left_semi").select(F.col("dst").alias("id"))
-    return items.join(seeds.union(fallen).distinct(), "id", "left_anti")
+    fallen = front = bad.union(missing).distinct().checkpoint()
+    while not front.isEmpty():  # what needs what fell last; each round is cut off by a checkpoint
+        front = needs.join(front.select(F.col("id").alias("need")), "need").select("id").distinct().join(fallen, "id", "left_anti").checkpoint()
+        fallen = fallen.union(front).checkpoint()
+    return items.join(fallen, "id", "left_anti")
+
+
+def tree_paths(nodes: DataFrame, sep: str = "/") -> DataFrame:
+    """(id, depth, path) of every node (id, parent, title) below those without a parent, level by level; each level is
+    cut off by a checkpoint, so neither depth nor width is limited."""
+    checkpoint_root(nodes.sparkSession)
+    front = nodes.where("parent IS NULL").select("id", F.lit(0).alias("depth"), F.col("title").alias("path")).checkpoint()
+    found = front
+    while not front.isEmpty():
+        above = front.select(F.col("id").alias("parent"), "depth", F.col("path").alias("above"))
+        front = nodes.join(above, "parent").select("id", (F.col("depth") + 1).alias("depth"), F.concat("above", F.lit(sep), "title").alias("path")).checkpoint()
+        found = found.union(front)
+    return found

@@ -49,7 +49,7 @@ def classify(posts: DataFrame, rules: Rules) -> DataFrame:
     ambiguous ones for review, durable topics, out of scope.
     """
     tags = F.regexp_extract_all(F.coalesce("tags", F.lit("")), F.lit("<([^>]+)>"), F.lit(1))
-    title = F.left(F.coalesce("title", F.lit("")), F.lit(2048))
+    title = F.coalesce("title", F.lit(""))
     ident = lambda ids: F.col("id").isin(*ids) if ids else F.lit(False)
     legacy, mixed = F.lit(False), F.lit(False)
     for v in rules.versions:
@@ -118,10 +118,3 @@ def canonical(links: DataFrame, nodes: DataFrame, most: int = 64) -> DataFrame:
     problem = F.when(F.col("several"), "several targets").when(F.col("goes_on"), "cycle or too long")
     return hop.join(ends, "at", "left").select("id", F.when(problem.isNull(), F.col("at")).alias("canonical"), problem.alias("problem"))
 
-
-def encounter(population: int, defective: int, sample: int) -> float:
-    """Chance that a sample without replacement holds a defective row."""
-    miss = 1.0
-    for i in range(sample):
-        miss *= max(0, population - defective - i) / (population - i)
-    return 1 - miss

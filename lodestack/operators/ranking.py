@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 
 def interleave(df: DataFrame, shelf: str, work: str, order: list[Column], limit: int, offset: int = 0) -> DataFrame:
     """Round-robin over shelves: turn by turn, shelves in order of their name, each work once.
@@ -26,3 +28,26 @@ def chunks(df: DataFrame, key: list[str], order: list[Column], size: int) -> Dat
 def hash_sample(df: DataFrame, key: str, seed: str, n: int) -> DataFrame:
     """``n`` rows in an order that depends on the seed and each row's key only."""
     return df.withColumn("draw", F.sha2(F.concat(F.lit(seed), F.col(key).cast("string")), 256)).orderBy("draw").limit(n)
+
+
+def numbered(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
+    """Adds ``out``: each row's place, from 1, in the order of all rows. Rows are dealt into ranges of the order and
+    numbered within them; only a count for each range, as many as shuffle partitions, goes through one task."""
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written, so the ranges are the same in both uses. The upper bits of the number are the partition.
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("__m", 33)
+    counts = ranged.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    own = ranged.withColumn("__p", part).join(F.broadcast(offsets), "__p")  # one row a range
+    return own.withColumn(out, F.col("__before") + F.col("__m").bitwiseAND((1 << 33) - 1) + 1).drop("__p", "__m", "__before")
+
+
+def encounter(population: Column, defective: Column, sample: int) -> Column:
+    """Chance that ``sample`` rows, or all there are, drawn without replacement hold a defective one (hypergeometric)."""
+    draws = F.sequence(F.lit(0), F.least(population, F.lit(sample)).cast("int") - 1)
+    miss = F.aggregate(draws, F.lit(1.0), lambda m, i: m * F.greatest(F.lit(0), population - defective - i) / (population - i))
+    return F.when(population > 0, 1 - miss).otherwise(0.0)

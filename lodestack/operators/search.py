@@ -1,11 +1,16 @@
 """Ranked metadata search over records, as one job for any number of queries.
 
-Records are (record_id, title, body, location); queries are (query_id, phrase). Tokens of the queries are joined
-to tokens of the records, so a query touches only records that share a token with it.
+Records are (record_id, title, body, href, location) and, where there are any, aliases, shelves and labels (lists of
+strings) and legacy; queries are (query_id, phrase) and, if need be, shelf ('all' where it is left out or null).
 
-Score: 100000 if the whole phrase equals the title, else 10000 if every word is found, plus 100 for each word
-found and 10 for each found in the title. Order: score, title, id; the first record of each location stays.
-A query of over 32 different words is an error; an empty one finds nothing.
+Phrases and records are compared in Unicode's compatible form and lower case. Score: 100000 if the whole phrase equals
+the title or an alias, else 10000 if every word is found, plus 100 for each word found and 10 for each found in the
+title or an alias. Order: score, title, id; the first record of each (href, location) stays. Shelf 'legacy' takes legacy
+records only, 'all-with-legacy' every one, 'all' and a shelf's name take none that is legacy. A query of over 32
+different words is an error; an empty one finds nothing.
+
+Each record's words are cut down to those that were asked for before anything is shuffled: against all asked words at
+once where they are few, else by a join.
 """
 
 from __future__ import annotations
@@ -13,7 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import maybe_incompatible, nfkc
+
 MOST_WORDS = 32
+#: Different asked words up to which they are sent to all tasks as one list.
+FEW_WORDS = 2_000
 
 
 def normalized(text: Column) -> Column:
@@ -25,22 +34,55 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
 
 
+def compatible_columns(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows with the columns in Unicode's compatible form. Only rows with a character that has another one go
+    through Python."""
+    odd = F.lit(False)
+    for c in columns:
+        odd = odd | F.coalesce(maybe_incompatible(F.col(c)), F.lit(False))
+    plain, other = df.where(~odd), df.where(odd)
+    return plain.unionByName(other.withColumns({c: nfkc(F.col(c)) for c in columns}))
+
+
+def eligible(shelf: Column, legacy: Column, shelves: Column) -> Column:
+    return F.when(shelf == "legacy", legacy).when(shelf == "all-with-legacy", True).when(legacy, False).otherwise((shelf == "all") | F.array_contains(shelves, shelf))
+
+
 def search(records: DataFrame, queries: DataFrame, limit: int = 50) -> DataFrame:
     """(query_id, rank, record_id, score) of the first ``limit`` records of each query."""
-    asked = queries.select("query_id", normalized(F.col("phrase")).alias("phrase"), tokens(F.col("phrase")).alias("words"))
+    none = F.array().cast("array<string>")
+    given = lambda df, c, other: F.coalesce(F.col(c), other) if c in df.columns else other
+    asked = compatible_columns(queries.select("query_id", "phrase", given(queries, "shelf", F.lit("all")).alias("shelf")), "phrase")
+    asked = asked.select("query_id", "shelf", normalized(F.col("phrase")).alias("phrase"), tokens(F.col("phrase")).alias("words"))
     asked = asked.withColumn("n_words", F.when(F.size("words") > MOST_WORDS, F.raise_error(F.lit("use at most 32 different search words")).cast("int")).otherwise(F.size("words")))
+    mark = "\x1f"  # stands in no title: keeps aliases apart in one string
+    own = records.select(
+        "record_id",
+        "title",
+        F.concat_ws(mark, "title", given(records, "aliases", none)).alias("head"),
+        F.concat_ws(" ", "body", given(records, "labels", none), given(records, "shelves", none)).alias("text"),
+        F.struct("href", "location").alias("place"),
+        given(records, "legacy", F.lit(False)).alias("legacy"),
+        given(records, "shelves", none).alias("shelves"),
+    )
+    own = compatible_columns(own, "head", "text")
+    own = own.select("record_id", "title", "place", "legacy", "shelves", F.transform(F.split("head", mark), normalized).alias("titles"), tokens(F.col("head")).alias("h"), tokens(F.col("text")).alias("t"))
     words = asked.select("query_id", F.explode("words").alias("word"))
-    head = records.select("record_id", F.explode(tokens(F.col("title"))).alias("word"), F.lit(1).alias("in_title"))
-    body = records.select("record_id", F.explode(tokens(F.col("body"))).alias("word"), F.lit(0).alias("in_title"))
-    # Filtered by the queries' words on the scan side before anything is grouped.
-    found = head.unionByName(body).join(words, "word")
-    found = found.groupBy("query_id", "record_id", "word").agg(F.max("in_title").alias("in_title"))
-    hits = found.groupBy("query_id", "record_id").agg(F.count("*").alias("hits"), F.sum("in_title").alias("title_hits"))
-    scored = hits.join(records.select("record_id", "title", "location"), "record_id").join(asked.select("query_id", "phrase", "n_words"), "query_id")
-    whole = F.when(normalized(F.col("title")) == F.col("phrase"), 100000).when(F.col("hits") == F.col("n_words"), 10000).otherwise(0)
-    scored = scored.withColumn("score", (whole + F.col("hits") * 100 + F.col("title_hits") * 10).cast("long"))
+    list_ = [r["word"] for r in words.select("word").distinct().limit(FEW_WORDS + 1).collect()]
+    kept = F.array_union("h", "t")
+    if len(list_) <= FEW_WORDS:
+        kept = F.array_intersect(kept, F.array(*map(F.lit, list_)) if list_ else none)
+    own = own.withColumn("words", kept).where(F.size("words") > 0)
+    hit = own.select("record_id", "title", "place", "legacy", "shelves", "titles", F.explode("words").alias("word"), "h")
+    hit = hit.withColumn("in_title", F.array_contains("h", F.col("word")).cast("int")).drop("h").join(words, "word")
+    found = hit.groupBy("query_id", "record_id").agg(
+        F.count("*").alias("hits"), F.sum("in_title").alias("title_hits"), *[F.min(c).alias(c) for c in ("title", "place", "legacy", "shelves", "titles")]
+    )
+    found = found.join(asked.select("query_id", "phrase", "n_words", "shelf"), "query_id").where(eligible(F.col("shelf"), F.col("legacy"), F.col("shelves")))
+    whole = F.when(F.array_contains("titles", F.col("phrase")), 100000).when(F.col("hits") == F.col("n_words"), 10000).otherwise(0)
+    found = found.withColumn("score", (whole + F.col("hits") * 100 + F.col("title_hits") * 10).cast("long"))
     order = (F.desc("score"), F.asc("title"), F.asc("record_id"))
-    first = scored.withColumn("n", F.row_number().over(Window.partitionBy("query_id", "location").orderBy(*order))).where("n = 1")
+    first = found.withColumn("n", F.row_number().over(Window.partitionBy("query_id", "place").orderBy(*order))).where("n = 1")
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= limit)
     return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "record_id", "score")
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import ranking
 from ..streaming import windows
 from .registry import query, statement, table
 
@@ -23,9 +25,22 @@ statement("json_path_checks", "SELECT event_id, CAST([[get_json_object(props, '$
 statement("stale_runs", f"""WITH l AS (SELECT user_id, max({_SEC}) AS heartbeat, [[max_by(event_type, struct(ts, event_id))||arg_max(event_type, (ts, event_id))]] AS state FROM {{events}} GROUP BY 1), n AS (SELECT max(heartbeat) AS now FROM l)
 SELECT user_id, state, now - heartbeat AS age, now - heartbeat > 600 AND state <> 'purchase' AS stale FROM l CROSS JOIN n""")
 statement("latest_matching_report", """SELECT user_id, event_id AS report_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM {events} e WHERE event_type = 'purchase' AND EXISTS (SELECT 1 FROM {events} s WHERE s.user_id = e.user_id AND s.event_type = 'signup')) WHERE n = 1""")
-statement("page_stability", """WITH p AS (SELECT event_id, CAST(floor(event_id / 100) AS BIGINT) AS page, event_type FROM {events}),
-d AS (SELECT page, count(*) AS n, [[sha2(array_join(transform(array_sort(collect_list(struct(event_id, event_type))), x -> x.event_type), ','), 256)||sha256(array_to_string(list(event_type ORDER BY event_id), ','))]] AS digest FROM p GROUP BY page)
+
+
+@query("""WITH p AS (SELECT event_id, CAST(floor(event_id / 100) AS BIGINT) AS page, event_type FROM events),
+d AS (SELECT page, count(*) AS n, sha256(array_to_string(list(event_type ORDER BY event_id), ',')) AS digest FROM p GROUP BY page)
 SELECT page, n, coalesce(digest = lag(digest) OVER (ORDER BY page), FALSE) AS repeated, coalesce(n = lag(n) OVER (ORDER BY page), TRUE) AS stable FROM d""")
+def page_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of a hundred events that repeat the page before them, or differ from it in length."""
+    own = table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / 100).cast("long").alias("page"), "event_type")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: x["event_type"])
+    pages = own.groupBy("page").agg(F.count("*").alias("n"), F.sha2(F.array_join(listed, ","), 256).alias("digest"))
+    place = ranking.numbered(pages, [F.asc("page")])
+    last = place.select((F.col("position") + 1).alias("position"), F.col("n").alias("n0"), F.col("digest").alias("digest0"))
+    same = lambda a, b, none: F.coalesce(F.col(a) == F.col(b), F.lit(none))
+    return place.join(last, "position", "left").select("page", "n", same("digest", "digest0", False).alias("repeated"), same("n", "n0", True).alias("stable"))
+
+
 _MERGED = f"""iv AS (SELECT user_id, {_SEC} AS a, {_SEC} + CAST(floor(abs(value)) AS BIGINT) % 7200 AS b FROM {{events}}), p AS (SELECT * FROM iv WHERE b > a),
 m AS (SELECT *, max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM p),
 g AS (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM m)"""

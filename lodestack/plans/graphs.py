@@ -5,81 +5,109 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import graph
+from ..operators import graph, ranking
+from ..operators.crawl import crawl
 from .registry import query, statement, table
 
 _S = "[[STRING||VARCHAR]]"
-_EDGE = f"""edge(child, parent) AS (
-  SELECT concat('n', CAST(n_nationkey AS {_S})), concat('r', CAST(n_regionkey AS {_S})) FROM {{nation}}
-  UNION ALL SELECT concat('c', CAST(c_custkey AS {_S})), concat('n', CAST(c_nationkey AS {_S})) FROM {{customer}}
-  UNION ALL SELECT concat('c', CAST(c_custkey AS {_S})), concat('m', c_mktsegment) FROM {{customer}}
-  UNION ALL SELECT concat('s', CAST(s_suppkey AS {_S})), concat('n', CAST(s_nationkey AS {_S})) FROM {{supplier}})"""
+_EDGE = """edge(child, parent) AS (
+  SELECT concat('n', CAST(n_nationkey AS VARCHAR)), concat('r', CAST(n_regionkey AS VARCHAR)) FROM nation
+  UNION ALL SELECT concat('c', CAST(c_custkey AS VARCHAR)), concat('n', CAST(c_nationkey AS VARCHAR)) FROM customer
+  UNION ALL SELECT concat('c', CAST(c_custkey AS VARCHAR)), concat('m', c_mktsegment) FROM customer
+  UNION ALL SELECT concat('s', CAST(s_suppkey AS VARCHAR)), concat('n', CAST(s_nationkey AS VARCHAR)) FROM supplier)"""
 
-statement("topic_closure_counts", f"""WITH RECURSIVE {_EDGE}, up(node, topic) AS (
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst): each node and its parents."""
+    key = lambda letter, column: F.concat(F.lit(letter), F.col(column).cast("string"))
+    nation, customer, supplier = (table(spark, sf_dir, t) for t in ("nation", "customer", "supplier"))
+    pairs = [(nation, key("n", "n_nationkey"), key("r", "n_regionkey")), (customer, key("c", "c_custkey"), key("n", "c_nationkey")), (customer, key("c", "c_custkey"), F.concat(F.lit("m"), "c_mktsegment")), (supplier, key("s", "s_suppkey"), key("n", "s_nationkey"))]
+    parts = [df.select(a.alias("src"), b.alias("dst")) for df, a, b in pairs]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query(f"""WITH RECURSIVE {_EDGE}, up(node, topic) AS (
   SELECT DISTINCT child, parent FROM edge WHERE child LIKE 'c%' OR child LIKE 's%'
   UNION ALL SELECT up.node, edge.parent FROM up JOIN edge ON edge.child = up.topic)
 SELECT topic, count(DISTINCT node) AS sources, count(DISTINCT CASE WHEN node LIKE 's%' THEN node END) AS readers, count(DISTINCT node) = count(DISTINCT CASE WHEN node LIKE 's%' THEN node END) AS reader_only FROM up GROUP BY topic""")
+def topic_closure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    up = graph.closure(_edges(spark, sf_dir)).where("src LIKE 'c%' OR src LIKE 's%'")
+    readers = F.count_if(F.col("src").startswith("s"))  # pairs of a closure are distinct
+    return up.groupBy(F.col("dst").alias("topic")).agg(F.count("*").alias("sources"), readers.alias("readers"), (F.count("*") == readers).alias("reader_only"))
 
-statement("entrance_reachability", f"""WITH RECURSIVE {_EDGE}, down(node) AS (
-  SELECT CAST('r0' AS {_S}) UNION ALL SELECT edge.child FROM down JOIN edge ON edge.parent = down.node)
+
+@query(f"""WITH RECURSIVE {_EDGE}, down(node) AS (
+  SELECT CAST('r0' AS VARCHAR) UNION ALL SELECT edge.child FROM down JOIN edge ON edge.parent = down.node)
 SELECT c_nationkey AS nation, count(DISTINCT c_custkey) AS customers, count(DISTINCT CASE WHEN d.node IS NOT NULL THEN c_custkey END) AS reached, count(DISTINCT CASE WHEN d.node IS NULL AND o_orderkey IS NOT NULL THEN c_custkey END) AS unreached_with_orders
-FROM {{customer}} LEFT JOIN (SELECT DISTINCT node FROM down) d ON d.node = concat('c', CAST(c_custkey AS {_S})) LEFT JOIN {{orders}} ON o_custkey = c_custkey GROUP BY 1""")
+FROM customer LEFT JOIN (SELECT DISTINCT node FROM down) d ON d.node = concat('c', CAST(c_custkey AS VARCHAR)) LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
+def entrance_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = _edges(spark, sf_dir)
+    found = crawl(spark.createDataFrame([("r0",)], "page string"), edges.select(F.col("dst").alias("page"), F.col("src").alias("target")))
+    buyers = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("buys", F.lit(True))
+    own = table(spark, sf_dir, "customer").withColumn("page", F.concat(F.lit("c"), F.col("c_custkey").cast("string")))
+    own = own.join(found, "page", "left").join(buyers, "c_custkey", "left").groupBy("c_nationkey", "c_custkey").agg(F.max(F.col("depth").isNotNull()).alias("reached"), F.max(F.coalesce("buys", F.lit(False))).alias("buys"))
+    return own.groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("customers"), F.count_if("reached").alias("reached"), F.count_if(~F.col("reached") & F.col("buys")).alias("unreached_with_orders"))
+
 
 statement("topological_levels", """WITH RECURSIVE dep(id, need) AS (SELECT n_nationkey, CAST(floor(n_nationkey / 2) AS INT) FROM {nation} WHERE n_nationkey > 0 UNION ALL SELECT n_nationkey, n_nationkey - 3 FROM {nation} WHERE n_nationkey >= 3),
 walk(id, level) AS (SELECT n_nationkey, 0 FROM {nation} WHERE n_nationkey = 0 UNION ALL SELECT dep.id, walk.level + 1 FROM walk JOIN dep ON dep.need = walk.id)
 SELECT id, CAST(max(level) AS INT) AS level FROM walk GROUP BY id""")
 
-statement("canonical_chain", """WITH RECURSIVE h AS (SELECT doc_id, lang, [[sha2(text, 256)||sha256(text)]] AS hash FROM {documents}),
-link AS (SELECT doc_id, lag(doc_id) OVER (PARTITION BY hash ORDER BY doc_id) AS target, lang FROM h),
-walk(doc_id, node, steps, legacy) AS (SELECT doc_id, doc_id, 0, lang = 'de' FROM link
-  UNION ALL SELECT w.doc_id, l.target, w.steps + 1, w.legacy OR l.lang = 'de' FROM walk w JOIN link l ON l.doc_id = w.node WHERE l.target IS NOT NULL AND w.steps < 64)
-SELECT doc_id, min(node) AS canonical, CAST(max(steps) AS BIGINT) AS steps, [[bool_or||bool_or]](legacy) AS legacy FROM walk GROUP BY doc_id""")
-
-
-@query()
+@query("""WITH h AS (SELECT doc_id, lang, sha256(text) AS hash FROM documents),
+pair AS (SELECT a.doc_id, b.doc_id AS earlier, b.lang FROM h a JOIN h b ON a.hash IS NOT DISTINCT FROM b.hash AND b.doc_id <= a.doc_id)
+SELECT doc_id, min(earlier) AS canonical, count(*) - 1 AS steps, bool_or(lang = 'de') AS legacy FROM pair GROUP BY doc_id""")
 def canonical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The SQL above stays for comparison; its walk ends after 64 steps, this one at the chain's end.
-
-    Each copy is chained to the one before it, so its way to the end passes all copies before it.
+    """Each copy is chained to the one before it, so its way to the end passes all copies before it.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("hash"))
     before = Window.partitionBy("hash").orderBy(F.asc_nulls_last("doc_id")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    way = docs.select("doc_id", F.min("doc_id").over(before).alias("canonical"), (F.count("*").over(before) - 1).alias("steps"), F.max(F.col("lang") == "de").over(before).alias("german"), "lang")
-    legacy = F.when(F.col("german"), True).when(F.col("lang").isNotNull(), False)
-    return way.groupBy("doc_id").agg(F.min("canonical").alias("canonical"), F.max("steps").alias("steps"), F.max(legacy).alias("legacy"))
+    way = docs.select("doc_id", F.min("doc_id").over(before).alias("canonical"), (F.count("*").over(before) - 1).alias("steps"), F.max(F.col("lang") == "de").over(before).alias("legacy"))
+    return way.groupBy("doc_id").agg(F.min("canonical").alias("canonical"), F.max("steps").alias("steps"), F.max("legacy").alias("legacy"))
 
 
 statement("breadcrumbs", "SELECT s_suppkey, concat_ws(' > ', r_name, n_name, s_name) AS trail FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey JOIN {region} ON r_regionkey = n_regionkey")
 
-statement("section_tree_walk", f"""WITH RECURSIVE node(id, parent, title) AS (
-  SELECT concat('r', CAST(r_regionkey AS {_S})), CAST(NULL AS {_S}), r_name FROM {{region}}
-  UNION ALL SELECT concat('n', CAST(n_nationkey AS {_S})), concat('r', CAST(n_regionkey AS {_S})), n_name FROM {{nation}}
-  UNION ALL SELECT concat('s', CAST(s_suppkey AS {_S})), concat('n', CAST(s_nationkey AS {_S})), s_name FROM {{supplier}}),
+@query("""WITH RECURSIVE node(id, parent, title) AS (
+  SELECT concat('r', CAST(r_regionkey AS VARCHAR)), CAST(NULL AS VARCHAR), r_name FROM region
+  UNION ALL SELECT concat('n', CAST(n_nationkey AS VARCHAR)), concat('r', CAST(n_regionkey AS VARCHAR)), n_name FROM nation
+  UNION ALL SELECT concat('s', CAST(s_suppkey AS VARCHAR)), concat('n', CAST(s_nationkey AS VARCHAR)), s_name FROM supplier),
 walk(id, depth, path) AS (SELECT id, 0, title FROM node WHERE parent IS NULL UNION ALL SELECT node.id, walk.depth + 1, concat(walk.path, '/', node.title) FROM walk JOIN node ON node.parent = walk.id)
 SELECT id, CAST(depth AS INT) AS depth, path, CAST(row_number() OVER (ORDER BY path, id) AS BIGINT) AS position FROM walk""")
+def section_tree_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region, nation, supplier = (table(spark, sf_dir, t) for t in ("region", "nation", "supplier"))
+    node = lambda letter, own, above, title: (F.concat(F.lit(letter), F.col(own).cast("string")).alias("id"), above.cast("string").alias("parent"), F.col(title).alias("title"))
+    nodes = region.select(*node("r", "r_regionkey", F.lit(None), "r_name"))
+    nodes = nodes.union(nation.select(*node("n", "n_nationkey", F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), "n_name")))
+    nodes = nodes.union(supplier.select(*node("s", "s_suppkey", F.concat(F.lit("n"), F.col("s_nationkey").cast("string")), "s_name")))
+    return ranking.numbered(graph.tree_paths(nodes), [F.asc("path"), F.asc("id")])
+
 
-statement("ready_tasks", """WITH task AS (SELECT o_orderkey AS id, o_orderstatus = 'F' AS done FROM {orders} WHERE o_orderkey < 4000),
+statement("ready_tasks", """WITH task AS (SELECT o_orderkey AS id, o_orderstatus = 'F' AS done FROM {orders}),
 dep AS (SELECT a.id, b.id AS need FROM task a JOIN task b ON b.id = a.id - 1 UNION ALL SELECT a.id, b.id FROM task a JOIN task b ON b.id = a.id - 7)
 SELECT t.id, count(d.need) AS needs, count(CASE WHEN n.done THEN 1 END) AS met, NOT t.done AND count(d.need) = count(CASE WHEN n.done THEN 1 END) AS ready
 FROM task t LEFT JOIN dep d ON d.id = t.id LEFT JOIN task n ON n.id = d.need GROUP BY t.id, t.done""")
 
-statement("nested_set_descendants", """WITH leaf AS (SELECT c_custkey, n_nationkey, n_regionkey, row_number() OVER (ORDER BY n_regionkey, n_nationkey, c_custkey) AS pos FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey),
+@query("""WITH leaf AS (SELECT c_custkey, n_nationkey, n_regionkey, row_number() OVER (ORDER BY n_regionkey, n_nationkey, c_custkey) AS pos FROM customer JOIN nation ON n_nationkey = c_nationkey),
 tree AS (SELECT n_regionkey, min(pos) * 2 - 1 AS lft, max(pos) * 2 + 2 AS rght FROM leaf GROUP BY 1)
-SELECT t.n_regionkey, count(c_custkey) AS found, CAST([[(max(rght) - max(lft) - 1) div 2||(max(rght) - max(lft) - 1) // 2]] AS BIGINT) AS expected FROM tree t JOIN leaf l ON l.pos * 2 > t.lft AND l.pos * 2 + 1 < t.rght GROUP BY 1""")
+SELECT t.n_regionkey, count(c_custkey) AS found, CAST((max(rght) - max(lft) - 1) // 2 AS BIGINT) AS expected FROM tree t JOIN leaf l ON l.pos * 2 > t.lft AND l.pos * 2 + 1 < t.rght GROUP BY 1""")
+def nested_set_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves inside each region's interval. A region has one interval and leaves one place each, so a leaf is looked
+    up among the intervals' bounds, one row a region, which are sent to all tasks."""
+    leaf = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select("c_custkey", "n_nationkey", "n_regionkey")
+    leaf = ranking.numbered(leaf, [F.asc("n_regionkey"), F.asc("n_nationkey"), F.asc("c_custkey")], "pos")
+    tree = leaf.groupBy("n_regionkey").agg((F.min("pos") * 2 - 1).alias("lft"), (F.max("pos") * 2 + 2).alias("rght"))
+    inside = leaf.select("c_custkey", "pos").join(F.broadcast(tree), (F.col("pos") * 2 > F.col("lft")) & (F.col("pos") * 2 + 1 < F.col("rght")))  # a row a region
+    return inside.groupBy("n_regionkey").agg(F.count("c_custkey").alias("found"), F.max(F.expr("(rght - lft - 1) DIV 2")).alias("expected"))
 
-_PRUNE = """WITH RECURSIVE member AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey < 6000),
-item AS (SELECT id, p_size > 3 AS available FROM member JOIN part ON p_partkey = l_partkey),
-need AS (SELECT id, id - 1 AS need FROM member WHERE l_linenumber > 1),
-bad(id) AS (SELECT id FROM item WHERE NOT available UNION SELECT id FROM need WHERE need NOT IN (SELECT id FROM item) UNION SELECT need.id FROM bad JOIN need ON need.need = bad.id)
-SELECT id FROM item WHERE id NOT IN (SELECT id FROM bad)"""
+
+_PRUNE = """WITH item AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey, l_linenumber, p_size > 3 AS available FROM lineitem JOIN part ON p_partkey = l_partkey),
+way AS (SELECT id, l_linenumber, bool_and(available) OVER w AS whole, dense_rank() OVER w AS n FROM item WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber))
+SELECT id FROM way WHERE whole AND n = l_linenumber"""
 
 
 @query(_PRUNE)
 def dependency_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    member = table(spark, sf_dir, "lineitem").where("l_orderkey < 6000").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_linenumber", "l_partkey")
+    """Each line of an order needs the one before it. The SQL states what that comes to: all before it are there."""
+    member = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_linenumber", "l_partkey")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") > 3).alias("available"))
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
     return graph.prune(member.join(part, "l_partkey").select("id", "available"), member.where("l_linenumber > 1").select("id", (F.col("id") - 1).alias("need"))).select("id")

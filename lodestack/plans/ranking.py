@@ -14,7 +14,23 @@ _NORM = r"[[regexp_replace(lower(text), r'[^a-z0-9]+', ' ')||regexp_replace(lowe
 
 statement("exact_duplicates", f"SELECT {_H} AS hash, count(*) AS copies, min(doc_id) AS first_id, max(n_chars) AS unique_bytes, CAST(sum(n_chars) AS BIGINT) AS bytes FROM {{documents}} GROUP BY 1 HAVING count(*) > 1")
 statement("normalized_duplicates", f"SELECT [[sha2(k, 256)||sha256(k)]] AS key, count(*) AS copies, min(doc_id) AS first_id FROM (SELECT doc_id, trim({_NORM}) AS k FROM {{documents}}) GROUP BY 1 HAVING count(*) > 1")
-statement("contamination_join", "SELECT d.doc_id, b.item_id FROM (SELECT doc_id, lower(text) AS t FROM {documents}) d JOIN (SELECT item_id, lower(text) AS t FROM {benchmark}) b ON contains(d.t, b.t)")
+
+
+@query("SELECT d.doc_id, b.item_id FROM (SELECT doc_id, lower(text) AS t FROM documents) d JOIN (SELECT item_id, lower(text) AS t FROM benchmark) b ON contains(d.t, b.t)")
+def contamination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items whose text lies in a document's. An item's longest whole word, none of its first or last, is a word of the
+    document too, so pairs meet by that word; only items of fewer than three words are compared with every text."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("item"))
+    inner = F.filter(F.slice(F.split("item", " "), 2, F.greatest(F.size(F.split("item", " ")) - 2, F.lit(0))), lambda w: w != "")
+    items = items.withColumn("word", F.element_at(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]).where("item IS NOT NULL")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t"))
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("t", " "))).alias("word"))
+    met = words.join(items.where("word IS NOT NULL").select("item_id", "word"), "word").select("doc_id", "item_id")
+    found = met.join(items.select("item_id", "item"), "item_id").join(docs, "doc_id").where(F.contains("t", F.col("item"))).select("doc_id", "item_id")
+    short = items.where("word IS NULL").select("item_id", "item")
+    return found.unionByName(docs.join(short, F.contains(docs["t"], short["item"])).select("doc_id", "item_id"))
+
+
 statement("latest_edition", "SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM {orders}) WHERE n = 1")
 
 
@@ -47,12 +63,43 @@ statement("feature_score", """SELECT doc_id, CAST(score AS BIGINT) AS score, CAS
 SELECT doc_id, source, n_chars, CASE WHEN contains(text, '. ') THEN 3 ELSE 0 END + CASE WHEN lang = 'en' THEN 2 ELSE 0 END + CASE WHEN n_chars > 2000 THEN 5 ELSE 0 END AS score FROM {documents})""")
 statement("work_aliases", f"SELECT doc_id, owner, doc_id <> owner AS alias, copies FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS owner, count(*) OVER (PARTITION BY h) AS copies FROM (SELECT doc_id, {_H} AS h FROM {{documents}})) WHERE copies > 1")
 statement("inline_overflow", "SELECT s_nationkey, s_suppkey, CAST(n AS BIGINT) AS pos, n <= 3 AS inline, CAST(CASE WHEN n < 4 THEN 0 ELSE [[(n - 4) div 3||(n - 4) // 3]] END AS BIGINT) AS page FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS n FROM {supplier})")
-statement("sequence_gaps", "WITH b AS (SELECT max(doc_id) AS most FROM {labels}), s AS (SELECT [[explode(sequence(0, most))||unnest(generate_series(0, most))]] AS id FROM b) SELECT id, 'missing' AS kind FROM s WHERE NOT EXISTS (SELECT 1 FROM {labels} WHERE doc_id = id) UNION ALL SELECT doc_id, 'repeated' FROM {labels} GROUP BY doc_id HAVING count(*) > 1")
+
+
+@query("WITH b AS (SELECT max(doc_id) AS most FROM labels), s AS (SELECT unnest(generate_series(0, most)) AS id FROM b) SELECT id, 'missing' AS kind FROM s WHERE NOT EXISTS (SELECT 1 FROM labels WHERE doc_id = id) UNION ALL SELECT doc_id, 'repeated' FROM labels GROUP BY doc_id HAVING count(*) > 1")
+def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
+    most = known.agg(F.max("id")).first()[0]
+    missing = spark.range(0, -1 if most is None else most + 1).join(known, "id", "left_anti").select("id", F.lit("missing").alias("kind"))
+    return missing.unionByName(known.groupBy("id").count().where("count > 1").select("id", F.lit("repeated").alias("kind")))
+
+
 statement("finest_fit", """WITH scale AS (SELECT p_brand, p_size AS scale, CAST(sum(p_retailprice * 100) AS BIGINT) AS bytes, count(*) AS sheets FROM {part} GROUP BY 1, 2)
 SELECT p_brand, min(CASE WHEN bytes <= 200000 AND sheets >= 1 THEN scale END) AS finest, count(*) AS attempts, CAST(sum(CASE WHEN bytes > 200000 THEN 1 ELSE 0 END) AS BIGINT) AS blockers FROM scale GROUP BY 1""")
-statement("context_groups", """WITH prefix AS (SELECT DISTINCT [[substring_index(url, '/', 3)||array_to_string(list_slice(string_split(url, '/'), 1, 3), '/')]] AS p FROM {pages} WHERE page_id % 5 = 0)
-SELECT page_id, min(p) AS grp FROM {pages} JOIN prefix ON starts_with(url, p) GROUP BY page_id""".replace("starts_with(url, p)", "[[startswith||starts_with]](url, p)"))
-statement("encounter_probability", "SELECT source, count(*) AS n, round(1 - power(1 - CAST(sum(CASE WHEN n_chars > 4000 THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 10), 6) AS p10, CAST(ceil(ln(0.05) / ln(1 - least(0.999, greatest(0.001, CAST(sum(CASE WHEN n_chars > 4000 THEN 1 ELSE 0 END) AS DOUBLE) / count(*))))) AS BIGINT) AS sample_size FROM {documents} GROUP BY source")
+
+
+@query("""WITH prefix AS (SELECT DISTINCT array_to_string(list_slice(string_split(url, '/'), 1, 3), '/') AS p FROM pages)
+SELECT page_id, min(p) AS grp FROM pages JOIN prefix ON starts_with(url, p) GROUP BY page_id""")
+def context_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least host prefix that begins each page's address. Hosts meet by equality, on the beginnings of their own
+    bounded names, and pages meet their host's group."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.substring_index("url", "/", 3).alias("host"))
+    hosts = pages.select("host").distinct()
+    starts = hosts.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("host"), F.lit(1))), lambda n: F.left("host", n))).alias("grp"))
+    least = starts.join(hosts.select(F.col("host").alias("grp")), "grp").groupBy("host").agg(F.min("grp").alias("grp"))
+    return pages.join(least, "host").groupBy("page_id").agg(F.min("grp").alias("grp"))
+
+
+
+
+@query("""WITH g AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE n_chars > 4000) AS defective FROM documents GROUP BY source),
+m AS (SELECT source, n, defective, list_transform(generate_series(0, least(n, 10) - 1), lambda i: greatest(0, n - defective - i) / (n - i)) AS f FROM g)
+SELECT source, n, defective, round(1 - list_reduce(list_prepend(1.0::DOUBLE, f), lambda x, y: x * y), 6) AS p10 FROM m""")
+def encounter_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each source, the chance that ten of its documents drawn without replacement hold one of over 4,000 characters."""
+    by = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") > 4000).alias("defective"))
+    return by.withColumn("p10", F.round(op.encounter(F.col("n"), F.col("defective"), 10), 6))
+
+
 statement("cube_extension", "SELECT o_orderstatus, o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM {orders} GROUP BY CUBE(o_orderstatus, o_orderpriority)")
 
 

@@ -8,31 +8,43 @@ from pyspark.sql import functions as F
 from ..operators import search as op
 from .registry import query, statement, table
 
-ASKED = [(1, "the that of"), (2, "de la en"), (3, "der und sch"), (4, "idiot"), (5, "thes in"), (6, "zzzz")]
-_ASKED_SQL = "(VALUES " + ", ".join(f"({i}, '{p}')" for i, p in ASKED) + ") AS q(query_id, phrase)"
+ASKED = [(1, "the that of", "all"), (2, "de la en", "all"), (3, "der und sch", "de"), (4, "idiot", "all-with-legacy"), (5, "thes in", "legacy"), (6, "zzzz", "all"), (7, "ＴＨＥ　of", "all"), (8, "Item ７", "all-with-legacy")]
+#: The phrases again in lower case and compatible form, for the SQL, which has no such function.
+_PLAIN = {7: "the of", 8: "item 7"}
+_ASKED_SQL = "(VALUES " + ", ".join(f"({i}, '{_PLAIN.get(i, p)}', '{shelf}')" for i, p, shelf in ASKED) + ") AS q(query_id, phrase, shelf)"
 
 _SEARCH_SQL = r"""
-asked AS (SELECT CAST(query_id AS INT) AS query_id, trim(regexp_replace(lower(phrase), '\s+', ' ', 'g')) AS phrase, list_distinct(regexp_extract_all(lower(phrase), '[\p{L}\p{N}]+')) AS words FROM """ + _ASKED_SQL + r"""),
+asked AS (SELECT CAST(query_id AS INT) AS query_id, shelf, trim(regexp_replace(lower(phrase), '\s+', ' ', 'g')) AS phrase, list_distinct(regexp_extract_all(lower(phrase), '[\p{L}\p{N}]+')) AS words FROM """ + _ASKED_SQL + r"""),
 w AS (SELECT query_id, unnest(words) AS word FROM asked),
-h AS (SELECT record_id, unnest(list_distinct(regexp_extract_all(lower(title), '[\p{L}\p{N}]+'))) AS word, 1 AS in_title FROM records
-      UNION ALL SELECT record_id, unnest(list_distinct(regexp_extract_all(lower(body), '[\p{L}\p{N}]+'))), 0 FROM records),
+h AS (SELECT record_id, unnest(list_distinct(regexp_extract_all(lower(concat(title, ' ', alias)), '[\p{L}\p{N}]+'))) AS word, 1 AS in_title FROM records
+      UNION ALL SELECT record_id, unnest(list_distinct(regexp_extract_all(lower(concat(body, ' ', lang, ' ', source)), '[\p{L}\p{N}]+'))), 0 FROM records),
 f AS (SELECT query_id, record_id, word, max(in_title) AS in_title FROM h JOIN w USING (word) GROUP BY ALL),
 g AS (SELECT query_id, record_id, count(*) AS hits, sum(in_title) AS title_hits FROM f GROUP BY ALL),
-s AS (SELECT g.query_id, g.record_id, title, location,
-        CAST((CASE WHEN trim(regexp_replace(lower(title), '\s+', ' ', 'g')) = phrase THEN 100000 WHEN hits = len(words) THEN 10000 ELSE 0 END) + hits * 100 + title_hits * 10 AS BIGINT) AS score
-      FROM g JOIN records USING (record_id) JOIN asked ON asked.query_id = g.query_id),
-d AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query_id, location ORDER BY score DESC, title, record_id) = 1),
+s AS (SELECT g.query_id, g.record_id, title, href,
+        CAST((CASE WHEN phrase IN (trim(regexp_replace(lower(title), '\s+', ' ', 'g')), trim(regexp_replace(lower(alias), '\s+', ' ', 'g'))) THEN 100000 WHEN hits = len(words) THEN 10000 ELSE 0 END) + hits * 100 + title_hits * 10 AS BIGINT) AS score
+      FROM g JOIN records USING (record_id) JOIN asked ON asked.query_id = g.query_id
+      WHERE CASE shelf WHEN 'legacy' THEN legacy WHEN 'all-with-legacy' THEN TRUE WHEN 'all' THEN NOT legacy ELSE NOT legacy AND coalesce(shelf IN (lang, source), FALSE) END),
+d AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query_id, href ORDER BY score DESC, title, record_id) = 1),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, title, record_id) AS rank, record_id, score FROM d)
 """
-_RECORDS_SQL = "records AS (SELECT doc_id AS record_id, left(text, 60) AS title, text AS body, concat(source, '/', sha256(text)) AS location FROM documents %s)"
+_RECORDS_SQL = "records AS (SELECT doc_id AS record_id, left(text, 60) AS title, concat('Item ', doc_id) AS alias, text AS body, lang, source, doc_id %% 7 = 3 AS legacy, concat(source, '/', sha256(text)) AS href FROM documents %s)"
 
 
 def records(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").alias("record_id"), F.left("text", F.lit(60)).alias("title"), F.col("text").alias("body"), F.concat(F.col("source"), F.lit("/"), F.sha2("text", 256)).alias("location"))
+    return docs.select(
+        F.col("doc_id").alias("record_id"),
+        F.left("text", F.lit(60)).alias("title"),
+        F.array(F.concat(F.lit("Item "), F.col("doc_id").cast("string"))).alias("aliases"),
+        F.col("text").alias("body"),
+        F.array_compact(F.array("lang", "source")).alias("shelves"),
+        (F.col("doc_id") % 7 == 3).alias("legacy"),
+        F.concat(F.col("source"), F.lit("/"), F.sha2("text", 256)).alias("href"),
+        F.lit("Complete").alias("location"),
+    )
 
 
 def asked(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ASKED, "query_id int, phrase string")
+    return spark.createDataFrame(ASKED, "query_id int, phrase string, shelf string")
 
 
 @query("WITH " + _RECORDS_SQL % "" + "," + _SEARCH_SQL + "SELECT * FROM r WHERE rank <= 50")
@@ -61,7 +73,7 @@ SELECT count(*) AS tasks, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM r WHERE r
 @query(_RECALL_SQL)
 def recall_at_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark")
-    known = items.select(F.col("item_id").alias("record_id"), F.lit("").alias("title"), F.col("text").alias("body"), F.col("item_id").cast("string").alias("location"))
+    known = items.select(F.col("item_id").alias("record_id"), F.lit("").alias("title"), F.col("text").alias("body"), F.col("item_id").cast("string").alias("href"), F.lit("").alias("location"))
     found = op.search(known, items.select(F.col("item_id").alias("query_id"), F.left("text", F.lit(80)).alias("phrase")), 5)
     return op.recall(found, items.select(F.col("item_id").alias("query_id"), F.col("item_id").alias("record_id")), 5)
 

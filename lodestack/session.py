@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -14,3 +15,20 @@ def importable(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if here not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH", "")]))
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """Folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a folder of this machine is made, but in local mode only: on a cluster that is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return root or held.get()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="lodestack-")
+    spark.sparkContext.setCheckpointDir(root)
+    return root

@@ -16,8 +16,8 @@ from lodestack.sources import readers, writers
 
 @pytest.fixture(scope="module")
 def records(spark):
-    rows = [("a", "Rain water", "collect and store", "x#1"), ("b", "Water wells", "dig rain", "x#2"), ("c", "rain  WATER", "other", "x#1"), ("d", "Soil", "rain", "x#4")]
-    return spark.createDataFrame(rows, "record_id string, title string, body string, location string")
+    rows = [("a", "Rain water", "collect and store", "x", "1"), ("b", "Water wells", "dig rain", "x", "2"), ("c", "rain  WATER", "other", "x", "1"), ("d", "Soil", "rain", "x", "4")]
+    return spark.createDataFrame(rows, "record_id string, title string, body string, href string, location string")
 
 
 def find(spark, records, phrase, limit=50):
@@ -33,6 +33,32 @@ def test_search_scores_and_deduplicates(spark, records):
         find(spark, records, " ".join(f"w{i}" for i in range(33)))
 
 
+@pytest.mark.parametrize("few", [0, 2000])
+def test_search_aliases_shelves_and_compatible_forms(spark, monkeypatch, few):
+    monkeypatch.setattr(search, "FEW_WORDS", few)
+    rows = [
+        ("a", "Water", ["rainwater"], "water", "BOOKS/a.pdf", "Complete", ["textbooks"], None),
+        ("b", "Plumbing", None, "water water Électricité", "BOOKS/b.pdf", "Complete", None, False),
+        ("c", "Ｗａｔｅｒ", None, None, "BOOKS/old.pdf", "Complete", None, True),
+        ("d", "Water duplicate", None, "", "BOOKS/a.pdf", "Complete", None, None),
+        ("e", "Water duplicate", None, "", "BOOKS/a.pdf", "page 2", None, None),
+    ]
+    known = spark.createDataFrame(rows, "record_id string, title string, aliases array<string>, body string, href string, location string, shelves array<string>, legacy boolean")
+    asked = [(1, "water", None), (2, "Rainwater", "all"), (3, "water", "textbooks"), (4, "water", "legacy"), (5, "ＷＡＴＥＲ", "all-with-legacy"), (6, "", "all"), (7, "électricité", "all")]
+    got = {}
+    for r in search.search(known, spark.createDataFrame(asked, "query_id int, phrase string, shelf string")).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["record_id"])
+    assert got == {1: ["a", "e", "b"], 2: ["a"], 3: ["a"], 4: ["c"], 5: ["a", "c", "e", "b"], 7: ["b"]}
+
+
+def test_rows_are_numbered_in_order(spark):
+    rng = random.Random(5)
+    values = [rng.randrange(1000) for _ in range(500)]
+    got = ranking.numbered(spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v int, i int"), [F.asc("v"), F.asc("i")]).collect()
+    assert [r["position"] for r in sorted(got, key=lambda r: (r["v"], r["i"]))] == list(range(1, 501))
+    assert ranking.numbered(spark.createDataFrame([], "v int"), [F.asc("v")]).count() == 0
+
+
 def test_closure_prune_and_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x")], "src string, dst string")
     assert {tuple(r) for r in graph.closure(edges).collect()} == {("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x"), ("x", "x"), ("y", "y")}

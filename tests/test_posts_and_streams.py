@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from lodestack.operators import crawl, posts
+from lodestack.operators import crawl, posts, ranking
 from lodestack.streaming import windows
 
 
@@ -26,7 +26,8 @@ def test_answers_and_comments(spark):
     texts = ["Thanks!", "+1", "This is incorrect since 3.2", "nice", "a long comment that has more than six words in it", "not ok"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(posts.substantive("t")).collect()] == [False, False, True, False, True, False]
-    assert abs(posts.encounter(10, 2, 3) - (1 - 8 * 7 * 6 / (10 * 9 * 8))) < 1e-12
+    chance = spark.range(1).select(ranking.encounter(F.lit(10), F.lit(2), 3).alias("p"), ranking.encounter(F.lit(2), F.lit(1), 9).alias("q")).first()
+    assert abs(chance["p"] - (1 - 8 * 7 * 6 / (10 * 9 * 8))) < 1e-12 and chance["q"] == 1.0
 
 
 def test_canonical_and_crawl(spark):
