@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import importable
+from ..session import checkpoint_root, importable
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where that is unset, as in local tests, a folder of this machine is made and set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jvm_dir.isDefined():
-            return jvm_dir.get()
-        root = "file://" + tempfile.mkdtemp(prefix="lodestack-")
-        spark.sparkContext.setCheckpointDir(root)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return root
+    """Folder that the driver and all executors share."""
+    return checkpoint_root(spark)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -67,10 +55,12 @@ def labelled(labels: DataFrame, label: str, held_fold: int, folds: int) -> DataF
     return labels.select("doc_id", label).where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_fold))
 
 
-#: Rows of a written table up to which it is broadcast; beyond, Spark joins as it sees fit.
+#: Rows of a written table, and bytes of its files, up to which it is broadcast; beyond, Spark joins as it sees fit.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 def small_side(written: DataFrame) -> DataFrame:
-    """A table already written, marked for broadcast if its rows, counted now, are few; keys and short lists only."""
-    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+    """A table already written, marked for broadcast if its rows, counted now, and the bytes that Spark knows of it are few."""
+    size = int(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return F.broadcast(written) if size <= BROADCAST_BYTES and written.count() <= BROADCAST_ROWS else written
