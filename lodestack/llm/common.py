@@ -53,14 +53,3 @@ def partitions(spark: SparkSession) -> int:
 def labelled(labels: DataFrame, label: str, held_fold: int, folds: int) -> DataFrame:
     """(doc_id, label) of the rows to learn from: a label is known and the fold is not held out."""
     return labels.select("doc_id", label).where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_fold))
-
-
-#: Rows of a written table, and bytes of its files, up to which it is broadcast; beyond, Spark joins as it sees fit.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 << 20
-
-
-def small_side(written: DataFrame) -> DataFrame:
-    """A table already written, marked for broadcast if its rows, counted now, and the bytes that Spark knows of it are few."""
-    size = int(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return F.broadcast(written) if size <= BROADCAST_BYTES and written.count() <= BROADCAST_ROWS else written

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, settle, small_side
+from .common import partitions, settle
 
 THRESHOLD = 3
 SHINGLE_WORDS = 3
@@ -361,7 +361,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     ends = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
     ends = settle(nodes.join(ends, "node").select("node", "cls", "least"), "candidate-nodes")
     # One row of each class that has a candidate; texts move only where the classes are too many to broadcast.
-    some = docs.join(small_side(ends.select(F.col("least").alias(key)).distinct()), key, "left_semi")
+    some = docs.join(ends.select(F.col("least").alias(key)).distinct(), key, "left_semi")
     sets = measured(some, key, text, words, sets=True).join(ends.select("cls", "node"), "cls").groupBy("node").agg(F.first("shingles").alias("s"))
     sets = settle(sets, "candidate-sets")
     involved, links, roots = sets.count(), None, None
