@@ -1,15 +1,15 @@
 """WARC archives compressed with Zstandard: one frame per record, dictionary in the leading skippable frame.
 
-Writing: tasks write one archive each (rolled over by size) to shared storage, under a name given by the
-partition, first to a temporary name and then moved, so that a task run again leaves the same archive. Reading:
-archives come back through Spark's binary file source; the dictionary is loaded from the leading skippable
+Writing: tasks write archives, rolled over by size, to shared storage, each under a name of its own, and list them; the
+list of the tasks that Spark took is the manifest. Reading: the archives of a manifest come back through Spark's binary
+file source, so what a lost or repeated attempt has left is not read; the dictionary is loaded from the leading skippable
 frame, each frame is decoded by itself, and header lines, lengths, block and payload digests are validated.
 
 Duplicate payloads: of records with equal payloads of at least ``least`` bytes the one with the greatest page_id
 is the response, others are revisits of it without a payload; smaller ones are all responses.
 
-Defined results: a null html is an empty payload; pages with a null id are written with id -1 and read back
-null; repeated rows stay repeated; an empty table gives no archive and no rows; a record that fails validation
+Defined results: a null html is an empty payload; a page with a null id has an empty one in the archive and is read
+back null, and equal payloads have it revisit a page with an id; repeated rows stay repeated; an empty table gives no archive and no rows; a record that fails validation
 ends the read with an error that names the archive and offset.
 """
 
@@ -46,11 +46,11 @@ def train_dictionary(pages: DataFrame, html: str = "html") -> bytes:
     return "".join(sorted(r["h"] for r in rows)).encode("utf-8", "replace")[-DICTIONARY_BYTES:]
 
 
-def record(kind: str, page_id: int, url: str, digest: str, payload: bytes, refers_to: int | None) -> bytes:
+def record(kind: str, page_id: int | None, url: str, digest: str, payload: bytes, refers_to: int | None) -> bytes:
     head = [
         VERSION,
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{page_id}>",
+        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {url}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -92,23 +92,23 @@ def parse(data: bytes) -> dict:
 def with_types(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """Adds payload_digest, payload_bytes, record_type and refers_to, all before any archive is written."""
     body = F.coalesce("html", F.lit("")).cast("binary")
-    own = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), body.alias("payload"))
+    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), body.alias("payload"))
     own = own.withColumn("payload_digest", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     # Only digests that occur again are joined, so most pages meet no partner and move once at most.
     again = own.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     own = own.join(again, "payload_digest", "left")
-    revisit = F.col("first_id").isNotNull() & (F.col("first_id") != F.col("page_id"))
+    revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     return own.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("first_id"))).drop("first_id")
 
 
 def write(typed: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
-    """Writes the archives and returns (path, records) of each; ``folder`` is a URI of storage all tasks share."""
-    level = 3
+    """Writes the archives and returns (name, records) of each; ``folder`` is a URI of storage all tasks share."""
+    level, place = 3, folder.replace("s3a://", "s3://", 1)
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = fs.FileSystem.from_uri(place)
         store.create_dir(root, recursive=True)
         packer = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary, zstandard.DICT_TYPE_RAWCONTENT) if dictionary else None)
         lead = struct.pack("<II", SKIPPABLE, len(dictionary)) + dictionary
@@ -117,29 +117,28 @@ def write(typed: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
 
         def close() -> None:
             nonlocal parts, size, count, roll
-            name = f"{root}/part-{task:06d}-{roll:04d}.warc.zst"
-            mine = f"{name}.{uuid.uuid4().hex}.tmp"
-            with store.open_output_stream(mine) as out:
+            name = f"part-{task:06d}-{roll:04d}-{uuid.uuid4().hex}.warc.zst"
+            with store.open_output_stream(f"{root}/{name}", compression=None) as out:
                 for p in parts:
                     out.write(p)
-            store.move(mine, name)
-            done.append((f"{folder}/{name.rsplit('/', 1)[1]}", count))
+            done.append((name, count))
             parts, size, count, roll = [lead], len(lead), 0, roll + 1
 
         for pdf in batches:
             for r in zip(pdf["record_type"], pdf["page_id"], pdf["url"], pdf["payload_digest"], pdf["payload"], pdf["refers_to"], strict=True):
-                refers = None if r[5] is None or pd.isna(r[5]) else int(r[5])
-                frame = packer.compress(record(r[0], int(r[1]), " ".join(r[2].split()), r[3], b"" if refers is not None else bytes(r[4]), refers))
+                page, refers = (None if v is None or pd.isna(v) else int(v) for v in (r[1], r[5]))
+                frame = packer.compress(record(r[0], page, " ".join(r[2].split()), r[3], b"" if refers is not None else bytes(r[4]), refers))
                 parts.append(frame)
                 size, count = size + len(frame), count + 1
                 if size >= ROLL_BYTES:
                     close()
         if count:
             close()
-        yield pd.DataFrame(done, columns=["path", "records"])
+        yield pd.DataFrame(done, columns=["name", "records"])
 
     columns = ("record_type", "page_id", "url", "payload_digest", "payload", "refers_to")
-    return typed.select(*columns).mapInPandas(save, "path string, records long")
+    # Sorted, so a task that runs again rolls over at the same records.
+    return typed.select(*columns).sortWithinPartitions("page_id", "payload_digest", "url").mapInPandas(save, "name string, records long")
 
 
 def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
@@ -166,9 +165,10 @@ def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
         yield start, b"".join(out)
 
 
-def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
-    """(page_id, url, record_type, payload_digest, block_bytes, payload, refers_to) of every record, validated;
-    without ``payloads`` they are decoded and checked but left null."""
+def read(spark: SparkSession, folder: str, payloads: bool = True, manifest: DataFrame | None = None) -> DataFrame:
+    """(page_id, url, record_type, payload_digest, block_bytes, payload, refers_to) of every record, validated, of the
+    archives that a written ``manifest`` (name) lists, or of all; without ``payloads`` they are decoded and checked but
+    left null."""
 
     def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -177,7 +177,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
                 try:
                     for at, raw in frames(bytes(data)):
                         f = parse(raw)
-                        page = lambda v: int(v[len("<urn:page:") : -1])
+                        page = lambda v: int(v[len("<urn:page:") : -1]) if v != "<urn:page:>" else None
                         rows.append((page(f["warc-record-id"]), f.get("warc-target-uri"), f["warc-type"], f["warc-payload-digest"][5:], len(f["payload"]), f["payload"] if payloads else None, page(f["warc-refers-to"]) if "warc-refers-to" in f else None))
                         if len(rows) >= 2000:
                             yield frame(rows)
@@ -188,10 +188,12 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=["page_id", "url", "record_type", "payload_digest", "block_bytes", "payload", "refers_to"])
-        return out.astype({"refers_to": "Int64"})
+        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
     schema = "page_id long, url string, record_type string, payload_digest string, block_bytes long, payload binary, refers_to long"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path", "content")
+    if manifest is not None:
+        files = files.withColumn("name", F.substring_index("path", "/", -1)).join(manifest.select("name"), "name", "left_semi").select("path", "content")
     return files.mapInPandas(load, schema)
 
 
@@ -201,7 +203,7 @@ def resolve(records: DataFrame) -> DataFrame:
     first = slim.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("block_bytes").alias("full_bytes"))
     revisits = slim.where("record_type = 'revisit'").join(first, "payload_digest", "left")
     whole = slim.where("record_type != 'revisit'").withColumn("full_bytes", F.col("block_bytes"))
-    return whole.unionByName(revisits).select(F.when(F.col("page_id") >= 0, F.col("page_id")).alias("page_id"), F.col("full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    return whole.unionByName(revisits).select("page_id", F.col("full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
 
 def round_trip(pages: DataFrame, folder: str) -> DataFrame:
@@ -209,4 +211,4 @@ def round_trip(pages: DataFrame, folder: str) -> DataFrame:
     manifest = settle(write(with_types(pages), folder, train_dictionary(pages)), "warc-manifest")
     if manifest.isEmpty():
         return pages.sparkSession.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    return resolve(read(pages.sparkSession, folder, payloads=False))
+    return resolve(read(pages.sparkSession, folder, payloads=False, manifest=manifest))
