@@ -6,7 +6,8 @@ ledger lacks, appends what it found (an empty list too, so that clean blobs are
 findings back to all paths that carry the blob.
 
 Defined results: a null text is the empty text; repeated rows, and several versions of one path, each get the
-findings of their own blob; an empty table gives an empty result; extra columns of the input are ignored.
+findings of their own blob; an empty table gives an empty result; other columns of the input pass through, under any
+name; very long texts are read in time that grows with their length.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_side
+from .common import settle
 
 #: Kinds of secrets in the order in which spans at one start are listed.
 BASE_KINDS = ("assign", "access", "hex")
@@ -36,14 +37,48 @@ _PEM = re.compile(
     r"""(?:\s+(?:Proc-Type|DEK-Info|Comment|X-[A-Za-z-]+):[^\n]*)*"""
     r"""(?:(?:(?:\s|\\[nr]|["'+>|,])*(?=[A-Za-z0-9+/]*(?:[0-9+/]|[a-z][A-Z]))[A-Za-z0-9+/]{16,}={0,2})+(?:(?:\s|\\[nr])+(?:[A-Za-z0-9+/]+={1,2}|[A-Za-z0-9+/]+\Z))?)?)"""
 )
-_JWT = re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.A)
 _VENDOR = re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})", re.A)
-_BASIC = re.compile(r"\b[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@", re.A)
+#: Without the scheme before it, which is looked for leftwards from here: that way each character is read once.
+_BASIC = re.compile(r"://[^\s/:@]+:[^\s/@]+@", re.A)
+_SCHEME = re.compile(r"\b[a-z]", re.A)
+_DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
+_TOKEN_START = re.compile(r"\beyJ[A-Za-z0-9_-]{8,}", re.A)
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 SPAN = "array<struct<kind:string,start:int,stop:int>>"
 
 
+def _basic(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with a name and a password: scheme://name:password@."""
+    done = 0
+    for m in _BASIC.finditer(text):
+        low = m.start()
+        while low > done and text[low - 1] in "abcdefghijklmnopqrstuvwxyz0123456789+.-":
+            low -= 1
+        start = _SCHEME.search(text, low, m.start())
+        if start:
+            yield start.start(), m.end()
+            done = m.end()
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Web tokens, three parts with dots between, the first two of them beginning with eyJ."""
+    for run in _DOTTED.finditer(text):
+        if ".eyJ" not in run[0]:
+            continue
+        at, parts, k = run.start(), run[0].split("."), 0
+        places = [at]
+        for p in parts:
+            places.append(places[-1] + len(p) + 1)
+        while k + 2 < len(parts):
+            head = _TOKEN_START.search(text, places[k], places[k + 1] - 1)
+            if head and parts[k + 1].startswith("eyJ") and len(parts[k + 1]) >= 11 and len(parts[k + 2]) >= 8:
+                yield head.start(), places[k + 3] - 1
+                k += 3
+            else:
+                k += 1
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """All spans of a text, in code points with exclusive ends, by start and then by kind as listed.
 
@@ -65,11 +100,11 @@ def find(text: str) -> list[tuple[str, int, int]]:
     if "-----BEGIN " in text:
         add(3, "pem", _PEM)
     if "eyJ" in text:
-        add(4, "jwt", _JWT)
+        found.extend((a, 4, "jwt", b) for a, b in _tokens(text))
     if any(k in text for k in ("gh", "xox", "AIza", "sk_live_")):
         add(5, "vendor", _VENDOR)
     if "://" in text:
-        add(6, "basic", _BASIC)
+        found.extend((a, 6, "basic", b) for a, b in _basic(text))
     return [(kind, start, stop) for start, _, kind, stop in sorted(found)]
 
 
@@ -83,25 +118,38 @@ def _ledger(df: DataFrame, path: str) -> DataFrame:
     spark, schema = df.sparkSession, f"blob string, spans {SPAN}, rule_version string"
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:  # the first scan: there is no ledger yet
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # the first scan: there is no ledger yet
+
+
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with as many marks before it as no column of ``df`` has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
 
 
-def scan(versions: DataFrame, ledger_path: str, text: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
-    """Scans blobs new to the ledger and returns all columns of ``versions`` but ``text``, with blob and spans.
+def scan(versions: DataFrame, ledger_path: str, text: str = "text", rule_version: str = RULE_VERSION, blob: str = "blob", spans: str = "spans") -> DataFrame:
+    """Scans blobs new to the ledger and returns all columns of ``versions`` but ``text``, with columns named by ``blob``
+    and ``spans``, which take the place of any such columns.
 
     Blobs are gathered by a map-side combined aggregate, so copies of one text, however many, are moved and
-    scanned once. The ledger is partitioned by rule version; a repeated call with no new text scans nothing.
+    scanned once. The ledger is partitioned by rule version; a repeated call with no new text scans nothing. Scans at
+    the same time may both append a blob: the ledger is read with one row a blob.
     """
-    spark = versions.sparkSession
-    named = versions.withColumn("__text", F.coalesce(F.col(text), F.lit(""))).withColumn("blob", F.sha2("__text", 256))
+    spark, held = versions.sparkSession, f"blob string, spans {SPAN}, rule_version string"
+    given = versions.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     seen = _ledger(versions, ledger_path).where(F.col("rule_version") == rule_version)
-    blobs = named.groupBy("blob").agg(F.first("__text").alias("text"))
+    blobs = given.groupBy("blob").agg(F.first("text").alias("text"))
     fresh = blobs.join(seen.select("blob"), "blob", "left_anti")
     fresh.mapInPandas(_scan, f"blob string, spans {SPAN}").withColumn("rule_version", F.lit(rule_version)).write.partitionBy("rule_version").mode("append").parquet(ledger_path)
-    hits = spark.read.schema(f"blob string, spans {SPAN}, rule_version string").parquet(ledger_path).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans")
-    kept = [c for c in versions.columns if c not in (text, "blob", "spans")]
-    return named.select(*kept, "blob").join(small_side(hits), "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPAN)))
+    hits = spark.read.schema(held).parquet(ledger_path).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans")
+    hits = settle(hits.dropDuplicates(["blob"]).withColumnsRenamed({"blob": blob, "spans": spans}), "findings")
+    kept = [c for c in versions.columns if c not in (text, blob, spans)]
+    named = versions.withColumn(blob, F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).select(*kept, blob)
+    return named.join(hits, blob, "left").withColumn(spans, F.coalesce(spans, F.array().cast(SPAN)))
 
 
 def digest_report(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -118,12 +166,12 @@ def digest_report(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def redact(docs: DataFrame, ledger_path: str, mark: str = "[secret]") -> DataFrame:
-    """The documents with each secret replaced by ``mark`` (overlapping spans by one) and n_chars set anew."""
-    spark_cols = docs.columns
-    spans = scan(docs.withColumn("__keep", F.col("text")), ledger_path).withColumnRenamed("__keep", "text")
+    """The documents with each secret replaced by ``mark`` (overlapping spans by one) and n_chars, if there, set anew."""
+    copy, blob, spans = free(docs, "__scanned"), free(docs, "__blob"), free(docs, "__spans")
+    found = scan(docs.withColumn(copy, F.col("text")), ledger_path, text=copy, blob=blob, spans=spans)
 
     @F.pandas_udf("string")
-    def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    def masked(texts: pd.Series, found: pd.Series) -> pd.Series:
         def one(text: str | None, spans) -> str | None:
             if text is None or not len(spans):
                 return text
@@ -135,8 +183,10 @@ def redact(docs: DataFrame, ledger_path: str, mark: str = "[secret]") -> DataFra
                     at = s["stop"]
             return "".join([*out, text[at:]])
 
-        return pd.Series([one(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
+        return pd.Series([one(t, s) for t, s in zip(texts, found, strict=True)], dtype=object)
 
-    hit = F.size("spans") > 0
-    clean = spans.withColumn("text", F.when(hit, masked("text", "spans")).otherwise(F.col("text"))).withColumn("n_chars", F.when(hit, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return clean.select(*spark_cols)
+    hit = F.size(spans) > 0
+    clean = found.withColumn("text", F.when(hit, masked("text", spans)).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(hit, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return clean.select(*docs.columns)
