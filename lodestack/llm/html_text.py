@@ -2,34 +2,39 @@
 
 A tree builder supplies implied tags (ends of paragraphs, list items, rows and cells, and rows left out);
 visibility rules drop what a browser does not show; rendering emits all visible text with block spacing, list
-marks and indents, preformatted text as it is, and tables as aligned columns.
+marks and indents, preformatted text as it is, and tables as aligned columns, cells that span rows or columns too.
+Rules are those of elements, attributes and inline styles; style sheets are not applied.
 
-Defined results: a null html gives null, an empty one an empty text; tags without an end are closed at the end;
-elements nested deeper than ``DEEPEST`` are laid out at that depth; a page without tags is its own text.
+Defined results: a null html gives null, an empty one an empty text; elements without an end are closed at the end,
+however deep; a tag that is cut off takes the rest of the page, as in browsers; a page without tags is its own text.
+Cells wider than ``WIDEST_PAD`` are not padded to. An existing column named by ``out`` is replaced.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import sys
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEEPEST = 150
-WIDEST_PAD = 60
+WIDEST_PAD = 400
 
 #: Element names.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-_HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist option optgroup area map dialog".split())
+_HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas datalist area dialog annotation annotation-xml defs symbol metadata title".split())
 _SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure form fieldset hr xmp address".split())
 _BLOCK = _SPACED | frozenset("html body div section article aside header footer main nav li dt dd tr td th caption thead tbody tfoot figcaption details summary center legend search hgroup".split())
 _CLOSES_P = _SPACED | frozenset("div section article aside header footer main nav details center hgroup search".split())
 _ENDED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 _SECTIONS = frozenset("thead tbody tfoot".split())
 
+#: Where a token begins, and a token from there; only a tag can be cut off.
+_OPENS = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -53,29 +58,33 @@ def _attributes(text: str) -> dict[str, str]:
 def tree(page: str) -> Node:
     """The element tree of a page, text as strings among the children."""
     root = Node("#root", {})
-    open_, at, n = [root], 0, len(page)
+    open_, held, at, n = [root], Counter(), 0, len(page)
 
     def close(names: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
+        if not any(held[x] for x in names):
+            return
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].tag in until:
                 return
             if open_[i].tag in names:
+                held.subtract(x.tag for x in open_[i:])
                 del open_[i:]
                 return
 
     def push(tag: str, attrs: dict[str, str]) -> None:
         node = Node(tag, attrs)
         open_[-1].inner.append(node)
-        if len(open_) < DEEPEST:
-            open_.append(node)
+        open_.append(node)
+        held[tag] += 1
 
     while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            open_[-1].inner.append(html.unescape(page[at:]))
+        start = _OPENS.search(page, at)
+        stop = start.start() if start else n
+        if stop > at:
+            open_[-1].inner.append(html.unescape(page[at:stop]))
+        m = _TOKEN.match(page, stop) if start else None
+        if m is None:  # the end, or a tag without one
             break
-        if m.start() > at:
-            open_[-1].inner.append(html.unescape(page[at : m.start()]))
         at = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
@@ -83,7 +92,7 @@ def tree(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag == "p" and not any(x.tag == "p" for x in open_):
+            if tag == "p" and not held["p"]:
                 open_[-1].inner.append(Node("p", {}))
             elif tag == "br":
                 open_[-1].inner.append(Node("br", {}))
@@ -112,7 +121,9 @@ def tree(page: str) -> Node:
             node.inner.append(html.unescape(page[at:stop]) if tag in ("title", "textarea") else page[at:stop])
             open_[-1].inner.append(node)
             at = end.end() if end else n
-        elif not (m[3].endswith("/") and tag in ("svg", "path", "use")):
+        elif m[3].endswith("/") and (held["svg"] or held["math"]):  # only there a tag can end itself
+            open_[-1].inner.append(Node(tag, attrs))
+        else:
             push(tag, attrs)
     return root
 
@@ -158,10 +169,16 @@ class _Flow:
 
 
 def _table(node: Node) -> list[str]:
-    rows: list[list[tuple[list[str], int]]] = []
+    rows: list[list[tuple[list[str], int, int]]] = []  # lines, first column and columns of each cell
+    taken: dict[int, int] = {}  # columns that cells of earlier rows still take, and for how many rows
     captions: list[str] = []
     stack = [iter(node.inner)]
     loose = _Flow()
+
+    def span(cell: Node, name: str, most: int) -> int:
+        value = cell.attrs.get(name, "").strip()
+        return max(1, min(most, int(value))) if value.isascii() and value.isdecimal() else 1
+
     while stack:
         child = next(stack[-1], None)
         if child is None:
@@ -173,33 +190,44 @@ def _table(node: Node) -> list[str]:
         elif child.tag == "caption":
             captions += _lines(child)
         elif child.tag == "tr":
-            cells = [c for c in child.inner if not isinstance(c, str) and c.tag in ("td", "th") and visible(c)]
-            other = Node("div", {})
-            other.inner = [c for c in child.inner if c not in cells]
+            other, row, at, reach = Node("div", {}), [], 0, {}
+            for c in child.inner:
+                if isinstance(c, str) or c.tag not in ("td", "th"):
+                    other.inner.append(c)
+                elif visible(c):
+                    while taken.get(at, 0):
+                        at += 1
+                    wide, tall = span(c, "colspan", 1000), span(c, "rowspan", 65534)
+                    row.append((_lines(c), at, wide))
+                    if tall > 1:
+                        reach.update(dict.fromkeys(range(at, at + wide), tall - 1))
+                    at += wide
             loose.add(_lines(other), 1)
-            span = lambda c: min(100, int(c.attrs["colspan"])) if c.attrs.get("colspan", "").isdecimal() and int(c.attrs["colspan"]) else 1
-            rows.append([(_lines(c), span(c)) for c in cells])
+            taken = {k: v - 1 for k, v in taken.items() if v > 1} | reach
+            rows.append(row)
         elif child.tag in _SECTIONS:
             stack.append(iter(child.inner))
+            taken = {}
         else:
             loose.add(_lines(child), 1)
     loose.flush()
     widths: dict[int, int] = {}
     for row in rows:
-        at = 0
-        for lines, span in row:
-            if span == 1:
+        for lines, at, wide in row:
+            if wide == 1:
                 widths[at] = max(widths.get(at, 0), min(WIDEST_PAD, max(map(len, lines), default=0)))
-            at += span
+    last = max((at + wide for row in rows for _, at, wide in row), default=0)
+    begins = [0]
+    for i in range(last):
+        begins.append(begins[-1] + widths.get(i, 0) + 2)
     out = loose.lines + captions
     for row in rows:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            line, at = [], 0
-            for lines, span in row:
-                width = sum(widths.get(i, 0) for i in range(at, at + span)) + 2 * (span - 1)
-                line.append((lines[k] if k < len(lines) else "").ljust(width))
-                at += span
-            out.append("  ".join(line).rstrip())
+        for k in range(max((len(lines) for lines, _, _ in row), default=0)):
+            line = ""
+            for lines, at, _ in row:
+                if k < len(lines) and lines[k]:
+                    line = (line + "  " if line else "").ljust(begins[at]) + lines[k]
+            out.append(line.rstrip())
     return out
 
 
@@ -226,6 +254,13 @@ def _lines(node: Node, pre: bool = False) -> list[str]:
             flow.text(child.attrs.get("alt", ""))
         elif tag == "input":
             flow.text(child.attrs.get("value", "") if child.attrs.get("type", "text").lower() in ("text", "button", "submit", "search", "reset") else "")
+        elif tag == "select":
+            options = [c for x in child.inner if not isinstance(x, str) for c in ([x] if x.tag == "option" else x.inner) if not isinstance(c, str) and c.tag == "option" and visible(c)]
+            chosen = [c for c in options if "selected" in c.attrs] or (options if "multiple" in child.attrs else options[:1])
+            for c in chosen:
+                flow.text(" ")
+                flow.text(" ".join(_lines(c)))
+            flow.text(" ")
         elif tag == "details" and "open" not in child.attrs:
             shown = Node("div", {})
             shown.inner = [c for c in child.inner if not isinstance(c, str) and c.tag == "summary"]
@@ -250,9 +285,21 @@ def _lines(node: Node, pre: bool = False) -> list[str]:
     return flow.lines
 
 
+def _depth(root: Node) -> int:
+    level, depth = [root], 0
+    while level:
+        level, depth = [c for x in level for c in x.inner if not isinstance(c, str)], depth + 1
+    return depth
+
+
 def render(page: str | None) -> str | None:
     """All visible text of a page as laid out lines."""
-    return None if page is None else "\n".join(_lines(tree(page)))
+    if page is None:
+        return None
+    root = tree(page)
+    # A block is laid out inside its parent's call; these calls take no room on the machine's own stack.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 3 * _depth(root) + 1000))
+    return "\n".join(_lines(root))
 
 
 def extracted(pages: DataFrame, source: str = "html", out: str = "text") -> DataFrame:
