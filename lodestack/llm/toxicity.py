@@ -3,14 +3,16 @@
 The lexicon is learned: words, and stems with any continuation, that mark toxic training documents beyond what
 chance among all terms allows. All terms share a trie; the automaton that accepts everything within each term's
 edit distance is determinised lazily, so a word costs one table lookup a letter. A hit's probability comes from
-the training counts of its term at its distance; words in the window around it, and quotation marks on both
-sides, shift its log-odds as far as training shows that they tell quotation from abuse.
+the training counts of its term at its distance; words in the window around it, and its standing inside a pair of
+quotation marks there, shift its log-odds as far as training shows that they tell quotation from abuse.
 Distinct hits combine as independent causes.
 
 Near copies would pass one document's words off as evidence, so training texts with the same least shingle hash
 and label count once.
 
-Defined results: null and empty texts get the rate among texts without a hit; nothing to learn from gives 0.
+Defined results: null and empty texts get the rate among texts without a hit; nothing to learn from gives 0; equal
+texts get equal scores; very long texts are read whole; of near copies in the training rows the least text counts, so
+a model depends on the rows alone and not on their order; an existing score column is replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle
@@ -33,12 +35,13 @@ TRAIN_ROWS = 40_000
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 STEM_ODDS = 6
 CROWDED = 3
-LEXICON_MOST = 5_000
 DOUBT = 2.0
 WINDOW = 4
 ACCEPT = 0.7
 _WORD = re.compile(r"\w+")
-_QUOTES = "\"'“”„«»‘’"
+#: Opening and closing quotation marks. An apostrophe between two letters is none.
+_QUOTES = (('"', '"'), ("'", "'"), ("“", "”"), ("„", "“"), ("«", "»"), ("»", "«"), ("‘", "’"))
+_APOSTROPHE = re.compile(r"(?<=\w)['’](?=\w)")
 _CACHE_MOST = 200_000
 
 
@@ -138,11 +141,26 @@ class Automaton:
         return found
 
 
+def _quoted(before: str, after: str) -> bool:
+    """Whether a pair of marks opens in the text before a word and closes in the text after it."""
+    for a, b in _QUOTES:
+        if a == b:
+            if before.count(a) % 2 and a in after:
+                return True
+        elif before.rfind(a) > before.rfind(b) and 0 <= after.find(b) < (after.find(a) if a in after else len(after)):
+            return True
+    return False
+
+
 def _context(text: str, spans: list[tuple[int, int]], words: list[str], i: int) -> set[str]:
     near = set(words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW])
-    a, b = spans[max(0, i - WINDOW)][0], spans[min(len(spans) - 1, i + WINDOW)][1]
-    before, after = text[a : spans[i][0]], text[spans[i][1] : b]
-    if any(q in before for q in _QUOTES) and any(q in after for q in _QUOTES):
+    a = spans[i - WINDOW - 1][1] if i > WINDOW else 0  # marks before the first word of the window count
+    b = spans[i + WINDOW + 1][0] if i + WINDOW + 1 < len(spans) else len(text)
+    # Marks further than a few characters from the window's words belong to other text.
+    first, last = spans[max(0, i - WINDOW)][0], spans[min(len(spans) - 1, i + WINDOW)][1]
+    around = _APOSTROPHE.sub(lambda m: " ", text[max(a, first - 4) : min(b, last + 4)])
+    at, end = spans[i][0] - max(a, first - 4), spans[i][1] - max(a, first - 4)
+    if _quoted(around[:at], around[end:]):
         near.add("<quoted>")
     return near
 
@@ -211,13 +229,12 @@ def count_terms(training: DataFrame) -> DataFrame:
     return training.select("text", "toxic").mapInPandas(count, "kind string, term string, pos long, neg long").groupBy("kind", "term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def _marks(pos: int, neg: int, rate: float, tests: int) -> bool:
+def marks(rate: float, tests: int) -> Column:
     """Whether so many toxic documents among pos + neg exceed chance, over all terms tested (Chernoff bound)."""
-    n = pos + neg
-    share = min(max(pos / n, 1e-9), 1 - 1e-9)
-    if share <= 0.5 or share <= rate:
-        return False
-    return n * (share * math.log(share / rate) + (1 - share) * math.log((1 - share) / (1 - rate))) >= math.log(tests) + DOUBT
+    n = F.col("pos") + F.col("neg")
+    share = F.least(F.greatest(F.col("pos") / n, F.lit(1e-9)), F.lit(1 - 1e-9))
+    weight = n * (share * F.log(share / rate) + (1 - share) * F.log((1 - share) / (1 - rate)))
+    return (share > 0.5) & (share > rate) & (weight >= math.log(tests) + DOUBT)
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
@@ -225,7 +242,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
     chosen = bounded(labels.where("toxic IN (0, 1)"), key, TRAIN_ROWS)
     own = F.pandas_udf(lambda texts: pd.Series([copy_key(t) for t in texts]), "long")
     train = docs.select(key, "text").join(F.broadcast(chosen), key).where("text IS NOT NULL").withColumn("__k", own("text"))
-    train = settle(train.groupBy("__k", "toxic").agg(F.first("text").alias("text")), "toxicity-training")
+    train = settle(train.groupBy("__k", "toxic").agg(F.min("text").alias("text")), "toxicity-training")
     size = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos_n, neg_n = size.get(1, 0), size.get(0, 0)
     if not pos_n or not neg_n:
@@ -236,8 +253,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
     seen_in = {r["n"]: r["terms"] for r in counts.groupBy(F.least(F.col("pos") + F.col("neg"), F.lit(99)).alias("n")).agg(F.count("*").alias("terms")).collect()}
     least = next((k for k in range(2, 99) if k * math.log(1 / rate) >= math.log(max(1, sum(v for n, v in seen_in.items() if n >= k))) + DOUBT), 99)
     tests = max(1, sum(v for n, v in seen_in.items() if n >= least))
-    top = counts.where((F.col("pos") >= least) & (F.col("pos") > F.col("neg"))).orderBy(F.desc("pos"), "neg", "kind", "term").limit(4 * LEXICON_MOST).collect()
-    passed = [r for r in top if _marks(r["pos"], r["neg"], rate, tests)]
+    # The training rows are bounded, and with them the terms that so many of them hold.
+    passed = counts.where((F.col("pos") >= least) & marks(rate, tests)).orderBy("kind", "term").collect()
     full = {r["term"]: (r["pos"], r["neg"]) for r in passed if r["kind"] == "w" and len(r["term"]) > 2}
     prefix = {r["term"]: (r["pos"], r["neg"]) for r in passed if r["kind"] == "p" and r["pos"] >= STEM_ODDS * r["neg"]}
     stems: dict[str, tuple[int, int]] = {}
@@ -246,7 +263,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
         if 2 * best < prefix[p][0] and not any(p.startswith(s) for s in stems):
             stems[p] = prefix[p]
     terms = {w: c for w, c in full.items() if not any(w.startswith(s) for s in stems)}
-    terms = dict(sorted({**terms, **stems}.items(), key=lambda x: (-x[1][0], x[0]))[:LEXICON_MOST])
+    terms |= stems
     if not terms:
         return Scorer(rate, {}, set(), {})
     stems_kept = set(stems) & terms.keys()
@@ -287,7 +304,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
     np_, nn = whole.get("<none>", (0, 0))
     mean = (hp + 1) / (hp + hn + 2)
     weights = {}
-    for r in seen.where("neg > 0 OR word = '<quoted>'").orderBy(F.desc("neg"), "word").limit(20_000).collect():
+    for r in seen.where("neg > 0 OR word = '<quoted>'").collect():
         if r["word"] not in ("<hit>", "<none>"):
             strength, share = 10.0, mean
             shrunk = (r["pos"] + strength * share) / (r["pos"] + r["neg"] + strength)
