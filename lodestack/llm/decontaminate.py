@@ -11,12 +11,13 @@ between their places in the document and in the item. Windows with fewer words t
 A Bloom filter over the benchmark's window hashes, of fixed size whatever the benchmark's, keeps all other
 windows of the documents out of the join; its false positives end in the join.
 
-Symbols end at white space; punctuation at their ends is dropped. A name is a capitalised word that does not
-open a sentence; a unit is a unit's sign after a number.
+Symbols end at white space, and each Chinese or Japanese letter is one; punctuation at their ends is dropped. A name is
+a capitalised word that does not open a sentence; a unit is a unit's sign after a number.
 
-Defined results: null and empty texts match nothing; items of fewer than five symbols are not matched; items shorter
-than a window match by one window of their own length; repeated rows count as one document; documents without a key
-are told apart by their texts; equal items are each reported.
+Defined results: null and empty texts, and those without a symbol, match nothing; items of fewer than ``SHORTEST``
+symbols match documents that are nothing else, with the same values; items shorter than a window match by one window
+of their own length; repeated rows count as one document; documents without a key are told apart by their texts; equal
+items are each reported; very long texts are read whole; columns other than key and text are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, small_side
+from .common import settle
 
 WINDOW = 8
 SHORTEST = 5
@@ -48,6 +49,7 @@ _NUMBER = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*")
 _NUMBER_UNIT = re.compile(r"[$€£]?[+-]?\d+(?:[.,:/]\d+)*[^\W\d_]{0,4}%?")
 _WORD, _TITLE, _NUM, _UNIT, _DROP = range(5)
 _TEXT = "utf-8", "replace"
+_IDEOGRAPH = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def _hash(x: str) -> int:
@@ -95,6 +97,8 @@ class Canon:
 
     def symbols(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash of each symbol, whether it is a placeholder, and its number among the remembered values."""
+        if text and not text.isascii() and _IDEOGRAPH.search(text):
+            text = _IDEOGRAPH.sub(r" \g<0> ", text)
         raw = text.split() if text else []
         new = list(set(raw).difference(self.at))
         if new:
@@ -126,6 +130,10 @@ class Canon:
                 for k in range(n):
                     mix += h[k : k + m] * _MULTIPLIERS[k]
                 wordy = 2 * (words[n:] - words[:-n]) >= n
+                if n < SHORTEST:  # the whole text, by its values
+                    if m > 1:
+                        continue
+                    wordy[:] = False
                 ok = np.flatnonzero(wordy)
                 few = np.flatnonzero(~wordy) if literal else ok[:0]
                 own, exact = self.hash[at], np.full(len(few), _EXACT)
@@ -152,7 +160,7 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") ->
             rows = []
             for item, t in zip(pdf[key], pdf[text], strict=True):
                 n = min(WINDOW, len(canon.symbols(t)[0]))
-                for length, pos, h, at, m in canon.windows(t, [n]) if n >= SHORTEST else ():
+                for length, pos, h, at, m in canon.windows(t, [n]) if n else ():
                     for j, (p, x) in enumerate(zip(pos, h.view(np.int64), strict=True)):
                         places = [int(p) + i for i in np.flatnonzero(at[p : p + length] >= 0)] if j < m else []
                         slots = _slots(canon, at, p, length) if j < m else []
@@ -189,7 +197,7 @@ def _bloom(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _keyed_leaks(docs: DataFrame, items: DataFrame, coverage: float, consistency: float) -> DataFrame:
     """The rows of ``leaks`` with text_hash, which is null where there is a doc_id."""
-    own = item_windows(items).cache()
+    own = settle(item_windows(items), "item-windows")
     high, low = (F.shiftrightunsigned("h", 64 - FILTER_BITS), F.col("h").bitwiseAND((1 << FILTER_BITS) - 1))
     seen = np.zeros(1 << FILTER_BITS, bool)
     marks = own.select(F.explode(F.array(high, low)).alias("p")).distinct().toPandas()["p"]  # 2 ** FILTER_BITS at most
@@ -230,6 +238,6 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consist
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that leak no benchmark item."""
     found = settle(_keyed_leaks(docs, items, COVERAGE, CONSISTENCY).select("doc_id", "text_hash").distinct(), "leaks")
-    keyed = docs.where("doc_id IS NOT NULL").join(small_side(found.where("doc_id IS NOT NULL").select("doc_id")), "doc_id", "left_anti")
-    bare = docs.where("doc_id IS NULL").withColumn("__h", F.xxhash64("text")).join(small_side(found.where("doc_id IS NULL").select(F.col("text_hash").alias("__h"))), "__h", "left_anti")
+    keyed = docs.where("doc_id IS NOT NULL").join(found.where("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_anti")
+    bare = docs.where("doc_id IS NULL").withColumn("__h", F.xxhash64("text")).join(found.where("doc_id IS NULL").select(F.col("text_hash").alias("__h")), "__h", "left_anti")
     return keyed.select(*docs.columns).unionByName(bare.select(*docs.columns))
