@@ -262,7 +262,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Scorer:
         best = max((n for w, (n, _) in full.items() if w.startswith(p)), default=0)
         if 2 * best < prefix[p][0] and not any(p.startswith(s) for s in stems):
             stems[p] = prefix[p]
-    terms = {w: c for w, c in full.items() if not any(w.startswith(s) for s in stems)}
+    terms = dict(full)  # words under a stem too: misspelt ones are told by these
     terms |= stems
     if not terms:
         return Scorer(rate, {}, set(), {})
