@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, settle
@@ -39,12 +39,14 @@ SEED = 42
 SMALL = 48
 _CHUNK = 1 << 16
 #: Near copies: words a shingle and least similarity; bits of the wide fingerprint, and in how many of the 128 compared
-#: bits candidates may differ; nearest nodes looked at in large anchors; links a text that are checked at once.
+#: bits candidates may differ; nearest nodes looked at in large anchors; links a text that are checked first, and how many
+#: are checked at once.
 SIMILAR_WORDS = 5
 SIMILAR = 0.8
 WIDE = 256
-RADIUS = 32
+RADIUS = 28
 NEAREST = 4
+FIRST_LINKS = 2
 ALL_AT_ONCE = 8
 _BLOCK = 1024
 _WORDS_MOST = 150_000
@@ -348,8 +350,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     """(key, cls, component) for every row with a key: components of texts linked at a similarity of ``least`` of their shingle
     sets, named by a number; rows of equal shingle sets share ``cls``.
 
-    Candidate links are checked in rounds: while they are many, the nearest of each text only; links inside a component
-    found so far need no check any more. So a dense group of near copies is settled by few of its pairs. What is
+    Candidate links are checked in rounds: while they are many, the nearest few of each text only, four times as many
+    in each round; links inside a component found so far need no check any more. So a dense group of near copies is settled by few of its pairs. What is
     left, once it is little, is checked at once.
     """
     docs = docs.where(F.col(key).isNotNull())
@@ -364,15 +366,16 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     some = docs.join(ends.select(F.col("least").alias(key)).distinct(), key, "left_semi")
     sets = measured(some, key, text, words, sets=True).join(ends.select("cls", "node"), "cls").groupBy("node").agg(F.first("shingles").alias("s"))
     sets = settle(sets, "candidate-sets")
-    involved, links, roots = sets.count(), None, None
+    involved, links, roots, most = sets.count(), None, None, FIRST_LINKS
     while True:
         n = edges.count()
         if not n:
             break
         trial = edges
         if n > ALL_AT_ONCE * involved:
-            both = edges.select("u", "v", "far").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "far"))
-            nearest = both.groupBy("u").agg(F.min(F.struct("far", "v")).alias("m")).select("u", F.col("m.v").alias("v"))
+            both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "far"))
+            place = F.row_number().over(Window.partitionBy("u").orderBy("far", "v"))
+            nearest = both.withColumn("place", place).where(F.col("place") <= most)
             trial = settle(nearest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "nearest")
         pair = trial.join(sets.select(F.col("node").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
         common = F.size(F.array_intersect("a", "b"))
@@ -385,6 +388,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
         for end in ("u", "v"):
             left = left.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         edges = settle(left.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v", "far"), "candidates")
+        most *= 4
     named = nodes.select("cls", "node")
     named = named.withColumn("component", F.col("node")) if roots is None else named.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
     return own.select("key", "cls").join(named.select("cls", "component"), "cls").select(F.col("key").alias(key), "cls", "component")
