@@ -15,9 +15,10 @@ def _compatible(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFKC", t).lower().split()))
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+@F.udf(T.StringType(), useArrow=False)
+def _nfkc(t: str | None) -> str | None:
+    # By row: it is meant for few rows, where starting Arrow would take longer.
+    return None if t is None else unicodedata.normalize("NFKC", t)
 
 
 @F.pandas_udf(T.StringType())
@@ -81,4 +82,5 @@ def nfkc(text: Column) -> Column:
 def maybe_incompatible(text: Column) -> Column:
     """Whether a text has a character outside ASCII, accented Latin letters, dashes and quotes: only such texts can have
     another compatible form."""
-    return text.rlike("[^\\x00-\\x7F\u00C0-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u2013\u2014\u2018-\u201F]")
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return ~ascii_only & text.rlike("[^\\x00-\\x7F\u00C0-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u2013\u2014\u2018-\u201F]")

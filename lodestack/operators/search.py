@@ -9,8 +9,8 @@ title or an alias. Order: score, title, id; the first record of each (href, loca
 records only, 'all-with-legacy' every one, 'all' and a shelf's name take none that is legacy. A query of over 32
 different words is an error; an empty one finds nothing.
 
-Each record's words are cut down to those that were asked for before anything is shuffled: against all asked words at
-once where they are few, else by a join.
+Each record's words are cut down to those that were asked for before anything is shuffled: where few are asked, these
+are looked for, else the record's words are listed and joined to them.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ..functions.text import maybe_incompatible, nfkc
 
 MOST_WORDS = 32
-#: Different asked words up to which they are sent to all tasks as one list.
-FEW_WORDS = 2_000
+#: Different asked words up to which each is looked for in the records, with no list of a record's words.
+FEW_WORDS = 64
 
 
 def normalized(text: Column) -> Column:
@@ -34,14 +34,16 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
 
 
+def whole_word(column: str, word: str) -> Column:
+    """Whether a lower-case column holds a word of letters and digits that no letter or digit stands next to."""
+    return F.contains(F.col(column), F.lit(word)) & F.col(column).rlike(rf"{word}(?<![\p{{L}}\p{{N}}]{word})(?![\p{{L}}\p{{N}}])")
+
+
 def compatible_columns(df: DataFrame, *columns: str) -> DataFrame:
-    """The rows with the columns in Unicode's compatible form. Only rows with a character that has another one go
-    through Python."""
-    odd = F.lit(False)
-    for c in columns:
-        odd = odd | F.coalesce(maybe_incompatible(F.col(c)), F.lit(False))
-    plain, other = df.where(~odd), df.where(odd)
-    return plain.unionByName(other.withColumns({c: nfkc(F.col(c)) for c in columns}))
+    """The rows with the columns in Unicode's compatible form. Only texts with a character that may have another one are
+    handed to Python, nulls in place of all others."""
+    form = lambda c: F.coalesce(nfkc(F.when(maybe_incompatible(F.col(c)), F.col(c))), F.col(c))
+    return df.withColumns({c: form(c) for c in columns})
 
 
 def eligible(shelf: Column, legacy: Column, shelves: Column) -> Column:
@@ -66,15 +68,16 @@ def search(records: DataFrame, queries: DataFrame, limit: int = 50) -> DataFrame
         given(records, "shelves", none).alias("shelves"),
     )
     own = compatible_columns(own, "head", "text")
-    own = own.select("record_id", "title", "place", "legacy", "shelves", F.transform(F.split("head", mark), normalized).alias("titles"), tokens(F.col("head")).alias("h"), tokens(F.col("text")).alias("t"))
+    own = own.select("record_id", "title", "place", "legacy", "shelves", F.lower("head").alias("head"), F.lower("text").alias("text"))
     words = asked.select("query_id", F.explode("words").alias("word"))
     list_ = [r["word"] for r in words.select("word").distinct().limit(FEW_WORDS + 1).collect()]
-    kept = F.array_union("h", "t")
     if len(list_) <= FEW_WORDS:
-        kept = F.array_intersect(kept, F.array(*map(F.lit, list_)) if list_ else none)
-    own = own.withColumn("words", kept).where(F.size("words") > 0)
-    hit = own.select("record_id", "title", "place", "legacy", "shelves", "titles", F.explode("words").alias("word"), "h")
-    hit = hit.withColumn("in_title", F.array_contains("h", F.col("word")).cast("int")).drop("h").join(words, "word")
+        found = [F.when(whole_word("head", w), F.struct(F.lit(w).alias("word"), F.lit(1).alias("in_title"))).when(whole_word("text", w), F.struct(F.lit(w).alias("word"), F.lit(0).alias("in_title"))) for w in list_]
+        kept = F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<word:string,in_title:int>>")
+    else:
+        head = tokens(F.col("head"))
+        kept = F.transform(F.array_union(head, tokens(F.col("text"))), lambda w: F.struct(w.alias("word"), F.array_contains(head, w).cast("int").alias("in_title")))
+    hit = own.withColumn("titles", F.transform(F.split("head", mark), normalized)).select("record_id", "title", "place", "legacy", "shelves", "titles", F.inline(kept)).join(words, "word")
     found = hit.groupBy("query_id", "record_id").agg(
         F.count("*").alias("hits"), F.sum("in_title").alias("title_hits"), *[F.min(c).alias(c) for c in ("title", "place", "legacy", "shelves", "titles")]
     )

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as text_functions
+from ..operators import geo
+from ..operators import integrity as op
 from .registry import query, statement, table
 
 _S = "[[STRING||VARCHAR]]"
@@ -64,3 +66,36 @@ def unicode_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n, md5(text) AS md5, sha1(text) AS sha1 FROM documents")
 def content_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.char_length("text").cast("long").alias("n"), F.md5("text").alias("md5"), F.sha1("text").alias("sha1"))
+
+
+@query("""WITH d AS (SELECT doc_id AS file, sha256(text) AS h FROM documents), e AS (SELECT * FROM d WHERE file % 10 <> 0), a AS (SELECT file, CASE WHEN file % 6 = 0 THEN 'damaged' ELSE h END AS h FROM d WHERE file % 13 <> 0)
+SELECT file, 'MISSING' AS status FROM e WHERE file NOT IN (SELECT file FROM a) UNION ALL SELECT file, 'UNKNOWN' FROM a WHERE file NOT IN (SELECT file FROM e)
+UNION ALL SELECT file, CASE WHEN e.h = a.h THEN 'OK' ELSE 'FAILED' END FROM e JOIN a USING (file)""")
+def drive_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checksum manifest against files, some of which are missing, damaged or not listed."""
+    own = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), F.sha2("text", 256).alias("sha256"))
+    actual = own.where("file % 13 <> 0").withColumn("sha256", F.when(F.col("file") % 6 == 0, "damaged").otherwise(F.col("sha256")))
+    return op.verify(own.where("file % 10 <> 0"), actual)
+
+
+@query("""WITH b AS (SELECT * FROM supplier WHERE s_suppkey % 8 > 0), a AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal + CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END AS s_acctbal FROM supplier WHERE s_suppkey % 9 > 0)
+SELECT s_suppkey, 'added' AS change FROM a WHERE s_suppkey % 8 = 0 UNION ALL SELECT s_suppkey, 'removed' FROM b WHERE s_suppkey % 9 = 0 UNION ALL SELECT a.s_suppkey, 'changed' FROM a JOIN b USING (s_suppkey) WHERE a.s_acctbal <> b.s_acctbal""")
+def selection_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers added, removed or changed between two snapshots."""
+    own = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    after = own.where("s_suppkey % 9 > 0").withColumn("s_acctbal", F.col("s_acctbal") + F.when(F.col("s_suppkey") % 5 == 0, 1).otherwise(0))
+    return op.difference(own.where("s_suppkey % 8 > 0"), after, "s_suppkey")
+
+
+@query("""WITH target AS (SELECT n_nationkey AS id, n_nationkey % 5 * 20 AS x0, n_nationkey // 5 * 20 AS y0 FROM nation), sheet AS (SELECT s_suppkey * 7 % 97 AS x0, s_suppkey * 13 % 89 AS y0, s_suppkey % 6 + 2 AS w, s_suppkey % 4 + 3 AS h FROM supplier WHERE s_suppkey % 3 = 0),
+cell AS (SELECT id, x0 + i AS x, y0 + j AS y FROM target, (SELECT unnest(generate_series(0, 19)) AS i), (SELECT unnest(generate_series(0, 19)) AS j)),
+seen AS (SELECT DISTINCT id, x, y FROM cell JOIN sheet ON x >= sheet.x0 AND x < sheet.x0 + w AND y >= sheet.y0 AND y < sheet.y0 + h)
+SELECT cell.id AS region_id, CAST(count(*) - count(seen.id) AS DOUBLE) AS uncovered FROM cell LEFT JOIN seen ON seen.id = cell.id AND seen.x = cell.x AND seen.y = cell.y GROUP BY cell.id HAVING count(*) > count(seen.id)""")
+def uncovered_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area of each target box that no sheet covers, from the exact rectangles of its holes."""
+    n, s = F.col("n_nationkey"), F.col("s_suppkey")
+    x, y = (n % 5 * 20).cast("double"), (F.floor(n / 5) * 20).cast("double")
+    regions = table(spark, sf_dir, "nation").select(n.alias("region_id"), x.alias("x0"), y.alias("y0"), (x + 20).alias("x1"), (y + 20).alias("y1"))
+    x, y = (s * 7 % 97).cast("double"), (s * 13 % 89).cast("double")
+    sheets = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(s.alias("sheet_id"), x.alias("x0"), y.alias("y0"), (x + s % 6 + 2).alias("x1"), (y + s % 4 + 3).alias("y1"))
+    return geo.holes(regions, sheets).groupBy("region_id").agg(F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("uncovered"))

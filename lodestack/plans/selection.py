@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from .registry import statement
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import selection as op
+from .registry import query, statement, table
 
 _ASSET = """asset AS (
   SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic,
@@ -34,11 +38,11 @@ chosen AS (SELECT p_partkey FROM defaults UNION SELECT p_partkey FROM include EX
 member AS (SELECT DISTINCT l_suppkey, l_partkey FROM {lineitem})"""
 
 statement("selection_resolve", f"""WITH {_CHOICE},
-replaced AS (SELECT m.l_suppkey, m.l_partkey, count(*) AS replacers FROM member m JOIN member r ON r.l_suppkey = m.l_suppkey AND r.l_partkey = m.l_partkey + 1 GROUP BY 1, 2),
-kept AS (SELECT m.* FROM member m JOIN chosen ON p_partkey = m.l_partkey WHERE NOT EXISTS (SELECT 1 FROM replaced x WHERE x.l_suppkey = m.l_suppkey AND x.l_partkey = m.l_partkey))
-SELECT m.l_suppkey AS resource_id, count(*) AS members, count(k.l_partkey) AS selected, CAST(coalesce(sum(CASE WHEN k.l_partkey IS NOT NULL THEN p_size END), 0) AS BIGINT) AS known_bytes,
-  CASE WHEN count(k.l_partkey) = 0 THEN 'unresolved' WHEN count(k.l_partkey) < count(*) THEN 'partial' ELSE 'ready' END AS status
-FROM member m JOIN {{part}} p ON p.p_partkey = m.l_partkey LEFT JOIN kept k ON k.l_suppkey = m.l_suppkey AND k.l_partkey = m.l_partkey GROUP BY m.l_suppkey""")
+own AS (SELECT *, lead(l_partkey) OVER (PARTITION BY l_suppkey ORDER BY l_partkey) AS after FROM member),
+kept AS (SELECT m.l_suppkey, p.p_size, c.p_partkey IS NOT NULL AND coalesce(after <> m.l_partkey + 1, TRUE) AS kept FROM own m JOIN {{part}} p ON p.p_partkey = m.l_partkey LEFT JOIN chosen c ON c.p_partkey = m.l_partkey)
+SELECT l_suppkey AS resource_id, count(*) AS members, count(CASE WHEN kept THEN 1 END) AS selected, CAST(coalesce(sum(CASE WHEN kept THEN p_size END), 0) AS BIGINT) AS known_bytes,
+  CASE WHEN count(CASE WHEN kept THEN 1 END) = 0 THEN 'unresolved' WHEN count(CASE WHEN kept THEN 1 END) < count(*) THEN 'partial' ELSE 'ready' END AS status
+FROM kept GROUP BY l_suppkey""")
 
 statement("replacement_credit", f"""WITH {_CHOICE}, target AS (SELECT l_suppkey, CAST(sum(p_size) AS BIGINT) + 10 AS planned FROM member JOIN {{part}} ON p_partkey = l_partkey GROUP BY 1),
 credit AS (SELECT b.l_suppkey, CAST(sum(p_size) AS BIGINT) AS credit FROM member a JOIN member b ON b.l_partkey = a.l_partkey AND b.l_suppkey = a.l_suppkey + 1 JOIN {{part}} ON p_partkey = a.l_partkey GROUP BY 1)
@@ -81,3 +85,40 @@ statement("nulls_last_order", "SELECT d.doc_id, CAST(row_number() OVER (PARTITIO
 statement("policy_violations", f"""WITH {_ASSET}, rule(role, field, least) AS (VALUES ('critical', 'size', 300), ('ready', 'size', 100), ('unresolved', 'size', 20)),
 bad AS (SELECT doc_id, status AS role, 'too short' AS rule FROM asset JOIN rule ON role = status WHERE n_chars < least UNION ALL SELECT doc_id, status, 'blocked but reviewed' FROM asset WHERE status = 'blocked' AND quality = 1)
 SELECT role, rule, count(*) AS n, count(DISTINCT doc_id) AS failing, min(doc_id) AS sample FROM bad GROUP BY role, rule""")
+
+
+@query("""WITH picked AS (SELECT s_suppkey AS id FROM supplier WHERE (s_suppkey % 2 = 0 OR s_suppkey % 5 = 1) AND NOT (s_suppkey % 7 = 3 AND s_suppkey % 5 <> 1)),
+member AS (SELECT DISTINCT l_suppkey AS id, l_partkey AS asset FROM lineitem), taken AS (SELECT min(id) AS owner, asset FROM member WHERE asset % 9 = 0 GROUP BY asset),
+row_ AS (SELECT m.id, m.asset, p.p_size, p.p_size > 3 AS known, t.owner IS NOT NULL AND t.owner <> m.id AS gone FROM member m JOIN picked USING (id) LEFT JOIN part p ON p.p_partkey = m.asset LEFT JOIN (SELECT * FROM taken WHERE owner IN (SELECT id FROM picked)) t ON t.asset = m.asset),
+s AS (SELECT id, count(*) FILTER (WHERE NOT gone) AS members, count(*) FILTER (WHERE NOT gone AND known) AS resolved, coalesce(sum(p_size) FILTER (WHERE NOT gone AND known), 0) AS known_bytes, coalesce(sum(p_size) FILTER (WHERE gone), 0) AS credit_bytes FROM row_ GROUP BY id),
+w AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN 'partial' ELSE 'ready' END AS stated, CASE WHEN s_suppkey % 6 = 0 THEN 90000 ELSE 40000 + s_suppkey END AS target, coalesce(members, 0) AS members, coalesce(resolved, 0) AS resolved, CAST(coalesce(known_bytes, 0) AS BIGINT) AS known_bytes, CAST(coalesce(credit_bytes, 0) AS BIGINT) AS credit_bytes FROM supplier JOIN picked ON id = s_suppkey LEFT JOIN s USING (id))
+SELECT id AS resource_id, CASE WHEN members = 0 OR (resolved = 0 AND stated = 'ready') THEN 'unresolved' WHEN resolved < members AND stated = 'ready' THEN 'partial' ELSE stated END AS status, members, resolved, known_bytes, credit_bytes,
+CAST(target - credit_bytes AS BIGINT) AS adjusted_bytes, CAST(greatest(target - credit_bytes, known_bytes) AS BIGINT) AS effective_bytes FROM w""")
+def resource_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers are collections of the parts they deliver; some parts are replaced by the first supplier that has them."""
+    k = F.col("s_suppkey")
+    supplier, size = table(spark, sf_dir, "supplier").select(k), F.col("p_size").cast("long")
+    ids = lambda test: supplier.where(test).select(k.alias("resource_id"))
+    picked = op.chosen(ids(k % 2 == 0), ids(k % 5 == 1), ids((k % 7 == 3) & (k % 5 != 1)))
+    resources = supplier.select(k.alias("resource_id"), (k + 40000).cast("long").alias("target_bytes"), F.when(k % 3 == 0, "partial").otherwise("ready").alias("status"))
+    members = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("resource_id"), F.col("l_partkey").alias("asset_id")).distinct()
+    assets = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("asset_id"), size.alias("size_bytes"), (size > 3).alias("resolved"))
+    replacements = members.where("asset_id % 9 = 0").groupBy("asset_id").agg(F.min("resource_id").alias("resource_id"))
+    overrides = supplier.where(k % 6 == 0).select(k.alias("resource_id"), F.lit(90000).cast("long").alias("target_bytes"))
+    return op.resolve(resources, members, assets, picked, replacements, overrides)
+
+
+@query("""WITH a AS (SELECT n_chars AS size_bytes, CASE doc_id % 10 WHEN 0 THEN 'software' WHEN 1 THEN 'supporting' ELSE 'document' END AS role, doc_id % 4 > 0 AS direct FROM documents),
+s AS (SELECT CAST(sum(size_bytes) AS BIGINT) AS content_bytes, CAST(sum(size_bytes) FILTER (WHERE role = 'software') AS BIGINT) AS reader_bytes, CAST(sum(size_bytes) FILTER (WHERE role = 'supporting') AS BIGINT) AS supporting_bytes, CAST(sum(size_bytes) FILTER (WHERE role = 'document' AND direct) AS BIGINT) AS direct_bytes FROM a),
+p AS (SELECT n_name AS profile, CAST((n_nationkey + 1) * 200000 AS BIGINT) AS cap, 50000 AS reserve, 1000 AS disc, CASE WHEN n_nationkey % 3 > 0 THEN 1000000 END AS low, CASE WHEN n_nationkey % 3 > 0 THEN 1000000 * n_nationkey END AS high FROM nation)
+SELECT profile, content_bytes, reader_bytes, supporting_bytes, direct_bytes, content_bytes - reader_bytes - supporting_bytes AS knowledge_bytes, content_bytes + disc AS final_bytes, (content_bytes - reader_bytes - supporting_bytes) * 100 // cap AS utilization_percent,
+greatest(0, coalesce(low, 0) - (content_bytes - reader_bytes - supporting_bytes)) AS shortfall_bytes, CASE WHEN low IS NULL THEN 'not-specified' WHEN content_bytes - reader_bytes - supporting_bytes < low THEN 'below-target' WHEN content_bytes - reader_bytes - supporting_bytes > high THEN 'above-target' ELSE 'in-range' END AS target_window, content_bytes + disc + reserve <= cap AS fits FROM s, p""")
+def capacity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, n = F.col("doc_id"), F.col("n_nationkey")
+    assets = table(spark, sf_dir, "documents").select(F.col("n_chars").alias("size_bytes"), F.when(d % 10 == 0, "software").when(d % 10 == 1, "supporting").otherwise("document").alias("role"), (d % 4 > 0).alias("direct"))
+    bytes_ = lambda c: c.cast("long")
+    profile = table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("profile"), bytes_((n + 1) * 200000).alias("capacity_bytes"), bytes_(F.lit(50000)).alias("reserve_bytes"), bytes_(F.lit(1000)).alias("discovery_bytes"),
+        F.when(n % 3 > 0, bytes_(F.lit(1000000))).alias("floor_bytes"), F.when(n % 3 > 0, bytes_(n * 1000000)).alias("ceiling_bytes"),
+    )
+    return op.capacity(assets, profile)

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 
 def tumbling(events: DataFrame, width: str = "1 day", late: str = "2 days") -> DataFrame:
     """Counts for each window and event type of a stream; state older than the watermark is dropped."""
@@ -22,11 +24,17 @@ def stream_of(spark: SparkSession, path: str) -> DataFrame:
 
 
 def daily_counts(spark: SparkSession, path: str) -> DataFrame:
-    """All windows counted by a stream that ends when every file is read (complete mode, so open windows count)."""
-    name = f"daily_{uuid.uuid4().hex}"
-    run = tumbling(stream_of(spark, path)).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    """All windows counted by a stream that ends when every file is read (complete mode, so open windows count). Each
+    micro-batch replaces the written table, so a batch that is replayed does too."""
+    folder = f"{checkpoint_root(spark)}/daily-{uuid.uuid4().hex}"
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/table")
+
+    counts = tumbling(stream_of(spark, path)).select(F.unix_timestamp("window.start").alias("day_start"), "event_type", "n")
+    run = counts.writeStream.outputMode("complete").foreachBatch(save).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.table(name).select(F.unix_timestamp("window.start").alias("day_start"), "event_type", "n")
+    return spark.read.schema("day_start long, event_type string, n long").parquet(f"{folder}/table")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 days") -> DataFrame:
