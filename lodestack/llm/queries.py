@@ -55,6 +55,11 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op7_fingerprints`` that SQL can state."""
+    return op7_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
@@ -71,9 +76,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, scorer).select("doc_id", held, "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_pieces, op3_language, op4_quality, op5_secrets, op6_rendered_text, op7_fingerprints, op8_near_duplicates, op9_warc, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_pieces, op3_language, op4_quality, op5_secrets, op6_rendered_text, op7_fingerprints, op8_near_duplicates, op9_warc, op10_toxicity, edited_texts)}
 
 ORACLE_SQL: dict[str, str] = {
+    "edited_texts": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+e AS (SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS after FROM d)
+SELECT doc_id, n_chars, sha256(concat(left(text, CAST(n_chars - n_chars // 2 AS INT)), left(after, CAST(n_chars // 2 AS INT)))) AS edited_sha256 FROM e
+""",
     "op9_warc": """
 WITH p AS (
   SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
