@@ -46,8 +46,8 @@ SIMILAR = 0.8
 WIDE = 256
 RADIUS = 28
 NEAREST = 4
-FIRST_LINKS = 2
-ALL_AT_ONCE = 8
+FIRST_LINKS = 8
+ALL_AT_ONCE = 32
 _BLOCK = 1024
 _WORDS_MOST = 150_000
 _FP = [f"f{i}" for i in range(WIDE // 64)]
@@ -192,10 +192,14 @@ def links(fps: DataFrame) -> DataFrame:
     return at.mapInPandas(compare, "u long, v long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node on an edge (u, v): alternating large-star and small-star until nothing changes."""
-    edges, before = settle(edges, "edges"), None
-    while True:
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, root) of every node on an edge (u, v): alternating large-star and small-star until nothing changes.
+
+    After ``most`` rounds, if given, roots are other nodes of the component, but not all the least one.
+    """
+    edges, before, n = settle(edges, "edges"), None, 0
+    while n != most:
+        n += 1
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -204,8 +208,9 @@ def components(edges: DataFrame) -> DataFrame:
         edges = settle(small.union(least.select("u", F.col("m").alias("v"))).where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            break
         before = now
+    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -261,7 +266,10 @@ class Words:
 
 
 def measured(docs: DataFrame, key: str, text: str, words: int, sets: bool = False) -> DataFrame:
-    """(key, cls, f0 to f3), or (key, cls, shingles) with ``sets``: ``cls`` is equal for equal sets of shingles."""
+    """(key, cls, f0 to f3), or (key, cls, shingles) with ``sets``: ``cls`` is equal for equal sets of shingles.
+
+    Of the sets half of each hash is kept: two of a text's n shingles are taken for one with a chance of n / 2 ** 32 each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
@@ -270,14 +278,15 @@ def measured(docs: DataFrame, key: str, text: str, words: int, sets: bool = Fals
                 part = batch.slice(i, 256)
                 found = [known.measure(t, words) for t in part.column(1).to_pylist()]
                 if sets:
-                    ends = pa.array(np.r_[0, np.cumsum([len(x) for *_, x in found])].astype(np.int32))
-                    own = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x for *_, x in found])))]
+                    own = [np.unique((x >> 32).astype(np.int32)) for *_, x in found]
+                    ends = pa.array(np.r_[0, np.cumsum(list(map(len, own)))].astype(np.int32))
+                    own = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(own)))]
                 else:
                     own = [pa.array(f) for f in np.array([f for _, f, _ in found], np.int64).reshape(-1, WIDE // 64).T]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c for c, *_ in found], pa.binary()), *own], names=["key", "cls", *(["shingles"] if sets else _FP)])
 
     kind = dict(docs.dtypes)[key]
-    rest = "shingles array<long>" if sets else ", ".join(f"{f} long" for f in _FP)
+    rest = "shingles array<int>" if sets else ", ".join(f"{f} long" for f in _FP)
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, cls binary, {rest}")
 
 
@@ -350,9 +359,9 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     """(key, cls, component) for every row with a key: components of texts linked at a similarity of ``least`` of their shingle
     sets, named by a number; rows of equal shingle sets share ``cls``.
 
-    Candidate links are checked in rounds: while they are many, the nearest few of each text only, four times as many
-    in each round; links inside a component found so far need no check any more. So a dense group of near copies is settled by few of its pairs. What is
-    left, once it is little, is checked at once.
+    Candidate links are checked in rounds: while they are many, the nearest few of each text only, sixteen times as
+    many in each round; links inside a component found so far need no check any more. So a dense group of near copies is
+    settled by few of its pairs. What is left, once it is little, is checked at once.
     """
     docs = docs.where(F.col(key).isNotNull())
     own = settle(measured(docs, key, text, words), "shingle-classes")
@@ -366,7 +375,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     some = docs.join(ends.select(F.col("least").alias(key)).distinct(), key, "left_semi")
     sets = measured(some, key, text, words, sets=True).join(ends.select("cls", "node"), "cls").groupBy("node").agg(F.first("shingles").alias("s"))
     sets = settle(sets, "candidate-sets")
-    involved, links, roots, most = sets.count(), None, None, FIRST_LINKS
+    involved, links, most = sets.count(), None, FIRST_LINKS
     while True:
         n = edges.count()
         if not n:
@@ -381,16 +390,18 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
         common = F.size(F.array_intersect("a", "b"))
         good = settle(pair.where(common >= F.lit(least) * (F.size("a") + F.size("b") - common)).select("u", "v"), "links")
         links = good if links is None else links.union(good)
-        roots = settle(components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "roots")
         if n <= ALL_AT_ONCE * involved:
             break
+        roots = settle(components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), 2), "roots")
         left = edges.join(trial, ["u", "v"], "left_anti")
         for end in ("u", "v"):
             left = left.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         edges = settle(left.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v", "far"), "candidates")
-        most *= 4
-    named = nodes.select("cls", "node")
-    named = named.withColumn("component", F.col("node")) if roots is None else named.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
+        most *= 16
+    named = nodes.select("cls", "node").withColumn("component", F.col("node"))
+    if links is not None:
+        roots = components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+        named = nodes.select("cls", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
     return own.select("key", "cls").join(named.select("cls", "component"), "cls").select(F.col("key").alias(key), "cls", "component")
 
 
