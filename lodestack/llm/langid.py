@@ -8,7 +8,9 @@ A language contains an n-gram if it makes up at least ``FLOOR`` of the language'
 of its greatest rate in any language; at most 1 / FLOOR n-grams of a language can pass, which bounds the filter.
 
 Defined results: texts that are null or have no letter get ``und`` and 0; rows without a language teach nothing;
-a text none of whose n-grams is known gets the commonest learned language and 0; nothing learned gives ``und``.
+a text none of whose n-grams is known gets the commonest learned language and 0; nothing learned gives ``und``; languages
+that tie are taken in the order of what was learned, the commonest first; very long texts are read whole, in blocks;
+existing lang_pred and score columns are replaced.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ All of it is built from DataFrame functions: no Python runs on the executors.
 
 Defined results: a null text is empty; an empty text has a fingerprint of zeros, 1 against another empty text
 and 0 against any other; a text of fewer than five words is a single shingle; equal texts get equal
-fingerprints. Rows with a null key sort last; rows with equal keys sort by text.
+fingerprints. Rows with a null key sort last; rows with equal keys sort by text. Very long texts are read whole; only the
+key and the text are read, whatever other columns are called.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ a batch holds and that are not remembered are built and searched together, on ar
 reversed pieces from every position at once, paths position by position over all cuts.
 
 Defined results: a null text has null ids; an empty text has none; a text with a literal ▁ decodes to a blank there,
-as it does in the library, and has round_trip false; any other text decodes to itself. Models with user-defined
+as it does in the library, and has round_trip false; any other text decodes to itself. Repeated rows stay repeated, very long texts are encoded whole, and
+of other columns none is read. Models with user-defined
 pieces, without byte fallback or with another normaliser than identity are refused.
 """
 

@@ -6,7 +6,8 @@ that towards a multiple of the identity; the score is the difference of log dens
 distances under the cached Cholesky factors, turned into a probability by a logistic fit on binned differences.
 
 Defined results: a null text is empty and has all statistics zero; null labels are not learned from; with no
-labels, or none of one class, every score is the share of label 1 (0.5 without labels).
+labels, or none of one class, every score is the share of label 1 (0.5 without labels); equal texts get equal scores;
+very long texts are measured whole; existing columns of the names given for the outputs are replaced.
 """
 
 from __future__ import annotations

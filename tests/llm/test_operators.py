@@ -289,7 +289,7 @@ def test_quality_learns_and_handles_edges(spark, docs):
     model = quality.fit(df.join(labels, "doc_id"), "quality")
     scores = {r["doc_id"]: r["score"] for r in quality.scored(df.drop("score"), model).collect()}
     assert np.mean([(scores[i] >= 0.3) == (i < 1000) for i in scores]) > 0.98
-    edge = quality.scored(quality.with_statistics(docs(edge_rows()).drop("score"), out="stats"), model).collect()
+    edge = quality.scored(quality.with_statistics(docs(edge_rows()), out="stats"), model).collect()
     assert len(edge) == 10 and all(0 <= r["score"] <= 1 for r in edge)
     empty = quality.fit(df.join(labels.where("false"), "doc_id"), "quality")
     assert {r["score"] for r in quality.scored(df.drop("score"), empty).collect()} == {0.5}
@@ -304,7 +304,7 @@ def test_language_identification(spark, docs):
     tests = [(i, make(k, 20)) for i, k in enumerate(list(parts) * 20)]
     got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs(tests), filters).collect()}
     assert np.mean([got[i] == list(parts)[i % 3] for i in got]) > 0.97
-    edge = {r["doc_id"]: r for r in langid.identify(docs([*edge_rows(), (20, "123 !"), (21, "漢")]).drop("score"), filters).collect()}
+    edge = {r["doc_id"]: r for r in langid.identify(docs([*edge_rows(), (20, "123 !"), (21, "漢")]), filters).collect()}
     assert edge[2]["lang_pred"] == edge[3]["lang_pred"] == edge[20]["lang_pred"] == "und"
     assert edge[21]["lang_pred"] in parts and all(0 <= r["score"] <= 1 for r in edge.values())
     assert {r["lang_pred"] for r in langid.identify(docs(edge_rows()), langid.learn(train.where("false"))).collect()} == {"und"}
@@ -349,7 +349,7 @@ def test_toxicity_learns_terms_and_misspellings(spark, docs):
         labels.append((i, int(i % 5 == 0)))
     table = spark.createDataFrame(labels, "doc_id long, toxic int")
     scorer = toxicity.learn(docs(rows), table)
-    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs([(1, "you nitwit"), (2, "you nitwti dreadfull"), (3, words(rng, 30)), (4, None), (5, "")]).drop("score"), scorer).collect()}
+    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs([(1, "you nitwit"), (2, "you nitwti dreadfull"), (3, words(rng, 30)), (4, None), (5, "")]), scorer).collect()}
     assert scores[1] > 0.7 and scores[2] > 0.7 and max(scores[i] for i in (3, 4, 5)) < 0.3
     none = toxicity.learn(docs(rows), table.where("false"))
     assert none.score("anything") == 0.0
