@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fill_in_middle, filter_audit, html_text, langid, minhash, piece_fst, quality, secret_ledger, simhash, toxicity, warc_archive
+from . import decontaminate, fill_in_middle, filter_audit, html_text, jaccard_join, langid, minhash, piece_fst, quality, secret_ledger, simhash, toxicity, warc_archive
 from .common import fold, labelled, settle, shared_root, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, scorer).select("doc_id", held, "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_in_middle.transformed(table(spark, sf_dir, "documents")).withColumn("restored", fill_in_middle.restored())
     return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
@@ -85,7 +89,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_pieces, op3_language, op4_quality, op5_secrets, op6_rendered_text, op7_fingerprints, op8_near_duplicates, op9_warc, op10_toxicity, op12_fill_in_middle, op13_filter_audit, edited_texts)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_pieces, op3_language, op4_quality, op5_secrets, op6_rendered_text, op7_fingerprints, op8_near_duplicates, op9_warc, op10_toxicity, op11_ngram_join, op12_fill_in_middle, op13_filter_audit, edited_texts)}
 
 ORACLE_SQL: dict[str, str] = {
     "edited_texts": """
