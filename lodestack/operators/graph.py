@@ -62,3 +62,27 @@ def tree_paths(nodes: DataFrame, sep: str = "/") -> DataFrame:
         front = nodes.join(above, "parent").select("id", (F.col("depth") + 1).alias("depth"), F.concat("above", F.lit(sep), "title").alias("path")).checkpoint()
         found = found.union(front)
     return found
+
+
+def available(items: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, stays) of every item (id, present, whole) after losses spread both ways, at any depth.
+
+    ``members`` has (id, package); a package may be a member itself. A member goes with its package, and a package that
+    is only good ``whole`` goes with any of its members; a package that is not an item is a loss too.
+    """
+    down = members.select("id", F.col("package").alias("need"))
+    up = members.join(items.where("whole").select(F.col("id").alias("package")), "package", "left_semi").select(F.col("package").alias("id"), F.col("id").alias("need"))
+    kept = prune(items.select("id", F.col("present").alias("available")), down.union(up))
+    return items.select("id").join(kept.select("id", F.lit(True).alias("stays")), "id", "left").fillna(False, ["stays"])
+
+
+def downgraded(chosen: DataFrame, items: DataFrame, stays: DataFrame) -> DataFrame:
+    """One row for each collection of ``chosen`` (collection, id, status): what is left of it.
+
+    A ready collection that has lost members is partial, and unresolved if it has none left. items has (id, size_bytes).
+    """
+    own = chosen.join(items.select("id", "size_bytes"), "id", "left").join(stays, "id", "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
+    sums = own.groupBy("collection", "status").agg(F.count("*").alias("members"), F.count_if("stays").alias("left"), F.coalesce(F.sum(F.when(F.col("stays"), F.col("size_bytes"))), F.lit(0)).alias("known_bytes"))
+    lost = F.col("left") < F.col("members")
+    status = F.when(lost, F.when(F.col("left") > 0, "partial").otherwise("unresolved")).otherwise(F.col("status"))
+    return sums.select("collection", "members", "left", "known_bytes", status.alias("status"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import graph, ranking
+from ..operators import graph, order, ranking
 from ..operators.crawl import crawl
 from .registry import query, statement, table
 
@@ -111,3 +111,102 @@ def dependency_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     member = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_linenumber", "l_partkey")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") > 3).alias("available"))
     return graph.prune(member.join(part, "l_partkey").select("id", "available"), member.where("l_linenumber > 1").select("id", (F.col("id") - 1).alias("need"))).select("id")
+
+
+@query("""WITH RECURSIVE dep(id, need) AS (SELECT p_partkey, p_partkey // 2 FROM part WHERE p_partkey > 0 UNION SELECT p_partkey, p_partkey // (3 + p_size % 5) FROM part WHERE p_partkey > 0),
+walk(id, level) AS (SELECT CAST(0 AS BIGINT), 0 UNION SELECT dep.id, walk.level + 1 FROM walk JOIN dep ON dep.need = walk.id)
+SELECT id, CAST(max(level) AS INT) AS level FROM walk GROUP BY id""")
+def dependency_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part needs two others; its level is its longest way down."""
+    part = table(spark, sf_dir, "part").where("p_partkey > 0")
+    edges = part.select(F.col("p_partkey").alias("src"), F.expr("p_partkey DIV 2").alias("dst")).union(part.select("p_partkey", F.expr("p_partkey DIV (3 + p_size % 5)")))
+    return order.levels(edges)[0].withColumnRenamed("node", "id")
+
+
+_LOOPS = """WITH RECURSIVE dep(id, need) AS (SELECT p_partkey, p_partkey - 1 FROM part WHERE p_partkey % 4 > 0 UNION ALL SELECT p_partkey, p_partkey + 3 FROM part WHERE p_partkey % 4 = 0 AND p_size % 3 = 0 AND p_partkey + 3 IN (SELECT p_partkey FROM part)
+  UNION ALL SELECT p_partkey, p_partkey // 16 FROM part WHERE p_partkey % 4 = 3 AND p_partkey >= 16),
+ring AS (SELECT d.id + k AS id FROM dep d, range(4) r(k) WHERE d.need = d.id + 3),
+bad(id) AS (SELECT id FROM ring UNION SELECT dep.id FROM bad JOIN dep ON dep.need = bad.id),
+nxt AS (SELECT dep.id, min(dep.need) AS need FROM dep WHERE dep.id IN (SELECT id FROM bad) AND dep.need IN (SELECT id FROM bad) GROUP BY dep.id),
+walk(id, spot, n) AS (SELECT id, need, 1 FROM nxt UNION ALL SELECT walk.id, nxt.need, n + 1 FROM walk JOIN nxt ON nxt.id = walk.spot WHERE n < 80),
+into_ AS (SELECT id, min(spot) AS cycle FROM walk WHERE n >= 60 GROUP BY id),
+way AS (SELECT id AS cycle, spot, n FROM walk WHERE id IN (SELECT cycle FROM into_)),
+len AS (SELECT cycle, min(n) AS length FROM way WHERE spot = cycle GROUP BY cycle)
+SELECT len.cycle, CAST(length AS BIGINT) AS length, concat_ws(' ', CAST(len.cycle AS VARCHAR), string_agg(CASE WHEN way.n < length THEN CAST(way.spot AS VARCHAR) END, ' ' ORDER BY way.n)) AS nodes, (SELECT count(*) FROM into_ i WHERE i.cycle = len.cycle) AS kept_back
+FROM len JOIN way ON way.cycle = len.cycle AND way.n <= length GROUP BY len.cycle, length"""
+
+
+@query(_LOOPS)
+def cycle_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts in blocks of four need the one before; some blocks close to a ring, and their last parts need older blocks."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("p"), "p_size")
+    closing = part.where("p % 4 = 0 AND p_size % 3 = 0").select(F.col("p").alias("src"), (F.col("p") + 3).alias("dst"))
+    edges = part.where("p % 4 > 0").select(F.col("p").alias("src"), (F.col("p") - 1).alias("dst")).union(closing.join(part.select(F.col("p").alias("dst")), "dst").select("src", "dst"))
+    edges = edges.union(part.where("p % 4 = 3 AND p >= 16").select("p", F.expr("p DIV 16")))
+    witness, back = order.cycles(order.levels(edges)[1])
+    counts = back.groupBy("cycle").agg(F.count("*").alias("kept_back"))
+    return witness.join(counts, "cycle").select("cycle", "length", F.array_join("nodes", " ").alias("nodes"), "kept_back")
+
+
+_DUPLICATES = """WITH RECURSIVE o AS (SELECT o_orderkey AS id, o_orderstatus AS s, o_orderpriority AS p, o_orderdate AS day, lag(o_orderkey) OVER w AS before, lead(o_orderkey) OVER w AS after, lead(o_orderstatus) OVER w AS after_s, o_custkey AS c FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+link AS (SELECT id, before AS target FROM o WHERE s <> 'F' AND before IS NOT NULL UNION SELECT id, id - 1 FROM o WHERE p = '1-URGENT' AND id % 3 = 0 AND id > 0 UNION SELECT id, after FROM o WHERE s = 'F' AND c % 40 = 0 AND after_s <> 'F'),
+t AS (SELECT id, min(target) AS target, count(*) AS n FROM link GROUP BY id),
+walk(id, spot, n) AS (SELECT id, id, 0 FROM o UNION ALL SELECT walk.id, t.target, walk.n + 1 FROM walk JOIN t ON t.id = walk.spot WHERE t.n = 1 AND walk.n < 200),
+fin AS (SELECT w.id, w.spot, w.n, CASE WHEN w.n >= 200 THEN 'cycle' WHEN t.n > 1 THEN 'several targets' END AS problem FROM (SELECT id, max(n) AS n, arg_max(spot, n) AS spot FROM walk GROUP BY id) w LEFT JOIN t ON t.id = w.spot)"""
+
+
+def _order_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders that are not settled repeat their customer's order before; some urgent ones name another too, and some
+    settled ones name the next, which makes rings."""
+    by = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority", "o_orderdate", "o_custkey", F.lag("o_orderkey").over(by).alias("before"), F.lead("o_orderkey").over(by).alias("after"), F.lead("o_orderstatus").over(by).alias("after_s"))
+    links = o.where("o_orderstatus <> 'F' AND before IS NOT NULL").select("id", F.col("before").alias("target"))
+    links = links.union(o.where("o_orderpriority = '1-URGENT' AND id % 3 = 0 AND id > 0").select("id", F.col("id") - 1))
+    return links.union(o.where("o_orderstatus = 'F' AND o_custkey % 40 = 0 AND after_s <> 'F'").select("id", "after")), o
+
+
+@query(f"""{_DUPLICATES} SELECT id, CASE WHEN problem IS NULL THEN spot END AS canonical, CASE WHEN problem IS NULL THEN CAST(n AS BIGINT) END AS steps, problem FROM fin""")
+def canonical_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links, orders = _order_links(spark, sf_dir)
+    return order.canonical(links, orders)
+
+
+@query(f"""{_DUPLICATES} SELECT spot AS canonical, count(*) AS aliases, CAST(max(n) AS BIGINT) AS longest, bool_or(year(day) < 1996) AS legacy FROM fin JOIN o ON o.id = fin.id WHERE problem IS NULL GROUP BY spot""")
+def canonical_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A canonical order is legacy if one that leads to it is."""
+    links, orders = _order_links(spark, sf_dir)
+    found = order.canonical(links, orders).where("problem IS NULL").join(orders.select("id", (F.year("o_orderdate") < 1996).alias("old")), "id")
+    return found.groupBy("canonical").agg(F.count("*").alias("aliases"), F.max("steps").alias("longest"), F.max("old").alias("legacy"))
+
+
+@query("""WITH RECURSIVE node AS (SELECT p_partkey AS id, p_name AS title FROM part WHERE p_size % 7 > 0),
+up AS (SELECT a.id, coalesce(b.id, c.id) AS parent, a.title FROM node a LEFT JOIN node b ON b.id = a.id // 2 AND a.id > 0 LEFT JOIN node c ON c.id = a.id // 3 AND a.id > 0),
+walk(id, spot, depth, trail) AS (SELECT id, parent, 0, title FROM up UNION ALL SELECT walk.id, up.parent, depth + 1, concat(up.title, ' > ', trail) FROM walk JOIN up ON up.id = walk.spot)
+SELECT w.id, CAST(w.depth AS BIGINT) AS depth, w.trail FROM walk w WHERE w.spot IS NULL""")
+def canonical_breadcrumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts have two parents each and some are hidden; the trail goes over the first visible parent, by position."""
+    part = table(spark, sf_dir, "part")
+    nodes = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), (F.col("p_size") % 7 > 0).alias("visible"))
+    above = part.where("p_partkey > 0").select(F.col("p_partkey").alias("id"), F.posexplode(F.array(F.expr("p_partkey DIV 2"), F.expr("p_partkey DIV 3"))).alias("position", "parent"))
+    return order.breadcrumbs(nodes, above).select("id", "depth", "trail")
+
+
+@query("""WITH line AS (SELECT l_orderkey, bool_and(p_size % 17 > 0) AS present, CAST(sum(floor(l_extendedprice)) AS BIGINT) AS bytes FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey),
+o AS (SELECT o_orderkey, o_custkey, o_totalprice < 400000 AND NOT (o_orderpriority = '1-URGENT' AND coalesce(bool_or(NOT present), false)) AS good FROM orders LEFT JOIN line ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_totalprice, o_orderpriority),
+c AS (SELECT c_custkey, c_nationkey, c_acctbal > -900 AND NOT (c_mktsegment = 'BUILDING' AND coalesce(bool_or(NOT good), false)) AS good FROM customer LEFT JOIN o ON o_custkey = c_custkey GROUP BY c_custkey, c_nationkey, c_acctbal, c_mktsegment),
+m AS (SELECT c_nationkey, bytes, present AND o.good AND c.good AS stays FROM line JOIN o ON o_orderkey = l_orderkey JOIN c ON c_custkey = o_custkey)
+SELECT c_nationkey AS collection, count(*) AS members, count(CASE WHEN stays THEN 1 END) AS "left", CAST(coalesce(sum(CASE WHEN stays THEN bytes END), 0) AS BIGINT) AS known_bytes,
+  CASE WHEN count(CASE WHEN stays THEN 1 END) = count(*) THEN 'ready' WHEN count(CASE WHEN stays THEN 1 END) > 0 THEN 'partial' ELSE 'unresolved' END AS status FROM m GROUP BY 1""")
+def available_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines are members of orders and orders of customers; urgent orders and builders' accounts are good only whole."""
+    line, orders, customer, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part"))
+    key = lambda letter, *columns: F.concat_ws("-", F.lit(letter), *[F.col(c).cast("string") for c in columns])
+    line = line.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey").withColumn("id", key("l", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    lines = line.groupBy("id", "l_orderkey").agg(F.min(F.col("p_size") % 17 > 0).alias("present"), F.sum(F.floor("l_extendedprice")).alias("size_bytes"))
+    packages = orders.select(key("o", "o_orderkey").alias("id"), (F.col("o_totalprice") < 400000).alias("present"), (F.col("o_orderpriority") == "1-URGENT").alias("whole"))
+    accounts = customer.select(key("c", "c_custkey").alias("id"), (F.col("c_acctbal") > -900).alias("present"), (F.col("c_mktsegment") == "BUILDING").alias("whole"))
+    members = lines.select("id", key("o", "l_orderkey").alias("package")).union(orders.select(key("o", "o_orderkey"), key("c", "o_custkey")))
+    stays = graph.available(lines.select("id", "present", F.lit(False).alias("whole")).union(packages).union(accounts), members)
+    owner = orders.join(customer, F.col("c_custkey") == F.col("o_custkey")).select(F.col("o_orderkey").alias("l_orderkey"), F.col("c_nationkey").alias("collection"))
+    chosen = lines.join(owner, "l_orderkey").select("collection", "id", F.lit("ready").alias("status"))
+    return graph.downgraded(chosen, lines, stays)
