@@ -8,14 +8,15 @@ hash. Rarity is read off counts of all documents' shingles in ``BUCKETS`` bucket
 corpus; an order need not be exact, only the same for all.
 
 Sets, not rows, are joined: rows of equal sets are one node. A prefix shingle's list of nodes may be long, so its pairs
-are not all made. In rounds, a few nodes of each list and range of sizes are tried against the list, and what they link
-is one component from then on; nodes so tried leave the list, and a list inside one component is done. Once the pairs
-that lie between components are few beside the lists, they are all tried. No candidate is left out.
+are not all made. In rounds, a few nodes of each list and range of sizes are tried against the list, first each node with the one that it
+meets most often, and what is linked is one component from then on; nodes so tried leave the list, and a list inside one
+component is done. Once the pairs that lie between components are few beside the lists, they are all tried. No candidate
+is left out.
 
 Defined results: a null text is empty; a text without words has an empty set and is linked with nothing, other rows like
 it included; fewer words than a shingle's are one shingle; rows of equal sets are linked whatever their keys; repeated
 rows stay repeated; rows with a null key get the least key of their component, null where there is none; very long texts
-are read whole; of other columns none is read. Shingles are told apart by 64-bit hashes, and sets by 128-bit ones.
+are read whole; of other columns none is read. Shingles are told apart by 48 bits of hashes within a pair, sets by 128.
 """
 
 from __future__ import annotations
@@ -43,6 +44,11 @@ _WORDS_MOST = 150_000
 _SETS_MOST = 100_000
 #: A list's pairs between components are all tried once they are at most so many a row, over all lists.
 ALL_AT_ONCE = 8
+#: Shingles of buckets with so many times the mean count are not dealt by themselves: their lists may be too long for a task.
+HOT = 64
+#: Bytes of each shingle's hash by which sets are compared: a pair of n shingles each is given one too many in common with
+#: a chance of n * n / 2 ** 48.
+_BYTES = 6
 #: Bits of the filter that keeps documents of no candidate from being read again; its words are that many rows.
 _FILTER_WORDS = 1 << 16
 
@@ -97,12 +103,18 @@ def _pieces(df: DataFrame) -> DataFrame:
     return df.repartition(min(_PIECES, partitions(df.sparkSession)), "piece").mapInArrow(add, "piece int, steps binary")
 
 
-def measured(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, np.ndarray]:
-    """(key, cls, n) of every row, ``cls`` equal for equal sets; and the rarity of each bucket of shingles."""
+def _halves(shingles: np.ndarray) -> tuple[int, int]:
+    """Signed halves of a set's digest."""
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64).tolist())
+
+
+def measured(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, np.ndarray, int]:
+    """(key, hi, lo, n) of every row, ``hi`` and ``lo`` equal for equal sets; the rarity of each bucket of shingles, and from
+    which rarity on shingles are hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts, waiting = Shingles(words), np.zeros(BUCKETS, np.int64), []
-        names = ["key", "cls", "n", "piece", "counts"]
+        names, kind = ["key", "hi", "lo", "n", "piece", "counts"], None
 
         def count() -> None:
             nonlocal waiting, counts
@@ -110,7 +122,6 @@ def measured(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFram
                 counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
             waiting = []
 
-        kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
             for i in range(0, batch.num_rows, 256):
@@ -119,26 +130,28 @@ def measured(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFram
                 waiting += [(x >> np.uint64(44)).astype(np.int64) for x in sets]
                 if sum(map(len, waiting)) > BUCKETS:
                     count()
-                m, cls = part.num_rows, [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(cls, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+                m, own = part.num_rows, [(*_halves(x), len(x)) for x in sets]
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, pa.int64()) for c in zip(*own, strict=True)], pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
         count()
         used = [i for i in range(_PIECES) if counts[i * _PIECE : (i + 1) * _PIECE].any()]
         if used:
             own = [counts[i * _PIECE : (i + 1) * _PIECE].tobytes() for i in used]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), kind), pa.nulls(len(used), pa.binary()), pa.nulls(len(used), pa.int64()), pa.array(used, pa.int32()), pa.array(own, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), kind), *[pa.nulls(len(used), pa.int64())] * 3, pa.array(used, pa.int32()), pa.array(own, pa.binary())], names=names)
 
     kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, cls binary, n long, piece int, counts binary")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, hi long, lo long, n long, piece int, counts binary")
     rows = settle(rows, "shingle-sets")
+    own = rows.where("piece IS NULL").select("key", "hi", "lo", "n")
     rarity = np.zeros(BUCKETS, np.uint8)
     for r in _pieces(rows.where("piece IS NOT NULL").select("piece", "counts")).collect():  # one byte a bucket
         rarity[r["piece"] * _PIECE : (r["piece"] + 1) * _PIECE] = np.frombuffer(bytes(r["steps"]), np.uint8)
-    return rows.where("piece IS NULL").select("key", "cls", "n"), rarity
+    mean = (own.agg(F.sum("n")).first()[0] or 0) / BUCKETS
+    return own, rarity, int(4 * np.log2(HOT * (mean + 1)))
 
 
-def prefixes(docs: DataFrame, text: str, words: int, percent: int, rarity: np.ndarray) -> DataFrame:
-    """(cls, n, p0, p1, ...): the prefixes of each set under all orders, those after the first as 16 bits a shingle, for
-    they only have to show that nothing is shared. Sets may come several times."""
+def prefixes(docs: DataFrame, text: str, words: int, percent: int, rarity: np.ndarray, hot: int, second: set[tuple[int, int]]) -> DataFrame:
+    """(node, n, p0, hot, p1, ...): the prefixes of each set under all orders, hot shingles of the first one apart, and those
+    after the first as 16 bits a shingle, for they only have to show that nothing is shared. Sets may come several times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingles(words), set()
@@ -147,28 +160,51 @@ def prefixes(docs: DataFrame, text: str, words: int, percent: int, rarity: np.nd
                 found = []
                 for t in batch.column(0).slice(i, 256).to_pylist():
                     own = shingles.of(t)
-                    cls = xxhash.xxh3_128_digest(own.tobytes())
-                    if len(own) and cls not in seen:
+                    node = _node(own, second)
+                    if len(own) and node not in seen:
                         if len(seen) > _SETS_MOST:
                             seen.clear()
-                        seen.add(cls)
+                        seen.add(node)
                         p = prefix_length(len(own), percent)
                         firsts = [own[np.argpartition(ranks(own, rarity, k), p - 1)[:p]] for k in range(ORDERS)]
-                        found.append((cls, len(own), firsts[0].view(np.int64), *[np.unique(x.astype(np.uint16)).view(np.int16) for x in firsts[1:]]))
-                columns = list(zip(*found, strict=True)) or [[]] * (2 + ORDERS)
-                kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int16())] * (ORDERS - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["cls", "n", *_P])
+                        warm = rarity[firsts[0] >> np.uint64(44)] >= hot
+                        found.append((node, len(own), firsts[0][~warm].view(np.int64), firsts[0][warm].view(np.int64), *[np.unique(x.astype(np.uint16)).view(np.int16) for x in firsts[1:]]))
+                columns = list(zip(*found, strict=True)) or [[]] * (3 + ORDERS)
+                kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int16())] * (ORDERS - 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["node", "n", "p0", "hot", *_P])
+
+    rest = ", ".join(f"{p} array<short>" for p in _P)
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, f"node long, n long, p0 array<long>, hot array<long>, {rest}")
+
 
-    rest = ", ".join(f"{p} array<short>" for p in _P[1:])
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, f"cls binary, n long, p0 array<long>, {rest}")
+_P = [f"p{k}" for k in range(1, ORDERS)]
 
 
-_P = [f"p{k}" for k in range(ORDERS)]
+def _node(shingles: np.ndarray, second: set[tuple[int, int]]) -> int:
+    """A set's number: the first half of its digest, or the second one where another set has the same first half."""
+    hi, lo = _halves(shingles)
+    return lo if (hi, lo) in second else hi
 
 
-def sets_of(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
-    """(node, s): the shingles of the nodes of ``wanted`` (node, cls, least). Documents are looked up by the least key of
-    each set in a filter of fixed size before their texts are read again."""
+def _numbered(own: DataFrame) -> tuple[DataFrame, set[tuple[int, int]]]:
+    """(node, hi, lo, least) of each set, and the sets that are numbered by their second half: of n sets n * n / 2 ** 65 are
+    expected, one or two in ten thousand million."""
+    classes = settle(own.where("n > 0").groupBy("hi", "lo").agg(F.min("key").alias("least")), "classes")
+    double = classes.groupBy("hi").agg(F.count("*").alias("m"), F.min("lo").alias("lo")).where("m > 1").select("hi", "lo").collect()
+    second = {(r["hi"], r["lo"]) for r in double}
+    if second:
+        spark = own.sparkSession
+        marked = F.broadcast(spark.createDataFrame(sorted(second), "hi long, lo long").withColumn("moved", F.lit(True)))
+        classes = settle(classes.join(marked, ["hi", "lo"], "left").withColumn("node", F.when(F.col("moved"), F.col("lo")).otherwise(F.col("hi"))).drop("moved"), "classes")
+        if classes.groupBy("node").agg(F.count("*").alias("m")).where("m > 1").head(1):
+            raise ValueError("three sets share half of their digests")
+        return classes, second
+    return classes.withColumn("node", F.col("hi")), second
+
+
+def sets_of(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame, second: set[tuple[int, int]]) -> DataFrame:
+    """(node, s): the shingles of the nodes of ``wanted`` (node, least), and of few others. Documents are looked up by the
+    least key of each set in a filter of fixed size before their texts are read again."""
     spot, bit = F.pmod(F.xxhash64("k"), F.lit(_FILTER_WORDS)), F.pmod(F.shiftrightunsigned(F.xxhash64("k"), 20), F.lit(64)).cast("int")
     one = F.expr("shiftleft(1L, bit)")
     marks = wanted.select(F.col("least").alias("k")).select(spot.alias("spot"), bit.alias("bit")).groupBy("spot").agg(F.bit_or(one).alias("bits"))  # _FILTER_WORDS rows at most
@@ -180,11 +216,33 @@ def sets_of(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 own = [shingles.of(t) for t in batch.column(0).slice(i, 256).to_pylist()]
-                cls = [xxhash.xxh3_128_digest(x.tobytes()) for x in own]
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))], names=["cls", "s"])
+                packed = [np.unique(x >> np.uint64(64 - 8 * _BYTES)).view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes() for x in own]
+                yield pa.RecordBatch.from_arrays([pa.array([_node(x, second) for x in own], pa.int64()), pa.array(packed, pa.binary())], names=["node", "s"])
+
+    return some.mapInArrow(run, "node long, s binary")
 
-    found = some.mapInArrow(run, "cls binary, s array<long>").join(wanted.select("cls", "node"), "cls")
-    return found.groupBy("node").agg(F.first("s").alias("s"))
+
+def _unpacked(s: bytes) -> np.ndarray:
+    own = np.zeros((len(s) // _BYTES, 8), np.uint8)
+    own[:, :_BYTES] = np.frombuffer(s, np.uint8).reshape(-1, _BYTES)
+    return own.view(np.uint64)[:, 0]
+
+
+def _verified(pairs: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of the pairs (u, v, a, b) whose sets are alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = _unpacked(a.as_py()), _unpacked(b.as_py())
+                both = np.concatenate([x, y])
+                both.sort()
+                common = int((both[1:] == both[:-1]).sum())
+                good.append(100 * common >= percent * (len(both) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
 def _alike(a: Column, b: Column, percent: int) -> Column:
@@ -192,17 +250,44 @@ def _alike(a: Column, b: Column, percent: int) -> Column:
     return (100 * a >= percent * b) & (100 * b >= percent * a)
 
 
-def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, classes: DataFrame, rarity: np.ndarray) -> DataFrame | None:
+def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, classes: DataFrame, second: set[tuple[int, int]], rarity: np.ndarray, hot: int) -> DataFrame | None:
     """(u, v), u > v: links that connect the nodes as all links do; None if there are none."""
-    nodes = prefixes(docs, text, words, percent, rarity).join(classes.select("cls", "node"), "cls").drop("cls")
-    nodes = settle(nodes, "prefixes")
-    rows = nodes.select(F.explode("p0").alias("token"), "node", "n")
-    shared = settle(rows.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("token"), "shared-shingles")
+    nodes = settle(prefixes(docs, text, words, percent, rarity, hot, second), "prefixes")
+    of = Window.partitionBy("token")
+    cold = nodes.select(F.explode("p0").alias("token"), "node", "n").withColumn("a", F.min("node").over(of)).withColumn("b", F.max("node").over(of))
+    lists = cold.where("a <> b").select("token", "node", "n").distinct().union(nodes.select(F.explode("hot").alias("token"), "node", "n").distinct())
     # Sizes of linked sets lie in the same range or in the one beside it; ranges are wider than the bound.
     band = F.floor(F.log("n") / F.log(F.lit(100 / (percent - 1)))).cast("int")
-    lists = settle(rows.join(shared, "token").distinct().withColumn("band", band).withColumn("comp", F.col("node")), "lists")
-    rest = nodes.select("node", "n", *_P[1:]).dropDuplicates(["node"])
+    lists = settle(lists.withColumn("band", band).withColumn("comp", F.col("node")), "lists")
+    rest = nodes.select("node", *_P)
     known, links, most = None, None, 1
+
+    def joined(pairs: DataFrame, own: DataFrame, names: list[str]) -> DataFrame:
+        for end in ("u", "v"):
+            pairs = pairs.join(own.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in names]), end)
+        return pairs
+
+    def check(pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) that share prefix shingles under all other orders, and then are alike."""
+        nonlocal known
+        agreed = joined(pairs, rest, _P)
+        for p in _P:
+            agreed = agreed.where(F.arrays_overlap(f"u_{p}", f"v_{p}"))
+        agreed = settle(agreed.select("u", "v").distinct(), "candidates")
+        ends = agreed.select(F.col("u").alias("node")).union(agreed.select(F.col("v").alias("node"))).distinct()
+        if known is not None:
+            ends = ends.join(known.select("node"), "node", "left_anti")
+        new = settle(sets_of(docs, key, text, words, settle(classes.join(ends, "node").select("node", "least"), "wanted"), second), "sets")
+        known = new if known is None else known.union(new)
+        both = joined(agreed, known, ["s"]).withColumnsRenamed({"u_s": "a", "v_s": "b"})
+        return settle(_verified(both, percent), "links")
+
+    def between(df: DataFrame, roots: DataFrame, ends: dict[str, str]) -> DataFrame:
+        """Adds the components of nodes, themselves where they have no link."""
+        for end, out in ends.items():
+            df = df.drop(out).join(roots.select(F.col("node").alias(end), F.col("root").alias(out)), end, "left").withColumn(out, F.coalesce(out, end))
+        return df
+
     while True:
         # Pairs between components in each list, and the lists that have any.
         by = lists.groupBy("token", "comp").agg(F.count("*").alias("m")).groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("q"))
@@ -218,41 +303,32 @@ def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, class
             tried = settle(lists.withColumn("place", place).where(F.col("place") <= most).drop("place"), "tried")
         a = tried.select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"))
         pairs = a.join(lists, ["token", "band"]).where((F.col("comp") != F.col("xc")) & _alike(F.col("n"), F.col("xn"), percent))
-        pairs = pairs.select(F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).distinct()
-        for end in ("u", "v"):
-            pairs = pairs.join(rest.select(F.col("node").alias(end), *[F.col(p).alias(f"{end}{p}") for p in _P[1:]]), end)
-        agreed = pairs
-        for p in _P[1:]:
-            agreed = agreed.where(F.arrays_overlap(f"u{p}", f"v{p}"))
-        agreed = settle(agreed.select("u", "v"), "candidates")
-        ends = agreed.select(F.col("u").alias("node")).union(agreed.select(F.col("v").alias("node"))).distinct()
-        wanted = classes.join(ends, "node")
-        if known is not None:
-            wanted = wanted.join(known, "node", "left_anti")
-        new = settle(sets_of(docs, key, text, words, settle(wanted, "wanted")), "sets")
-        known = new if known is None else known.unionByName(new)
-        both = agreed.join(known.select(F.col("node").alias("u"), F.col("s").alias("a")), "u").join(known.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
-        common = F.size(F.array_intersect("a", "b"))
-        good = settle(both.where(100 * common >= percent * (F.size("a") + F.size("b") - common)).select("u", "v"), "links")
-        links = good if links is None else links.union(good)
+        pairs = pairs.groupBy(F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).agg(F.count("*").alias("met"))
         if last:
-            return links
-        lists = lists.join(tried.select("token", "node"), ["token", "node"], "left_anti").drop("comp")
-        roots = components(links).withColumnRenamed("root", "comp")
-        lists = settle(lists.join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "lists")
+            good = check(pairs)
+            return good if links is None else links.union(good)
+        pairs = settle(pairs, "pairs")
+        ends = pairs.select("u", "v", "met", F.explode(F.array("u", "v")).alias("node"))
+        first = ends.withColumn("n", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("met"), "u", "v"))).where("n = 1").select("u", "v").distinct()
+        first = settle(first, "first-pairs")
+        good = check(first)
+        links = good if links is None else links.union(good)
+        left = between(pairs.join(first, ["u", "v"], "left_anti"), components(links), {"u": "uc", "v": "vc"}).where("uc <> vc")
+        links = links.union(check(left.select("u", "v")))
+        lists = lists.join(tried.select("token", "node"), ["token", "node"], "left_anti")
+        lists = settle(between(lists, components(links), {"node": "comp"}), "lists")
         most *= 16
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) for every row; component_id is the least key reachable over links."""
-    own, rarity = measured(docs, key, text, words)
-    classes = own.where("n > 0").groupBy("cls").agg(F.min("key").alias("least")).withColumn("node", F.monotonically_increasing_id())
-    classes = settle(classes, "classes")  # numbered in a written table, so numbers stay what they are
-    links = _links(docs, key, text, words, percent, classes, rarity)
+    own, rarity, hot = measured(docs, key, text, words)
+    classes, second = _numbered(own)
+    links = _links(docs, key, text, words, percent, classes, second, rarity, hot)
     known = classes.withColumn("component_id", F.col("least"))
     if links is not None:
         roots = components(links)
         known = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         known = known.join(known.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    found = own.join(known.select("cls", "component_id"), "cls", "left")
+    found = own.join(known.select("hi", "lo", "component_id"), ["hi", "lo"], "left")
     return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
