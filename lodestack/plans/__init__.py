@@ -1,3 +1,3 @@
 """Registered queries, one module for each family."""
 
-from . import constraints, events, graphs, integrity, maps, pages, posts, ranking, search, selection  # noqa: F401
+from . import constraints, events, graphs, integrity, maps, pages, planner, posts, ranking, search, selection  # noqa: F401
