@@ -8,6 +8,9 @@ document, where each value of the item stands for one value of the document, and
 of the item has one value; the best one counts. Windows of one occurrence have the same distance, up to ``DRIFT``,
 between their places in the document and in the item. Windows with fewer words than half match by their values.
 
+Items that differ in their values only, as many of one template do, are one class: a class is judged once, for only the
+pattern of its values counts. A leak has the same values if each window's are those of an item of the class.
+
 A Bloom filter over the benchmark's window hashes, of fixed size whatever the benchmark's, keeps all other
 windows of the documents out of the join; its false positives end in the join.
 
@@ -17,7 +20,8 @@ a capitalised word that does not open a sentence; a unit is a unit's sign after
 Defined results: null and empty texts, and those without a symbol, match nothing; items of fewer than ``SHORTEST``
 symbols match documents that are nothing else, with the same values; items shorter than a window match by one window
 of their own length; repeated rows count as one document; documents without a key are told apart by their texts; equal
-items are each reported; very long texts are read whole; columns other than key and text are not read.
+items are each reported, or counted in one row of their class; keys may be of any type; very long texts are read whole; columns
+other than key and text are not read.
 """
 
 from __future__ import annotations
@@ -151,23 +155,32 @@ def _slots(canon: Canon, at: np.ndarray, start: int, n: int) -> list[str]:
 
 
 def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, length, pos, h, template, places, slots, n_templates, n_windows) of the benchmark; each item has
-    windows of one length. ``places`` are the slots' positions in the item."""
+    """(item_id, cls, length, pos, h, template, places, ids, slots, n_templates, n_windows) of the benchmark; each item has
+    windows of one length. ``places`` are the slots' positions in the item, ``ids`` number its slot values by their first
+    place. Items of one ``cls`` differ in their slot values only, so all of the other columns are equal."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canon = Canon()
         for pdf in batches:
             rows = []
-            for item, t in zip(pdf[key], pdf[text], strict=True):
+            for item, t in zip(pdf["item_id"], pdf["text"], strict=True):
+                own, ids = [], {}
                 n = min(WINDOW, len(canon.symbols(t)[0]))
                 for length, pos, h, at, m in canon.windows(t, [n]) if n else ():
+                    for i in at[at >= 0].tolist():
+                        ids.setdefault(canon.value[i], len(ids))
                     for j, (p, x) in enumerate(zip(pos, h.view(np.int64), strict=True)):
                         places = [int(p) + i for i in np.flatnonzero(at[p : p + length] >= 0)] if j < m else []
                         slots = _slots(canon, at, p, length) if j < m else []
-                        rows.append((item, length, int(p), int(x), j < m, places, slots, m, len(pos)))
-            yield pd.DataFrame(rows, columns=["item_id", "length", "pos", "h", "template", "places", "slots", "n_templates", "n_windows"])
+                        own.append((length, int(p), int(x), j < m, places, [ids[v] for v in slots], slots, m, len(pos)))
+                cls = xxhash.xxh3_128_hexdigest(repr([(*w[:6], *w[7:]) for w in own]).encode())
+                rows += [(item, cls, *w) for w in own]
+            yield pd.DataFrame(rows, columns=["item_id", "cls", "length", "pos", "h", "template", "places", "ids", "slots", "n_templates", "n_windows"])
 
-    return items.select(key, text).mapInPandas(cut, "item_id long, length int, pos int, h long, template boolean, places array<int>, slots array<string>, n_templates int, n_windows int")
+    # Keys go as text: pandas keeps a whole number beside a null as a fraction, which changes large ones.
+    own = items.select(F.col(key).cast("string").alias("item_id"), F.col(text).alias("text"))
+    cuts = own.mapInPandas(cut, "item_id string, cls string, length int, pos int, h long, template boolean, places array<int>, ids array<int>, slots array<string>, n_templates int, n_windows int")
+    return cuts.withColumn("item_id", F.col("item_id").cast(dict(items.dtypes)[key]))
 
 
 def document_windows(docs: DataFrame, seen: np.ndarray, lengths: list[int], literal: bool = True, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,16 +191,15 @@ def document_windows(docs: DataFrame, seen: np.ndarray, lengths: list[int], lite
         canon, bits = Canon(), np.unpackbits(packed).astype(bool)
         for pdf in batches:
             rows = []
-            for doc, own, t in zip(pdf[key].astype("Int64").astype(object), pdf["text_hash"], pdf[text], strict=True):
-                doc = None if doc is pd.NA else doc
+            for doc, own, t in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"], strict=True):
                 for length, pos, h, at, m in canon.windows(t, lengths, literal):
                     one, two = _bloom(h)
                     for j in np.flatnonzero(bits[one] & bits[two]):
                         rows.append((doc, own, int(h.view(np.int64)[j]), int(pos[j]), _slots(canon, at, pos[j], length) if j < m else []))
-            found = pd.DataFrame(rows, columns=["doc_id", "text_hash", "h", "d_pos", "d_slots"])
-            yield found.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "h", "d_pos", "d_slots"])
 
-    return docs.select(F.col(key).cast("long").alias(key), F.xxhash64(text).alias("text_hash"), text).where(F.col(text).isNotNull()).mapInPandas(cut, "doc_id long, text_hash long, h long, d_pos int, d_slots array<string>")
+    own = docs.select(F.col(key).cast("string").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).where("text IS NOT NULL")
+    return own.mapInPandas(cut, "doc_id string, text_hash long, h long, d_pos int, d_slots array<string>").withColumn("doc_id", F.col("doc_id").cast(dict(docs.dtypes)[key]))
 
 
 def _bloom(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,49 +207,63 @@ def _bloom(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h >> np.uint64(64 - FILTER_BITS), h & np.uint64((1 << FILTER_BITS) - 1)
 
 
-def _keyed_leaks(docs: DataFrame, items: DataFrame, coverage: float, consistency: float) -> DataFrame:
-    """The rows of ``leaks`` with text_hash, which is null where there is a doc_id."""
+def _keyed_leaks(docs: DataFrame, items: DataFrame, coverage: float, consistency: float) -> tuple[DataFrame, DataFrame]:
+    """Leaks of classes of items, with text_hash, which is null where there is a doc_id; and the items of each class."""
     own = settle(item_windows(items), "item-windows")
+    members = own.select("cls", "item_id").distinct()
+    windows = own.drop("item_id", "slots").distinct()  # one set of windows a class, however many items
     high, low = (F.shiftrightunsigned("h", 64 - FILTER_BITS), F.col("h").bitwiseAND((1 << FILTER_BITS) - 1))
     seen = np.zeros(1 << FILTER_BITS, bool)
     marks = own.select(F.explode(F.array(high, low)).alias("p")).distinct().toPandas()["p"]  # 2 ** FILTER_BITS at most
     seen[marks.to_numpy(np.int64)] = True
     lengths = sorted(r["length"] for r in own.select("length").distinct().collect())
     literal = bool(own.where("NOT template").head(1))
-    found = document_windows(docs, seen, lengths, literal).join(own, "h")
+    found = document_windows(docs, seen, lengths, literal).join(windows, "h")
+    # Whether an item of the class has the document's values in this window.
+    values = own.select("cls", "pos", F.xxhash64("slots").alias("v"), F.lit(True).alias("held")).distinct()
+    found = found.withColumn("v", F.xxhash64("d_slots")).join(values, ["cls", "pos", "v"], "left").withColumn("held", F.coalesce("held", F.lit(False)))
     # A window counts for the whole document, for its exact distance and, in items so long that no two occurrences
     # come together, for two overlapping ranges of distances: a shift of up to DRIFT symbols stays in one of them.
     off, none = F.col("d_pos") - F.col("pos"), F.lit(None).cast("int")
     ranges = [F.when(F.col("length") == WINDOW, F.floor((off + shift) / (2 * DRIFT)).cast("int")) for shift in (0, DRIFT)]
     places = [F.struct(F.lit(way).alias("way"), at.alias("at")) for way, at in enumerate((none, off, *ranges))]
     found = found.withColumn("place", F.explode(F.array(*places))).where("place.way = 0 OR place.at IS NOT NULL")
-    # Per place and window of the item one row is enough.
-    pair = F.arrays_zip("places", "slots", "d_slots")
-    by = found.groupBy("doc_id", "text_hash", "item_id", "place", "n_templates", "n_windows").agg(
-        F.count_distinct("pos").alias("matched"), F.count_distinct(F.when(F.col("template"), F.col("pos"))).alias("templates"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs")
+    # Per place and window of the class one row is enough.
+    pair = F.arrays_zip("places", "ids", "d_slots")
+    by = found.groupBy("doc_id", "text_hash", "cls", "place", "n_templates", "n_windows").agg(
+        F.count_distinct("pos").alias("matched"), F.count_distinct(F.when(F.col("template"), F.col("pos"))).alias("templates"), F.min("held").alias("same"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs")
     )
     distinct = lambda *names: F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(*[p[n].alias(n) for n in names]))))
     slot = lambda name: distinct(name) / distinct(name, "d_slots")
     share = F.greatest(F.col("matched") / F.col("n_windows"), F.when(F.col("n_templates") > 0, F.col("templates") / F.col("n_templates")))
-    return (
+    judged = (
         by.withColumn("coverage", share)
-        .withColumn("consistency", F.when(F.size("pairs") == 0, 1.0).when(F.col("place.way") == 0, slot("slots")).otherwise(slot("places")))
+        .withColumn("consistency", F.when(F.size("pairs") == 0, 1.0).when(F.col("place.way") == 0, slot("ids")).otherwise(slot("places")))
         .where(((F.col("coverage") >= coverage) | (F.col("matched") >= LONG_RUN)) & (F.col("consistency") >= consistency))
-        .withColumn("same", F.forall("pairs", lambda p: p["slots"] == p["d_slots"]))
-        .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("text_hash"), "item_id")
+        .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("text_hash"), "cls")
         .agg(F.max("coverage").alias("coverage"), F.max("consistency").alias("consistency"), F.max("same").alias("same"))
         .withColumn("kind", F.when(F.col("same"), "same").otherwise("other values"))
     )
+    return judged, members
+
+
+def class_leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
+    """One row for each document and class of items that it leaks: doc_id, item_id (the least of the class), n_items,
+    coverage, consistency, kind. Items of a class differ in their values only; ``item_windows`` tells which they are."""
+    found, members = _keyed_leaks(docs, items, coverage, consistency)
+    named = members.groupBy("cls").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
+    return found.join(named, "cls").select("doc_id", "item_id", "n_items", "coverage", "consistency", "kind")
 
 
 def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
-    """One row for each document and item that it leaks: doc_id, item_id, coverage, consistency, kind."""
-    return _keyed_leaks(docs, items, coverage, consistency).select("doc_id", "item_id", "coverage", "consistency", "kind")
+    """``class_leaks`` for each item: doc_id, item_id, coverage, consistency, kind."""
+    found, members = _keyed_leaks(docs, items, coverage, consistency)
+    return found.join(members, "cls").select("doc_id", "item_id", "coverage", "consistency", "kind")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that leak no benchmark item."""
-    found = settle(_keyed_leaks(docs, items, COVERAGE, CONSISTENCY).select("doc_id", "text_hash").distinct(), "leaks")
+    found = settle(_keyed_leaks(docs, items, COVERAGE, CONSISTENCY)[0].select("doc_id", "text_hash").distinct(), "leaks")
     keyed = docs.where("doc_id IS NOT NULL").join(found.where("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_anti")
     bare = docs.where("doc_id IS NULL").withColumn("__h", F.xxhash64("text")).join(found.where("doc_id IS NULL").select(F.col("text_hash").alias("__h")), "__h", "left_anti")
     return keyed.select(*docs.columns).unionByName(bare.select(*docs.columns))

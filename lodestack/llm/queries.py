@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.class_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

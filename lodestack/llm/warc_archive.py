@@ -126,7 +126,7 @@ def write(typed: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
 
         for pdf in batches:
             for r in zip(pdf["record_type"], pdf["page_id"], pdf["url"], pdf["payload_digest"], pdf["payload"], pdf["refers_to"], strict=True):
-                page, refers = (None if v is None or pd.isna(v) else int(v) for v in (r[1], r[5]))
+                page, refers = r[1], r[5]
                 frame = packer.compress(record(r[0], page, " ".join(r[2].split()), r[3], b"" if refers is not None else bytes(r[4]), refers))
                 parts.append(frame)
                 size, count = size + len(frame), count + 1
@@ -137,8 +137,10 @@ def write(typed: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
         yield pd.DataFrame(done, columns=["name", "records"])
 
     columns = ("record_type", "page_id", "url", "payload_digest", "payload", "refers_to")
-    # Sorted, so a task that runs again rolls over at the same records.
-    return typed.select(*columns).sortWithinPartitions("page_id", "payload_digest", "url").mapInPandas(save, "name string, records long")
+    # Sorted, so a task that runs again rolls over at the same records. Ids go as text: pandas keeps a whole number beside a
+    # null as a fraction, which changes large ones.
+    ordered = typed.select(*columns).sortWithinPartitions("page_id", "payload_digest", "url")
+    return ordered.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")}).mapInPandas(save, "name string, records long")
 
 
 def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
@@ -177,7 +179,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = True, manifest: Data
                 try:
                     for at, raw in frames(bytes(data)):
                         f = parse(raw)
-                        page = lambda v: int(v[len("<urn:page:") : -1]) if v != "<urn:page:>" else None
+                        page = lambda v: v[len("<urn:page:") : -1] or None
                         rows.append((page(f["warc-record-id"]), f.get("warc-target-uri"), f["warc-type"], f["warc-payload-digest"][5:], len(f["payload"]), f["payload"] if payloads else None, page(f["warc-refers-to"]) if "warc-refers-to" in f else None))
                         if len(rows) >= 2000:
                             yield frame(rows)
@@ -187,14 +189,13 @@ def read(spark: SparkSession, folder: str, payloads: bool = True, manifest: Data
                 yield frame(rows)
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["page_id", "url", "record_type", "payload_digest", "block_bytes", "payload", "refers_to"])
-        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        return pd.DataFrame(rows, columns=["page_id", "url", "record_type", "payload_digest", "block_bytes", "payload", "refers_to"])
 
-    schema = "page_id long, url string, record_type string, payload_digest string, block_bytes long, payload binary, refers_to long"
+    schema = "page_id string, url string, record_type string, payload_digest string, block_bytes long, payload binary, refers_to string"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path", "content")
     if manifest is not None:
         files = files.withColumn("name", F.substring_index("path", "/", -1)).join(manifest.select("name"), "name", "left_semi").select("path", "content")
-    return files.mapInPandas(load, schema)
+    return files.mapInPandas(load, schema).withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
 
 
 def resolve(records: DataFrame) -> DataFrame:

@@ -613,3 +613,28 @@ def test_warc_validation_rejects_damage():
     for bad in (good.replace(b"abc", b"abd"), good[:-1], good.replace(b"Length: 3", b"Length: 4"), good.replace(b"WARC/1.1", b"WARC/9")):
         with pytest.raises(ValueError):
             warc_archive.parse(bad)
+
+
+BIG = 2**60
+
+
+def test_ids_above_two_to_the_53_stay_exact_beside_nulls(spark, docs):
+    from lodestack.llm import fill_in_middle, jaccard_join
+
+    rows = [(BIG + 1, ITEM), (None, ITEM), (BIG + 3, words(random.Random(3), 40)), (None, None), (BIG + 5, ITEM + " more")]
+    items = spark.createDataFrame([(BIG + 7, ITEM), (None, "nothing of the kind")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs(rows), items).collect()} == {(BIG + 1, BIG + 7), (None, BIG + 7), (BIG + 5, BIG + 7)}
+    assert sorted((r["doc_id"] for r in decontaminate.clean(docs(rows), items).collect()), key=str) == sorted([BIG + 3, None], key=str)
+    big = "x" * 1500
+    pages = spark.createDataFrame([(BIG + 1, "http://a/", big), (BIG + 3, "http://b/", big), (None, "http://c/", big), (BIG + 5, None, "")], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc_archive.round_trip(pages, f"{shared_root(spark)}/warc-big").collect()}
+    assert got == {BIG + 1: ("revisit", BIG + 3), BIG + 3: ("response", None), None: ("revisit", BIG + 3), BIG + 5: ("response", None)}
+    keys = sorted((r[0] for r in rows), key=str)
+    own = docs(rows)
+    pieces = piece_fst.encoded(own, BPE)
+    secrets = secret_ledger.scan(own.select("doc_id", "text"), f"{shared_root(spark)}/ledger-big")
+    found = [pieces, secrets, minhash.fingerprint_report(own), simhash.near_duplicates(own), jaccard_join.linked(own), fill_in_middle.transformed(own)]
+    for df in found:
+        assert sorted((r["doc_id"] for r in df.select("doc_id").collect()), key=str) == keys
+    linked = {(r["doc_id"], r["component_id"]) for r in found[4].collect() if r["doc_id"]}
+    assert (BIG + 1, BIG + 1) in linked and (BIG + 3, BIG + 3) in linked
