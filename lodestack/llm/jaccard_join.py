@@ -1,17 +1,17 @@
 """N-gram Jaccard join by multiple global orders: exact links between texts whose shingle sets are alike.
 
-A set of n shingles that is alike in the share t to another shares at least t * n shingles with it, so under any order
-of all shingles the first n - ceil(t * n) + 1 of both hold a common one. That holds under every order at once: candidates
-must share a shingle of these prefixes under each of ``ORDERS`` orders, and only those are verified. The first order
-puts rare shingles first and lists candidates; the second has the same rarities and other ties, the last is a plain
-hash. Rarity is read off counts of all documents' shingles in ``BUCKETS`` buckets, so its size does not grow with the
-corpus; an order need not be exact, only the same for all.
-
-Sets, not rows, are joined: rows of equal sets are one node. A prefix shingle's list of nodes may be long, so its pairs
-are not all made. In rounds, a few nodes of each list and range of sizes are tried against the list, first each node with the one that it
-meets most often, and what is linked is one component from then on; nodes so tried leave the list, and a list inside one
-component is done. Once the pairs that lie between components are few beside the lists, they are all tried. No candidate
-is left out.
+A set of n shingles that is alike in the share t to another shares at least a = ceil(t * n) shingles with it, so under any
+order of all shingles the first n - a + k of both hold k common ones, k at most a. That holds under every order at once:
+candidates must share ``LEAST_MET`` shingles of these prefixes under the first order and one under each other, and only
+those are verified. The first order puts rare shingles first and lists candidates; the second has the same rarities and
+other ties, the last is a plain hash. Rarity is read off counts of all documents' shingles in ``BUCKETS`` buckets, so its
+size does not grow with the corpus; an order need not be exact, only the same for all.
+
+Sets, not rows, are joined: rows of equal sets are one node. Nodes of a short list, those of one prefix shingle, are all
+paired. Long lists come from large groups of near copies. First each of their nodes is tried with one node of its lists,
+the one it meets most often; a list that is then inside one component is done. The nodes of the others are dealt to
+blocks, and pairs of blocks are compared on arrays, each by itself, which gives a spanning forest of links and no pairs.
+No candidate is left out, and no list comes into one task.
 
 Defined results: a null text is empty; a text without words has an empty set and is linked with nothing, other rows like
 it included; fewer words than a shingle's are one shingle; rows of equal sets are linked whatever their keys; repeated
@@ -42,8 +42,12 @@ _PIECE = 1 << 12
 _PIECES = BUCKETS // _PIECE
 _WORDS_MOST = 150_000
 _SETS_MOST = 100_000
-#: A list's pairs between components are all tried once they are at most so many a row, over all lists.
-ALL_AT_ONCE = 8
+#: Shingles that prefixes must share under the first order.
+LEAST_MET = 3
+#: Lists of more nodes are long: they are compared by blocks of so many nodes or so, in steps of so many shingles.
+LONG = 32
+BLOCK = 384
+_STEP = 4096
 #: Shingles of buckets with so many times the mean count are not dealt by themselves: their lists may be too long for a task.
 HOT = 64
 #: Bytes of each shingle's hash by which sets are compared: a pair of n shingles each is given one too many in common with
@@ -74,8 +78,14 @@ class Shingles:
         return np.unique(mix * np.uint64(0xBF58476D1CE4E5B9))
 
 
-def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n - (percent * n + 99) // 100 + 1
+def least_common(n: int, percent: int = PERCENT) -> int:
+    """Shingles that a set of n shares at least with any that it links with."""
+    return (percent * n + 99) // 100
+
+
+def prefix_length(n: int, percent: int = PERCENT, met: int = 1) -> int:
+    """Length of the prefix that holds ``met`` common shingles, or all that have to be common."""
+    return n - least_common(n, percent) + min(met, least_common(n, percent))
 
 
 def ranks(shingles: np.ndarray, rarity: np.ndarray, order: int) -> np.ndarray:
@@ -165,8 +175,8 @@ def prefixes(docs: DataFrame, text: str, words: int, percent: int, rarity: np.nd
                         if len(seen) > _SETS_MOST:
                             seen.clear()
                         seen.add(node)
-                        p = prefix_length(len(own), percent)
-                        firsts = [own[np.argpartition(ranks(own, rarity, k), p - 1)[:p]] for k in range(ORDERS)]
+                        sizes = [prefix_length(len(own), percent, 1 if k else LEAST_MET) for k in range(ORDERS)]
+                        firsts = [own[np.argpartition(ranks(own, rarity, k), p - 1)[:p]] for k, p in enumerate(sizes)]
                         warm = rarity[firsts[0] >> np.uint64(44)] >= hot
                         found.append((node, len(own), firsts[0][~warm].view(np.int64), firsts[0][warm].view(np.int64), *[np.unique(x.astype(np.uint16)).view(np.int16) for x in firsts[1:]]))
                 columns = list(zip(*found, strict=True)) or [[]] * (3 + ORDERS)
@@ -250,6 +260,71 @@ def _alike(a: Column, b: Column, percent: int) -> Column:
     return (100 * a >= percent * b) & (100 * b >= percent * a)
 
 
+def _forest(links: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of a matrix of links."""
+    rest, found = np.ones(len(links), bool), []
+    for start in range(len(links)):
+        front = [start] if rest[start] else []
+        rest[start] = False
+        while front:
+            i = front.pop()
+            near = np.flatnonzero(links[i] & rest)
+            rest[near] = False
+            found += [(i, j) for j in near.tolist()]
+            front += near.tolist()
+    return found
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common members of all pairs of sets."""
+    sizes = [len(x) for x in sets]
+    _, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    again = many[column] > 1  # what one set alone holds is common to none
+    row, column = row[again], column[again]
+    _, column = np.unique(column, return_inverse=True)
+    total, width = np.zeros((len(sets), len(sets)), np.float32), int(column.max()) + 1 if len(column) else 0
+    for start in range(0, width, _STEP):
+        here = (column >= start) & (column < start + _STEP)
+        held = np.zeros((len(sets), min(_STEP, width - start)), np.float32)
+        held[row[here], column[here] - start] = 1
+        total += held @ held.T
+    return total.astype(np.int64)
+
+
+def _block_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(u, v): spanning forests of the links between nodes of one block pair (token, i, j) and different components; rows
+    have node, comp, the other prefixes and s. Blocks are bounded, so a task holds one pair of them at a time."""
+    names = ["token", "i", "j", "node", "comp", *_P, "s"]
+
+    def links(group: list[tuple]) -> pa.RecordBatch:
+        one = {r[3]: r for r in group}  # a node may come twice
+        node, comp = (np.array([r[k] for r in one.values()], np.int64) for k in (3, 4))
+        able = comp[:, None] != comp[None, :]
+        for k in range(5, 5 + len(_P)):
+            able &= _common([np.asarray(r[k], np.int64) for r in one.values()]) > 0
+        found = []
+        if able.any():
+            sets = [_unpacked(r[-1]) for r in one.values()]
+            n, common = np.array([len(x) for x in sets]), _common(sets)
+            found = _forest(able & (100 * common >= percent * (n[:, None] + n[None, :] - common)))
+        u, v = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(node[u], node[v])), pa.array(np.minimum(node[u], node[v]))], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for r in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if held and held[0][:3] != r[:3]:
+                    yield links(held)
+                    held = []
+                held.append(r)
+        if held:
+            yield links(held)
+
+    return rows.select(*names).mapInArrow(run, "u long, v long").distinct()
+
+
 def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, classes: DataFrame, second: set[tuple[int, int]], rarity: np.ndarray, hot: int) -> DataFrame | None:
     """(u, v), u > v: links that connect the nodes as all links do; None if there are none."""
     nodes = settle(prefixes(docs, text, words, percent, rarity, hot, second), "prefixes")
@@ -258,66 +333,64 @@ def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, class
     lists = cold.where("a <> b").select("token", "node", "n").distinct().union(nodes.select(F.explode("hot").alias("token"), "node", "n").distinct())
     # Sizes of linked sets lie in the same range or in the one beside it; ranges are wider than the bound.
     band = F.floor(F.log("n") / F.log(F.lit(100 / (percent - 1)))).cast("int")
-    lists = settle(lists.withColumn("band", band).withColumn("comp", F.col("node")), "lists")
-    rest = nodes.select("node", *_P)
-    known, links, most = None, None, 1
+    lists = settle(lists.withColumn("band", band), "lists")
+    sizes = settle(lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "list-sizes")
+    rest, known = nodes.select("node", *_P), None
 
     def joined(pairs: DataFrame, own: DataFrame, names: list[str]) -> DataFrame:
         for end in ("u", "v"):
             pairs = pairs.join(own.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in names]), end)
         return pairs
 
+    def fetch(wanted: DataFrame) -> None:
+        nonlocal known
+        if known is not None:
+            wanted = wanted.join(known.select("node"), "node", "left_anti")
+        new = settle(sets_of(docs, key, text, words, settle(classes.join(wanted, "node").select("node", "least"), "wanted"), second), "sets")
+        known = new if known is None else known.union(new)
+
     def check(pairs: DataFrame) -> DataFrame:
         """The pairs (u, v) that share prefix shingles under all other orders, and then are alike."""
-        nonlocal known
         agreed = joined(pairs, rest, _P)
         for p in _P:
             agreed = agreed.where(F.arrays_overlap(f"u_{p}", f"v_{p}"))
         agreed = settle(agreed.select("u", "v").distinct(), "candidates")
-        ends = agreed.select(F.col("u").alias("node")).union(agreed.select(F.col("v").alias("node"))).distinct()
-        if known is not None:
-            ends = ends.join(known.select("node"), "node", "left_anti")
-        new = settle(sets_of(docs, key, text, words, settle(classes.join(ends, "node").select("node", "least"), "wanted"), second), "sets")
-        known = new if known is None else known.union(new)
+        fetch(agreed.select(F.col("u").alias("node")).union(agreed.select(F.col("v").alias("node"))).distinct())
         both = joined(agreed, known, ["s"]).withColumnsRenamed({"u_s": "a", "v_s": "b"})
         return settle(_verified(both, percent), "links")
 
-    def between(df: DataFrame, roots: DataFrame, ends: dict[str, str]) -> DataFrame:
-        """Adds the components of nodes, themselves where they have no link."""
-        for end, out in ends.items():
-            df = df.drop(out).join(roots.select(F.col("node").alias(end), F.col("root").alias(out)), end, "left").withColumn(out, F.coalesce(out, end))
-        return df
-
-    while True:
-        # Pairs between components in each list, and the lists that have any.
-        by = lists.groupBy("token", "comp").agg(F.count("*").alias("m")).groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("q"))
-        open_ = settle(by.where("m * m > q"), "open-lists")
-        size = open_.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("q")) / 2).alias("pairs")).first()
-        if not size["rows"]:
-            return links
-        lists = settle(lists.join(open_.select("token"), "token"), "lists")
-        last = size["pairs"] <= ALL_AT_ONCE * size["rows"]
-        tried = lists
-        if not last:
-            place = F.row_number().over(Window.partitionBy("token", "band").orderBy("node"))
-            tried = settle(lists.withColumn("place", place).where(F.col("place") <= most).drop("place"), "tried")
-        a = tried.select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"))
-        pairs = a.join(lists, ["token", "band"]).where((F.col("comp") != F.col("xc")) & _alike(F.col("n"), F.col("xn"), percent))
-        pairs = pairs.groupBy(F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).agg(F.count("*").alias("met"))
-        if last:
-            good = check(pairs)
-            return good if links is None else links.union(good)
-        pairs = settle(pairs, "pairs")
-        ends = pairs.select("u", "v", "met", F.explode(F.array("u", "v")).alias("node"))
-        first = ends.withColumn("n", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("met"), "u", "v"))).where("n = 1").select("u", "v").distinct()
-        first = settle(first, "first-pairs")
-        good = check(first)
-        links = good if links is None else links.union(good)
-        left = between(pairs.join(first, ["u", "v"], "left_anti"), components(links), {"u": "uc", "v": "vc"}).where("uc <> vc")
-        links = links.union(check(left.select("u", "v")))
-        lists = lists.join(tried.select("token", "node"), ["token", "node"], "left_anti")
-        lists = settle(between(lists, components(links), {"node": "comp"}), "lists")
-        most *= 16
+    # Short lists: pairs that meet in as many lists as they have to. What they share in long lists is found there.
+    short = lists.join(sizes.where(F.col("m") <= LONG).select("token"), "token")
+    x = short.select("token", F.col("node").alias("v"), F.col("n").alias("vn"), F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"))
+    pairs = x.join(short.withColumnsRenamed({"node": "u", "n": "un"}), ["token", "band"]).where((F.col("u") > F.col("v")) & _alike(F.col("un"), F.col("vn"), percent))
+    must = F.least(F.lit(LEAST_MET), *[F.floor((F.col(n) * percent + 99) / 100) for n in ("un", "vn")])
+    pairs = pairs.groupBy("u", "v").agg(F.count("*").alias("met"), F.min(must).alias("must")).where("met >= must")
+    links = check(pairs.select("u", "v"))
+    long = sizes.where(F.col("m") > LONG)
+    if not long.head(1):
+        return links
+
+    # Long lists: one trial for each node, then what is not yet inside one component.
+    own = lists.join(long, "token").checkpoint()
+    place = F.row_number().over(Window.partitionBy("token", "band").orderBy("node"))
+    lead = own.withColumn("place", place).where("place = 1").select("token", "band", F.col("node").alias("x"), F.col("n").alias("xn"))
+    trial = own.join(lead, ["token", "band"]).where((F.col("node") != F.col("x")) & _alike(F.col("n"), F.col("xn"), percent))
+    trial = trial.groupBy("node", "x").agg(F.count("*").alias("met"))
+    first = trial.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("met"), "x"))).where("place = 1")
+    links = links.union(check(first.select(F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).distinct()))
+    roots = components(links, 3)
+    own = own.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    open_ = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
+    own = settle(own.join(open_, "token"), "long-lists")
+    if own.isEmpty():
+        return links
+    fetch(own.select("node").distinct())
+    k = F.ceil(F.col("m") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), k).cast("int")
+    spread = own.withColumn("k", k).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    spread = spread.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp")
+    spread = spread.join(rest, "node").join(known, "node").repartition(partitions(docs.sparkSession), "token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return links.union(settle(_block_links(spread, percent), "links"))
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:

@@ -66,10 +66,10 @@ def corpus(seed):
     return [(None if i % 37 == 5 else k, t) for i, (k, t) in enumerate(zip(keys, texts, strict=True))]
 
 
-@pytest.mark.parametrize(("seed", "at_once", "hot"), [(1, 8, 64), (2, 0, 64), (3, 0, 1e-9), (4, 1, 1e-9)])
-def test_join_equals_brute_force(spark, docs, monkeypatch, seed, at_once, hot):
-    monkeypatch.setattr(jaccard_join, "ALL_AT_ONCE", at_once)
-    monkeypatch.setattr(jaccard_join, "HOT", hot)
+@pytest.mark.parametrize(("seed", "long", "block", "hot"), [(1, 32, 384, 64), (2, 1, 384, 64), (3, 3, 7, 1e-9), (4, 8, 5, 1e-9)])
+def test_join_equals_brute_force(spark, docs, monkeypatch, seed, long, block, hot):
+    for name, value in (("LONG", long), ("BLOCK", block), ("HOT", hot), ("_STEP", 64)):
+        monkeypatch.setattr(jaccard_join, name, value)
     rows = corpus(seed)
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.linked(docs(rows)).collect()]
     assert sorted(got, key=str) == brute_components(rows)
@@ -91,8 +91,9 @@ def test_linked_sets_share_a_prefix_shingle_under_every_order():
             if 100 * common < 85 * len(np.union1d(a, b)):
                 continue
             for order in range(jaccard_join.ORDERS):
-                first = [set(x[np.argsort(jaccard_join.ranks(x, rarity, order))][: jaccard_join.prefix_length(len(x))].tolist()) for x in (a, b)]
-                assert first[0] & first[1]
+                for met in (1, 3):
+                    first = [set(x[np.argsort(jaccard_join.ranks(x, rarity, order))][: jaccard_join.prefix_length(len(x), met=met)].tolist()) for x in (a, b)]
+                    assert len(first[0] & first[1]) >= min(met, *(jaccard_join.least_common(len(x)) for x in (a, b)))
 
 
 def test_sets_that_share_half_a_digest_are_numbered_apart(spark):
