@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ranking
-from ..streaming import windows
+from ..streaming import supervisor, windows
 from .registry import query, statement, table
 
 _SEC = "[[CAST(unix_timestamp(CAST(ts AS TIMESTAMP)) AS BIGINT)||CAST(floor(epoch(ts)) AS BIGINT)]]"
@@ -57,3 +57,31 @@ statement("map_ops", """SELECT user_id, count(DISTINCT event_type) AS kinds, [[a
 @query(f"SELECT CAST(floor(epoch(ts) / 86400) * 86400 AS BIGINT) AS day_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def streaming_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.daily_counts(spark, f"{sf_dir}/events.parquet")
+
+
+_RUNS = """e AS (SELECT user_id AS run_id, event_id, CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS at_ms, CASE event_type WHEN 'error' THEN 'failure' WHEN 'purchase' THEN 'complete' WHEN 'signup' THEN 'submit' ELSE 'beat' END AS kind FROM events),
+s AS (SELECT *, lag(kind) OVER w AS k0, lead(at_ms) OVER w AS ahead FROM e WINDOW w AS (PARTITION BY run_id ORDER BY at_ms, event_id)),
+g AS (SELECT *, sum(CASE WHEN kind = 'submit' OR k0 = 'complete' THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY at_ms, event_id) AS seg FROM s),
+c AS (SELECT *, count(CASE WHEN kind = 'failure' THEN 1 END) OVER h AS errors, min(CASE WHEN kind = 'failure' THEN at_ms END) OVER h AS since FROM g WINDOW h AS (PARTITION BY run_id, seg ORDER BY at_ms, event_id)),
+d AS (SELECT *, CAST(least(5 * power(2, least(errors - 1, 20)), 300) AS BIGINT) * 1000 AS delay FROM c),
+f AS (SELECT *, bool_or(kind = 'failure' AND (errors >= 6 OR at_ms - since + delay > 259200000)) OVER (PARTITION BY run_id, seg ORDER BY at_ms, event_id) AS failed FROM d),
+r AS (SELECT *, CASE WHEN kind = 'complete' THEN 'complete' WHEN failed THEN 'failed' WHEN kind = 'failure' THEN 'retry_wait' ELSE 'running' END AS state, CASE WHEN kind = 'complete' THEN 0 ELSE errors END AS attempt FROM f),
+n AS (SELECT max(at_ms) AS now FROM e)
+SELECT run_id, event_id, at_ms, state, attempt, CASE WHEN state = 'retry_wait' THEN at_ms + delay END AS due_ms FROM r
+UNION ALL SELECT run_id, NULL, at_ms + 21600000, 'stale', attempt, NULL FROM r, n WHERE state NOT IN ('complete', 'failed') AND coalesce(ahead > at_ms + 21600000, now >= at_ms + 21600000)"""
+
+
+def _runs(events: DataFrame) -> DataFrame:
+    kind = F.when(F.col("event_type") == "error", "failure").when(F.col("event_type") == "purchase", "complete").when(F.col("event_type") == "signup", "submit").otherwise("beat")
+    return events.select(F.col("user_id").alias("run_id"), "event_id", "ts", kind.alias("kind"))
+
+
+@query(f"WITH {_RUNS}")
+def supervised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return supervisor.batch_transitions(_runs(table(spark, sf_dir, "events")))
+
+
+@query(f"WITH {_RUNS}")
+def streaming_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users are runs: errors are failures, purchases completions, signups submissions, all else is a heartbeat."""
+    return supervisor.run_once(spark, _runs(windows.stream_of(spark, f"{sf_dir}/events.parquet")))
