@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+import unicodedata
 from collections import Counter
 
 import pandas as pd
@@ -35,9 +36,10 @@ _SECTIONS = frozenset("thead tbody tfoot".split())
 
 #: Where a token begins, and a token from there; only a tag can be cut off.
 _OPENS = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -135,6 +137,34 @@ def visible(node: Node) -> bool:
     return not (a and ("hidden" in a or (node.tag == "input" and a.get("type", "").lower() == "hidden") or _UNSEEN.search(a.get("style", ""))))
 
 
+def settle_visibility(root: Node) -> None:
+    """Takes away what ``visibility`` hides. It is inherited, so a visible child of a hidden element stays, in its place."""
+    order: list[tuple[Node, Node | None, bool]] = [(root, None, False)]
+    for node, _, hidden in order:  # grows while it is read
+        for child in node.inner:
+            if not isinstance(child, str):
+                told = _VISIBILITY.search(child.attrs.get("style", "")) if child.attrs else None
+                order.append((child, node, told[1].lower() != "visible" if told else hidden))
+    shown: set[int] = set()
+    for node, parent, hidden in reversed(order):
+        if hidden:
+            node.inner = [c for c in node.inner if not isinstance(c, str) and id(c) in shown]
+        if parent is not None and (not hidden or node.inner):
+            shown.add(id(node))
+            if hidden and node.tag in ("li", "img", "input"):
+                node.tag, node.attrs = "div" if node.tag == "li" else "span", {}
+    for node, _, hidden in order:
+        if not hidden:
+            node.inner = [c for c in node.inner if isinstance(c, str) or id(c) in shown]
+
+
+def _width(text: str) -> int:
+    """Columns that a text takes on a screen: wide letters two, combining marks none."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) else 1 + (unicodedata.east_asian_width(c) in "WF") for c in text)
+
+
 class _Flow:
     """Lines of one block container, with inline text gathered and blank lines between spaced blocks."""
 
@@ -215,18 +245,19 @@ def _table(node: Node) -> list[str]:
     for row in rows:
         for lines, at, wide in row:
             if wide == 1:
-                widths[at] = max(widths.get(at, 0), min(WIDEST_PAD, max(map(len, lines), default=0)))
+                widths[at] = max(widths.get(at, 0), min(WIDEST_PAD, max(map(_width, lines), default=0)))
     last = max((at + wide for row in rows for _, at, wide in row), default=0)
     begins = [0]
     for i in range(last):
-        begins.append(begins[-1] + widths.get(i, 0) + 2)
+        begins.append(begins[-1] + (widths[i] + 2 if i in widths else 0))  # a column without a cell of its own has no width
     out = loose.lines + captions
     for row in rows:
         for k in range(max((len(lines) for lines, _, _ in row), default=0)):
             line = ""
             for lines, at, _ in row:
                 if k < len(lines) and lines[k]:
-                    line = (line + "  " if line else "").ljust(begins[at]) + lines[k]
+                    line += "  " if line else ""
+                    line += " " * (begins[at] - _width(line)) + lines[k]
             out.append(line.rstrip())
     return out
 
@@ -297,6 +328,8 @@ def render(page: str | None) -> str | None:
     if page is None:
         return None
     root = tree(page)
+    if "visibility" in page.lower():
+        settle_visibility(root)
     # A block is laid out inside its parent's call; these calls take no room on the machine's own stack.
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 3 * _depth(root) + 1000))
     return "\n".join(_lines(root))

@@ -638,3 +638,24 @@ def test_ids_above_two_to_the_53_stay_exact_beside_nulls(spark, docs):
         assert sorted((r["doc_id"] for r in df.select("doc_id").collect()), key=str) == keys
     linked = {(r["doc_id"], r["component_id"]) for r in found[4].collect() if r["doc_id"]}
     assert (BIG + 1, BIG + 1) in linked and (BIG + 3, BIG + 3) in linked
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("a<!-->b<!---->c<!--->d<!-- x --!>e<!--", "abcde"),
+        ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no<p>no</p></div>z", "yes\nz"),
+        ("<ul style='VISIBILITY:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+        ("<p style='visibility:collapse'><img alt=a><span style='visibility:visible'><i style='visibility:hidden'>x</i>y</span>", "y"),
+        ("<p style='x-visibility:hidden'>kept</p>", "kept"),
+        ("<table><tr><td>漢字<td>b<tr><td>abc<td>d</table>", "漢字  b\nabc   d"),
+        ("<table><tr><td colspan=3>wide<td>x<tr><td>a</table>", "wide  x\na"),
+    ],
+)
+def test_html_comments_visibility_and_widths(page, text):
+    assert html_text.render(page) == text
+
+
+def test_wide_spans_make_no_blanks():
+    page = "<table><tr>" + "<td colspan=1000>cell" * 800 + "</table>"
+    assert len(html_text.render(page)) < 10 * len(page)
