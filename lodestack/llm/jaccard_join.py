@@ -57,25 +57,43 @@ _BYTES = 6
 _FILTER_WORDS = 1 << 16
 
 
+class _Words(dict):
+    """Hashes of words, worked out when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return found
+
+
 class Shingles:
-    """Hashes of the distinct word shingles of texts; hashes of words are remembered, up to a bound."""
+    """Hashes of the distinct word shingles of texts, sorted; hashes of words are remembered, up to a bound."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, {}
+        self.words, self.known = words, _Words()
 
     def of(self, text: str | None) -> np.ndarray:
         parts = (text or "").encode("utf-8", "replace").lower().split()
         if len(self.known) > _WORDS_MOST:
-            self.known = {}
-        known = self.known
-        for w in set(parts).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w, SEED)
-        h, k = np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts)), min(self.words, len(parts))
+            self.known = _Words()
+        h, k = np.fromiter(map(self.known.__getitem__, parts), np.uint64, len(parts)), min(self.words, len(parts))
         mix = np.full(len(h) - k + 1 if k else 0, k, np.uint64)
         for j in range(k):
-            mix = (mix ^ h[j : j + len(mix)]) * np.uint64(0x9E3779B97F4A7C15)
+            mix ^= h[j : j + len(mix)]
+            mix *= np.uint64(0x9E3779B97F4A7C15)
             mix ^= mix >> np.uint64(29)
-        return np.unique(mix * np.uint64(0xBF58476D1CE4E5B9))
+        mix *= np.uint64(0xBF58476D1CE4E5B9)
+        return _distinct(mix)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted different values of an array, which is sorted in place."""
+    x.sort()
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def _lists(arrays: list[np.ndarray], kind: type) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(kind) if arrays else np.zeros(0, kind)))
 
 
 def least_common(n: int, percent: int = PERCENT) -> int:
@@ -178,10 +196,10 @@ def prefixes(docs: DataFrame, text: str, words: int, percent: int, rarity: np.nd
                         sizes = [prefix_length(len(own), percent, 1 if k else LEAST_MET) for k in range(ORDERS)]
                         firsts = [own[np.argpartition(ranks(own, rarity, k), p - 1)[:p]] for k, p in enumerate(sizes)]
                         warm = rarity[firsts[0] >> np.uint64(44)] >= hot
-                        found.append((node, len(own), firsts[0][~warm].view(np.int64), firsts[0][warm].view(np.int64), *[np.unique(x.astype(np.uint16)).view(np.int16) for x in firsts[1:]]))
-                columns = list(zip(*found, strict=True)) or [[]] * (3 + ORDERS)
-                kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int16())] * (ORDERS - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["node", "n", "p0", "hot", *_P])
+                        found.append((node, len(own), firsts[0][~warm], firsts[0][warm], *[_distinct(x.astype(np.uint16)) for x in firsts[1:]]))
+                node, n, cold, warm, *others = list(zip(*found, strict=True)) or [[]] * (3 + ORDERS)
+                numbers = [pa.array(c, pa.int64()) for c in (node, n)]
+                yield pa.RecordBatch.from_arrays([*numbers, _lists(cold, np.int64), _lists(warm, np.int64), *[_lists(x, np.int16) for x in others]], names=["node", "n", "p0", "hot", *_P])
 
     rest = ", ".join(f"{p} array<short>" for p in _P)
     return docs.select(F.col(text).alias("text")).mapInArrow(run, f"node long, n long, p0 array<long>, hot array<long>, {rest}")
@@ -226,7 +244,7 @@ def sets_of(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame,
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 own = [shingles.of(t) for t in batch.column(0).slice(i, 256).to_pylist()]
-                packed = [np.unique(x >> np.uint64(64 - 8 * _BYTES)).view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes() for x in own]
+                packed = [_distinct(x >> np.uint64(64 - 8 * _BYTES)).view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes() for x in own]
                 yield pa.RecordBatch.from_arrays([pa.array([_node(x, second) for x in own], pa.int64()), pa.array(packed, pa.binary())], names=["node", "s"])
 
     return some.mapInArrow(run, "node long, s binary")
