@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .integrity import repeated, unknown, violations
+from .integrity import path_conflicts, repeated, unknown, violations
 
 #: First folders of destinations, formats read directly, formats of software, kinds of records.
 ROOTS = ("BOOKS", "CRITICAL", "MAPS", "REFERENCE", "SOFTWARE", "ZIM")
@@ -45,7 +45,7 @@ def asset_rules() -> dict[str, Column]:
         "destination": unsafe_path(dest) | ~F.split(dest, "/")[0].isin(*ROOTS) | (F.size(F.split(dest, "/")) < 2),
         "title": blank("title"),
         "record type": ~F.col("record_type").isin(*RECORD_TYPES),
-        "supporting file claims coverage": F.col("supporting") & (F.col("critical") | F.col("illustrated") | ~F.col("record_type").isin("reference", "archive")),
+        "supporting file counted as a document": F.col("supporting") & (F.col("critical") | F.col("illustrated") | ~F.col("record_type").isin("reference", "archive")),
         "status": ~F.col("status").isin("resolved", "unresolved"),
         "unexplained": (F.col("status") == "unresolved") & blank("reason"),
         "size": ~F.coalesce(F.col("size_bytes") >= 1, F.col("status") == "unresolved"),
@@ -185,3 +185,144 @@ def phase_rules() -> dict[str, Column]:
         "expansion over its allowance": F.col("expanded") < F.col("measured"),
         "budget leaves out components": F.col("budget") < total,
     }
+
+
+def _rows(df: DataFrame, entity: str, rule: str, key: str = "id") -> DataFrame:
+    return df.select(F.lit(entity).alias("entity"), F.col(key).cast("string").alias("id"), F.lit(rule).alias("rule")).distinct()
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.union(p)
+    return whole
+
+
+def asset_list_rules() -> dict[str, Column]:
+    """For (category, version, license, mirrors, profiles, member_path, size_bytes, status, generated, supporting, member of an
+    archive or not)."""
+    least = F.when(F.col("source_id").isNotNull() | (F.col("generated") & F.col("supporting")), 0).otherwise(1)
+    return {
+        "category": blank("category"),
+        "version": blank("version"),
+        "license": blank("license"),
+        "mirrors": F.coalesce(F.exists("mirrors", lambda u: F.coalesce(unsafe_source(u), F.lit(True))), F.lit(False)),
+        "profiles": F.col("profiles").isNull() | F.coalesce(F.exists("profiles", lambda p: p.isNull()), F.lit(False)),
+        "size": ~F.coalesce(F.col("size_bytes") >= least, F.col("status") == "unresolved"),
+        "member path": F.col("source_id").isNotNull() & F.coalesce(unsafe_path(F.col("member_path")), F.lit(True)),
+    }
+
+
+def archive_members(assets: DataFrame) -> DataFrame:
+    """Violations of files taken from an archive (source_id, document) against the archive's own record.
+
+    assets (id, source_id, document, status, sha256, format, supporting, source_url, mirrors, critical, illustrated,
+    record_type). An archive is a pinned, supporting ZIP that is no member itself, and its members have its addresses.
+    """
+    own = ("id", "source_id", "status", "sha256", "format", "supporting", "source_url", "mirrors")
+    source = assets.select(*[F.col(c).alias(f"of_{c}") for c in own]).dropDuplicates(["of_id"])
+    rows = assets.where("source_id IS NOT NULL").join(source, F.col("source_id") == F.col("of_id"), "left")
+    known = F.col("of_id").isNotNull()
+    rules = {
+        "archive is unknown": ~known,
+        "archive is the file itself": F.col("source_id") == F.col("id"),
+        "archive is a member": F.col("of_source_id").isNotNull(),
+        "archive is no ZIP": known & (F.lower("of_format") != "zip"),
+        "archive is not pinned": known & ((F.col("of_status") != "resolved") | F.col("of_sha256").isNull()),
+        "archive is no supporting file": known & ~F.col("of_supporting"),
+        "member is not pinned": (F.col("status") != "resolved") | F.col("sha256").isNull(),
+        "member has another address": known & ((F.col("source_url") != F.col("of_source_url")) | ~F.col("mirrors").eqNullSafe(F.col("of_mirrors"))),
+        "member that is no document counted as one": ~F.col("document") & (F.col("critical") | F.col("illustrated") | (F.col("record_type") != "reference")),
+    }
+    return violations(rows, "asset", "id", {k: F.coalesce(c, F.lit(False)) for k, c in rules.items()})
+
+
+def path_violations(assets: DataFrame) -> DataFrame:
+    """Destinations that are equal but for case, or at once a file and another's folder: one row for each such file."""
+    conflicts = path_conflicts(assets.select(F.col("destination").alias("path")))
+    rows = assets.select("id", F.lower("destination").alias("key")).join(conflicts, "key")
+    return rows.select(F.lit("asset").alias("entity"), "id", F.concat(F.lit("path: "), "conflict").alias("rule")).distinct()
+
+
+EDITIONS = ("direct", "compact")
+STATUSES = ("ready", "partial", "unresolved")
+DEVICE = ("pending", "passed", "not_applicable")
+
+
+def resource_rules() -> dict[str, Column]:
+    """For (id, title, number, target_bytes, status, reason, device, source_pages, credit_id, credit_bytes), device a
+    struct of status, reason and evidence or null."""
+    device, evidence = F.col("device").isNotNull(), F.col("device.evidence")
+    return {
+        "id": ~F.col("id").rlike("^[a-z0-9][a-z0-9-]*$"),
+        "title": blank("title"),
+        "number": F.coalesce(F.col("number") < 1, F.lit(False)),
+        "target": F.col("target_bytes") < 0,
+        "status": ~F.col("status").isin(*STATUSES),
+        "unexplained": (F.col("status") != "ready") & blank("reason"),
+        "device status": device & ~F.coalesce(F.col("device.status").isin(*DEVICE), F.lit(False)),
+        "device reason": device & blank("device.reason"),
+        "device evidence repeated": device & F.coalesce(F.size(evidence) != F.size(F.array_distinct(evidence)), F.lit(True)),
+        "device passed without evidence": device & F.coalesce((F.col("device.status") == "passed") & (F.size(evidence) <= 0), F.lit(False)),
+        "source page": F.coalesce(F.exists("source_pages", lambda u: F.coalesce(unsafe_source(u), F.lit(True))), F.lit(False)),
+        "credit id": F.coalesce(~F.col("credit_id").rlike("^[a-z0-9][a-z0-9-]*$"), F.lit(False)),
+        "credit amount": F.col("credit_id").isNotNull() & ~F.coalesce(F.col("credit_bytes") >= 0, F.lit(False)),
+        "credit to itself": F.coalesce(F.col("credit_id") == F.col("id"), F.lit(False)),
+    }
+
+
+def resource_violations(resources: DataFrame, editions: DataFrame, members: DataFrame, replacements: DataFrame, assets: DataFrame) -> DataFrame:
+    """(entity, id, rule) for every rule that a collection breaks, by itself or against the files it names.
+
+    editions (id, edition, target_bytes, status, reason) beside the published one, members (id, edition, asset_id),
+    replacements (id, asset_id), assets (asset_id, status, sha256, format, reader_required, destination, critical).
+    """
+    r = "resource"
+    own = violations(resources, r, "id", resource_rules())
+    numbers = resources.where("number IS NOT NULL").groupBy("number").agg(F.count("*").alias("n")).where("n > 1").select("number")
+    published = members.where("edition = 'published'").select("id", "asset_id")
+    held = published.join(assets, "asset_id")
+    ready = resources.where("status = 'ready'").select("id")
+    stated = editions.select("id", "edition").distinct()
+    listed = members.where("edition <> 'published'").join(stated, ["id", "edition"], "left_semi")
+    in_edition = listed.join(assets, "asset_id")
+    readable = F.lower("format").isin(*DIRECT_FORMATS) & ~F.col("reader_required") & ~F.split("destination", "/")[0].isin("ZIM", "SOFTWARE")
+    pinned = (F.col("status") == "resolved") & F.coalesce(F.col("sha256").rlike(_DIGEST), F.lit(False))
+    critical = held.where("critical").select("id", "asset_id").distinct()
+    needed = critical.join(stated, "id").join(listed.select("id", "edition", "asset_id").distinct(), ["id", "edition", "asset_id"], "left_anti")
+    zim = in_edition.where("edition = 'compact' AND lower(format) = 'zim'").select("id")
+    credit = resources.where("credit_id IS NOT NULL").select("id", "credit_id")
+    names = resources.select(F.col("id").alias("credit_id"))
+    replaced = replacements.select("id", "asset_id")
+    met = credit.join(replaced, "id").join(published.select(F.col("id").alias("credit_id"), "asset_id"), ["credit_id", "asset_id"]).select("id")
+    twice = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    absent = lambda df: df.join(assets.select("asset_id"), "asset_id", "left_anti")
+    without = lambda df, other: df.join(other.select("id"), "id", "left_anti")
+    found = [
+        own,
+        repeated(resources, r, "id"),
+        _rows(resources.join(numbers, "number"), r, "number repeated"),
+        _rows(twice(published, "id", "asset_id"), r, "member repeated"),
+        _rows(twice(replaced, "id", "asset_id"), r, "replacement repeated"),
+        _rows(absent(published), r, "member unknown"),
+        _rows(absent(replaced), r, "replacement unknown"),
+        _rows(replaced.join(published.distinct(), ["id", "asset_id"], "left_semi"), r, "replaces its own member"),
+        _rows(without(ready, published), r, "ready without members"),
+        _rows(held.where("status <> 'resolved'").join(ready, "id", "left_semi"), r, "ready with unresolved members"),
+        _rows(editions.where(~F.col("edition").isin(*EDITIONS)), r, "edition unknown"),
+        _rows(twice(editions, "id", "edition"), r, "edition repeated"),
+        _rows(editions.where("target_bytes < 0"), r, "edition target"),
+        _rows(editions.where(~F.col("status").isin(*STATUSES)), r, "edition status"),
+        _rows(editions.where((F.col("status") != "ready") & blank("reason")), r, "edition unexplained"),
+        _rows(stated.join(listed.select("id", "edition"), ["id", "edition"], "left_anti"), r, "edition without members"),
+        _rows(twice(listed, "id", "edition", "asset_id"), r, "edition member repeated"),
+        _rows(absent(listed), r, "edition member unknown"),
+        _rows(in_edition.where(~pinned), r, "edition member not pinned"),
+        _rows(in_edition.where((F.col("edition") == "direct") & ~readable), r, "direct edition not readable"),
+        _rows(without(stated.where("edition = 'compact'").select("id"), zim), r, "compact edition without archive"),
+        _rows(needed, r, "edition lacks critical members"),
+        _rows(without(credit, replaced), r, "credit without replacement"),
+        _rows(credit.join(names, "credit_id", "left_anti"), r, "credit to an unknown collection"),
+        _rows(without(credit, met), r, "credit for nothing replaced"),
+    ]
+    return _all(found)

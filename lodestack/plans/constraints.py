@@ -51,7 +51,7 @@ _ASSET_SQL = {
     "destination": "contains(destination, '/../') OR string_split(destination, '/')[1] = 'other'",
     "title": "length(trim(title)) = 0 OR title IS NULL",
     "record type": "record_type = 'strange'",
-    "supporting file claims coverage": "supporting AND (critical OR illustrated OR record_type IN ('guide', 'strange'))",
+    "supporting file counted as a document": "supporting AND (critical OR illustrated OR record_type IN ('guide', 'strange'))",
     "status": "status = 'odd'",
     "unexplained": "status = 'unresolved' AND reason IS NULL",
     "size": "CASE WHEN size_bytes IS NULL THEN status <> 'unresolved' ELSE size_bytes < 1 END",
@@ -259,3 +259,100 @@ def phase_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = {"download": c, "expanded": k % 50, "preview": c % 7 - 1, "scratch": F.lit(5), "cache": k % 3, "metadata": F.lit(100), "budget": F.floor(F.col("o_totalprice") / 100), "measured": c % 40}
     own = table(spark, sf_dir, "orders").select(k.alias("id"), *[v.cast("long").alias(name) for name, v in values.items()])
     return violations(own, "phase", "id", op.phase_rules())
+
+
+_FILES = """f AS (SELECT concat('p', p_partkey) AS id, p_partkey AS k, p_size AS z, CASE WHEN p_partkey % 12 = 5 THEN concat('p', p_partkey - CASE WHEN p_partkey % 60 = 5 THEN 0 WHEN p_partkey % 36 = 5 THEN 5000000 ELSE 1 END) END AS source_id, p_partkey % 24 <> 5 AS document,
+CASE WHEN p_size = 9 THEN 'unresolved' ELSE 'resolved' END AS status, CASE WHEN p_size % 8 <> 5 THEN repeat('a', 64) END AS sha256, CASE WHEN p_partkey % 12 IN (4, 5) AND p_size <> 7 THEN 'zip' ELSE 'pdf' END AS format, p_partkey % 12 = 4 AND p_size % 5 > 0 AS supporting, p_size % 6 = 0 AS critical, false AS illustrated, 'reference' AS record_type,
+concat('https://h/', CASE WHEN p_partkey % 12 = 5 AND p_size % 4 > 0 THEN p_partkey - 1 ELSE p_partkey END) AS source_url, CASE WHEN p_size = 13 THEN ['http://m/'] ELSE ['https://m/'] END AS mirrors, CASE WHEN p_size = 14 THEN ' ' ELSE 'c' END AS category, CASE WHEN p_size <> 15 THEN 'v' END AS version, CASE WHEN p_size = 16 THEN '' ELSE 'l' END AS license,
+CASE WHEN p_size = 17 THEN NULL ELSE ['a'] END AS profiles, CASE WHEN p_size % 11 = 0 THEN '../x' ELSE 'x/y' END AS member_path, CAST(CASE WHEN p_size = 9 THEN NULL ELSE p_size - 2 END AS BIGINT) AS size_bytes, p_partkey % 3 = 0 AS generated,
+CASE WHEN p_partkey % 10 = 0 THEN concat('BOOKS/', p_partkey + 1, '.x/', p_partkey) WHEN p_partkey % 10 = 3 THEN concat('books/', p_partkey + 1, '.X') ELSE concat('BOOKS/', p_partkey, '.x') END AS destination FROM part)"""
+_LIST_SQL = {
+    "category": "category = ' '", "version": "version IS NULL", "license": "license = ''", "mirrors": "z = 13", "profiles": "profiles IS NULL",
+    "size": "status <> 'unresolved' AND size_bytes < CASE WHEN source_id IS NOT NULL OR generated AND supporting THEN 0 ELSE 1 END", "member path": "source_id IS NOT NULL AND member_path = '../x'",
+}
+_MEMBER_SQL = {
+    "archive is unknown": "o.id IS NULL", "archive is the file itself": "f.source_id = f.id", "archive is a member": "o.source_id IS NOT NULL", "archive is no ZIP": "o.format <> 'zip'", "archive is not pinned": "o.status = 'unresolved' OR (o.id IS NOT NULL AND o.sha256 IS NULL)",
+    "archive is no supporting file": "NOT o.supporting", "member is not pinned": "f.status = 'unresolved' OR f.sha256 IS NULL", "member has another address": "f.source_url <> o.source_url OR f.mirrors <> o.mirrors", "member that is no document counted as one": "NOT f.document AND f.critical",
+}
+_PATHS = """w AS (SELECT id, lower(destination) AS key, string_split(lower(destination), '/') AS parts FROM f), dir AS (SELECT DISTINCT array_to_string(parts[1:n], '/') AS key FROM w, range(1, 4) r(n) WHERE n < len(parts))
+SELECT 'asset' AS entity, id, 'path: same but for case' AS rule FROM w WHERE key IN (SELECT key FROM w GROUP BY key HAVING count(*) > 1) UNION ALL SELECT 'asset', id, 'path: file and folder' FROM w WHERE key IN (SELECT key FROM dir)"""
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, z, none = F.col("p_partkey"), F.col("p_size"), F.lit(None)
+    name = lambda c: F.concat(F.lit("p"), c.cast("string"))
+    back = F.when(k % 60 == 5, 0).when(k % 36 == 5, 5000000).otherwise(1)
+    return table(spark, sf_dir, "part").select(
+        name(k).alias("id"), F.when(k % 12 == 5, name(k - back)).alias("source_id"), (k % 24 != 5).alias("document"),
+        F.when(z == 9, "unresolved").otherwise("resolved").alias("status"), F.when(z % 8 != 5, F.repeat(F.lit("a"), 64)).alias("sha256"),
+        F.when((k % 12).isin(4, 5) & (z != 7), "zip").otherwise("pdf").alias("format"), ((k % 12 == 4) & (z % 5 > 0)).alias("supporting"), (z % 6 == 0).alias("critical"),
+        F.lit(False).alias("illustrated"), F.lit("reference").alias("record_type"), F.concat(F.lit("https://h/"), F.when((k % 12 == 5) & (z % 4 > 0), k - 1).otherwise(k).cast("string")).alias("source_url"),
+        F.array(F.when(z == 13, "http://m/").otherwise("https://m/")).alias("mirrors"), F.when(z == 14, " ").otherwise("c").alias("category"), F.when(z != 15, "v").alias("version"), F.when(z == 16, "").otherwise("l").alias("license"),
+        F.when(z != 17, F.array(F.lit("a"))).alias("profiles"), F.when(z % 11 == 0, "../x").otherwise("x/y").alias("member_path"), F.when(z == 9, none).otherwise(z - 2).cast("long").alias("size_bytes"), (k % 3 == 0).alias("generated"),
+        F.when(k % 10 == 0, F.concat(F.lit("BOOKS/"), (k + 1).cast("string"), F.lit(".x/"), k.cast("string"))).when(k % 10 == 3, F.concat(F.lit("books/"), (k + 1).cast("string"), F.lit(".X"))).otherwise(F.concat(F.lit("BOOKS/"), k.cast("string"), F.lit(".x"))).alias("destination"),
+    )
+
+
+@query(f"WITH {_FILES} {_union('asset', 'f', _LIST_SQL)} UNION ALL {_union('asset', 'f LEFT JOIN f o ON o.id = f.source_id', {k: f'f.source_id IS NOT NULL AND ({v})' for k, v in _MEMBER_SQL.items()}, 'f.id')}")
+def archive_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists, texts and archive members of assets."""
+    own = _files(spark, sf_dir)
+    return violations(own, "asset", "id", op.asset_list_rules()).union(op.archive_members(own))
+
+
+@query(f"WITH {_FILES}, {_PATHS}")
+def destination_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.path_violations(_files(spark, sf_dir))
+
+
+_COLLECTIONS = """r AS (SELECT s_suppkey AS s, CASE WHEN s_suppkey % 31 = 7 THEN concat('Bad ', s_suppkey) ELSE concat('s', s_suppkey) END AS id, CASE WHEN s_suppkey % 29 = 3 THEN ' ' ELSE s_name END AS title, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey // 4 END AS number, CAST(s_suppkey - 2 AS BIGINT) AS target_bytes,
+CASE WHEN s_suppkey % 23 = 4 THEN 'odd' WHEN s_suppkey % 3 = 0 THEN 'partial' ELSE 'ready' END AS status, CASE WHEN s_suppkey % 6 <> 0 THEN 'why' END AS reason, CASE WHEN s_suppkey % 7 = 1 THEN concat('s', CASE WHEN s_suppkey % 14 = 1 THEN s_suppkey WHEN s_suppkey % 21 = 1 THEN 9999999 ELSE s_suppkey + 1 END) END AS credit_id, CAST(s_suppkey % 5 - 1 AS BIGINT) AS credit_bytes FROM supplier, range(2) t(twice) WHERE twice = 0 OR s_suppkey % 43 = 11), rd AS (SELECT DISTINCT s, id FROM r),
+base AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS a FROM lineitem WHERE l_suppkey % 37 <> 1), m AS (SELECT s, 'published' AS edition, a + CASE WHEN s % 13 = 2 AND a % 50 = 0 THEN 7000000 ELSE 0 END AS a FROM base UNION ALL SELECT s, 'published', a FROM base WHERE s % 11 = 5 AND a % 40 = 1),
+a AS (SELECT p_partkey AS a, CASE WHEN p_size = 9 AND p_partkey % 7 = 0 THEN 'unresolved' ELSE 'resolved' END AS status, p_size % 40 <> 5 AS pinned, CASE WHEN p_partkey % 25 = 0 THEN 'zim' ELSE 'pdf' END AS format, p_partkey % 97 = 0 AS critical FROM part),
+e AS (SELECT s, 'direct' AS edition, CAST(s - 20 AS BIGINT) AS target, CASE WHEN s % 5 = 0 THEN 'odd' ELSE 'ready' END AS status FROM r WHERE s % 3 = 0 UNION ALL SELECT s, 'compact', 5, 'partial' FROM r WHERE s % 4 = 1 UNION ALL SELECT s, 'other', 5, 'ready' FROM r WHERE s % 17 = 0 UNION ALL SELECT s, 'direct', 5, 'ready' FROM r WHERE s % 33 = 0),
+em AS (SELECT e.s, e.edition, b.a FROM (SELECT DISTINCT s, edition FROM e) e JOIN base b ON b.s = e.s WHERE e.edition = 'direct' AND b.a % 3 = 0 OR e.edition = 'compact' AND b.a % 5 = e.s % 5 UNION ALL SELECT s, 'direct', a + 8000000 FROM base WHERE s % 12 = 0 AND a % 30 = 0),
+rp AS (SELECT s_suppkey AS s, p_partkey AS a FROM supplier JOIN part ON p_partkey % 100 = s_suppkey % 100 WHERE s_suppkey % 5 = 1)"""
+_COLLECTION_SQL = """SELECT id, 'id' AS rule FROM r WHERE left(id, 3) = 'Bad' UNION ALL SELECT id, 'title' FROM r WHERE title = ' ' UNION ALL SELECT id, 'number' FROM r WHERE number < 1 UNION ALL SELECT id, 'target' FROM r WHERE target_bytes < 0 UNION ALL SELECT id, 'status' FROM r WHERE status = 'odd'
+UNION ALL SELECT id, 'unexplained' FROM r WHERE status <> 'ready' AND reason IS NULL UNION ALL SELECT id, 'device status' FROM r WHERE s % 8 = 0 AND s % 16 = 0 UNION ALL SELECT id, 'device reason' FROM r WHERE s % 8 = 0 AND s % 24 = 0 UNION ALL SELECT id, 'device evidence repeated' FROM r WHERE s % 8 = 0 AND s % 5 = 0
+UNION ALL SELECT id, 'device passed without evidence' FROM r WHERE s % 8 = 0 AND s % 16 <> 0 AND s % 5 = 1 UNION ALL SELECT id, 'source page' FROM r WHERE s % 19 = 0 UNION ALL SELECT id, 'credit amount' FROM r WHERE credit_id IS NOT NULL AND credit_bytes < 0 UNION ALL SELECT id, 'credit to itself' FROM r WHERE credit_id = id
+UNION ALL SELECT id, 'repeated id' FROM r GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT DISTINCT id, rule FROM (SELECT id, 'number repeated' AS rule FROM r WHERE number IN (SELECT number FROM r GROUP BY number HAVING count(*) > 1) UNION ALL SELECT id, 'member repeated' FROM rd JOIN m ON m.s = rd.s GROUP BY id, a HAVING count(*) > 1 UNION ALL SELECT id, 'member unknown' FROM r JOIN m ON m.s = r.s WHERE a NOT IN (SELECT a FROM a)
+UNION ALL SELECT id, 'replaces its own member' FROM r JOIN rp ON rp.s = r.s JOIN m ON m.s = rp.s AND m.a = rp.a UNION ALL SELECT id, 'ready without members' FROM r WHERE status = 'ready' AND s NOT IN (SELECT s FROM m)
+UNION ALL SELECT id, 'ready with unresolved members' FROM r JOIN m ON m.s = r.s JOIN a ON a.a = m.a WHERE r.status = 'ready' AND a.status <> 'resolved' UNION ALL SELECT id, 'edition unknown' FROM r JOIN e ON e.s = r.s WHERE edition = 'other' UNION ALL SELECT id, 'edition repeated' FROM rd JOIN e ON e.s = rd.s GROUP BY id, edition HAVING count(*) > 1
+UNION ALL SELECT id, 'edition target' FROM r JOIN e ON e.s = r.s WHERE target < 0 UNION ALL SELECT id, 'edition status' FROM r JOIN e ON e.s = r.s WHERE e.status = 'odd' UNION ALL SELECT id, 'edition unexplained' FROM r JOIN e ON e.s = r.s WHERE e.status <> 'ready' AND e.s % 8 <> 5
+UNION ALL SELECT id, 'edition without members' FROM r JOIN e ON e.s = r.s WHERE NOT EXISTS (SELECT 1 FROM em WHERE em.s = e.s AND em.edition = e.edition) UNION ALL SELECT id, 'edition member unknown' FROM r JOIN em ON em.s = r.s WHERE a NOT IN (SELECT a FROM a)
+UNION ALL SELECT id, 'edition member not pinned' FROM r JOIN em ON em.s = r.s JOIN a ON a.a = em.a WHERE a.status <> 'resolved' OR NOT pinned UNION ALL SELECT id, 'direct edition not readable' FROM r JOIN em ON em.s = r.s JOIN a ON a.a = em.a WHERE edition = 'direct' AND format = 'zim'
+UNION ALL SELECT id, 'compact edition without archive' FROM r JOIN e ON e.s = r.s WHERE edition = 'compact' AND NOT EXISTS (SELECT 1 FROM em JOIN a ON a.a = em.a WHERE em.s = r.s AND em.edition = 'compact' AND format = 'zim')
+UNION ALL SELECT id, 'edition lacks critical members' FROM r JOIN e ON e.s = r.s JOIN m ON m.s = r.s JOIN a ON a.a = m.a WHERE critical AND NOT EXISTS (SELECT 1 FROM em WHERE em.s = e.s AND em.edition = e.edition AND em.a = m.a)
+UNION ALL SELECT id, 'credit without replacement' FROM r WHERE credit_id IS NOT NULL AND s NOT IN (SELECT s FROM rp) UNION ALL SELECT id, 'credit to an unknown collection' FROM r WHERE credit_id NOT IN (SELECT id FROM r)
+UNION ALL SELECT id, 'credit for nothing replaced' FROM r WHERE credit_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM r o JOIN m ON m.s = o.s JOIN rp ON rp.s = r.s AND rp.a = m.a WHERE o.id = r.credit_id))"""
+
+
+@query(f"WITH {_COLLECTIONS} SELECT 'resource' AS entity, id, rule FROM ({_COLLECTION_SQL})")
+def resource_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers are collections of the parts they deliver, with editions, replacements and credits that break each rule."""
+    s, supplier, part = F.col("s"), table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "s"), table(spark, sf_dir, "part")
+    ident = F.concat(F.when(s % 31 == 7, "Bad ").otherwise("s"), s.cast("string"))
+    names = supplier.select("s", ident.alias("id"))
+    evidence = F.when(s % 5 == 0, F.array(F.lit("x"), F.lit("x"))).when(s % 5 == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("x")))
+    device = F.when(s % 8 == 0, F.struct(F.when(s % 16 == 0, "odd").otherwise("passed").alias("status"), F.when(s % 24 == 0, " ").otherwise("why").alias("reason"), evidence.alias("evidence")))
+    credit = F.when(s % 14 == 1, s).when(s % 21 == 1, 9999999).otherwise(s + 1)
+    resources = supplier.union(supplier.where("s % 43 = 11")).select(
+        ident.alias("id"), F.when(s % 29 == 3, " ").otherwise(F.col("s_name")).alias("title"), F.when(s % 2 == 0, F.expr("s DIV 4")).alias("number"), (s - 2).cast("long").alias("target_bytes"),
+        F.when(s % 23 == 4, "odd").when(s % 3 == 0, "partial").otherwise("ready").alias("status"), F.when(s % 6 != 0, "why").alias("reason"), device.alias("device"),
+        F.array(F.when(s % 19 == 0, "http://h/").otherwise("https://h/")).alias("source_pages"), F.when(s % 7 == 1, F.concat(F.lit("s"), credit.cast("string"))).alias("credit_id"), (s % 5 - 1).cast("long").alias("credit_bytes"),
+    )
+    base = table(spark, sf_dir, "lineitem").where("l_suppkey % 37 <> 1").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("a")).distinct()
+    a = F.col("a")
+    shown = base.select("s", F.lit("published").alias("edition"), (a + F.when((s % 13 == 2) & (a % 50 == 0), 7000000).otherwise(0)).alias("asset_id")).union(base.where("s % 11 = 5 AND a % 40 = 1").select("s", F.lit("published"), "a"))
+    row = lambda edition, target, status: F.struct(F.lit(edition).alias("edition"), target.cast("long").alias("target_bytes"), status.alias("status"))
+    kinds = F.array(F.when(s % 3 == 0, row("direct", s - 20, F.when(s % 5 == 0, "odd").otherwise("ready"))), F.when(s % 4 == 1, row("compact", F.lit(5), F.lit("partial"))), F.when(s % 17 == 0, row("other", F.lit(5), F.lit("ready"))), F.when(s % 33 == 0, row("direct", F.lit(5), F.lit("ready"))))
+    editions = supplier.select("s", F.explode(F.array_compact(kinds)).alias("x")).select("s", "x.*")
+    editions = editions.withColumn("reason", F.when(s % 8 == 5, "why"))
+    own = editions.select("s", "edition").distinct().join(base, "s")
+    listed = own.where("edition = 'direct' AND a % 3 = 0 OR edition = 'compact' AND a % 5 = s % 5").select("s", "edition", F.col("a").alias("asset_id")).union(base.where("s % 12 = 0 AND a % 30 = 0").select("s", F.lit("direct"), a + 8000000))
+    k, z = F.col("p_partkey"), F.col("p_size")
+    assets = part.select(k.alias("asset_id"), F.when((z == 9) & (k % 7 == 0), "unresolved").otherwise("resolved").alias("status"), F.when(z % 40 != 5, F.repeat(F.lit("a"), 64)).alias("sha256"), F.when(k % 25 == 0, "zim").otherwise("pdf").alias("format"), F.lit(False).alias("reader_required"), F.lit("BOOKS/x").alias("destination"), (k % 97 == 0).alias("critical"))
+    replaced = supplier.where("s % 5 = 1").select("s", (s % 100).alias("m")).join(part.select(k.alias("asset_id"), (k % 100).alias("m")), "m")
+    with_id = lambda df, *columns: df.join(names, "s").select("id", *columns)
+    return op.resource_violations(resources, with_id(editions, "edition", "target_bytes", "status", "reason"), with_id(shown.union(listed), "edition", "asset_id"), with_id(replaced, "asset_id"), assets)

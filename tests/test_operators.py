@@ -192,3 +192,20 @@ def test_canonical_chain_has_no_last_step(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: (r["canonical"], r["steps"], r["legacy"]) for r in registry.QUERIES["canonical_chain"](spark, str(tmp_path)).collect()}
     assert got == {3 * i: (0, i, i > 0) for i in range(300)} | {1: (1, 0, True), 2: (1, 1, True), 4: (4, 0, False), 5: (5, 0, None)}
+
+
+def test_constraint_rules_are_all_broken_somewhere(spark, sf_dir):
+    from lodestack.operators import constraints as op
+
+    big = sf_dir.replace("0.001", "0.01")
+    got = {n: {r["rule"] for r in registry.QUERIES[n](spark, big).select("rule").distinct().collect()} for n in ("archive_constraints", "resource_constraints", "destination_conflicts")}
+    assert set(op.asset_list_rules()) <= got["archive_constraints"] and len(got["archive_constraints"]) >= 15
+    missing = {*op.resource_rules(), "repeated id", "number repeated", "member repeated", "member unknown", "replaces its own member", "ready without members", "edition unknown", "edition repeated", "edition member unknown", "edition member not pinned", "direct edition not readable", "compact edition without archive", "edition lacks critical members", "credit without replacement", "credit to an unknown collection", "credit for nothing replaced"} - got["resource_constraints"]
+    assert missing <= {"credit id", "compact edition without archive"}
+    assert got["destination_conflicts"] == {"path: same but for case", "path: file and folder"}
+    none = spark.createDataFrame([], "id string, edition string, asset_id string")
+    one = spark.createDataFrame([("a", "t", None, 1, "ready", "", None, None, "Not An Id", 1)], "id string, title string, number int, target_bytes long, status string, reason string, device struct<status:string,reason:string,evidence:array<string>>, source_pages array<string>, credit_id string, credit_bytes long")
+    editions = spark.createDataFrame([("a", "compact", 1, "ready", "")], "id string, edition string, target_bytes long, status string, reason string")
+    assets = spark.createDataFrame([], "asset_id string, status string, sha256 string, format string, reader_required boolean, destination string, critical boolean")
+    rules = {r["rule"] for r in op.resource_violations(one, editions, none, none.select("id", "asset_id"), assets).collect()}
+    assert rules == {"ready without members", "credit id", "edition without members", "compact edition without archive", "credit without replacement", "credit to an unknown collection", "credit for nothing replaced"}
