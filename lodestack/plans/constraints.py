@@ -309,7 +309,7 @@ _COLLECTIONS = """r AS (SELECT s_suppkey AS s, CASE WHEN s_suppkey % 31 = 7 THEN
 CASE WHEN s_suppkey % 23 = 4 THEN 'odd' WHEN s_suppkey % 3 = 0 THEN 'partial' ELSE 'ready' END AS status, CASE WHEN s_suppkey % 6 <> 0 THEN 'why' END AS reason, CASE WHEN s_suppkey % 7 = 1 THEN concat('s', CASE WHEN s_suppkey % 14 = 1 THEN s_suppkey WHEN s_suppkey % 21 = 1 THEN 9999999 ELSE s_suppkey + 1 END) END AS credit_id, CAST(s_suppkey % 5 - 1 AS BIGINT) AS credit_bytes FROM supplier, range(2) t(twice) WHERE twice = 0 OR s_suppkey % 43 = 11), rd AS (SELECT DISTINCT s, id FROM r),
 base AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS a FROM lineitem WHERE l_suppkey % 37 <> 1), m AS (SELECT s, 'published' AS edition, a + CASE WHEN s % 13 = 2 AND a % 50 = 0 THEN 7000000 ELSE 0 END AS a FROM base UNION ALL SELECT s, 'published', a FROM base WHERE s % 11 = 5 AND a % 40 = 1),
 a AS (SELECT p_partkey AS a, CASE WHEN p_size = 9 AND p_partkey % 7 = 0 THEN 'unresolved' ELSE 'resolved' END AS status, p_size % 40 <> 5 AS pinned, CASE WHEN p_partkey % 25 = 0 THEN 'zim' ELSE 'pdf' END AS format, p_partkey % 97 = 0 AS critical FROM part),
-e AS (SELECT s, 'direct' AS edition, CAST(s - 20 AS BIGINT) AS target, CASE WHEN s % 5 = 0 THEN 'odd' ELSE 'ready' END AS status FROM r WHERE s % 3 = 0 UNION ALL SELECT s, 'compact', 5, 'partial' FROM r WHERE s % 4 = 1 UNION ALL SELECT s, 'other', 5, 'ready' FROM r WHERE s % 17 = 0 UNION ALL SELECT s, 'direct', 5, 'ready' FROM r WHERE s % 33 = 0),
+e AS (SELECT s, 'direct' AS edition, CAST(s - 20 AS BIGINT) AS target, CASE WHEN s % 5 = 0 THEN 'odd' ELSE 'ready' END AS status FROM rd WHERE s % 3 = 0 UNION ALL SELECT s, 'compact', 5, 'partial' FROM rd WHERE s % 4 = 1 UNION ALL SELECT s, 'other', 5, 'ready' FROM rd WHERE s % 17 = 0 UNION ALL SELECT s, 'direct', 5, 'ready' FROM rd WHERE s % 33 = 0),
 em AS (SELECT e.s, e.edition, b.a FROM (SELECT DISTINCT s, edition FROM e) e JOIN base b ON b.s = e.s WHERE e.edition = 'direct' AND b.a % 3 = 0 OR e.edition = 'compact' AND b.a % 5 = e.s % 5 UNION ALL SELECT s, 'direct', a + 8000000 FROM base WHERE s % 12 = 0 AND a % 30 = 0),
 rp AS (SELECT s_suppkey AS s, p_partkey AS a FROM supplier JOIN part ON p_partkey % 100 = s_suppkey % 100 WHERE s_suppkey % 5 = 1)"""
 _COLLECTION_SQL = """SELECT id, 'id' AS rule FROM r WHERE left(id, 3) = 'Bad' UNION ALL SELECT id, 'title' FROM r WHERE title = ' ' UNION ALL SELECT id, 'number' FROM r WHERE number < 1 UNION ALL SELECT id, 'target' FROM r WHERE target_bytes < 0 UNION ALL SELECT id, 'status' FROM r WHERE status = 'odd'
