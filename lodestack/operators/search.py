@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.text import maybe_incompatible, nfkc
 
 MOST_WORDS = 32
-#: Different asked words up to which each is looked for in the records, with no list of a record's words.
+#: Different asked words up to which they are looked for in the records, with no list of a record's words.
 FEW_WORDS = 64
 
 
@@ -34,16 +34,20 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
 
 
-def whole_word(column: str, word: str) -> Column:
-    """Whether a lower-case column holds a word of letters and digits that no letter or digit stands next to."""
-    return F.contains(F.col(column), F.lit(word)) & F.col(column).rlike(rf"{word}(?<![\p{{L}}\p{{N}}]{word})(?![\p{{L}}\p{{N}}])")
+def among(text: Column, words: list[str]) -> Column:
+    """Which of some lower-case words of letters and digits a lower-case text holds, in one pass over it."""
+    if not words:
+        return F.array().cast("array<string>")
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}\p{{N}}])({'|'.join(sorted(words))})(?![\p{{L}}\p{{N}}])"), F.lit(1)))
 
 
 def compatible_columns(df: DataFrame, *columns: str) -> DataFrame:
-    """The rows with the columns in Unicode's compatible form. Only texts with a character that may have another one are
-    handed to Python, nulls in place of all others."""
-    form = lambda c: F.coalesce(nfkc(F.when(maybe_incompatible(F.col(c)), F.col(c))), F.col(c))
-    return df.withColumns({c: form(c) for c in columns})
+    """The rows with the columns in Unicode's compatible form. Only rows with a character that may have another one are
+    handed to Python."""
+    odd = F.lit(False)
+    for c in columns:
+        odd = odd | F.coalesce(maybe_incompatible(F.col(c)), F.lit(False))
+    return df.where(~odd).unionByName(df.where(odd).withColumns({c: nfkc(F.col(c)) for c in columns}))
 
 
 def eligible(shelf: Column, legacy: Column, shelves: Column) -> Column:
@@ -71,12 +75,9 @@ def search(records: DataFrame, queries: DataFrame, limit: int = 50) -> DataFrame
     own = own.select("record_id", "title", "place", "legacy", "shelves", F.lower("head").alias("head"), F.lower("text").alias("text"))
     words = asked.select("query_id", F.explode("words").alias("word"))
     list_ = [r["word"] for r in words.select("word").distinct().limit(FEW_WORDS + 1).collect()]
-    if len(list_) <= FEW_WORDS:
-        found = [F.when(whole_word("head", w), F.struct(F.lit(w).alias("word"), F.lit(1).alias("in_title"))).when(whole_word("text", w), F.struct(F.lit(w).alias("word"), F.lit(0).alias("in_title"))) for w in list_]
-        kept = F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<word:string,in_title:int>>")
-    else:
-        head = tokens(F.col("head"))
-        kept = F.transform(F.array_union(head, tokens(F.col("text"))), lambda w: F.struct(w.alias("word"), F.array_contains(head, w).cast("int").alias("in_title")))
+    listed = (lambda c: among(F.col(c), list_)) if len(list_) <= FEW_WORDS else (lambda c: tokens(F.col(c)))
+    own = own.withColumn("__head", listed("head")).withColumn("__text", listed("text"))
+    kept = F.transform(F.array_union("__head", "__text"), lambda w: F.struct(w.alias("word"), F.array_contains(F.col("__head"), w).cast("int").alias("in_title")))
     hit = own.withColumn("titles", F.transform(F.split("head", mark), normalized)).select("record_id", "title", "place", "legacy", "shelves", "titles", F.inline(kept)).join(words, "word")
     found = hit.groupBy("query_id", "record_id").agg(
         F.count("*").alias("hits"), F.sum("in_title").alias("title_hits"), *[F.min(c).alias(c) for c in ("title", "place", "legacy", "shelves", "titles")]

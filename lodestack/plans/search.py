@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import search as op
+from ..sources import writers
 from .registry import query, statement, table
 
 ASKED = [(1, "the that of", "all"), (2, "de la en", "all"), (3, "der und sch", "de"), (4, "idiot", "all-with-legacy"), (5, "thes in", "legacy"), (6, "zzzz", "all"), (7, "ＴＨＥ　of", "all"), (8, "Item ７", "all-with-legacy")]
@@ -100,10 +101,13 @@ SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN '
 FROM {documents} d FULL OUTER JOIN {labels} l ON d.doc_id = l.doc_id
 """)
 
-statement("bundle_digest", """
-SELECT count(*) AS records, [[sha2(array_join(transform(array_sort(collect_list(struct(n_nationkey, row))), x -> x.row), ';'), 256)||sha256(array_to_string(list(row ORDER BY n_nationkey), ';'))]] AS digest
-FROM (SELECT n_nationkey, concat_ws('|', CAST(n_nationkey AS [[STRING||VARCHAR]]), n_name, r_name) AS row FROM {nation} JOIN {region} ON n_regionkey = r_regionkey)
-""")
+@query("""WITH r AS (SELECT o_orderkey, sha256(concat('{"o_orderkey":', o_orderkey, ',"o_orderpriority":"', o_orderpriority, '","o_orderstatus":"', o_orderstatus, '"}')) AS h FROM orders), n AS (SELECT h, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM r),
+a AS (SELECT n // 256 AS n, sha256(string_agg(h, '' ORDER BY n)) AS h FROM n GROUP BY 1), b AS (SELECT n // 256 AS n, CASE WHEN (SELECT count(*) FROM a) > 1 THEN sha256(string_agg(h, '' ORDER BY n)) ELSE min(h) END AS h FROM a GROUP BY 1), c AS (SELECT CASE WHEN count(*) > 1 THEN sha256(string_agg(h, '' ORDER BY n)) ELSE min(h) END AS h FROM b)
+SELECT (SELECT count(*) FROM orders) AS records, h AS digest FROM c""")
+def bundle_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest that names a bundle of all orders."""
+    return writers.digest(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus"), ["o_orderkey"])
+
 
 statement("topic_matrix", """
 WITH topics(topic, word) AS (VALUES ('articles', ' the '), ('articles', ' der '), ('links', ' and '), ('links', ' und '), ('questions', ' que '), ('none', 'qqqq')),

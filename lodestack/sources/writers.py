@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators import ranking
+
 
 def json_rows(df: DataFrame) -> DataFrame:
     """Each row as JSON with fields in alphabetic order, so equal rows give equal bytes."""
@@ -21,12 +23,23 @@ def checksum_lines(files: DataFrame) -> DataFrame:
     return files.orderBy("file").select(F.concat("sha256", F.lit("  "), "file").alias("value"))
 
 
-def digest(df: DataFrame, order: list[str], parts: int = 256) -> DataFrame:
-    """One row: (records, digest) of all rows in their order. Rows are hashed by themselves and then by part, so
-    no task holds more than the hashes of one part."""
-    rows = df.select(F.sha2(json_row(df), 256).alias("h"), F.pmod(F.xxhash64(*order), F.lit(parts)).alias("part"))
-    part = rows.groupBy("part").agg(F.count("*").alias("n"), F.sha2(F.concat_ws("", F.sort_array(F.collect_list("h"))), 256).alias("h"))
-    return part.agg(F.sum("n").alias("records"), F.sha2(F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("part", "h"))), lambda x: x["h"])), 256).alias("digest"))
+#: Hashes that are joined into one text at a time.
+_PART = 256
+
+
+def digest(df: DataFrame, order: list[str]) -> DataFrame:
+    """One row: (records, digest) of all rows in their order.
+
+    Rows are hashed by themselves and numbered in their order by ranges; then the hashes of ``_PART`` neighbours are hashed
+    as one, and so on up a tree, until one is left. So no task ever holds more than a part, however many rows there are.
+    """
+    rows = ranking.numbered(df.select(*order, F.sha2(json_row(df), 256).alias("h")), [F.asc(c) for c in order], "n").select((F.col("n") - 1).alias("n"), "h").checkpoint()
+    records = count = rows.count()
+    while count > 1:
+        part = rows.groupBy(F.floor(F.col("n") / _PART).alias("p")).agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("x"))
+        rows = part.select(F.col("p").alias("n"), F.sha2(F.concat_ws("", F.transform("x", lambda x: x["h"])), 256).alias("h")).checkpoint()
+        count = -(-count // _PART)
+    return rows.agg(F.lit(records).cast("long").alias("records"), F.coalesce(F.min("h"), F.sha2(F.lit(""), 256)).alias("digest"))
 
 
 def json_row(df: DataFrame) -> Column:
