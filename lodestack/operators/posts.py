@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import order
+
 #: Words that make a short comment worth keeping, and comments that are thanks only.
 WARNING_WORDS = "warning|caution|unsafe|security|deprecated|obsolete|incorrect|bug|fails?|broken|instead|correction|do not|don't|not|only|requires?|since|removed"
 _THANKS = r"(?i)^(thanks|thank you|\+1)[.!\s]*$"
@@ -102,19 +104,10 @@ def answers(questions: DataFrame, replies: DataFrame, alternatives: int = 2) ->
     return kept.select(F.col("parent_id").alias("question_id"), F.col("id").alias("answer_id"), "accepted", rank.alias("rank"))
 
 
-def canonical(links: DataFrame, nodes: DataFrame, most: int = 64) -> DataFrame:
-    """(id, canonical, problem): follows each post's single duplicate link to the end.
+def canonical(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, canonical, problem): follows each post's single duplicate link to the end, however far that is.
 
     links (id, target); a post with several targets on the way, or a cycle, has no canonical post but a problem.
-    Steps double, so ``most`` links take log2(most) joins; lineage is cut between them.
     """
-    single = links.groupBy("id").agg(F.min("target").alias("target"), F.count_distinct("target").alias("n"))
-    hop = nodes.select("id").distinct().join(single, "id", "left").select("id", F.coalesce("target", "id").alias("at"), F.coalesce(F.col("n") > 1, F.lit(False)).alias("several"))
-    hop = hop.checkpoint()
-    for _ in range(max(1, (most - 1).bit_length())):
-        far = hop.select(F.col("id").alias("at"), F.col("at").alias("next"), F.col("several").alias("more"))
-        hop = hop.join(far, "at", "left").select("id", F.coalesce("next", "at").alias("at"), (F.col("several") | F.coalesce("more", F.lit(False))).alias("several")).checkpoint()
-    ends = single.select(F.col("id").alias("at"), F.lit(True).alias("goes_on"))
-    problem = F.when(F.col("several"), "several targets").when(F.col("goes_on"), "cycle or too long")
-    return hop.join(ends, "at", "left").select("id", F.when(problem.isNull(), F.col("at")).alias("canonical"), problem.alias("problem"))
-
+    found = order.canonical(links, nodes)
+    return found.select("id", "canonical", F.when(F.col("problem") == "cycle", "cycle or too long").otherwise(F.col("problem")).alias("problem"))

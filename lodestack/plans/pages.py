@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import markup
@@ -28,8 +28,15 @@ SELECT path, count(*) AS n, max(CASE WHEN prefix IS NULL THEN 0 ELSE 1 END) = 1
 statement("relative_links", f"""WITH link AS (SELECT page_id, {_EACH('html', _HREF, 1)} AS href FROM {{pages}})
 SELECT page_id, href, CASE WHEN href LIKE 'http%' THEN 'external' WHEN href LIKE '/%' THEN 'absolute' WHEN href = '' THEN 'empty' ELSE 'relative' END AS kind, count(*) AS n FROM link GROUP BY 1, 2, 3""")
 statement("href_builder", f"SELECT page_id, concat('files', replace(replace({_PATH}, '%', '%25'), ' ', '%20'), '#page=', CAST(page_id AS {_S})) AS href FROM {{pages}}")
-statement("derived_path_join", f"""WITH p AS (SELECT page_id, concat('static/', [[element_at(split({_PATH}, '/'), -1)||list_extract(string_split({_PATH}, '/'), -1)]]) AS path FROM {{pages}})
+@query(f"""WITH p AS (SELECT page_id, concat('static/', list_extract(string_split({_PATH}, '/'), -1)) AS path FROM pages)
 SELECT a.page_id, min(b.page_id) AS partner FROM p a JOIN p b ON a.path = b.path AND b.page_id > a.page_id GROUP BY a.page_id""")
+def derived_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's next one with the same derived path: the one after it by number, so no pairs are made."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("static/"), F.element_at(F.split(F.expr(_PATH), "/"), -1)).alias("path")).distinct()
+    after = F.lead("page_id").over(Window.partitionBy("path").orderBy("page_id"))
+    return pages.withColumn("partner", after).where("partner IS NOT NULL").groupBy("page_id").agg(F.min("partner").alias("partner"))
+
+
 statement("span_replace", "SELECT page_id, [[sha2(replace(html, '<h1>', '<h2>'), 256)||sha256(replace(html, '<h1>', '<h2>'))]] AS repaired FROM {pages} WHERE (length(html) - length(replace(html, '<h1>', ''))) = 4")
 statement("resolve_cascade", f"""WITH link AS (SELECT page_id, {_EACH('html', _HREF, 1)} AS href FROM {{pages}}), known AS (SELECT DISTINCT {_PATH} AS path FROM {{pages}}),
 r AS (SELECT page_id, href, coalesce(k1.path, k2.path) AS target, k1.path IS NOT NULL AS direct FROM link LEFT JOIN known k1 ON k1.path = href LEFT JOIN known k2 ON k2.path = concat(href, '/index.html'))

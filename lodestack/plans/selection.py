@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import ranking
 from ..operators import selection as op
 from .registry import query, statement, table
 
@@ -30,8 +31,21 @@ SELECT content, critical, unresolved, supporting, distinct_bytes, content - supp
   CASE WHEN content - supporting < floor_bytes THEN 'below-target' WHEN content - supporting > ceiling THEN 'above-target' ELSE 'in-range' END AS target_window, content + reserve <= capacity AS fits
 FROM sums CROSS JOIN uniq CROSS JOIN profile""")
 
-statement("priority_order", f"""WITH {_ASSET}, tiered AS (SELECT doc_id, n_chars, source, CASE WHEN status = 'critical' AND n_chars >= 4000 THEN 0 WHEN status = 'critical' THEN 1 WHEN n_chars >= 4000 THEN 2 WHEN status = 'ready' THEN 3 WHEN status = 'blocked' THEN 5 ELSE 4 END AS tier FROM asset)
-SELECT doc_id, CAST(tier AS INT) AS tier, CAST(row_number() OVER (PARTITION BY tier ORDER BY n_chars, lower(source), doc_id) AS BIGINT) AS rank_in_tier FROM tiered""")
+def _plain(text: str) -> str:
+    """SQL with bare table names."""
+    return text.replace("{documents}", "documents").replace("{labels}", "labels")
+
+
+@query(_plain(f"""WITH {_ASSET}, tiered AS (SELECT doc_id, n_chars, source, CASE WHEN status = 'critical' AND n_chars >= 4000 THEN 0 WHEN status = 'critical' THEN 1 WHEN n_chars >= 4000 THEN 2 WHEN status = 'ready' THEN 3 WHEN status = 'blocked' THEN 5 ELSE 4 END AS tier FROM asset)
+SELECT doc_id, CAST(tier AS INT) AS tier, CAST(row_number() OVER (PARTITION BY tier ORDER BY n_chars, lower(source), doc_id) AS BIGINT) AS rank_in_tier FROM tiered"""))
+def priority_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places within tiers, which are few and of any size: numbered by ranges."""
+    assets = spark.sql(f"WITH {_ASSET} SELECT doc_id, n_chars, source, status FROM asset", documents=table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
+    critical, long = F.col("status") == "critical", F.col("n_chars") >= 4000
+    tier = F.when(critical & long, 0).when(critical, 1).when(long, 2).when(F.col("status") == "ready", 3).when(F.col("status") == "blocked", 5).otherwise(4)
+    rows = assets.select("doc_id", "n_chars", F.lower("source").alias("low"), tier.alias("tier"))
+    return ranking.placed(rows, "tier", [F.asc_nulls_last("n_chars"), F.asc_nulls_last("low"), F.asc("doc_id")], "rank_in_tier").select("doc_id", "tier", "rank_in_tier")
+
 
 _CHOICE = """defaults AS (SELECT p_partkey FROM {part} WHERE p_size <= 20), include AS (SELECT p_partkey FROM {part} WHERE p_size BETWEEN 40 AND 42), exclude AS (SELECT p_partkey FROM {part} WHERE p_size IN (3, 5)),
 chosen AS (SELECT p_partkey FROM defaults UNION SELECT p_partkey FROM include EXCEPT SELECT p_partkey FROM exclude),
@@ -80,7 +94,13 @@ SELECT p.p_partkey, coalesce(vertical, 'other') AS vertical FROM {part} p LEFT J
 statement("scope_sets", """SELECT p_partkey, 'requested' AS scope FROM (SELECT p_partkey FROM {part} WHERE p_size < 10 INTERSECT SELECT l_partkey FROM {lineitem} WHERE l_quantity > 45)
 UNION ALL SELECT p_partkey, 'unused' FROM (SELECT p_partkey FROM {part} EXCEPT SELECT l_partkey FROM {lineitem} WHERE l_quantity > 20)""")
 
-statement("nulls_last_order", "SELECT d.doc_id, CAST(row_number() OVER (PARTITION BY d.source ORDER BY CASE WHEN l.quality IS NULL THEN 1 ELSE 0 END, l.quality, CASE d.lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END, d.doc_id) AS BIGINT) AS pos FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id")
+@query(_plain("SELECT d.doc_id, CAST(row_number() OVER (PARTITION BY d.source ORDER BY CASE WHEN l.quality IS NULL THEN 1 ELSE 0 END, l.quality, CASE d.lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END, d.doc_id) AS BIGINT) AS pos FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id"))
+def nulls_last_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    tongue = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "de", 1).otherwise(2)
+    rows = docs.join(labels, "doc_id", "left").select("doc_id", "source", "quality", tongue.alias("tongue"))
+    return ranking.placed(rows, "source", [F.asc_nulls_last("quality"), F.asc("tongue"), F.asc("doc_id")], "pos").select("doc_id", "pos")
+
 
 statement("policy_violations", f"""WITH {_ASSET}, rule(role, field, least) AS (VALUES ('critical', 'size', 300), ('ready', 'size', 100), ('unresolved', 'size', 20)),
 bad AS (SELECT doc_id, status AS role, 'too short' AS rule FROM asset JOIN rule ON role = status WHERE n_chars < least UNION ALL SELECT doc_id, status, 'blocked but reviewed' FROM asset WHERE status = 'blocked' AND quality = 1)
