@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELL = 10.0
+from . import polygons
+
 _BOX = ("x0", "y0", "x1", "y1")
 
 
@@ -17,45 +17,24 @@ def valid(df: DataFrame) -> DataFrame:
     return df.where(test)
 
 
-def touching(regions: DataFrame, sheets: DataFrame, cell: float = CELL) -> DataFrame:
-    """Pairs of (region_id, box) and (sheet_id, box) that share an area. Both are dealt to the cells of a grid and
-    a pair counts in the cell that holds the lower left corner of what they share, so each is found once."""
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell)))
-    r = valid(regions).select("region_id", *[F.col(c).alias(f"r_{c}") for c in _BOX]).withColumn("cx", span("r_x0", "r_x1")).withColumn("cy", span("r_y0", "r_y1"))
-    s = valid(sheets).withColumn("cx", span("x0", "x1")).withColumn("cy", span("y0", "y1"))
-    meet = (F.col("x0") < F.col("r_x1")) & (F.col("x1") > F.col("r_x0")) & (F.col("y0") < F.col("r_y1")) & (F.col("y1") > F.col("r_y0"))
-    own = (F.floor(F.greatest("x0", "r_x0") / cell) == F.col("cx")) & (F.floor(F.greatest("y0", "r_y0") / cell) == F.col("cy"))
-    return r.join(s, ["cx", "cy"]).where(meet & own).drop("cx", "cy")
-
+def touching(regions: DataFrame, sheets: DataFrame) -> DataFrame:
+    """Pairs of (region_id, box) and (sheet_id, box) that share an area; each is found once."""
+    r = valid(regions).select("region_id", *[F.col(c).alias(f"a{c}") for c in _BOX])
+    s = valid(sheets).withColumnsRenamed({c: f"b{c}" for c in _BOX})
+    pairs = polygons.overlaps(r, s).withColumnsRenamed({f"a{c}": f"r_{c}" for c in _BOX} | {f"b{c}": c for c in _BOX})
+    return pairs.where((F.col("x0") < F.col("r_x1")) & (F.col("x1") > F.col("r_x0")) & (F.col("y0") < F.col("r_y1")) & (F.col("y1") > F.col("r_y0")))
 
-def holes(regions: DataFrame, sheets: DataFrame) -> DataFrame:
-    """(region_id, x0, y0, x1, y1): uncovered rectangles of each region, with no tolerance.
 
-    A region and the sheets that touch it are one group; touching sheets bound its size.
-    """
-    pairs = touching(regions, sheets)
-    all_ = valid(regions).select("region_id", *[F.col(c).alias(f"r_{c}") for c in _BOX]).join(pairs.select("region_id", *_BOX), "region_id", "left")
+def rings() -> Column:
+    """A box as the rings of a polygon."""
+    corner = lambda x, y: F.array(F.col(x).cast("double"), F.col(y).cast("double"))
+    return F.array(F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0")))
 
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        region = pdf["region_id"].iloc[0]
-        rx0, ry0, rx1, ry1 = (float(pdf[f"r_{c}"].iloc[0]) for c in _BOX)
-        boxes = [tuple(b) for b in pdf[list(_BOX)].dropna().itertuples(index=False)]
-        ys = sorted({ry0, ry1, *(y for b in boxes for y in (b[1], b[3]) if ry0 < y < ry1)})
-        found = []
-        for low, high in zip(ys, ys[1:], strict=False):
-            at = rx0
-            for a, b in sorted((b[0], b[2]) for b in boxes if b[1] <= low and b[3] >= high):
-                if a > at:
-                    found.append((region, at, low, min(a, rx1), high))
-                at = max(at, b)
-                if at >= rx1:
-                    break
-            if at < rx1:
-                found.append((region, at, low, rx1, high))
-        return pd.DataFrame([f for f in found if f[1] < f[3]], columns=["region_id", *_BOX])
 
-    kind = dict(regions.dtypes)["region_id"]
-    return all_.groupBy("region_id").applyInPandas(sweep, f"region_id {kind}, x0 double, y0 double, x1 double, y1 double")
+def holes(regions: DataFrame, sheets: DataFrame) -> DataFrame:
+    """(region_id, x0, y0, x1, y1): uncovered rectangles of each region, with no tolerance; a region is dealt to its strips."""
+    found = polygons.uncovered(valid(regions).select("region_id", rings().alias("rings")), valid(sheets))
+    return found.select("region_id", F.col("west").alias("x0"), F.col("bottom").alias("y0"), F.col("east").alias("x1"), F.col("top").alias("y1"))
 
 
 def finest_complete(regions: DataFrame, sheets: DataFrame, scales: DataFrame, budget: int) -> DataFrame:
