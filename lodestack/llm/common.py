@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, importable
+from ..session import checkpoint_root, importable, settled
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -17,10 +15,7 @@ def shared_root(spark: SparkSession) -> str:
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return settled(df, name)
 
 
 #: Rows that a Python worker gets at once: whole texts may be long, so fewer than Spark's own default.

@@ -73,12 +73,13 @@ def _catalog(spark: SparkSession, sf_dir: str) -> planner.Catalog:
     return planner.Catalog(
         resources, members, assets,
         needs=part.where("p_partkey % 20 IN (7, 8)").select(a.alias("asset_id"), (a - 1).alias("need")),
-        replacements=replacing.withColumn("k", F.col("resource_id") % 100).join(part.select(a.alias("asset_id"), (a % 100).alias("k")), "k").select("resource_id", "asset_id"),
+        replacements=replacing.select("resource_id", (F.col("resource_id") % 100).alias("asset_id")),
         credits=replacing.select("resource_id", (F.col("resource_id") + 1).alias("credited_id"), F.lit(5000).cast("long").alias("bytes")),
         profiles=profiles,
         defaults=keys.withColumn("profile_id", F.explode(_keys(5))).where("(resource_id + profile_id) % 3 = 0").join(profiles.select("profile_id"), "profile_id").withColumn("edition", F.lit("published")),
         baseline=part.where("p_partkey % 7 = 0 AND p_size <= 10").select(F.lit(4).alias("profile_id"), a.alias("asset_id")).join(profiles.select("profile_id"), "profile_id"),
         readers=0,
+        lists=part.select((a % 100).alias("list_id"), a.alias("asset_id")),
     )
 
 
@@ -110,8 +111,9 @@ def lock_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Locks of all states, some of them damaged in one way each."""
     report, _, files = planner.resolve(_catalog(spark, sf_dir), *_states(spark, sf_dir))
     k = F.col("state_id") % 7
-    least = files.groupBy("state_id").agg(F.min("asset_id").alias("asset_id"))  # the file that some locks lack
-    locked = files.join(least.where(k == 5), ["state_id", "asset_id"], "left_anti").groupBy("state_id").agg(F.count("*").alias("files"), planner.digest("asset_id").alias("digest"))
+    locked = files.groupBy("state_id").agg(F.count("*").alias("files"), planner.digest("asset_id").alias("digest"), F.min("asset_id").alias("asset_id"))
+    lacks = lambda c, without: F.when(k == 5, without).otherwise(F.col(c)).alias(c)  # noqa: E731  some locks lack the least file
+    locked = locked.select("state_id", lacks("files", F.col("files") - 1), lacks("digest", F.col("digest").bitwiseXOR(planner.place("asset_id"))))
     sums = report.select("state_id", "profile_id", "known_bytes", "target_bytes", "reader_bytes").join(locked, "state_id", "left").fillna(0, ["files", "digest"])
     locks = sums.select("state_id", (F.col("profile_id") + F.when(k == 3, 1).otherwise(0)).alias("profile_id"), "files", "digest", (F.col("known_bytes") + F.when(k == 6, 1).otherwise(0)).alias("known_bytes"), "target_bytes", "reader_bytes", (F.col("target_bytes") + F.col("reader_bytes") + F.when(k == 4, 1).otherwise(0)).alias("planned_bytes"))
     return planner.replay(locks, report)

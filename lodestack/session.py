@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def importable(spark: SparkSession) -> None:
@@ -32,3 +33,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="lodestack-")
     spark.sparkContext.setCheckpointDir(root)
     return root
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` once to the shared folder, as compressed columns, and reads it back: cuts lineage, as a checkpoint does."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """The planner's states, rounds over budgets and works, samples, sections, links and supervised streams."""
 
+import dataclasses
 import datetime
 import itertools
 import math
@@ -164,3 +165,20 @@ def test_planner_states(spark):
     assert got[4]["errors"] == ["edition is not there"] and not got[4]["can_build"] and own[4, "maps"][0] == "partial"
     locks = report.selectExpr("state_id", "profile_id", "files", "IF(state_id = 1, digest + 1, digest) AS digest", "known_bytes", "target_bytes", "reader_bytes", "target_bytes + reader_bytes + IF(state_id = 2, 1, 0) AS planned_bytes")
     assert {r["state_id"]: r["verdict"] for r in planner.replay(locks, report).collect()} == {0: "same", 1: "other files", 2: "budget does not add up", 3: "same", 4: "same"}
+
+
+def test_more_states_than_a_word_holds_and_shared_lists(spark):
+    """States are bits of words; collections that replace the same files share a list. Both give what pairs give."""
+    whole = catalog(spark)
+    claims = spark.createDataFrame([("atlas", "map"), ("core", "map"), ("core", "big")], "resource_id string, asset_id string")
+    shared = spark.createDataFrame([("atlas", 1), ("core", 1), ("core", 2)], "resource_id string, asset_id int")
+    lists = spark.createDataFrame([(1, "map"), (2, "big")], "list_id int, asset_id string")
+    states = spark.range(70).selectExpr("CAST(id AS INT) AS state_id", "'p' AS profile_id", "true AS allow_incomplete")
+    items = spark.range(70).selectExpr("CAST(id AS INT) AS state_id", "explode(array('maps', 'atlas')) AS resource_id", "true AS included", "CAST(NULL AS STRING) AS edition").where("resource_id = 'maps' OR state_id % 3 = 0")
+    got = []
+    for c in (dataclasses.replace(whole, replacements=claims), dataclasses.replace(whole, replacements=shared, lists=lists)):
+        report, rows, files = planner.resolve(c, states, items)
+        got.append([sorted(map(str, df.collect())) for df in (report, rows, files)])
+        errors = {r["state_id"]: r["errors"] for r in report.collect()}
+        assert len(errors) == 70 and all(("several collections replace a file" in e) == (k % 3 == 0) for k, e in errors.items())
+    assert got[0] == got[1]
