@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, settled
 
 
 def closure(edges: DataFrame) -> DataFrame:
@@ -41,13 +41,13 @@ def prune(items: DataFrame, needs: DataFrame) -> DataFrame:
 
     ``needs`` has (id, need). Equal to dropping to a fix point, since dropping is monotone.
     """
-    checkpoint_root(items.sparkSession)
+    items, needs = settled(items.select("id", "available"), "items"), settled(needs.select("id", "need"), "needs")
     bad = items.where("NOT available").select("id")
     missing = needs.join(items.select(F.col("id").alias("need")), "need", "left_anti").select("id")
-    fallen = front = bad.union(missing).distinct().checkpoint()
-    while not front.isEmpty():  # what needs what fell last; each round is cut off by a checkpoint
-        front = needs.join(front.select(F.col("id").alias("need")), "need").select("id").distinct().join(fallen, "id", "left_anti").checkpoint()
-        fallen = fallen.union(front).checkpoint()
+    fallen = front = settled(bad.union(missing).distinct(), "fallen")
+    while not front.isEmpty():  # what needs what fell last; each round is written and cuts off the ones before
+        front = settled(needs.join(front.select(F.col("id").alias("need")), "need").select("id").distinct().join(fallen, "id", "left_anti"), "fallen")
+        fallen = fallen.union(front)
     return items.join(fallen, "id", "left_anti")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph, order, ranking
 from ..operators.crawl import crawl
+from ..session import settled
 from .registry import query, statement, table
 
 _S = "[[STRING||VARCHAR]]"
@@ -200,12 +201,14 @@ SELECT c_nationkey AS collection, count(*) AS members, count(CASE WHEN stays THE
 def available_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines are members of orders and orders of customers; urgent orders and builders' accounts are good only whole."""
     line, orders, customer, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part"))
-    key = lambda letter, *columns: F.concat_ws("-", F.lit(letter), *[F.col(c).cast("string") for c in columns])
-    line = line.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey").withColumn("id", key("l", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    lines = line.groupBy("id", "l_orderkey").agg(F.min(F.col("p_size") % 17 > 0).alias("present"), F.sum(F.floor("l_extendedprice")).alias("size_bytes"))
-    packages = orders.select(key("o", "o_orderkey").alias("id"), (F.col("o_totalprice") < 400000).alias("present"), (F.col("o_orderpriority") == "1-URGENT").alias("whole"))
-    accounts = customer.select(key("c", "c_custkey").alias("id"), (F.col("c_acctbal") > -900).alias("present"), (F.col("c_mktsegment") == "BUILDING").alias("whole"))
-    members = lines.select("id", key("o", "l_orderkey").alias("package")).union(orders.select(key("o", "o_orderkey"), key("c", "o_custkey")))
+    # Numbers as ids: lines are multiples of three, orders one more, accounts two more.
+    key = lambda kind, column: (F.col(column).cast("long") * 3 + kind)
+    line = line.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey")
+    lines = line.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(F.min(F.col("p_size") % 17 > 0).alias("present"), F.sum(F.floor("l_extendedprice")).alias("size_bytes"))
+    lines = settled(lines.select((F.monotonically_increasing_id() * 3).alias("id"), "l_orderkey", "present", "size_bytes"), "lines")
+    packages = orders.select(key(1, "o_orderkey").alias("id"), (F.col("o_totalprice") < 400000).alias("present"), (F.col("o_orderpriority") == "1-URGENT").alias("whole"))
+    accounts = customer.select(key(2, "c_custkey").alias("id"), (F.col("c_acctbal") > -900).alias("present"), (F.col("c_mktsegment") == "BUILDING").alias("whole"))
+    members = lines.select("id", key(1, "l_orderkey").alias("package")).union(orders.select(key(1, "o_orderkey"), key(2, "o_custkey")))
     stays = graph.available(lines.select("id", "present", F.lit(False).alias("whole")).union(packages).union(accounts), members)
     owner = orders.join(customer, F.col("c_custkey") == F.col("o_custkey")).select(F.col("o_orderkey").alias("l_orderkey"), F.col("c_nationkey").alias("collection"))
     chosen = lines.join(owner, "l_orderkey").select("collection", "id", F.lit("ready").alias("status"))

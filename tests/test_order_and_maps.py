@@ -1,5 +1,6 @@
 """Levels, cycles, followed links and polygon sweeps against brute force on random input."""
 
+import pathlib
 import random
 
 import pytest
@@ -165,3 +166,13 @@ def test_joined_sheets_and_outermost_waters_cover_the_same(spark, seed):
     assert len(got) == 6
     for r in plain.collect():
         assert abs(got[r["region_id"]]["wanted_area"] - r["wanted"]) < 1e-9 and abs(got[r["region_id"]]["missing_area"] - r["missing"]) < 1e-9
+
+
+def test_pruning_writes_little(spark):
+    """What fell is written as compressed columns, once; rounds do not write it again."""
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    written = lambda: sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+    items = spark.range(200_000).selectExpr("id", "id % 2 = 0 AS available")
+    before = written()
+    assert graph.prune(items, spark.range(1, 40_000).selectExpr("id", "id - 1 AS need").where("id % 4 = 2")).count() == 90_000
+    assert written() - before < 4_000_000
