@@ -66,12 +66,16 @@ class _Words(dict):
 
 
 class Shingles:
-    """Hashes of the distinct word shingles of texts, sorted; hashes of words are remembered, up to a bound."""
+    """Hashes of the distinct word shingles of texts, sorted; hashes of words are remembered, up to a bound. With no words a
+    shingle the texts are lists of numbers, which are sets already."""
 
     def __init__(self, words: int):
         self.words, self.known = words, _Words()
 
-    def of(self, text: str | None) -> np.ndarray:
+    def of(self, text: str | list[int] | None) -> np.ndarray:
+        if not self.words:
+            mix = np.array(text or [], np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            return _distinct((mix ^ mix >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9))
         parts = (text or "").encode("utf-8", "replace").lower().split()
         if len(self.known) > _WORDS_MOST:
             self.known = _Words()
@@ -405,14 +409,15 @@ def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, class
     fetch(own.select("node").distinct())
     k = F.ceil(F.col("m") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), k).cast("int")
-    spread = own.withColumn("k", k).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    spread = spread.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp")
-    spread = spread.join(rest, "node").join(known, "node").repartition(partitions(docs.sparkSession), "token", "i", "j").sortWithinPartitions("token", "i", "j")
+    # Sets are fetched once for each place on a list, before it is dealt to pairs of blocks.
+    spread = own.join(rest, "node").join(known, "node").withColumn("k", k).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    spread = spread.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", *_P, "s").repartition(partitions(docs.sparkSession), "token", "i", "j").sortWithinPartitions("token", "i", "j")
     return links.union(settle(_block_links(spread, percent), "links"))
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id) for every row; component_id is the least key reachable over links."""
+    """(key, n_shingles, component_id) for every row; component_id is the least key reachable over links. With 0 ``words``
+    ``text`` is a list of numbers, the set itself."""
     own, rarity, hot = measured(docs, key, text, words)
     classes, second = _numbered(own)
     links = _links(docs, key, text, words, percent, classes, second, rarity, hot)

@@ -11,7 +11,8 @@ all of its pairs. Components come from alternating large-star and small-star rou
 
 ``similar`` finds texts whose word shingles are alike, where near copies lie further apart than three bits. Its
 candidates are found in the same way, over eight blocks of 32 bits of a longer SimHash of the distinct words, one
-bit a block allowed; each candidate link is then checked against the exact similarity of the shingle sets.
+bit a block allowed; each candidate link is then checked against the exact similarity of the shingle sets. Texts at
+anchors that many share are not paired there: all such texts are joined by ``jaccard_join``, which leaves out no link.
 
 Defined results: null texts are empty; texts without words have fingerprint zero and link like any other; equal
 texts share a fingerprint and a component; repeated rows stay repeated; rows with a null key get the least key
@@ -39,16 +40,13 @@ SEED = 42
 SMALL = 48
 _CHUNK = 1 << 16
 #: Near copies: words a shingle and least similarity; bits of the wide fingerprint, and in how many of the 128 compared
-#: bits candidates may differ; nearest nodes looked at in large anchors; links a text that are checked first, and how many
-#: are checked at once.
+#: bits candidates may differ; links a text that are checked first, and how many are checked at once.
 SIMILAR_WORDS = 5
 SIMILAR = 0.8
 WIDE = 256
 RADIUS = 28
-NEAREST = 4
 FIRST_LINKS = 8
 ALL_AT_ONCE = 32
-_BLOCK = 1024
 _WORDS_MOST = 150_000
 _FP = [f"f{i}" for i in range(WIDE // 64)]
 
@@ -290,13 +288,10 @@ def measured(docs: DataFrame, key: str, text: str, words: int, sets: bool = Fals
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, cls binary, {rest}")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(u, v, far), u < v: pairs of (node, f0 to f3) that meet at an anchor, with the bits in which half of their wide
-    fingerprints differ, at most ``RADIUS``.
-
-    Up to ``SMALL`` nodes of one anchor are all compared; at anchors with more, in blocks of ``_BLOCK`` nodes that
-    neighbour each other in an order of their own for each block of bits, each node is linked to its ``NEAREST`` ones.
-    """
+def _near_anchors(nodes: DataFrame, compared: bool) -> DataFrame:
+    """(anchor, node) of (node, f0 to f3), sorted by anchor within partitions; if ``compared`` with the two words of the
+    fingerprint that are compared there, and with the numbers of ``crowded`` nodes as -1 - node, which takes no column."""
+    kinds = "anchor long, node long" + ", a long, b long" * compared
 
     def replicate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -305,33 +300,54 @@ def candidates(nodes: DataFrame) -> DataFrame:
                 node, fps = part["node"].to_numpy(np.int64), [part[f].to_numpy(np.int64).copy() for f in _FP]
                 for n, fp in enumerate(fps):
                     key, who = anchors(fp, 2 * n)
-                    turn = fps[(n + 1) % len(fps)].view(np.uint64)[who], fps[(n + 2) % len(fps)].view(np.uint64)[who]
-                    yield pd.DataFrame({"anchor": key, "node": node[who], "a": turn[0].view(np.int64), "b": turn[1].view(np.int64)})
-
-    def pairs(anchor: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-        a, b = a.view(np.uint64), b.view(np.uint64)
-        far = lambda i, j: np.bitwise_count(a[i] ^ a[j]).astype(np.int64) + np.bitwise_count(b[i] ^ b[j])
-        starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        sizes = np.diff(np.r_[starts, len(anchor)])
-        run, found = np.repeat(np.arange(len(starts)), sizes), []
-        few = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL), sizes))
+                    own = {"anchor": key, "node": node[who]}
+                    if compared:
+                        own |= {c: fps[(n + k) % len(fps)][who] for k, c in ((1, "a"), (2, "b"))}
+                    yield pd.DataFrame(own)
+
+    node = F.when(F.col("crowded"), -1 - F.col("node")).otherwise(F.col("node")).alias("node") if compared else F.col("node")
+    at = nodes.select(node, *_FP).mapInPandas(replicate, kinds)
+    return at.repartition(partitions(nodes.sparkSession), "anchor").sortWithinPartitions("anchor")
+
+
+def crowded(nodes: DataFrame) -> DataFrame:
+    """(node): the nodes at anchors that more than ``SMALL`` nodes share."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        anchor, node = np.empty(0, np.int64), np.empty(0, np.int64)
+        for pdf in batches:
+            anchor, node = (np.concatenate([x, pdf[c].to_numpy(np.int64)]) for c, x in (("anchor", anchor), ("node", node)))
+            if not len(anchor):
+                continue
+            starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+            sizes = np.diff(np.r_[starts, len(anchor)])
+            yield pd.DataFrame({"node": np.unique(node[np.repeat(sizes > SMALL, sizes)])})
+            # The last anchor may go on in the next batch; of a large one as many rows are kept as show that it is.
+            cut = max(int(starts[-1]), len(anchor) - SMALL - 1)
+            anchor, node = anchor[cut:], node[cut:]
+
+    return _near_anchors(nodes, False).mapInPandas(run, "node long").distinct()
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(u, v, far), u < v: pairs of (node, f0 to f3, crowded) that meet at an anchor, with the bits in which half of their
+    wide fingerprints differ, at most ``RADIUS``. Pairs of two crowded nodes are left out; all at large anchors are such.
+    """
+
+    def pairs(whole: pd.DataFrame) -> pd.DataFrame:
+        anchor, node, a, b = (whole[c].to_numpy(np.int64) for c in ("anchor", "node", "a", "b"))
+        full, found = node < 0, [(np.empty(0, np.int64),) * 3]
+        node = np.where(full, -1 - node, node)
         for step in range(1, SMALL):
-            i = few[:-step][run[few[:-step]] == run[few[step:]]] if step < len(few) else few[:0]
+            i = np.flatnonzero(anchor[:-step] == anchor[step:]) if step < len(anchor) else np.empty(0, np.int64)
             if not len(i):
                 break
-            found.append((i, i + step))
-        for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-            for t in range(s, s + n, _BLOCK):
-                t = max(s, min(t, s + n - _BLOCK))  # the last block is as large as the others
-                here = np.arange(t, min(t + _BLOCK, s + n))
-                apart = far(here[:, None], here[None, :])
-                np.fill_diagonal(apart, WIDE)
-                near = np.argpartition(apart, NEAREST - 1, axis=1)[:, :NEAREST]
-                found.append((np.repeat(here, NEAREST), here[near].ravel()))
-        i, j = (np.concatenate([p[k] for p in found] or [np.empty(0, np.int64)]) for k in (0, 1))
-        d = far(i, j)
-        i, j, d = i[d <= RADIUS], j[d <= RADIUS], d[d <= RADIUS]
-        return pd.DataFrame({"u": np.minimum(node[i], node[j]), "v": np.maximum(node[i], node[j]), "far": d}).drop_duplicates()
+            i = i[~(full[i] & full[i + step])]
+            d = np.bitwise_count((a[i] ^ a[i + step]).view(np.uint64)).astype(np.int64) + np.bitwise_count((b[i] ^ b[i + step]).view(np.uint64))
+            i, d = i[d <= RADIUS], d[d <= RADIUS]
+            found.append((node[i], node[i + step], d))
+        x, y, far = (np.concatenate([p[k] for p in found]) for k in range(3))
+        return pd.DataFrame({"u": np.minimum(x, y), "v": np.maximum(x, y), "far": far}).drop_duplicates()
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -342,17 +358,16 @@ def candidates(nodes: DataFrame) -> DataFrame:
                 continue
             whole = pd.concat(held)
             keys = whole["anchor"].to_numpy()
-            # The last anchor may go on in the next batch; one of very many rows is cut into parts, each compared by itself.
+            # The last anchor may go on in the next batch; one of very many rows is cut, for it makes no pairs.
             cut = int(np.searchsorted(keys, keys[-1])) or len(whole)
-            yield pairs(*(whole[c].to_numpy(np.int64)[:cut] for c in ("anchor", "node", "a", "b")))
+            yield pairs(whole.iloc[:cut])
             held = [whole.iloc[cut:]]
         whole = pd.concat(held) if held else pd.DataFrame()
         if len(whole):
-            yield pairs(*(whole[c].to_numpy(np.int64) for c in ("anchor", "node", "a", "b")))
+            yield pairs(whole)
 
-    at = nodes.select("node", *_FP).mapInPandas(replicate, "anchor long, node long, a long, b long")
-    at = at.repartition(partitions(nodes.sparkSession), "anchor").sortWithinPartitions("anchor", "a")
-    return at.mapInPandas(compare, "u long, v long, far long").groupBy("u", "v").agg(F.min("far").alias("far"))
+    found = _near_anchors(nodes, True).mapInPandas(compare, "u long, v long, far long")
+    return found.groupBy("u", "v").agg(F.min("far").alias("far"))
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, least: float = SIMILAR) -> DataFrame:
@@ -361,21 +376,31 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
 
     Candidate links are checked in rounds: while they are many, the nearest few of each text only, sixteen times as
     many in each round; links inside a component found so far need no check any more. So a dense group of near copies is
-    settled by few of its pairs. What is left, once it is little, is checked at once.
+    settled by few of its pairs. What is left, once it is little, is checked at once. Crowded nodes, those at anchors of over
+    ``SMALL`` nodes, are joined among each other exactly. ``least`` is a whole number of hundredths.
     """
+    from .jaccard_join import linked
+
+    percent = round(100 * least)
+    if abs(percent - 100 * least) > 1e-9:
+        raise ValueError("similarities go by whole hundredths")
     docs = docs.where(F.col(key).isNotNull())
     own = settle(measured(docs, key, text, words), "shingle-classes")
     # Numbered in a written table, so numbers stay what they are.
     nodes = own.groupBy("cls").agg(*[F.min(f).alias(f) for f in _FP], F.min("key").alias("least")).withColumn("node", F.monotonically_increasing_id())
     nodes = settle(nodes, "shingle-nodes")
-    edges = settle(candidates(nodes), "candidates")
-    ends = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
+    crowd = settle(crowded(nodes), "crowded")
+    marked = nodes.join(crowd.withColumn("crowded", F.lit(True)), "node", "left").fillna(False, ["crowded"])
+    edges = settle(candidates(marked), "candidates")
+    ends = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).union(crowd).distinct()
     ends = settle(nodes.join(ends, "node").select("node", "cls", "least"), "candidate-nodes")
     # One row of each class that has a candidate; texts move only where the classes are too many to broadcast.
     some = docs.join(ends.select(F.col("least").alias(key)).distinct(), key, "left_semi")
     sets = measured(some, key, text, words, sets=True).join(ends.select("cls", "node"), "cls").groupBy("node").agg(F.first("shingles").alias("s"))
     sets = settle(sets, "candidate-sets")
-    involved, links, most = sets.count(), None, FIRST_LINKS
+    among = linked(sets.join(crowd, "node", "left_semi"), "node", "s", 0, percent)
+    links = settle(among.where("component_id < node").select(F.col("component_id").alias("u"), F.col("node").alias("v")), "crowded-links")
+    involved, most = sets.count(), FIRST_LINKS
     while True:
         n = edges.count()
         if not n:
@@ -388,8 +413,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             trial = settle(nearest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "nearest")
         pair = trial.join(sets.select(F.col("node").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
         common = F.size(F.array_intersect("a", "b"))
-        good = settle(pair.where(common >= F.lit(least) * (F.size("a") + F.size("b") - common)).select("u", "v"), "links")
-        links = good if links is None else links.union(good)
+        links = links.union(settle(pair.where(100 * common >= percent * (F.size("a") + F.size("b") - common)).select("u", "v"), "links"))
         if n <= ALL_AT_ONCE * involved:
             break
         roots = settle(components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), 2), "roots")
@@ -398,10 +422,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             left = left.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         edges = settle(left.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v", "far"), "candidates")
         most *= 16
-    named = nodes.select("cls", "node").withColumn("component", F.col("node"))
-    if links is not None:
-        roots = components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-        named = nodes.select("cls", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    roots = components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    named = nodes.select("cls", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
     return own.select("key", "cls").join(named.select("cls", "component"), "cls").select(F.col("key").alias(key), "cls", "component")
 
 

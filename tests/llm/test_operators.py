@@ -119,6 +119,24 @@ def test_similar_texts_match_brute_force(spark, docs):
     assert simhash.similar(docs([])).count() == 0
 
 
+def test_texts_at_crowded_anchors_lose_no_link(docs):
+    """Pairs of near copies among texts of one vocabulary that all meet at the same anchors and are else unlike."""
+    rng = random.Random(41)
+    few = [f"w{i}" for i in range(40)]
+    rows = []
+    for k in range(0, 240, 2):
+        w = few * 3
+        rng.shuffle(w)
+        at = rng.randrange(120)
+        rows += [(k, " ".join(w)), (k + 1, " ".join([*w[:at], "other", *w[at + 1 :]]))]
+    sets = {k: shingles(t) for k, t in rows}
+    want = components(240, [(i, j) for i in range(240) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8])
+    got = {r["doc_id"]: r["component"] for r in simhash.similar(docs(rows)).collect()}
+    assert len(set(want)) == 120 and all((got[i] == got[j]) == (want[i] == want[j]) for i in range(240) for j in range(i))
+    with pytest.raises(ValueError):
+        simhash.similar(docs(rows), least=0.805)
+
+
 def test_many_links_are_checked_nearest_first(docs, monkeypatch):
     monkeypatch.setattr(simhash, "ALL_AT_ONCE", 0.5)
     rng = random.Random(18)
