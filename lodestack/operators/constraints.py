@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .integrity import path_conflicts, repeated, unknown, violations
 
 #: First folders of destinations, formats read directly, formats of software, kinds of records.
@@ -271,12 +272,17 @@ def resource_rules() -> dict[str, Column]:
     }
 
 
-def resource_violations(resources: DataFrame, editions: DataFrame, members: DataFrame, replacements: DataFrame, assets: DataFrame) -> DataFrame:
+def resource_violations(resources: DataFrame, editions: DataFrame, members: DataFrame, replacements: DataFrame, assets: DataFrame, lists: DataFrame | None = None) -> DataFrame:
     """(entity, id, rule) for every rule that a collection breaks, by itself or against the files it names.
 
     editions (id, edition, target_bytes, status, reason) beside the published one, members (id, edition, asset_id),
-    replacements (id, asset_id), assets (asset_id, status, sha256, format, reader_required, destination, critical).
+    replacements (id, asset_id), assets (asset_id, status, sha256, format, reader_required, destination, critical). With
+    ``lists`` (list_id, asset_id) replacements are (id, list_id), one list a collection: collections that replace the same
+    files share it, and no row is made for each pair of both.
     """
+    members = settled(members, "resource-members")
+    if lists is None:
+        lists, replacements = replacements.select(F.col("id").alias("list_id"), "asset_id"), replacements.select("id", F.col("id").alias("list_id")).distinct()
     r = "resource"
     own = violations(resources, r, "id", resource_rules())
     numbers = resources.where("number IS NOT NULL").groupBy("number").agg(F.count("*").alias("n")).where("n > 1").select("number")
@@ -293,8 +299,11 @@ def resource_violations(resources: DataFrame, editions: DataFrame, members: Data
     zim = in_edition.where("edition = 'compact' AND lower(format) = 'zim'").select("id")
     credit = resources.where("credit_id IS NOT NULL").select("id", "credit_id")
     names = resources.select(F.col("id").alias("credit_id"))
-    replaced = replacements.select("id", "asset_id")
-    met = credit.join(replaced, "id").join(published.select(F.col("id").alias("credit_id"), "asset_id"), ["credit_id", "asset_id"]).select("id")
+    by_list = lambda found: replacements.join(found.select("list_id").distinct(), "list_id", "left_semi")
+    once = lists.select("list_id", "asset_id").distinct()
+    claims = credit.join(replacements, "id")
+    met = claims.select("list_id", "credit_id").distinct().join(published.select(F.col("id").alias("credit_id"), "asset_id"), "credit_id").join(once, ["list_id", "asset_id"], "left_semi")
+    met = claims.join(met.select("list_id", "credit_id").distinct(), ["list_id", "credit_id"], "left_semi")
     twice = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
     absent = lambda df: df.join(assets.select("asset_id"), "asset_id", "left_anti")
     without = lambda df, other: df.join(other.select("id"), "id", "left_anti")
@@ -303,10 +312,10 @@ def resource_violations(resources: DataFrame, editions: DataFrame, members: Data
         repeated(resources, r, "id"),
         _rows(resources.join(numbers, "number"), r, "number repeated"),
         _rows(twice(published, "id", "asset_id"), r, "member repeated"),
-        _rows(twice(replaced, "id", "asset_id"), r, "replacement repeated"),
+        _rows(by_list(twice(lists, "list_id", "asset_id")), r, "replacement repeated"),
         _rows(absent(published), r, "member unknown"),
-        _rows(absent(replaced), r, "replacement unknown"),
-        _rows(replaced.join(published.distinct(), ["id", "asset_id"], "left_semi"), r, "replaces its own member"),
+        _rows(by_list(absent(lists)), r, "replacement unknown"),
+        _rows(published.join(replacements, "id").join(once, ["list_id", "asset_id"], "left_semi"), r, "replaces its own member"),
         _rows(without(ready, published), r, "ready without members"),
         _rows(held.where("status <> 'resolved'").join(ready, "id", "left_semi"), r, "ready with unresolved members"),
         _rows(editions.where(~F.col("edition").isin(*EDITIONS)), r, "edition unknown"),
@@ -321,7 +330,7 @@ def resource_violations(resources: DataFrame, editions: DataFrame, members: Data
         _rows(in_edition.where((F.col("edition") == "direct") & ~readable), r, "direct edition not readable"),
         _rows(without(stated.where("edition = 'compact'").select("id"), zim), r, "compact edition without archive"),
         _rows(needed, r, "edition lacks critical members"),
-        _rows(without(credit, replaced), r, "credit without replacement"),
+        _rows(without(credit, by_list(lists)), r, "credit without replacement"),
         _rows(credit.join(names, "credit_id", "left_anti"), r, "credit to an unknown collection"),
         _rows(without(credit, met), r, "credit for nothing replaced"),
     ]

@@ -353,6 +353,6 @@ def resource_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = own.where("edition = 'direct' AND a % 3 = 0 OR edition = 'compact' AND a % 5 = s % 5").select("s", "edition", F.col("a").alias("asset_id")).union(base.where("s % 12 = 0 AND a % 30 = 0").select("s", F.lit("direct"), a + 8000000))
     k, z = F.col("p_partkey"), F.col("p_size")
     assets = part.select(k.alias("asset_id"), F.when((z == 9) & (k % 7 == 0), "unresolved").otherwise("resolved").alias("status"), F.when(z % 40 != 5, F.repeat(F.lit("a"), 64)).alias("sha256"), F.when(k % 25 == 0, "zim").otherwise("pdf").alias("format"), F.lit(False).alias("reader_required"), F.lit("BOOKS/x").alias("destination"), (k % 97 == 0).alias("critical"))
-    replaced = supplier.where("s % 5 = 1").select("s", (s % 100).alias("m")).join(part.select(k.alias("asset_id"), (k % 100).alias("m")), "m")
+    lists = part.select((k % 100).alias("list_id"), k.alias("asset_id"))
     with_id = lambda df, *columns: df.join(names, "s").select("id", *columns)
-    return op.resource_violations(resources, with_id(editions, "edition", "target_bytes", "status", "reason"), with_id(shown.union(listed), "edition", "asset_id"), with_id(replaced, "asset_id"), assets)
+    return op.resource_violations(resources, with_id(editions, "edition", "target_bytes", "status", "reason"), with_id(shown.union(listed), "edition", "asset_id"), names.where("s % 5 = 1").select("id", (s % 100).alias("list_id")), assets, lists)

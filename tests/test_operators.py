@@ -209,3 +209,20 @@ def test_constraint_rules_are_all_broken_somewhere(spark, sf_dir):
     assets = spark.createDataFrame([], "asset_id string, status string, sha256 string, format string, reader_required boolean, destination string, critical boolean")
     rules = {r["rule"] for r in op.resource_violations(one, editions, none, none.select("id", "asset_id"), assets).collect()}
     assert rules == {"ready without members", "credit id", "edition without members", "compact edition without archive", "credit without replacement", "credit to an unknown collection", "credit for nothing replaced"}
+
+
+def test_collections_share_a_list_of_replaced_files(spark):
+    from lodestack.operators import constraints as op
+
+    f = spark.createDataFrame
+    schema = "id string, title string, number int, target_bytes long, status string, reason string, device struct<status:string,reason:string,evidence:array<string>>, source_pages array<string>, credit_id string, credit_bytes long"
+    resources = f([("a", "t", None, 1, "ready", "", None, None, "c", 1), ("b", "t", None, 1, "ready", "", None, None, "d", 1), ("c", "t", None, 1, "ready", "", None, None, None, 1), ("d", "t", None, 1, "ready", "", None, None, "c", 1)], schema)
+    members = f([("a", "published", "x"), ("b", "published", "z"), ("c", "published", "y"), ("d", "published", "z")], "id string, edition string, asset_id string")
+    editions = f([], "id string, edition string, target_bytes long, status string, reason string")
+    assets = f([(k, "resolved", "a" * 64, "pdf", False, "BOOKS/x", False) for k in "xyz"], "asset_id string, status string, sha256 string, format string, reader_required boolean, destination string, critical boolean")
+    using, lists = f([("a", 1), ("b", 1), ("d", 2)], "id string, list_id int"), f([(1, "x"), (1, "y"), (1, "gone")], "list_id int, asset_id string")
+    got = op.resource_violations(resources, editions, members, using, assets, lists)
+    want = {("a", "replacement unknown"), ("b", "replacement unknown"), ("a", "replaces its own member"), ("b", "credit for nothing replaced"), ("d", "credit without replacement"), ("d", "credit for nothing replaced")}
+    assert {(r["id"], r["rule"]) for r in got.collect()} == want
+    pairs = using.join(lists, "list_id").select("id", "asset_id")
+    assert {(r["id"], r["rule"]) for r in op.resource_violations(resources, editions, members, pairs, assets).collect()} == want
