@@ -25,14 +25,14 @@ def levels(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     checkpoint_root(edges.sparkSession)
     rest = edges.select("src", "dst").distinct().checkpoint()
-    front = rest.select(F.col("dst").alias("node")).distinct().join(rest.select(F.col("src").alias("node")), "node", "left_anti").withColumn("level", F.lit(0)).checkpoint()
+    front = rest.select(F.col("dst").alias("node")).distinct().join(_dealt(rest.select(F.col("src").alias("node"))), "node", "left_anti").withColumn("level", F.lit(0)).checkpoint()
     found, level = [front], 0
     while not front.isEmpty():
         level += 1
-        settled = front.select(F.col("node").alias("dst"))
+        settled = _dealt(front.select(F.col("node").alias("dst")))
         touched = rest.join(settled, "dst", "left_semi").select(F.col("src").alias("node")).distinct()
         left = rest.join(settled, "dst", "left_anti").checkpoint()
-        front = touched.join(left.select(F.col("src").alias("node")), "node", "left_anti").withColumn("level", F.lit(level)).checkpoint()
+        front = touched.join(_dealt(left.select(F.col("src").alias("node"))), "node", "left_anti").withColumn("level", F.lit(level)).checkpoint()
         rest = left
         found.append(front)
         if len(found) == _PARTS:
@@ -40,6 +40,12 @@ def levels(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _union(found), rest
 
 
+def _dealt(side: DataFrame) -> DataFrame:
+    """One side of a join that both sides are dealt for. A round's sides may be small enough for a broadcast, but all rounds
+    together would send a copy of the whole graph and more through the driver."""
+    return side.hint("merge")
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     whole = parts[0]
     for p in parts[1:]:

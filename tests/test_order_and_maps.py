@@ -185,3 +185,15 @@ def test_very_many_equal_boxes_do_not_meet_pair_by_pair(spark, tmp_path):
     spark.range(3).selectExpr("id * 50 + 6 AS s_suppkey", "CAST(0 AS INT) AS s_nationkey").write.mode("append").parquet(f"{tmp_path}/supplier.parquet")
     got = registry.QUERIES["spatial_box_join"](spark, str(tmp_path)).where("region_id % 50 = 6").collect()
     assert {(r["sheets"], r["area"]) for r in got} == {(200_000, 800_000)} and len(got) == 3
+
+
+def test_rounds_of_levels_and_works_send_no_broadcast(spark, monkeypatch):
+    from lodestack.operators import ranking
+
+    edges, works = spark.createDataFrame([(2, 1), (3, 2), (4, 3)], "src int, dst int"), spark.createDataFrame([(1, ["a"]), (2, ["a", "b"]), (3, ["b"])], "place int, keys array<string>")
+    kind, seen = type(edges), []
+    before = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda df, *rest: (seen.append(df._jdf.queryExecution().executedPlan().toString()), before(df, *rest))[1])
+    assert sorted(r["level"] for r in order.levels(edges)[0].collect()) == [0, 1, 2, 3]
+    assert sorted(r["place"] for r in ranking.first_works(works, "place", "keys").collect()) == [1, 3]
+    assert len(seen) > 6 and not any("Broadcast" in p for p in seen)
