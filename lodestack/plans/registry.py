@@ -28,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that a task gets where a query deals them itself.
+TASK_ROWS = 500_000
+
+
+def parts(*rows: DataFrame) -> int:
+    """Number of partitions that gives a task about ``TASK_ROWS`` of the rows: adaptive execution would join partitions to few
+    of tens of megabytes, whose sorts and hash maps take many times that."""
+    spark = rows[0].sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(r.count() for r in rows) // TASK_ROWS + 1)
+
+
 def statement(name: str, text: str) -> None:
     ours = _CHOICE.sub(lambda m: m[1], text)
     names = sorted(set(_TABLE.findall(ours)))
