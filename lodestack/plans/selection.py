@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import ranking
 from ..operators import selection as op
-from .registry import query, statement, table
+from .registry import parts, query, statement, table
 
 _ASSET = """asset AS (
   SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic,
@@ -33,7 +33,7 @@ FROM sums CROSS JOIN uniq CROSS JOIN profile""")
 
 def _plain(text: str) -> str:
     """SQL with bare table names."""
-    return text.replace("{documents}", "documents").replace("{labels}", "labels")
+    return text.replace("{documents}", "documents").replace("{labels}", "labels").replace("{part}", "part").replace("{lineitem}", "lineitem")
 
 
 @query(_plain(f"""WITH {_ASSET}, tiered AS (SELECT doc_id, n_chars, source, CASE WHEN status = 'critical' AND n_chars >= 4000 THEN 0 WHEN status = 'critical' THEN 1 WHEN n_chars >= 4000 THEN 2 WHEN status = 'ready' THEN 3 WHEN status = 'blocked' THEN 5 ELSE 4 END AS tier FROM asset)
@@ -58,9 +58,20 @@ SELECT l_suppkey AS resource_id, count(*) AS members, count(CASE WHEN kept THEN
   CASE WHEN count(CASE WHEN kept THEN 1 END) = 0 THEN 'unresolved' WHEN count(CASE WHEN kept THEN 1 END) < count(*) THEN 'partial' ELSE 'ready' END AS status
 FROM kept GROUP BY l_suppkey""")
 
-statement("replacement_credit", f"""WITH {_CHOICE}, target AS (SELECT l_suppkey, CAST(sum(p_size) AS BIGINT) + 10 AS planned FROM member JOIN {{part}} ON p_partkey = l_partkey GROUP BY 1),
-credit AS (SELECT b.l_suppkey, CAST(sum(p_size) AS BIGINT) AS credit FROM member a JOIN member b ON b.l_partkey = a.l_partkey AND b.l_suppkey = a.l_suppkey + 1 JOIN {{part}} ON p_partkey = a.l_partkey GROUP BY 1)
-SELECT t.l_suppkey AS resource_id, planned, coalesce(credit, 0) AS credit, greatest(planned - coalesce(credit, 0), 0) AS adjusted, coalesce(credit, 0) > planned AS violation FROM target t LEFT JOIN credit c ON c.l_suppkey = t.l_suppkey""")
+@query(_plain(f"""WITH {_CHOICE}, target AS (SELECT l_suppkey, CAST(sum(p_size) AS BIGINT) + 10 AS planned FROM member JOIN part ON p_partkey = l_partkey GROUP BY 1),
+credit AS (SELECT b.l_suppkey, CAST(sum(p_size) AS BIGINT) AS credit FROM member a JOIN member b ON b.l_partkey = a.l_partkey AND b.l_suppkey = a.l_suppkey + 1 JOIN part ON p_partkey = a.l_partkey GROUP BY 1)
+SELECT t.l_suppkey AS resource_id, planned, coalesce(credit, 0) AS credit, greatest(planned - coalesce(credit, 0), 0) AS adjusted, coalesce(credit, 0) > planned AS violation FROM target t LEFT JOIN credit c ON c.l_suppkey = t.l_suppkey"""))
+def replacement_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts are dealt once: in the order of a part's suppliers the one before is looked at, and sizes are joined in place."""
+    member = table(spark, sf_dir, "lineitem").where("l_partkey IS NOT NULL").select("l_suppkey", "l_partkey")
+    n = parts(member)
+    size = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size").repartition(n, "l_partkey")
+    before = F.lag("l_suppkey").over(Window.partitionBy("l_partkey").orderBy("l_suppkey"))
+    own = member.repartition(n, "l_partkey").distinct().withColumn("shared", before == F.col("l_suppkey") - 1)
+    sums = own.join(size.hint("merge"), "l_partkey").groupBy("l_suppkey").agg((F.sum("p_size") + 10).alias("planned"), F.sum(F.when(F.col("shared"), F.col("p_size"))).alias("credit"))
+    credit = F.coalesce("credit", F.lit(0).cast("long"))
+    return sums.select(F.col("l_suppkey").alias("resource_id"), "planned", credit.alias("credit"), F.greatest(F.col("planned") - credit, F.lit(0).cast("long")).alias("adjusted"), (credit > F.col("planned")).alias("violation"))
+
 
 statement("unknown_members", "SELECT l_partkey + 1000000 * (l_linenumber % 2) AS member, count(*) AS uses FROM {lineitem} WHERE NOT EXISTS (SELECT 1 FROM {part} WHERE p_partkey = l_partkey + 1000000 * (l_linenumber % 2)) GROUP BY 1")
 
