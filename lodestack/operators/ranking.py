@@ -95,19 +95,21 @@ def within_budget(df: DataFrame, place: str, size: str, budget: int) -> DataFram
 def first_works(df: DataFrame, place: str, keys: str) -> DataFrame:
     """Rows that are taken going through ``place`` in order, where a row is passed over if one taken before shares any of its
     ``keys`` (array). In a round every row that comes first at all of its keys is taken, and all that share a key with it
-    are passed over; rows without keys are taken. Keys that very many rows share are combined before they are dealt."""
+    are passed over; rows without keys are taken. Keys that very many rows share are combined before they are dealt. Both sides
+    of each join are dealt, so rounds send nothing through the driver."""
+    dealt = lambda side: side.hint("merge")
     checkpoint_root(df.sparkSession)
     rows = df.select(place, F.explode(F.array_distinct(keys)).alias("key")).checkpoint()
     taken = df.where(F.coalesce(F.size(keys), F.lit(0)) <= 0).select(place)
     while not rows.isEmpty():
         least = rows.groupBy("key").agg(F.min(place).alias("__least"))
-        late = rows.join(least, "key").where(F.col(place) > F.col("__least")).select(place).distinct()
-        new = rows.select(place).distinct().join(late, place, "left_anti").checkpoint()
-        used = rows.join(new, place, "left_semi").select("key").distinct()
-        out = rows.join(used, "key", "left_semi").select(place).distinct()
-        rows = rows.join(out, place, "left_anti").checkpoint()
+        late = rows.join(dealt(least), "key").where(F.col(place) > F.col("__least")).select(place).distinct()
+        new = rows.select(place).distinct().join(dealt(late), place, "left_anti").checkpoint()
+        used = rows.join(dealt(new), place, "left_semi").select("key").distinct()
+        out = rows.join(dealt(used), "key", "left_semi").select(place).distinct()
+        rows = rows.join(dealt(out), place, "left_anti").checkpoint()
         taken = taken.union(new)
-    return df.join(taken, place, "left_semi")
+    return df.join(dealt(taken), place, "left_semi")
 
 
 def stratified(df: DataFrame, stratum: str, key: str, seed: str, share: float, detection: float, screening: int = 8) -> DataFrame:
