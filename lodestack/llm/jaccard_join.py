@@ -8,10 +8,13 @@ other ties, the last is a plain hash. Rarity is read off counts of all documents
 size does not grow with the corpus; an order need not be exact, only the same for all.
 
 Sets, not rows, are joined: rows of equal sets are one node. Nodes of a short list, those of one prefix shingle, are all
-paired. Long lists come from large groups of near copies. First each of their nodes is tried with one node of its lists,
-the one it meets most often; a list that is then inside one component is done. The nodes of the others are dealt to
-blocks, and pairs of blocks are compared on arrays, each by itself, which gives a spanning forest of links and no pairs.
-No candidate is left out, and no list comes into one task.
+paired. Long lists come from large groups of near copies, and in large tables from shingles that many texts have by
+chance. A node that is on fewer long lists than it has to share shingles must share one on a short list as well, so it is
+found there, where it needs as many fewer as it has long lists; only the other nodes, the crowded ones, are compared on
+long lists. First each of them is tried with one node of its lists, the one it meets most often; a list that is then
+inside one component is done. The others, those of one large component together, are units: their nodes are dealt to
+blocks once for a unit, not for each list, and pairs of blocks are compared on arrays, each by itself, which gives a
+spanning forest of links and no pairs. No candidate is left out, and no list comes into one task.
 
 Defined results: a null text is empty; a text without words has an empty set and is linked with nothing, other rows like
 it included; fewer words than a shingle's are one shingle; rows of equal sets are linked whatever their keys; repeated
@@ -42,18 +45,22 @@ _PIECE = 1 << 12
 _PIECES = BUCKETS // _PIECE
 _WORDS_MOST = 150_000
 _SETS_MOST = 100_000
-#: Shingles that prefixes must share under the first order.
-LEAST_MET = 3
-#: Lists of more nodes are long: they are compared by blocks of so many nodes or so, in steps of so many shingles.
+#: Shingles that prefixes must share under the first order; nodes on fewer long lists are left out of these.
+LEAST_MET = 8
+#: Lists of more nodes are long: they are dealt to blocks of so many nodes or so, or of so many shingles, and blocks are
+#: compared by parts of so many nodes or shingles, in steps of so many shingles.
 LONG = 32
-BLOCK = 384
+BLOCK = 1536
+_BLOCK_SHINGLES = 1 << 20
+_PART = 384
+_PART_SHINGLES = 1 << 18
 _STEP = 4096
 #: Shingles of buckets with so many times the mean count are not dealt by themselves: their lists may be too long for a task.
 HOT = 64
 #: Bytes of each shingle's hash by which sets are compared: a pair of n shingles each is given one too many in common with
 #: a chance of n * n / 2 ** 48.
 _BYTES = 6
-#: Bits of the filter that keeps documents of no candidate from being read again; its words are that many rows.
+#: Words of 64 bits of the filter that keeps rows of no candidate from being read or dealt again; two bits mark a value.
 _FILTER_WORDS = 1 << 16
 
 
@@ -127,7 +134,7 @@ def _pieces(df: DataFrame) -> DataFrame:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[piece] = sums.get(piece, 0) + np.frombuffer(counts, np.int64)
+                sums[piece] = sums.get(piece, 0) + np.frombuffer(counts, f"u{len(counts) // _PIECE}").astype(np.int64)
         # Quarters of powers of two: finer steps are noise of the buckets.
         steps = [np.minimum(255, np.floor(4 * np.log2(x + 1))).astype(np.uint8).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(steps, pa.binary())], names=["piece", "steps"])
@@ -167,7 +174,8 @@ def measured(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFram
         count()
         used = [i for i in range(_PIECES) if counts[i * _PIECE : (i + 1) * _PIECE].any()]
         if used:
-            own = [counts[i * _PIECE : (i + 1) * _PIECE].tobytes() for i in used]
+            own = [counts[i * _PIECE : (i + 1) * _PIECE] for i in used]
+            own = [x.astype(np.min_scalar_type(int(x.max()))).tobytes() for x in own]
             yield pa.RecordBatch.from_arrays([pa.nulls(len(used), kind), *[pa.nulls(len(used), pa.int64())] * 3, pa.array(used, pa.int32()), pa.array(own, pa.binary())], names=names)
 
     kind = dict(docs.dtypes)[key]
@@ -234,14 +242,23 @@ def _numbered(own: DataFrame) -> tuple[DataFrame, set[tuple[int, int]]]:
     return classes.withColumn("node", F.col("hi")), second
 
 
+def _among(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is a value of ``wanted``'s only column, and few others: they are looked up in a filter of
+    fixed size, so that they need not be dealt out for it."""
+
+    def place(k: str) -> list[Column]:
+        return [F.pmod(F.xxhash64(k), F.lit(_FILTER_WORDS)).alias("__spot"), *[F.pmod(F.shiftrightunsigned(F.xxhash64(k), b), F.lit(64)).cast("int").alias(f"__bit{b}") for b in (20, 40)]]
+
+    mask = F.expr("shiftleft(1L, __bit20) | shiftleft(1L, __bit40)")
+    marks = wanted.select(*place(wanted.columns[0])).groupBy("__spot").agg(F.bit_or(mask).alias("__bits"))  # _FILTER_WORDS rows at most
+    found = rows.select("*", *place(column)).join(F.broadcast(marks), "__spot").where(F.col("__bits").bitwiseAND(mask) == mask)
+    return found.select(*rows.columns)
+
+
 def sets_of(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame, second: set[tuple[int, int]]) -> DataFrame:
     """(node, s): the shingles of the nodes of ``wanted`` (node, least), and of few others. Documents are looked up by the
     least key of each set in a filter of fixed size before their texts are read again."""
-    spot, bit = F.pmod(F.xxhash64("k"), F.lit(_FILTER_WORDS)), F.pmod(F.shiftrightunsigned(F.xxhash64("k"), 20), F.lit(64)).cast("int")
-    one = F.expr("shiftleft(1L, bit)")
-    marks = wanted.select(F.col("least").alias("k")).select(spot.alias("spot"), bit.alias("bit")).groupBy("spot").agg(F.bit_or(one).alias("bits"))  # _FILTER_WORDS rows at most
-    some = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).withColumn("spot", spot).withColumn("bit", bit)
-    some = some.join(F.broadcast(marks), "spot").where(F.col("bits").bitwiseAND(one) != 0).select("text")
+    some = _among(docs.select(F.col(key).alias("k"), F.col(text).alias("text")), "k", wanted.select("least")).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
@@ -282,56 +299,84 @@ def _alike(a: Column, b: Column, percent: int) -> Column:
     return (100 * a >= percent * b) & (100 * b >= percent * a)
 
 
-def _forest(links: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of a matrix of links."""
-    rest, found = np.ones(len(links), bool), []
-    for start in range(len(links)):
-        front = [start] if rest[start] else []
-        rest[start] = False
-        while front:
-            i = front.pop()
-            near = np.flatnonzero(links[i] & rest)
-            rest[near] = False
-            found += [(i, j) for j in near.tolist()]
-            front += near.tolist()
-    return found
-
-
-def _common(sets: list[np.ndarray]) -> np.ndarray:
-    """Numbers of common members of all pairs of sets."""
-    sizes = [len(x) for x in sets]
-    _, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
+def _common(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
+    """Numbers of common members of all pairs of sets, or of each with each of others."""
+    both = [*sets, *(others or [])]
+    _, column, many = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(both)), list(map(len, both)))
     again = many[column] > 1  # what one set alone holds is common to none
     row, column = row[again], column[again]
     _, column = np.unique(column, return_inverse=True)
-    total, width = np.zeros((len(sets), len(sets)), np.float32), int(column.max()) + 1 if len(column) else 0
+    first = slice(len(sets), None) if others else slice(None)
+    total, width = np.zeros((len(sets), len(others or sets)), np.float32), int(column.max()) + 1 if len(column) else 0
     for start in range(0, width, _STEP):
         here = (column >= start) & (column < start + _STEP)
-        held = np.zeros((len(sets), min(_STEP, width - start)), np.float32)
+        held = np.zeros((len(both), min(_STEP, width - start)), np.float32)
         held[row[here], column[here] - start] = 1
-        total += held @ held.T
+        total += held[: len(sets)] @ held[first].T
     return total.astype(np.int64)
 
 
+def _parts(nodes: list[tuple[int, int, np.ndarray]]) -> list[list[tuple[int, int, np.ndarray]]]:
+    """Nodes in parts of bounded numbers of nodes and shingles."""
+    found, held = [[]], 0
+    for x in nodes:
+        if found[-1] and (len(found[-1]) >= _PART or held + len(x[2]) > _PART_SHINGLES):
+            found.append([])
+            held = 0
+        found[-1].append(x)
+        held += len(x[2])
+    return found
+
+
+def _linked(nodes: list[tuple[int, int, np.ndarray]], others: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Links that connect the components of (node, component, set) as all links between both sides do."""
+    merged: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while c in merged:
+            c = merged[c]
+        return c
+
+    found, same = [], others is nodes
+    left = _parts(sorted(nodes, key=lambda x: x[1]))
+    right = left if same else _parts(sorted(others, key=lambda x: x[1]))
+    for k, xs in enumerate(left):
+        for ys in right[k:] if same else right:
+            a, b = (np.array([top(c) for _, c, _ in part], np.int64) for part in (xs, ys))
+            able = a[:, None] != b[None, :]
+            rows, columns = np.flatnonzero(able.any(1)), np.flatnonzero(able.any(0))
+            if not len(rows):
+                continue
+            x, y = [xs[r] for r in rows], [ys[c] for c in columns]
+            a, b = a[rows], b[columns]
+            sets, rest = [s for *_, s in x], None if xs is ys else [s for *_, s in y]
+            common, sizes = _common(sets, rest), [np.array([len(s) for *_, s in part]) for part in (x, y)]
+            alike = 100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common)
+            for i in np.flatnonzero(alike.any(1)):
+                hit = np.flatnonzero(alike[i] & (b != a[i]))
+                new, at = np.unique(b[hit], return_index=True)
+                for c, j in zip(new.tolist(), hit[at].tolist(), strict=True):
+                    found.append((x[i][0], y[j][0]))
+                    merged[c] = int(a[i])
+                b[np.isin(b, new)] = a[i]
+                a[np.isin(a, new)] = a[i]
+    return found
+
+
 def _block_links(rows: DataFrame, percent: int) -> DataFrame:
-    """(u, v): spanning forests of the links between nodes of one block pair (token, i, j) and different components; rows
-    have node, comp, the other prefixes and s. Blocks are bounded, so a task holds one pair of them at a time."""
-    names = ["token", "i", "j", "node", "comp", *_P, "s"]
+    """(u, v): links that connect the nodes of one block pair (unit, i, j) of different components as all do; rows have
+    node, comp, block and s. Blocks are bounded, so a task holds one pair of them at a time."""
+    names = ["unit", "i", "j", "node", "comp", "block", "s"]
 
     def links(group: list[tuple]) -> pa.RecordBatch:
-        one = {r[3]: r for r in group}  # a node may come twice
-        node, comp = (np.array([r[k] for r in one.values()], np.int64) for k in (3, 4))
-        able = comp[:, None] != comp[None, :]
-        for k in range(5, 5 + len(_P)):
-            able &= _common([np.asarray(r[k], np.int64) for r in one.values()]) > 0
-        found = []
-        if able.any():
-            sets = [_unpacked(r[-1]) for r in one.values()]
-            n, common = np.array([len(x) for x in sets]), _common(sets)
-            found = _forest(able & (100 * common >= percent * (n[:, None] + n[None, :] - common)))
+        own: dict[int, list] = {b: [] for b in group[0][1:3]}
+        for node, comp, block, s in {r[3]: r[3:] for r in group}.values():  # a node may come twice
+            own[block].append((node, comp, _unpacked(s)))
+        sides = list(own.values())
+        found = _linked(sides[0], sides[-1], percent) if all(sides) else []
         u, v = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(node[u], node[v])), pa.array(np.minimum(node[u], node[v]))], names=["u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -347,19 +392,37 @@ def _block_links(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select(*names).mapInArrow(run, "u long, v long").distinct()
 
 
+def _units(own: DataFrame) -> DataFrame:
+    """(unit, node, n, comp): the nodes of lists (token, node, n, comp) by what is compared together. The lists in which one
+    component has most nodes are one unit, unless that makes more rows than the lists apart; a unit's number may be that of
+    another one, which then are compared together."""
+
+    def rows(nodes: str) -> Column:
+        return F.col(nodes) * F.ceil(F.col(nodes) / BLOCK)
+
+    most = own.groupBy("token", "comp").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("comp", F.struct("k", "comp")).alias("unit"), F.sum("k").alias("m"))
+    most = settle(most, "units")
+    apart = most.groupBy("unit").agg(F.sum(rows("m")).alias("apart"))
+    joint = own.join(most, "token").select("unit", "node").distinct().groupBy("unit").agg(F.count("*").alias("m"))
+    good = joint.join(apart, "unit").where(rows("m") <= F.col("apart")).select("unit", F.lit(True).alias("joint"))
+    names = most.join(good, "unit", "left").select("token", F.when(F.col("joint"), F.col("unit")).otherwise(F.col("token")).alias("unit"))
+    return own.join(names, "token").select("unit", "node", "n", "comp").distinct()
+
+
 def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, classes: DataFrame, second: set[tuple[int, int]], rarity: np.ndarray, hot: int) -> DataFrame | None:
     """(u, v), u > v: links that connect the nodes as all links do; None if there are none."""
     nodes = settle(prefixes(docs, text, words, percent, rarity, hot, second), "prefixes")
     of = Window.partitionBy("token")
     cold = nodes.select(F.explode("p0").alias("token"), "node", "n").withColumn("a", F.min("node").over(of)).withColumn("b", F.max("node").over(of))
     lists = cold.where("a <> b").select("token", "node", "n").distinct().union(nodes.select(F.explode("hot").alias("token"), "node", "n").distinct())
-    # Sizes of linked sets lie in the same range or in the one beside it; ranges are wider than the bound.
-    band = F.floor(F.log("n") / F.log(F.lit(100 / (percent - 1)))).cast("int")
-    lists = settle(lists.withColumn("band", band), "lists")
+    lists = settle(lists, "lists")
     sizes = settle(lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "list-sizes")
+    own = settle(lists.join(sizes.where(F.col("m") > LONG).select("token"), "token"), "long-lists")
+    places = settle(own.groupBy("node").agg(F.count("*").alias("l")), "long-counts")
     rest, known = nodes.select("node", *_P), None
 
     def joined(pairs: DataFrame, own: DataFrame, names: list[str]) -> DataFrame:
+        own = _among(own, "node", pairs.select(F.explode(F.array("u", "v")))).groupBy("node").agg(*[F.first(c).alias(c) for c in names])
         for end in ("u", "v"):
             pairs = pairs.join(own.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in names]), end)
         return pairs
@@ -373,45 +436,55 @@ def _links(docs: DataFrame, key: str, text: str, words: int, percent: int, class
 
     def check(pairs: DataFrame) -> DataFrame:
         """The pairs (u, v) that share prefix shingles under all other orders, and then are alike."""
-        agreed = joined(pairs, rest, _P)
+        agreed = joined(settle(pairs, "pairs"), rest, _P)
         for p in _P:
             agreed = agreed.where(F.arrays_overlap(f"u_{p}", f"v_{p}"))
-        agreed = settle(agreed.select("u", "v").distinct(), "candidates")
+        agreed = settle(agreed.select("u", "v"), "candidates")
         fetch(agreed.select(F.col("u").alias("node")).union(agreed.select(F.col("v").alias("node"))).distinct())
         both = joined(agreed, known, ["s"]).withColumnsRenamed({"u_s": "a", "v_s": "b"})
         return settle(_verified(both, percent), "links")
 
-    # Short lists: pairs that meet in as many lists as they have to. What they share in long lists is found there.
-    short = lists.join(sizes.where(F.col("m") <= LONG).select("token"), "token")
-    x = short.select("token", F.col("node").alias("v"), F.col("n").alias("vn"), F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"))
-    pairs = x.join(short.withColumnsRenamed({"node": "u", "n": "un"}), ["token", "band"]).where((F.col("u") > F.col("v")) & _alike(F.col("un"), F.col("vn"), percent))
-    must = F.least(F.lit(LEAST_MET), *[F.floor((F.col(n) * percent + 99) / 100) for n in ("un", "vn")])
-    pairs = pairs.groupBy("u", "v").agg(F.count("*").alias("met"), F.min(must).alias("must")).where("met >= must")
+    def least(n: Column) -> Column:
+        return F.floor((n * percent + 99) / 100)
+
+    # Short lists: pairs that meet in as many of them as they have to, less those long lists that both may be on. Pairs of
+    # crowded nodes, which may meet on long lists only, are found there.
+    short = lists.join(places, "node", "left").fillna(0, ["l"]).join(sizes.where(F.col("m") <= LONG).select("token"), "token")
+    x, y = (short.select("token", F.col("node").alias(end), F.col("n").alias(f"{end}n"), F.col("l").alias(f"{end}l")) for end in ("u", "v"))
+    pairs = x.join(y, "token").where((F.col("u") > F.col("v")) & _alike(F.col("un"), F.col("vn"), percent))
+    must, most = F.least(F.lit(LEAST_MET), least(F.col("un")), least(F.col("vn"))), F.least("ul", "vl")
+    pairs = pairs.groupBy("u", "v").agg(F.count("*").alias("met"), F.min(F.when(most < must, must - most).otherwise(must)).alias("must")).where("met >= must")
     links = check(pairs.select("u", "v"))
-    long = sizes.where(F.col("m") > LONG)
-    if not long.head(1):
-        return links
 
-    # Long lists: one trial for each node, then what is not yet inside one component.
-    own = lists.join(long, "token").checkpoint()
+    # Long lists of crowded nodes: one trial for each node, then what is not yet inside one component. A node has to share
+    # no fewer shingles with any other than the least set that it may link with has to.
+    own = own.join(places, "node").where(F.col("l") >= F.least(F.lit(LEAST_MET), least(least(F.col("n"))))).drop("l")
+    own = settle(own.join(own.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "token"), "long-lists")
+    if own.isEmpty():
+        return links
+    # Sizes of linked sets lie in the same range or in the one beside it; ranges are wider than the bound.
+    band = F.floor(F.log("n") / F.log(F.lit(100 / (percent - 1)))).cast("int")
+    tried = own.withColumn("band", band)
     place = F.row_number().over(Window.partitionBy("token", "band").orderBy("node"))
-    lead = own.withColumn("place", place).where("place = 1").select("token", "band", F.col("node").alias("x"), F.col("n").alias("xn"))
-    trial = own.join(lead, ["token", "band"]).where((F.col("node") != F.col("x")) & _alike(F.col("n"), F.col("xn"), percent))
+    lead = tried.withColumn("place", place).where("place = 1").select("token", "band", F.col("node").alias("x"), F.col("n").alias("xn"))
+    trial = tried.join(lead, ["token", "band"]).where((F.col("node") != F.col("x")) & _alike(F.col("n"), F.col("xn"), percent))
     trial = trial.groupBy("node", "x").agg(F.count("*").alias("met"))
     first = trial.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("met"), "x"))).where("place = 1")
     links = links.union(check(first.select(F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).distinct()))
     roots = components(links, 3)
     own = own.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     open_ = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
-    own = settle(own.join(open_, "token"), "long-lists")
+    own = settle(own.join(open_, "token"), "open-lists")
     if own.isEmpty():
         return links
     fetch(own.select("node").distinct())
-    k = F.ceil(F.col("m") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), k).cast("int")
-    # Sets are fetched once for each place on a list, before it is dealt to pairs of blocks.
-    spread = own.join(rest, "node").join(known, "node").withColumn("k", k).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    spread = spread.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", *_P, "s").repartition(partitions(docs.sparkSession), "token", "i", "j").sortWithinPartitions("token", "i", "j")
+    nodes = settle(_units(own), "unit-nodes")
+    k = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("w") / _BLOCK_SHINGLES)).cast("int")
+    dealt = nodes.join(nodes.groupBy("unit").agg(F.count("*").alias("m"), F.sum("n").alias("w")), "unit").withColumn("k", k)
+    # Sets are fetched once for each node of a unit, before it is dealt to pairs of blocks.
+    spread = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "k").cast("int")).join(_among(known, "node", nodes.select("node")), "node")
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    spread = spread.select("unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", "block", "s").repartition(partitions(docs.sparkSession), "unit", "i", "j").sortWithinPartitions("unit", "i", "j")
     return links.union(settle(_block_links(spread, percent), "links"))
 
 

@@ -75,6 +75,71 @@ def test_join_equals_brute_force(spark, docs, monkeypatch, seed, long, block, ho
     assert sorted(got, key=str) == brute_components(rows)
 
 
+def dealt_rows(monkeypatch):
+    """Numbers of rows that are dealt to pairs of blocks, filled in while a join runs."""
+    found, own = [], jaccard_join._block_links
+    monkeypatch.setattr(jaccard_join, "_block_links", lambda rows, percent: (found.append(rows.count()), own(rows, percent))[1])
+    return found
+
+
+def test_groups_of_near_copies_are_dealt_once_not_for_each_list(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LONG", 8)
+    rng, found = random.Random(11), dealt_rows(monkeypatch)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    far = []
+    for _ in range(30):  # under 0.85 alike to every other text
+        w = list(base)
+        for i in rng.sample(range(8, 112, 8), 3):
+            w[i] = f"e{rng.randrange(10**6)}"
+        far.append(" ".join(w))
+    rows = list(enumerate([*group(rng, base, 30, 1), *far]))
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.linked(docs(rows)).collect()]
+    assert sorted(got, key=str) == brute_components(rows)
+    assert found and sum(found) <= len(rows)
+
+
+def test_lists_that_texts_share_by_chance_are_not_compared(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LONG", 8)
+    measured = jaccard_join.measured
+    # As in large tables, where buckets hold too many shingles to tell that one of them is common.
+    monkeypatch.setattr(jaccard_join, "measured", lambda *a: (lambda own, rarity, hot: (own, np.zeros_like(rarity), hot))(*measured(*a)))
+    rng, found = random.Random(12), dealt_rows(monkeypatch)
+    rows = list(enumerate("of the line that all texts have " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(9)) for _ in range(60)))
+    rows += [(60 + k, t + " a b" * (k % 2)) for k, t in rows[:6]]
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.linked(docs(rows)).collect()]
+    assert sorted(got, key=str) == brute_components(rows)
+    assert not sum(found)
+
+
+@pytest.mark.parametrize(("seed", "long", "block", "part"), [(5, 2, 9, 4), (6, 5, 40, 3)])
+def test_join_by_small_parts_equals_brute_force(spark, docs, monkeypatch, seed, long, block, part):
+    # Of links between parts of blocks, which workers compare, brute force is made here apart.
+    monkeypatch.setattr(jaccard_join, "LONG", long)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rows = corpus(seed)
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.linked(docs(rows)).collect()]
+    assert sorted(got, key=str) == brute_components(rows)
+    monkeypatch.setattr(jaccard_join, "_PART", part)
+    rng = np.random.default_rng(seed)
+    base = np.arange(40, dtype=np.uint64)
+    nodes = [(k, k % 17, np.unique(np.r_[base[rng.random(40) > 0.06], rng.integers(100, 10**6, 1).astype(np.uint64)])) for k in range(30)]
+    for others in (nodes, [(k + 100, c, x) for k, c, x in nodes[:11]]):
+        found, top = jaccard_join._linked(nodes, others, 85), {c: c for c in range(17)}
+
+        def find(c, top=top):
+            return c if top[c] == c else find(top[c])
+
+        comp = {k: c for k, c, _ in [*nodes, *others]}
+        for u, v in found:
+            assert find(comp[u]) != find(comp[v])  # a forest
+            top[find(comp[u])] = find(comp[v])
+        sets = {k: set(x.tolist()) for k, _, x in [*nodes, *others]}
+        for (u, *_), (v, *_) in itertools.product(nodes, others):
+            both = len(sets[u] & sets[v])
+            assert 100 * both < 85 * len(sets[u] | sets[v]) or find(comp[u]) == find(comp[v])
+        assert all(100 * len(sets[u] & sets[v]) >= 85 * len(sets[u] | sets[v]) for u, v in found)
+
+
 def test_join_of_empty_tables_and_only_empty_texts(spark, docs):
     assert jaccard_join.linked(docs([(1, "a")]).where("false")).count() == 0
     assert sorted(map(tuple, jaccard_join.linked(docs([(2, ""), (1, None)])).collect())) == [(1, 0, 1), (2, 0, 2)]
